@@ -1,0 +1,52 @@
+"""Folders: where scratch data may go, and the few file-system calls the sinks need."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The shared folder named by `spark.checkpoint.dir`; a temporary one only in local mode."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return shared.rstrip("/")
+    if not spark.conf.get("spark.master", "local").startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="millrace-")
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the scratch root."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where, jvm
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where, _ = _fs(spark, path)
+    return fs.exists(where)
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder, in order."""
+    fs, where, _ = _fs(spark, path)
+    if not fs.exists(where):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(where))
+
+
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    fs, where, _ = _fs(spark, path)
+    return fs.delete(where, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, where, _ = _fs(spark, path)
+    fs.create(where, True).close()
