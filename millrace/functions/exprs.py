@@ -261,7 +261,7 @@ def json_number(c: Column | str, field: str, type_: str = "decimal(18,3)") -> Co
 def term_months(start: Column | str, end: Column | str) -> Column:
     """Length in months of a year of 365 days, one decimal."""
     days = F.datediff(as_col(end), as_col(start)) + 1
-    return F.round((days.cast("decimal(12,0)") * 12) / F.lit(365), 1).cast("decimal(12,1)")
+    return F.round((days.cast("decimal(12,0)") * 12) / F.lit(365), 1).cast("decimal(6,1)")
 
 
 def contract_value(
@@ -272,43 +272,40 @@ def contract_value(
 
     Rebates are negative amounts. An invoice rebate recurs each month, a market rebate is paid once.
     """
-    money_ = "decimal(20,6)"
+    amt = "decimal(12,2)"
     term = term_months(start, end)
-    months = F.when(term == 0, F.lit(1).cast("decimal(12,1)")).otherwise(term)
+    months = F.when(term == 0, F.lit(1).cast("decimal(6,1)")).otherwise(term)
     has_old = ~blank(old_invoice)
     old_term = term_months(old_start, old_end)
     old_months = F.when(has_old & (as_col(old_end) != as_col(old_start)), old_term).otherwise(
-        F.lit(1).cast("decimal(12,1)")
+        F.lit(1).cast("decimal(6,1)")
     )
     changed = F.coalesce(as_col(old_end) > as_col(start), F.lit(False))
-    remain = F.when(changed & has_old, term_months(start, old_end)).otherwise(F.lit(0).cast("decimal(12,1)"))
+    remain = F.when(changed & has_old, term_months(start, old_end)).otherwise(F.lit(0).cast("decimal(6,1)"))
 
     def monthly(amount, flag):
-        return F.when(as_col(flag).isin("INV_REBATE", "OVR_REBATE"), as_col(amount)).otherwise(F.lit(0))
+        return F.when(as_col(flag).isin("INV_REBATE", "OVR_REBATE"), as_col(amount).cast(amt)).otherwise(F.lit(0).cast(amt))
 
     def once(amount, flag, also=F.lit(True)):
-        return F.when((as_col(flag) == "MKT_REBATE") & also, as_col(amount)).otherwise(F.lit(0))
-
-    def per_month(amount, count):
-        return F.try_divide(as_col(amount).cast(money_), count).cast(money_)
+        return F.when((as_col(flag) == "MKT_REBATE") & also, as_col(amount).cast(amt)).otherwise(F.lit(0).cast(amt))
 
+    # A cost spread over the term and taken for the whole term is the cost itself, so only the
+    # part of the old contract that is left needs a division.
     new_part = (
-        as_col(bill_rate) + monthly(rebate, rebate_flag) - per_month(subsidy, months)
-    ).cast(money_) * months + once(rebate, rebate_flag)
+        (as_col(bill_rate).cast(amt) + monthly(rebate, rebate_flag)) * months
+        - as_col(subsidy).cast(amt)
+        + once(rebate, rebate_flag)
+    )
+    old_once = once(old_rebate, old_rebate_flag, remain > 0) - as_col(old_subsidy).cast(amt)
     old_part = F.when(
         has_old,
-        (
-            as_col(old_bill_rate)
-            + monthly(old_rebate, old_rebate_flag)
-            - per_month(old_subsidy, old_months)
-            + per_month(once(old_rebate, old_rebate_flag, remain > 0), old_months)
-        ).cast(money_)
-        * remain,
+        (as_col(old_bill_rate).cast(amt) + monthly(old_rebate, old_rebate_flag)) * remain
+        + F.try_divide(old_once * remain, old_months),
     ).otherwise(F.lit(0))
     return {
         "contract_mth": months,
         "old_contract_mth": old_months,
         "chg_plan_flg": F.when(changed, "Y").otherwise("N"),
         "remain_contract_mth": remain,
-        "tcv": F.round(new_part - old_part, 2).cast("decimal(20,2)"),
+        "tcv": F.round(new_part - old_part, 2).cast("decimal(18,2)"),
     }

@@ -8,5 +8,5 @@ from millrace.operators.lists import number_rows, regroup, split_rows  # noqa: F
 from millrace.operators.rules import apply_match, apply_rules, drop_where, select_where, update_from_agg  # noqa: F401
 from millrace.operators.setops import constant_rows, printable, stack, with_header_rows  # noqa: F401
 from millrace.operators.windows import (  # noqa: F401
-    drop_repeats, dwell, label_order, movement, nth_row, previous_row, ranked, runs, share,
+    build_history, drop_repeats, dwell, label_order, movement, next_row, nth_row, previous_row, ranked, runs, share,
 )

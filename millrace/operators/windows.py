@@ -9,11 +9,14 @@ task's work.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from millrace.params import OPEN_DATE
+
 Order = Sequence[Column | str]
 
 
@@ -64,23 +67,46 @@ def day_bin(ts: str) -> Column:
     return F.to_date(F.col(ts))
 
 
+def _neighbour(df, by, order, cols, bin_, prefix, step) -> DataFrame:
+    by, order = _list(by), list(order)
+    rows = df.withColumn("_bin", day_bin(order[0]) if bin_ is None else bin_)
+    packed = F.struct(*cols)
+    in_bin, along = W.partitionBy(*by, "_bin").orderBy(*order), W.partitionBy(*by).orderBy("_bin")
+    pick, shift = (F.max_by, F.lag) if step < 0 else (F.min_by, F.lead)
+    edges = rows.groupBy(*by, "_bin").agg(pick(packed, F.struct(*order)).alias("_edge"))
+    carried = edges.select(*by, "_bin", shift("_edge").over(along).alias("_carry"))
+    out = rows.withColumn("_near", shift(packed).over(in_bin)).join(carried, by + ["_bin"], "left")
+    near = F.coalesce(F.col("_near"), F.col("_carry"))
+    return out.select(*df.columns, *[near[c].alias(prefix + c) for c in cols])
+
+
 def previous_row(
     df: DataFrame, by: str | Sequence[str], order: Sequence[str], cols: Sequence[str], bin_: Column | None = None, prefix: str = "prev_"
 ) -> DataFrame:
     """The values of `cols` in the row before, per key, in ascending `order`.
 
     `bin_` must not decrease along the first order column (by default its day). Windows run per
-    key and bin; the last row of each bin is carried over to the next bin in use.
+    key and bin; the last row of each bin is carried over to the next bin in use. Keys and order
+    columns must not be null, and `order` must be unique within a key.
     """
-    by, order = _list(by), list(order)
-    rows = df.withColumn("_bin", day_bin(order[0]) if bin_ is None else bin_)
-    packed = F.struct(*cols)
-    inner = W.partitionBy(*by, "_bin").orderBy(*order)
-    tails = rows.groupBy(*by, "_bin").agg(F.max_by(packed, F.struct(*order)).alias("_tail"))
-    carried = tails.select(*by, "_bin", F.lag("_tail").over(W.partitionBy(*by).orderBy("_bin")).alias("_carry"))
-    out = rows.withColumn("_prev", F.lag(packed).over(inner)).join(carried, by + ["_bin"], "left")
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"))
-    return out.select(*df.columns, *[prev[c].alias(prefix + c) for c in cols])
+    return _neighbour(df, by, order, cols, bin_, prefix, -1)
+
+
+def next_row(
+    df: DataFrame, by: str | Sequence[str], order: Sequence[str], cols: Sequence[str], bin_: Column | None = None, prefix: str = "next_"
+) -> DataFrame:
+    """The same for the row after."""
+    return _neighbour(df, by, order, cols, bin_, prefix, 1)
+
+
+def build_history(
+    df: DataFrame, by: str | Sequence[str], at: str, state: Sequence[str], open_end: date = OPEN_DATE
+) -> DataFrame:
+    """Dated states (one row per key and date) to validity intervals that meet without a gap."""
+    by = _list(by)
+    nxt = next_row(df, by, [at], [at], F.trunc(F.col(at), "YEAR"), "_n_")
+    end = F.coalesce(F.date_sub(F.col("_n_" + at), 1), F.lit(open_end))
+    return nxt.select(*by, *state, F.col(at).alias("start_date"), end.alias("end_date"))
 
 
 def drop_repeats(df: DataFrame, by: str | Sequence[str], order: Sequence[str], state: str, bin_: Column | None = None) -> DataFrame:
