@@ -139,9 +139,8 @@ def with_subtotals(
             key.alias(outer),
             F.concat(label, F.lit(" "), F.col("_kind")).alias(member),
             *[
-                F.when(avg, F.round(F.try_divide(F.col(m).cast("decimal(28,6)"), F.col("_n")), 3))
-                .otherwise(F.col(m))
-                .cast("decimal(28,3)")
+                F.when(avg, F.round(F.try_divide(F.col(m).cast("decimal(24,3)"), F.col("_n")), 3).cast("decimal(28,3)"))
+                .otherwise(F.col(m).cast("decimal(28,3)"))
                 .alias(m)
                 for m in measures
             ],

@@ -183,18 +183,14 @@ def join_within(
     out = probe.join(named, on + ["_day", "_id"], "left").join(anon, on + ["_day"], "left")
     if how == "inner":
         out = out.where("_named is not null or _anon is not null")
-    either = F.filter(F.array("_named", "_anon"), lambda x: x.isNotNull())
-    out = out.withColumn("_both", either)
     merged = []
     for n, (fn, _) in aggs.items():
-        values = F.transform("_both", lambda x, n=n: x[n])
+        own, free = F.col("_named." + n), F.col("_anon." + n)
         if fn in ("min", "max"):
-            merged.append({"min": F.array_min, "max": F.array_max}[fn](values).alias(n))
+            both = F.least(own, free) if fn == "min" else F.greatest(own, free)
         else:
-            plus = F.when(F.col("_named").isNull(), F.col("_anon." + n)).when(
-                F.col("_anon").isNull(), F.col("_named." + n)
-            ).otherwise(F.coalesce(F.col("_named." + n) + F.col("_anon." + n), F.col("_named." + n), F.col("_anon." + n)))
-            merged.append(plus.alias(n))
+            both = F.coalesce(own + free, own, free)
+        merged.append(both.alias(n))
     return out.select(*left.columns, *merged)
 
 
