@@ -24,36 +24,33 @@ def shift_months(day: date, months: int) -> date:
 
 @dataclass(frozen=True)
 class Window:
-    """Report window of a run date: the month to date, up to the day before the run."""
+    """Days a report covers, both included."""
 
-    txdate: date
+    start: date
+    end: date
 
-    @property
-    def end(self) -> date:
-        return self.txdate - timedelta(days=1)
-
-    @property
-    def start(self) -> date:
-        return self.end.replace(day=1)
+    @classmethod
+    def month_to_date(cls, txdate: date) -> Window:
+        """The month of the day before a run, up to that day."""
+        end = txdate - timedelta(days=1)
+        return cls(end.replace(day=1), end)
 
     @property
-    def month_end(self) -> date:
-        return shift_months(self.start, 1) - timedelta(days=1)
+    def txdate(self) -> date:
+        return self.end + timedelta(days=1)
 
 
 @dataclass(frozen=True)
-class CommissionWindow:
-    """Commission is paid in `comm_month` on the cases of the month three months earlier."""
+class CommissionWindow(Window):
+    """Cases of a window, for which commission is paid in `comm_month`."""
 
-    comm_month: date
+    comm_month: date = OPEN_DATE
 
-    @property
-    def start(self) -> date:
-        return shift_months(self.comm_month, -3)
-
-    @property
-    def end(self) -> date:
-        return shift_months(self.comm_month, -2) - timedelta(days=1)
+    @classmethod
+    def of_month(cls, comm_month: date) -> CommissionWindow:
+        """The case month lies three months before the month of payment."""
+        end = shift_months(comm_month, -2) - timedelta(days=1)
+        return cls(shift_months(comm_month, -3), end, comm_month)
 
     @property
     def eve(self) -> date:
