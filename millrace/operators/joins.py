@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.exprs import as_col
 from millrace.operators.sizing import hint_small, small_values
-from millrace.params import NO_DATE
 
 LABEL_LIMIT = 1000
 PATTERN_LIMIT = 500
@@ -51,13 +50,18 @@ def snapshot(hist: DataFrame, day, start: str = "start_date", end: str = "end_da
     return hist.where(day.between(F.col(start), F.col(end)))
 
 
-def _bin(c: Column, unit: str) -> Column:
-    return F.trunc(c, unit)
+# Calendar years that get bins of their own; earlier and later dates share the first and the last.
+CALENDAR = (1990, 2035)
 
 
-def _bins_between(lo: Column, hi: Column, unit: str) -> Column:
+def _bin(c: Column, unit: str, years: tuple[int, int] = CALENDAR) -> Column:
+    first, last = (F.lit(date(y, 1, 1)) for y in years)
+    return F.trunc(F.greatest(F.least(c, last), first), unit)
+
+
+def _bins_between(lo: Column, hi: Column, unit: str, years: tuple[int, int] = CALENDAR) -> Column:
     step = {"MM": "1 month", "YEAR": "1 year", "QUARTER": "3 months"}[unit]
-    return F.explode(F.sequence(_bin(lo, unit), _bin(hi, unit), F.expr(f"interval {step}")))
+    return F.explode(F.sequence(_bin(lo, unit, years), _bin(hi, unit, years), F.expr(f"interval {step}")))
 
 
 def join_asof(
@@ -70,38 +74,34 @@ def join_asof(
     offset_days: int = 0,
     starts_only: bool = False,
     how: str = "left",
-    unit: str = "YEAR",
+    unit: str | None = "YEAR",
+    years: tuple[int, int] = CALENDAR,
 ) -> DataFrame:
     """Join each row to the history row of its key that is valid at date `at` (+ `offset_days`).
 
     Intervals include both ends; overlapping intervals give one row each. The key is joined
-    together with a calendar bin, so that a hot key spreads over its bins; an interval is copied
-    into the bins it touches within the dates that `left` holds, which bounds open intervals.
+    together with a calendar bin, so that a hot key spreads over its bins. An interval is copied
+    into the bins it touches; the calendar is bounded, so an open interval has few copies, and
+    dates outside it fall into its first or last bin on both sides. Narrow `years` to those the
+    left dates lie in to save copies, or set `unit` to None for a key that is nearly unique.
     `starts_only` keeps the intervals that begin on the date itself.
     """
     on = _names(on)
-    day = F.date_add(F.col(at), offset_days)
-    probe = left.withColumn("_day", day)
+    probe = left.withColumn("_day", F.date_add(F.col(at), offset_days))
     if starts_only:
-        right = hist.withColumn("_day", F.col(start))
-        return probe.join(right, on + ["_day"], how).drop("_day")
-    span = probe.agg(F.min("_day").alias("lo"), F.max("_day").alias("hi"))
-    lo, hi = span.select("lo").scalar(), F.coalesce(span.select("hi").scalar(), F.lit(NO_DATE))
-    right = (
-        hist.withColumn("_lo", F.greatest(F.col(start), lo))
-        .withColumn("_hi", F.least(F.col(end), hi))
-        .where("_lo <= _hi")
-        .withColumn("_bin", _bins_between(F.col("_lo"), F.col("_hi"), unit))
-    )
-    probe = probe.withColumn("_bin", _bin(F.col("_day"), unit))
-    keys = on + ["_bin"]
+        return probe.join(hist.withColumn("_day", F.col(start)), on + ["_day"], how).drop("_day")
+    right = hist.where(F.col(start) <= F.col(end))
+    keys = list(on)
+    if unit:
+        right = right.withColumn("_bin", _bins_between(F.col(start), F.col(end), unit, years))
+        probe = probe.withColumn("_bin", F.when(F.col("_day").isNotNull(), _bin(F.col("_day"), unit, years)))
+        keys += ["_bin"]
     renamed = right.select(
         *[F.col(k).alias("_r_" + k) for k in keys], *[c for c in right.columns if c not in keys]
     )
     cond = reduce(lambda a, b: a & b, [probe[k] == renamed["_r_" + k] for k in keys])
     cond = cond & probe["_day"].between(renamed[start], renamed[end])
-    out = probe.join(renamed, cond, how)
-    return out.drop("_day", "_bin", "_lo", "_hi", *["_r_" + k for k in keys])
+    return probe.join(renamed, cond, how).drop("_day", "_bin", *["_r_" + k for k in keys])
 
 
 def join_overlap(
@@ -110,7 +110,7 @@ def join_overlap(
     """Pairs of one key whose intervals share a day.
 
     Both sides are copied into the calendar bins they touch; a pair is kept only in the bin where
-    its common part begins, so it comes out once. Intervals must be closed (no open end).
+    its common part begins, so it comes out once.
     """
     on = _names(on)
     a = left.withColumn("_bin", _bins_between(F.col(s1), F.col(e1), unit))

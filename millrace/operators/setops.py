@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -25,8 +27,9 @@ def printable(header: DataFrame, body: DataFrame, footer: DataFrame, part: str =
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def constant_rows(df: DataFrame, labels: dict[str, list], at: Column | None = None) -> DataFrame:
-    """Fixed label rows as a frame in the session of `df`."""
-    spark = df.sparkSession
-    names = list(labels)
-    return spark.createDataFrame(list(zip(*labels.values())), names)
+def constant_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """Fixed rows, such as a rate table, as a local relation whose size the optimizer knows."""
+    fields = [part.split() for part in schema.split(",")]
+    columns = {name: [r[i] for r in rows] for i, (name, _) in enumerate(fields)}
+    df = spark.createDataFrame(pa.table(columns))
+    return df.select(*[F.col(name).cast(type_).alias(name) for name, type_ in fields])

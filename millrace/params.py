@@ -35,6 +35,10 @@ class Window:
         end = txdate - timedelta(days=1)
         return cls(end.replace(day=1), end)
 
+    @property
+    def years(self) -> tuple[int, int]:
+        return self.start.year - 1, self.end.year + 1
+
     @property
     def txdate(self) -> date:
         return self.end + timedelta(days=1)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import blank, decode, first_match, month_start, pct_text, ratio
-from millrace.operators import grid, keep_first, keep_in, label_order, list_agg, pivot_report, split_rows, stack
+from millrace.operators import constant_rows, grid, keep_first, keep_in, label_order, list_agg, pivot_report, split_rows, stack
 from millrace.params import NO_TEXT, OPEN_DATE
 from millrace.plans.base import LINE, Frames, pick
 from millrace.sources.storage import settle
@@ -252,7 +252,7 @@ def plan_mix_cells(h: DataFrame) -> DataFrame:
     every = stack(counted, whole)
     sums = every.groupBy("batch_id", "shk_tier").agg(F.sum("cnt").alias("all_cnt"))
     shares = every.join(sums, ["batch_id", "shk_tier"]).withColumn("ptg", ratio(F.col("cnt").cast("decimal(20,0)"), F.col("all_cnt")).cast("decimal(28,12)"))
-    tiers = stack(h.select("shk_tier").distinct(), h.sparkSession.createDataFrame([("TOTAL",)], "shk_tier string"))
+    tiers = stack(h.select("shk_tier").distinct(), constant_rows(h.sparkSession, [("TOTAL",)], "shk_tier string"))
     names = counted.select("batch_id", nature, sub).distinct()
     names = label_order(label_order(names, ["batch_id"], nature, "rnk_nature"), ["batch_id", nature], sub, "rnk_sub_nature")
     detail = grid(names, tiers).join(shares.drop("cnt", "all_cnt"), ["batch_id", "shk_tier", nature, sub], "left")

@@ -45,7 +45,7 @@ def _invoiced(t: Frames, w: Window) -> DataFrame:
         *LINE, "inv_num", "inv_date", "mkt_cd", "ld_cd", "online_inv_flg", "pos_shop_cd"
     )
     info = t["subr_info_hist"].where(F.col("subr_stat_cd").isin(LIVE)).select(*LINE, "rate_plan_cd", "subr_stat_cd", "start_date", "end_date")
-    both = join_asof(inv, info, LINE, "inv_date", how="inner").join(t["mkt_ref_vw"].select("mkt_cd", "ld_revenue"), "mkt_cd")
+    both = join_asof(inv, info, LINE, "inv_date", how="inner", years=w.years).join(t["mkt_ref_vw"].select("mkt_cd", "ld_revenue"), "mkt_cd")
     return pick(
         both, *LINE, "rate_plan_cd", "inv_date", "mkt_cd", "ld_revenue", "subr_stat_cd", "ld_cd", store_cd="pos_shop_cd", order_num="inv_num",
         online_inv="online_inv_flg", ref=F.lit("Invoice"), add_vas=F.lit(NO_TEXT), eff_date="inv_date",
@@ -74,12 +74,12 @@ def settled_orders(rows: DataFrame) -> DataFrame:
     return both.withColumns({**values, "eff_date": F.greatest("eff_date", "last_eff")}).drop("n", "last_eff")
 
 
-def _ordered(t: Frames, rows: DataFrame, ref: str, day_before: bool = False) -> DataFrame:
+def _ordered(t: Frames, rows: DataFrame, ref: str, w: Window, day_before: bool = False) -> DataFrame:
     """Orders in the common shape, with store by creator and the line's profile on the day."""
     users = keep_in(t["fes_usr_info"], pick(t["stores"], pos_shop_cd="store_cd"), "pos_shop_cd")
     made = rows.join(pick(users, create_by="usr_name", store_cd="pos_shop_cd"), "create_by")
     info = pick(t["subr_info_hist"].where(F.col("subr_stat_cd").isin(LIVE)), *LINE, "subr_stat_cd", "start_date", "end_date", own_plan="rate_plan_cd")
-    return join_asof(made, info, LINE, "create_date", offset_days=-1 if day_before else 0, how="inner").withColumn("ref", F.lit(ref))
+    return join_asof(made, info, LINE, "create_date", offset_days=-1 if day_before else 0, how="inner", years=w.years).withColumn("ref", F.lit(ref))
 
 
 def _as_order(df: DataFrame, plan: Column, revenue: Column) -> DataFrame:
@@ -100,9 +100,9 @@ def transactions(t: Frames, w: Window) -> DataFrame:
     stopped = snapshot(t["subr_info_hist"], F.lit(w.txdate)).where(F.col("subr_stat_cd").isin("SU", "TX"))
     mkt = t["mkt_ref_vw"].where(planned).select("mkt_cd", "ld_revenue")
     om = settled_orders(_changes(t, "om", w))
-    om_ld = _ordered(t, nth_row(om.where(~blank("ld_cd")), [*LINE, "case_id"], [_latest("ld_cd"), _latest("create_time")]), "Add ld - OM Order").join(mkt, "mkt_cd")
-    fl = _ordered(t, _changes(t, "fl_om", w), "Add ld - FL Order").join(mkt, "mkt_cd")
-    plan_only = _ordered(t, nth_row(om.where(~blank("new_plan_cd")), [*LINE, "case_id"], [_latest("create_time"), "new_plan_cd"]), PLAN_CHANGE, True)
+    om_ld = _ordered(t, nth_row(om.where(~blank("ld_cd")), [*LINE, "case_id"], [_latest("ld_cd"), _latest("create_time")]), "Add ld - OM Order", w).join(mkt, "mkt_cd")
+    fl = _ordered(t, _changes(t, "fl_om", w), "Add ld - FL Order", w).join(mkt, "mkt_cd")
+    plan_only = _ordered(t, nth_row(om.where(~blank("new_plan_cd")), [*LINE, "case_id"], [_latest("create_time"), "new_plan_cd"]), PLAN_CHANGE, w, True)
     plan_only = drop_in(plan_only.where("new_plan_cd <> own_plan and subr_stat_cd = 'OK'"), new_lines(t, w), LINE)
     found = waterfall(
         [
@@ -118,14 +118,14 @@ def transactions(t: Frames, w: Window) -> DataFrame:
     return found.distinct()
 
 
-def detail(t: Frames, rows: DataFrame) -> DataFrame:
+def detail(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     """Plan and contract of the day before each transaction, and the new contract of invoices."""
     info = pick(t["subr_info_hist"].where(F.col("subr_stat_cd").isin(LIVE)), *LINE, "start_date", "end_date", orig_rate_plan_cd="rate_plan_cd")
-    out = join_asof(rows, info, LINE, "inv_date", offset_days=-1).drop("start_date", "end_date")
+    out = join_asof(rows, info, LINE, "inv_date", offset_days=-1, years=w.years).drop("start_date", "end_date")
     valid = not_returned(t["subr_ld_hist"].where("void_flg <> 'Y' and waived_flg <> 'Y'"), t)
     terms = valid.join(t["mkt_ref_vw"].where("ld_revenue in ('P', 'V')").select("mkt_cd", "ld_revenue"), "mkt_cd")
     terms = pick(terms, *LINE, "start_date", "end_date", orig_ld_cd="ld_cd", orig_ld_exp_date="ld_expired_date", orig_ld_revenue="ld_revenue")
-    held = join_asof(rows.select(*LINE, "order_num", "inv_date"), terms, LINE, "inv_date", offset_days=-1, how="inner")
+    held = join_asof(rows.select(*LINE, "order_num", "inv_date"), terms, LINE, "inv_date", offset_days=-1, how="inner", years=w.years)
     last = nth_row(held, [*LINE, "order_num"], [_latest("orig_ld_exp_date"), _latest("orig_ld_cd")])
     last = last.select(*LINE, "order_num", "orig_ld_cd", "orig_ld_exp_date", F.col("orig_ld_revenue").alias("ld_revenue"), F.lit(True).alias("had"))
     out = out.join(last, [*LINE, "order_num", "ld_revenue"], "left")
@@ -324,7 +324,7 @@ def run(t: Frames, w: Window, groups: Mapping[str, str]) -> dict[str, DataFrame]
     from millrace.sources.storage import settle
 
     rows = settle(transactions(t, w), "channel_rows")
-    full = detail(t, rows).join(addon_lists(t, rows, w), [*LINE, "store_cd", "order_num"], "left")
+    full = detail(t, rows, w).join(addon_lists(t, rows, w), [*LINE, "store_cd", "order_num"], "left")
     done = typed(t, settle(full, "channel_detail"), groups)
     return {"transactions": rows, "detail": settle(attributed(t, done, w), "channel_done")}
 

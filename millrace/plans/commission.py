@@ -36,6 +36,7 @@ def cases(t: Frames, w: CommissionWindow) -> DataFrame:
         rows, *LINE, case_id=composite_id("inv_num", "subr_num"), pos_inv_num="inv_num", pos_mkt_cd="mkt_cd",
         pos_ld_cd="ld_cd", pos_inv_date="inv_date", pos_inv_tag=F.lit(NO_TEXT), json_rmk=F.lit(NO_TEXT),
     ).select(*CASE)
+    base = settle(base, "commission_invoices")
     custom = F.col("pos_mkt_cd") == CUSTOM
     mkt = pick(t["mkt_ref_vw"], "ld_revenue", pos_mkt_cd="mkt_cd")
     listed = pick(t["comm_mkt_ref"].where(F.col("comm_mth") == F.lit(w.comm_month)), pos_mkt_cd="mkt_cd")
@@ -97,8 +98,8 @@ def profiled(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
         t["subr_info_hist"], "bill_cycle", "subr_sw_on_date", "subr_stat_cd", "rate_plan_cd", "start_date", "end_date",
         sl_cust="cust_num", sl_subr="subr_num",
     )
-    out = join_asof(rows, first, "ld_inv_num", "ld_start_date").drop("start_date", "end_date")
-    out = join_asof(out, info, ["sl_cust", "sl_subr"], "sl_start").drop("start_date", "end_date")
+    out = join_asof(rows, first, "ld_inv_num", "ld_start_date", unit=None).drop("start_date", "end_date")
+    out = join_asof(out, info, ["sl_cust", "sl_subr"], "sl_start", years=w.years).drop("start_date", "end_date")
     out = out.withColumns(
         {
             "ld_expired_date": F.coalesce("sl_end", "ld_expired_date"),
@@ -134,9 +135,9 @@ def old_contracts(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
     held = ["old_ld_inv_num", "old_ld_cd", "old_ld_mkt_cd", "old_ld_start_date", "old_end", "old_cust", "old_subr"]
     last = keep_first(asked.join(old, LINE), "case_id", "ld_expired_date", held, desc=True)
     info = pick(t["subr_info_hist"], "start_date", "end_date", old_cust="cust_num", old_subr="subr_num", old_rate_plan_cd="rate_plan_cd")
-    out = join_asof(last, info, ["old_cust", "old_subr"], "old_end").drop("start_date", "end_date")
+    out = join_asof(last, info, ["old_cust", "old_subr"], "old_end", years=w.years).drop("start_date", "end_date")
     first = pick(t["subr_ld_hist"], "start_date", "end_date", old_ld_inv_num="inv_num", old_ld_expired_date="ld_expired_date")
-    out = join_asof(out, first, "old_ld_inv_num", "old_ld_start_date")
+    out = join_asof(out, first, "old_ld_inv_num", "old_ld_start_date", unit=None)
     return out.select(
         "case_id", *held[:4], F.coalesce("old_ld_expired_date", F.lit(NO_DATE)).alias("old_ld_expired_date"),
         F.coalesce("old_rate_plan_cd", F.lit(NO_TEXT)).alias("old_rate_plan_cd"),
@@ -298,9 +299,14 @@ def exceptions(t: Frames, w: CommissionWindow, done: DataFrame) -> DataFrame:
     return pick(rows, "inv_num", "inv_date", *LINE, "mkt_cd", "ld_cd", "salesman_cd", has_contract=~blank("ld_cd") & ~no_date("ld_expiry_date"))
 
 
+def prepared(t: Frames, w: CommissionWindow) -> DataFrame:
+    """The base rows, each step written as a stage because the next ones read it several times."""
+    found = settle(cases(t, w), "commission_cases")
+    held = settle(matched(t, w, found), "commission_matched")
+    return settle(base(t, w, settle(profiled(t, w, held), "commission_profile")), "commission_base")
+
+
 def run(t: Frames, w: CommissionWindow) -> dict[str, DataFrame]:
-    found = cases(t, w)
-    profile = profiled(t, w, matched(t, w, found))
-    rows = settle(base(t, w, profile), "commission_base")
+    rows = prepared(t, w)
     done = settle(result(t, w, rows), "commission_result")
-    return {"cases": found, "base": rows, "result": done, "exceptions": exceptions(t, w, done)}
+    return {"base": rows, "result": done, "exceptions": exceptions(t, w, done)}

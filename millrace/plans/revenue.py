@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import blank, contract_months, month_gap, month_start, no_code, no_date
-from millrace.operators import apply_rules, drop_in, keep_in, list_agg, split_rows, stack, waterfall, with_subtotals
+from millrace.operators import apply_rules, drop_in, join_asof, keep_in, list_agg, split_rows, stack, waterfall, with_subtotals
 from millrace.params import NO_TEXT, OPEN_DATE, Window
 from millrace.plans.base import LINE, Frames, not_returned, pick, within
 from millrace.plans.channel import PLAN_CHANGE, staff_names
@@ -120,17 +120,13 @@ def addon_fees(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     )
     asked = rows.select(*KEY, "inv_date", "mkt_cd", "new_ld_revenue", "create_by", "eff_date").distinct()
     mkt = pick(t["mkt_ref_vw"], "ld_revenue", "ld_bill_cd", fee_mkt="mkt_cd")
-    lines = asked.join(held, LINE).join(services, LINE, "left").withColumn("fee_mkt", F.coalesce("ld_mkt", "mkt_cd"))
-    lines = lines.where("bill_start_date is null or inv_date <= bill_start_date").join(mkt, "fee_mkt")
-    lines = lines.withColumns(
-        {
-            "vas_cd": F.when(~blank("bill_serv_cd"), F.col("bill_serv_cd")).otherwise(F.col("ld_bill_cd")),
-            "fee_start": F.coalesce("bill_start_date", "eff_date"),
-        }
-    )
+    lines = asked.join(services, LINE, "left").where("bill_start_date is null or inv_date <= bill_start_date")
+    lines = lines.withColumn("fee_start", F.coalesce("bill_start_date", "eff_date"))
+    lines = join_asof(lines, held, LINE, "fee_start", how="inner", years=w.years).withColumn("fee_mkt", F.coalesce("ld_mkt", "mkt_cd")).join(mkt, "fee_mkt")
+    lines = lines.withColumn("vas_cd", F.when(~blank("bill_serv_cd"), F.col("bill_serv_cd")).otherwise(F.col("ld_bill_cd")))
     rate = _tariffs(t, "vas_cd", "vas_rate")
     lines = drop_in(lines, pick(t["rate_plan_ref"], vas_cd="rate_plan_cd"), "vas_cd").where(~F.col("vas_cd").isin(ADMIN_FEES))
-    lines = lines.join(rate, "vas_cd").where("vas_rate <> 0 and fee_start between start_date and end_date")
+    lines = lines.join(rate, "vas_cd").where("vas_rate <> 0")
     lines = lines.where(month_start("fee_end") > month_start("inv_date"))
     lines = lines.join(pick(market_rebates(t), "vas_cd", fee_mkt="mkt_cd", fee_rebate="rebate_amt"), ["vas_cd", "fee_mkt"], "left")
     cols = [*KEY, "fee_inv", "fee_mkt", "fee_ld_cd", "vas_cd", "vas_rate", "fee_start", "fee_end", "create_by", "inv_date", "ld_revenue", "ld_bill_cd", "new_ld_revenue"]

@@ -134,7 +134,7 @@ SELECT p_partkey, string_agg(code, ',' ORDER BY pos) AS codes FROM s JOIN w USIN
 """)
 def split_regroup(t: Tables) -> DataFrame:
     """List text split to items, each looked up, and listed again. Distinct texts are worked once."""
-    words = t.spark.createDataFrame(WORD_CODES, "word string, code string")
+    words = constant_rows(t.spark, WORD_CODES, "word string, code string")
     texts = t.part.select(F.translate("p_name", " ", ",").alias("items")).distinct()
     coded = regroup(texts.withColumn("k", F.col("items")), ["k"], "items", words, "word", "code", name="codes")
     return t.part.select("p_partkey", F.translate("p_name", " ", ",").alias("k")).join(coded.where("codes is not null"), "k").drop("k")
@@ -279,8 +279,8 @@ def printable_report(t: Tables) -> DataFrame:
         F.struct(F.lit(2).alias("row_num"), F.lit("Hit").alias("label"), F.col("hit").cast("string").alias("val")),
     )
     body = rows.select("seg", F.explode(pairs).alias("c")).select("seg", "c.*")
-    head = constant_rows(body, {"row_num": [-1], "label": ["KPI"]}).withColumn("row_num", F.col("row_num").cast("int"))
-    foot = constant_rows(body, {"row_num": [99], "label": ["End"]}).withColumn("row_num", F.col("row_num").cast("int"))
+    head = constant_rows(t.spark, [(-1, "KPI")], "row_num int, label string")
+    foot = constant_rows(t.spark, [(99, "End")], "row_num int, label string")
     return printable(head, body, foot).select("part_ord", "row_num", "label", "seg", "val")
 
 
@@ -324,7 +324,7 @@ SELECT n_name, round(w.v, 2) AS revenue, round(w.v - coalesce(c.v, 0), 2) AS con
 """)
 def signed_contribution(t: Tables) -> DataFrame:
     """Revenue by channel rate less costs, from signed report lines."""
-    rates = t.spark.createDataFrame(RATES, "o_orderpriority string, rate double").withColumn("rate", F.col("rate").cast("decimal(4,2)"))
+    rates = constant_rows(t.spark, RATES, "o_orderpriority string, rate double").withColumn("rate", F.col("rate").cast("decimal(4,2)"))
     home = t.customer.join(t.nation, t.customer.c_nationkey == t.nation.n_nationkey).select(F.col("c_custkey").alias("o_custkey"), "n_name")
     sold = t.orders.groupBy("o_custkey", "o_orderpriority").agg(F.sum(money("o_totalprice")).alias("amt")).join(home, "o_custkey")
     income = weighted_total(sold, rates, "o_orderpriority", "amt", "rate", ["n_name"], "v")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import money, month_start
 from millrace.operators import (
-    allocate, drop_in, drop_like, fill_grid, grid, join_asof, join_eq, join_list_member, join_on_expr, join_overlap,
+    allocate, constant_rows, drop_in, drop_like, fill_grid, grid, join_asof, join_eq, join_list_member, join_on_expr, join_overlap,
     join_range, join_siblings, join_within, keep_first, keep_in, list_agg, match_fallback, offset_pairs, snapshot,
     waterfall, with_scalar,
 )
@@ -43,7 +43,7 @@ SELECT o_orderstatus, n_name, count(*) AS cnt FROM orders JOIN (VALUES ('O', 'op
 """)
 def salted_join(t: Tables) -> DataFrame:
     """A reference join on a key of which one value holds a third of the rows, spread by salt."""
-    names = t.spark.createDataFrame([("O", "open"), ("F", "done"), ("P", "part")], "o_orderstatus string, n_name string")
+    names = constant_rows(t.spark, [("O", "open"), ("F", "done"), ("P", "part")], "o_orderstatus string, n_name string")
     joined = join_eq(t.orders.select("o_orderkey", "o_orderstatus"), names, "o_orderstatus", salt=8)
     return joined.groupBy("o_orderstatus", "n_name").agg(F.count(F.lit(1)).alias("cnt"))
 
@@ -78,7 +78,7 @@ SELECT p_partkey, p_name FROM part WHERE NOT EXISTS (
   SELECT 1 FROM (VALUES ('red %'), ('% ring'), ('%old%'), ('h_t b%')) v(p) WHERE p_name LIKE p)
 """)
 def like_pattern_anti(t: Tables) -> DataFrame:
-    patterns = t.spark.createDataFrame([(p,) for p in PATTERNS], "pattern string")
+    patterns = constant_rows(t.spark, [(p,) for p in PATTERNS], "pattern string")
     return drop_like(t.part.select("p_partkey", "p_name"), "p_name", patterns)
 
 
@@ -153,7 +153,7 @@ FROM lineitem JOIN part ON l_partkey = p_partkey JOIN r ON p_brand BETWEEN lo AN
 """)
 def code_range_join(t: Tables) -> DataFrame:
     """Cost codes into text ranges. Lines are summed per code first."""
-    ranges = t.spark.createDataFrame(CODE_RANGES, "lo string, hi string, nature string")
+    ranges = constant_rows(t.spark, CODE_RANGES, "lo string, hi string, nature string")
     per_part = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("cnt"), F.sum(money("l_extendedprice")).alias("amt"))
     per_code = per_part.join(t.part.select("p_partkey", "p_brand"), "p_partkey").groupBy("p_brand").agg(F.sum("cnt").alias("cnt"), F.sum("amt").alias("amt"))
     hit = join_range(per_code, ranges, "p_brand", "lo", "hi")
@@ -169,7 +169,7 @@ SELECT p_partkey, band FROM part LEFT JOIN r ON p_retailprice BETWEEN lo AND hi
 """)
 def price_range_join(t: Tables) -> DataFrame:
     """Numbers into ranges, both cut into bins so that the join has an equality key."""
-    bands = t.spark.createDataFrame(PRICE_BANDS, "lo double, hi double, band string")
+    bands = constant_rows(t.spark, PRICE_BANDS, "lo double, hi double, band string")
     return join_range(t.part.select("p_partkey", "p_retailprice"), bands, "p_retailprice", "lo", "hi", width=10, how="left").select("p_partkey", "band")
 
 
