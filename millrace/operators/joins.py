@@ -6,7 +6,7 @@ Range joins get such a key from bins.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from functools import reduce
 
@@ -287,17 +287,22 @@ def join_siblings(
 
 # --- waterfall ----------------------------------------------------------------------------
 
-def waterfall(sources: Sequence[tuple[str, DataFrame]], keys: Sequence[str], tag: str = "source") -> DataFrame:
+def waterfall(
+    sources: Sequence[tuple[str, DataFrame]], keys: Sequence[str], tag: str = "source",
+    stage: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Rows of each source whose key no earlier source has taken.
 
-    One pass: the sources are stacked with their order, the lowest order per key is found by an
-    aggregate, and a row stays if it has that order.
+    The sources are stacked with their order, the lowest order per key is found by an aggregate,
+    and a row stays if it has that order. The stack is read twice; `stage` may write it out first,
+    which pays when the sources are costly.
     """
     keys = list(keys)
     parts = [
         df.withColumn(tag, F.lit(name)).withColumn("_prio", F.lit(i)) for i, (name, df) in enumerate(sources)
     ]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    rows = stage(rows) if stage else rows
     first = rows.groupBy(*keys).agg(F.min("_prio").alias("_prio"))
     cond = reduce(lambda a, b: a & b, [rows[k].eqNullSafe(first[k]) for k in keys + ["_prio"]])
     return rows.join(first, cond, "left_semi").drop("_prio")

@@ -16,6 +16,7 @@ from millrace.operators import (
 )
 from millrace.params import NO_DATE, NO_TEXT, OPEN_DATE, Window
 from millrace.plans.base import LINE, Frames, not_returned, pick, within
+from millrace.sources.storage import settle
 
 LIVE = ["OK", "PE"]
 ORDER = [*LINE, "store_cd", "rate_plan_cd", "order_num", "inv_date", "mkt_cd", "ref", "online_inv", "ld_revenue", "subr_stat_cd", "ld_cd", "add_vas", "eff_date"]
@@ -91,19 +92,20 @@ def _as_order(df: DataFrame, plan: Column, revenue: Column) -> DataFrame:
 
 def transactions(t: Frames, w: Window) -> DataFrame:
     """Each line's transactions from the first source that knows the line."""
-    inv = _invoiced(t, w)
+    inv = settle(_invoiced(t, w), "channel_invoices")
+    fresh = settle(new_lines(t, w), "channel_new_lines")
     planned = F.col("ld_revenue").isin("P", "V")
     main = inv.where(planned & F.col("order_num").startswith("I"))
-    first = keep_in(inv.where(planned & F.col("order_num").startswith("F")), new_lines(t, w), LINE)
+    first = keep_in(inv.where(planned & F.col("order_num").startswith("F")), fresh, LINE)
     prepaid = keep_in(inv.where(~planned), t["prepd_postpaid_subr"].where("line_cat = 'L'"), LINE)
 
     stopped = snapshot(t["subr_info_hist"], F.lit(w.txdate)).where(F.col("subr_stat_cd").isin("SU", "TX"))
     mkt = t["mkt_ref_vw"].where(planned).select("mkt_cd", "ld_revenue")
-    om = settled_orders(_changes(t, "om", w))
+    om = settle(settled_orders(_changes(t, "om", w)), "channel_orders")
     om_ld = _ordered(t, nth_row(om.where(~blank("ld_cd")), [*LINE, "case_id"], [_latest("ld_cd"), _latest("create_time")]), "Add ld - OM Order", w).join(mkt, "mkt_cd")
     fl = _ordered(t, _changes(t, "fl_om", w), "Add ld - FL Order", w).join(mkt, "mkt_cd")
     plan_only = _ordered(t, nth_row(om.where(~blank("new_plan_cd")), [*LINE, "case_id"], [_latest("create_time"), "new_plan_cd"]), PLAN_CHANGE, w, True)
-    plan_only = drop_in(plan_only.where("new_plan_cd <> own_plan and subr_stat_cd = 'OK'"), new_lines(t, w), LINE)
+    plan_only = drop_in(plan_only.where("new_plan_cd <> own_plan and subr_stat_cd = 'OK'"), fresh, LINE)
     found = waterfall(
         [
             ("INVOICE", main),
@@ -114,6 +116,7 @@ def transactions(t: Frames, w: Window) -> DataFrame:
             ("PLAN_CHANGE", drop_in(_as_order(plan_only, F.col("new_plan_cd"), F.lit(NO_TEXT)), stopped, LINE)),
         ],
         LINE,
+        stage=lambda df: settle(df, "channel_sources"),
     )
     return found.distinct()
 
@@ -150,8 +153,8 @@ def addon_lists(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     key = [*LINE, "store_cd", "order_num"]
     known = pick(t["entitle_ref"], item="bill_serv_cd").distinct()
     orders = stack(*[t[f"om_{s}"].select(*LINE, F.col("create_date").alias("inv_date"), "add_vas", "end_vas") for s in ("pending", "complete")])
-    asked = rows.select(*key, "inv_date", "rate_plan_cd").distinct()
-    matched = asked.join(orders.where(within("inv_date", w)), [*LINE, "inv_date"], "left")
+    asked = settle(rows.select(*key, "inv_date", "rate_plan_cd").distinct(), "addon_lines")
+    matched = settle(asked.join(orders.where(within("inv_date", w)), [*LINE, "inv_date"]).select(*key, "add_vas", "end_vas"), "addon_orders")
 
     def items(c: str) -> DataFrame:
         split = split_rows(matched.select(*key, c).distinct(), c).where("item is not null").select(*key, "item").distinct()
@@ -160,18 +163,17 @@ def addon_lists(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     live = stack(*[t[n].select(*LINE, "bill_end_date", F.col("bill_serv_cd").alias("item")) for n in ("bill_servs", "bill_servs_pend")])
     active = asked.join(keep_in(live, known, "item"), LINE).where("inv_date < bill_end_date").select(*key, "item").distinct()
     added, ended = items("add_vas"), items("end_vas")
-    out = asked
-    for name, part in (("add_vas_list", added), ("end_vas_list", ended), ("active_vas_list", active)):
-        out = out.join(list_agg(part, key, "item", distinct=True, name=name), key, "left")
-    counts = {"n_add": added, "n_end": ended, "n_act": active}
-    for name, part in counts.items():
-        out = out.join(part.groupBy(*key).agg(F.count(F.lit(1)).alias(name)), key, "left")
+    parts = {"add": added, "end": ended, "act": active}
+    kind = [part.withColumn("kind", F.lit(n)) for n, part in parts.items()]
+    listed = list_agg(stack(*kind), [*key, "kind"], "item", distinct=True, name="items")
+    wide = listed.groupBy(*key).pivot("kind", list(parts)).agg(F.first("items"))
+    out = asked.join(wide, key, "left")
+    count = {n: F.when(F.col(n).isNull(), 0).otherwise(F.size(F.split(F.col(n), ","))) for n in parts}
     high = pick(t["rate_plan_ref"].where("high_tier = 'Y'"), "rate_plan_cd", is_high=F.lit(True))
     out = out.join(high.distinct(), "rate_plan_cd", "left")
-    zero = {n: F.coalesce(n, F.lit(0)) for n in counts}
-    more = zero["n_add"] + zero["n_act"] > zero["n_end"]
+    more = count["add"] + count["act"] > count["end"]
     flag = F.when(more & F.coalesce("is_high", F.lit(False)), "Y").otherwise("N")
-    lists = [nvl_blank(n).alias(n) for n in ("add_vas_list", "end_vas_list", "active_vas_list")]
+    lists = [nvl_blank(n).alias(c) for n, c in (("add", "add_vas_list"), ("end", "end_vas_list"), ("act", "active_vas_list"))]
     return out.select(*key, *lists, flag.alias("bolt_on_flg"))
 
 
@@ -321,8 +323,6 @@ def replaces(orig_start: Column, orig_end: Column, new_start: Column, new_end: C
 
 
 def run(t: Frames, w: Window, groups: Mapping[str, str]) -> dict[str, DataFrame]:
-    from millrace.sources.storage import settle
-
     rows = settle(transactions(t, w), "channel_rows")
     full = detail(t, rows, w).join(addon_lists(t, rows, w), [*LINE, "store_cd", "order_num"], "left")
     done = typed(t, settle(full, "channel_detail"), groups)
