@@ -70,14 +70,18 @@ def day_bin(ts: str) -> Column:
 def _neighbour(df, by, order, cols, bin_, prefix, step) -> DataFrame:
     by, order = _list(by), list(order)
     rows = df.withColumn("_bin", day_bin(order[0]) if bin_ is None else bin_)
-    packed = F.struct(*cols)
     in_bin, along = W.partitionBy(*by, "_bin").orderBy(*order), W.partitionBy(*by).orderBy("_bin")
     pick, shift = (F.max_by, F.lag) if step < 0 else (F.min_by, F.lead)
-    edges = rows.groupBy(*by, "_bin").agg(pick(packed, F.struct(*order)).alias("_edge"))
-    carried = edges.select(*by, "_bin", shift("_edge").over(along).alias("_carry"))
-    out = rows.withColumn("_near", shift(packed).over(in_bin)).join(carried, by + ["_bin"], "left")
-    near = F.coalesce(F.col("_near"), F.col("_carry"))
-    return out.select(*df.columns, *[near[c].alias(prefix + c) for c in cols])
+    key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    edges = rows.groupBy(*by, "_bin").agg(*[pick(c, key).alias("_e_" + c) for c in cols])
+    carry = [shift("_e_" + c).over(along).alias("_c_" + c) for c in cols]
+    carried = edges.select(*by, "_bin", *carry)
+    # Within a bin the row number tells whether the near row is in the bin at all.
+    edge = F.row_number().over(W.partitionBy(*by, "_bin").orderBy(*[F.col(c).desc() if step > 0 else F.col(c) for c in order])) == 1
+    near = {"_n_" + c: shift(c).over(in_bin) for c in cols}
+    out = rows.withColumns({**near, "_edge": edge}).join(carried, by + ["_bin"], "left")
+    picked = [F.when(F.col("_edge"), F.col("_c_" + c)).otherwise(F.col("_n_" + c)).alias(prefix + c) for c in cols]
+    return out.select(*df.columns, *picked)
 
 
 def previous_row(

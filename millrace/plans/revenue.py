@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import blank, contract_months, month_gap, month_start, no_code, no_date
-from millrace.operators import apply_rules, drop_in, join_asof, keep_in, list_agg, split_rows, stack, waterfall, with_subtotals
+from millrace.operators import apply_rules, drop_in, join_asof, keep_in, split_rows, stack, waterfall, with_subtotals
 from millrace.params import NO_TEXT, OPEN_DATE, Window
 from millrace.plans.base import LINE, Frames, not_returned, pick, within
 from millrace.plans.channel import PLAN_CHANGE, staff_names
@@ -218,16 +218,22 @@ def product_sales(t: Frames, w: Window, classes: Sequence[ProductClass] = tuple(
     cats = t["pos_prod_ref"].select("pos_prod_cd", "item_cat")
     rows = t["pos_inv_detail"].select("inv_num", "pos_prod_cd", "warehouse", "net_amt", "trade_in_amt", "qty").join(cats, "pos_prod_cd", "left")
     which = F.array_compact(F.array(*[F.when(c.test(), F.lit(c.name)) for c in classes]))
-    sorted_ = rows.withColumn("cls", F.explode(which))
-    by = ["inv_num", "cls"]
     counted = F.when((F.col("cls") == "HANDSET") & (F.col("pos_prod_cd") == "CRPP"), 0).otherwise(F.col("qty"))
-    sums = sorted_.groupBy(*by).agg(
-        F.coalesce(F.sum("net_amt"), F.lit(0)).alias("pos_amt"), F.coalesce(F.sum("trade_in_amt"), F.lit(0)).alias("trade_in_amt"), F.sum(counted).alias("qty")
+    item = ["pos_prod_cd", "warehouse", "item_cat"]
+    by = ["inv_num", "cls"]
+    # Per invoice, class and product first; the lists then come from the same rows as the sums.
+    each = keep_in(rows.withColumn("cls", F.explode(which)), inv, "inv_num").groupBy(*by, *item).agg(
+        F.sum("net_amt").alias("net_amt"), F.sum("trade_in_amt").alias("trade_in_amt"), F.sum(counted).alias("qty"), F.count(F.lit(1)).alias("n")
+    )
+    sums = each.groupBy(*by).agg(
+        F.coalesce(F.sum("net_amt"), F.lit(0)).alias("pos_amt"), F.coalesce(F.sum("trade_in_amt"), F.lit(0)).alias("trade_in_amt"), F.sum("qty").alias("qty"),
+        F.array_sort(F.collect_list(F.struct(*item, "n"))).alias("items"),
     )
-    sold = keep_in(sorted_, inv, "inv_num")
-    out = inv.join(sums, "inv_num")
-    for c, name in (("pos_prod_cd", "products"), ("warehouse", "warehouses"), ("item_cat", "item_cats")):
-        out = out.join(list_agg(sold, by, c, ["pos_prod_cd", "warehouse"], ", ", name=name), by, "left")
+
+    def listed(c: str) -> Column:
+        return F.array_join(F.flatten(F.transform("items", lambda x: F.array_repeat(x[c], x["n"].cast("int")))), ", ")
+
+    out = inv.join(sums, "inv_num").withColumns({"products": listed("pos_prod_cd"), "warehouses": listed("warehouse"), "item_cats": listed("item_cat")})
     subsidy = t["hs_subsidy"].groupBy("inv_num").agg(F.sum("net_subsidy_amt").alias("subsidy"))
     out = out.join(coupon_discounts(t, w), "inv_num", "left").join(subsidy, "inv_num", "left")
     with_coupon = F.col("cls").isin([c.name for c in classes if c.coupons])

@@ -12,7 +12,7 @@ from millrace.operators import (
     with_header_rows, with_subtotals,
 )
 from millrace.operators.lists import number_rows
-from millrace.reports.common import orders, revenue, total
+from millrace.reports.common import cents, from_cents, from_revenue, orders, revenue, total
 from millrace.reports.registry import report
 from millrace.sources.tables import Tables
 from millrace.sources.writers import split_valid
@@ -32,7 +32,7 @@ def usage_by_category(t: Tables) -> DataFrame:
     owner = t.orders.select("o_orderkey", "o_custkey", month_start(F.to_date("o_orderdate")).alias("mth")).join(
         t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey"
     )
-    usage = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), money("l_quantity").alias("volume"))
+    usage = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_partkey").alias("p_partkey"), F.col("l_quantity").cast("bigint").alias("volume"))
     facts = usage.join(owner, "o_orderkey").select("c_mktsegment", "mth", "p_partkey", "volume")
     by = ["c_mktsegment", "mth", "p_type"]
     out = pre_aggregate_join(facts, t.part.select("p_partkey", "p_type"), ["p_partkey"], by, ["volume"])
@@ -49,7 +49,7 @@ def group_sums(t: Tables) -> DataFrame:
     return summarise(
         t.lineitem, ["l_returnflag", "l_linestatus"],
         {
-            "cnt": F.count(F.lit(1)), "qty": total("l_quantity"), "rev": F.sum(revenue()).cast("double"),
+            "cnt": F.count(F.lit(1)), "qty": total("l_quantity"), "rev": from_revenue(F.sum(revenue())),
             "lo": F.min("l_extendedprice"), "hi": F.max("l_extendedprice"),
         },
     )
@@ -62,9 +62,9 @@ SELECT o_custkey, mth, round(sum(amt) / 3, 2) AS avg3, round(sum(amt) / 3 / 1000
 """)
 def moving_average_units(t: Tables) -> DataFrame:
     """Average of a month and the two before it, absent months counting as zero."""
-    monthly = orders(t).groupBy("o_custkey", month_start("o_orderdate").alias("m0")).agg(F.sum(money("o_totalprice")).alias("amt"))
+    monthly = orders(t).groupBy("o_custkey", month_start("o_orderdate").alias("m0")).agg(F.sum(cents("o_totalprice")).alias("amt"))
     spread = monthly.withColumn("mth", F.explode(F.array(*[F.add_months("m0", n) for n in range(3)])))
-    avg3 = F.sum("amt").cast("double") / 3
+    avg3 = from_cents(F.sum("amt")) / 3
     return spread.groupBy("o_custkey", "mth").agg(F.round(avg3, 2).alias("avg3"), F.round(avg3 / 1000, 5).alias("avg3_thousand"))
 
 
@@ -84,10 +84,10 @@ def product_sales(t: Tables) -> DataFrame:
         .otherwise("OTHER")
     )
     rows = join_eq(kept, parts, "l_partkey").select(
-        "l_orderkey", cls.alias("cls"), "p_name", money("l_extendedprice").alias("amt"), F.col("l_quantity").cast("bigint").alias("q")
+        "l_orderkey", cls.alias("cls"), "p_name", cents("l_extendedprice").alias("amt"), F.col("l_quantity").cast("bigint").alias("q")
     )
     by = ["l_orderkey", "cls"]
-    sums = rows.groupBy(*by).agg(F.sum("amt").cast("double").alias("rev"), F.sum("q").alias("qty"))
+    sums = rows.groupBy(*by).agg(from_cents(F.sum("amt")).alias("rev"), F.sum("q").alias("qty"))
     return sums.join(list_agg(rows, by, "p_name", name="products"), by)
 
 
@@ -187,7 +187,7 @@ UNION ALL SELECT 'All', 'All Total', v / 100.0, CAST(c AS DOUBLE), 'Y' FROM a
 UNION ALL SELECT 'All', 'All Average', ((v * 20 + n) // (2 * n)) / 1000.0, ((c * 2000 + n) // (2 * n)) / 1000.0, 'Y' FROM a
 """)
 def subtotals_averages(t: Tables) -> DataFrame:
-    per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.sum(money("o_totalprice")).alias("amt"), F.count(F.lit(1)).alias("cnt"))
+    per_cust = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg((F.sum(cents("o_totalprice")).cast("decimal(20,0)") * F.lit(0.01).cast("decimal(3,2)")).alias("amt"), F.count(F.lit(1)).alias("cnt"))
     who = t.customer.join(t.nation, t.customer.c_nationkey == t.nation.n_nationkey).select("c_custkey", "n_name", "c_mktsegment")
     out = with_subtotals(per_cust.join(who, "c_custkey"), "n_name", "c_mktsegment", ["amt", "cnt"])
     return out.withColumns({m: F.col(m).cast("double") for m in ("amt", "cnt")})
@@ -205,7 +205,7 @@ def conditional_kpis(t: Tables) -> DataFrame:
     price = F.col("o_totalprice")
     out = join_eq(t.orders, seg, "o_custkey").groupBy("c_mktsegment").agg(
         F.count(F.lit(1)).alias("reach"), F.count_if(price > 250000).alias("hit"),
-        F.sum(F.when(F.col("o_orderstatus") == "F", money("o_totalprice")).otherwise(0)).cast("double").alias("done_amt"),
+        from_cents(F.sum(F.when(F.col("o_orderstatus") == "F", cents("o_totalprice")).otherwise(0))).alias("done_amt"),
         F.count_if(price < 0).alias("none"),
     )
     return out.select(

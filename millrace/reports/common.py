@@ -5,22 +5,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions import money
 from millrace.operators import build_history, keep_first
 from millrace.sources.tables import Tables
 
 
+# Calendar years of the driver's orders and shipments.
+YEARS = (1994, 2003)
+
+
 def day(c: str) -> Column:
     return F.to_date(F.col(c))
 
 
+def cents(c: Column | str) -> Column:
+    """Money held as double, as whole cents: sums of them are exact and stay in plain longs."""
+    return F.rint((F.col(c) if isinstance(c, str) else c) * 100).cast("bigint")
+
+
 def total(c: Column | str) -> Column:
     """Exact sum of money, given back as double."""
-    return F.sum(money(c)).cast("double")
+    return from_cents(F.sum(cents(c)))
+
+
+def from_cents(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("double") / 100
 
 
 def revenue() -> Column:
-    return money("l_extendedprice") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    """Price less discount, exact to four decimals."""
+    return (cents("l_extendedprice") * (100 - cents("l_discount"))).cast("decimal(18,0)")
+
+
+def from_revenue(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("double") / 10000
 
 
 def orders(t: Tables) -> DataFrame:
@@ -44,4 +61,4 @@ hist AS (
   FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, max(o_orderpriority) AS plan FROM orders GROUP BY 1, 2))
 """
 
-__all__ = ["HISTORY_SQL", "day", "keep_first", "lines", "orders", "priority_history", "revenue", "total"]
+__all__ = ["HISTORY_SQL", "YEARS", "cents", "day", "from_cents", "from_revenue", "keep_first", "lines", "orders", "priority_history", "revenue", "total"]

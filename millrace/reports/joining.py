@@ -12,7 +12,7 @@ from millrace.operators import (
     waterfall, with_scalar,
 )
 from millrace.params import OPEN_DATE
-from millrace.reports.common import HISTORY_SQL, day, lines, orders, priority_history, revenue, total
+from millrace.reports.common import HISTORY_SQL, YEARS, cents, day, from_cents, from_revenue, lines, orders, priority_history, revenue, total
 from millrace.reports.registry import report
 from millrace.sources.tables import Tables
 
@@ -101,8 +101,8 @@ def asof_history(t: Tables) -> DataFrame:
     hist = priority_history(t)
     o = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     sent = lines(t).select("l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").alias("ship_date")).join(o, "l_orderkey")
-    at = join_asof(sent, hist.withColumnRenamed("plan", "plan_at"), "o_custkey", "ship_date").drop("start_date", "end_date")
-    both = join_asof(at, hist.withColumnRenamed("plan", "plan_before"), "o_custkey", "ship_date", offset_days=-1)
+    at = join_asof(sent, hist.withColumnRenamed("plan", "plan_at"), "o_custkey", "ship_date", years=YEARS).drop("start_date", "end_date")
+    both = join_asof(at, hist.withColumnRenamed("plan", "plan_before"), "o_custkey", "ship_date", offset_days=-1, years=YEARS)
     return both.select("l_orderkey", "l_linenumber", "l_partkey", "ship_date", "plan_at", "plan_before")
 
 
@@ -154,10 +154,10 @@ FROM lineitem JOIN part ON l_partkey = p_partkey JOIN r ON p_brand BETWEEN lo AN
 def code_range_join(t: Tables) -> DataFrame:
     """Cost codes into text ranges. Lines are summed per code first."""
     ranges = constant_rows(t.spark, CODE_RANGES, "lo string, hi string, nature string")
-    per_part = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("cnt"), F.sum(money("l_extendedprice")).alias("amt"))
+    per_part = t.lineitem.groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("cnt"), F.sum(cents("l_extendedprice")).alias("amt"))
     per_code = per_part.join(t.part.select("p_partkey", "p_brand"), "p_partkey").groupBy("p_brand").agg(F.sum("cnt").alias("cnt"), F.sum("amt").alias("amt"))
     hit = join_range(per_code, ranges, "p_brand", "lo", "hi")
-    return hit.groupBy("nature").agg(F.sum("cnt").alias("cnt"), F.sum("amt").cast("double").alias("amt"))
+    return hit.groupBy("nature").agg(F.sum("cnt").alias("cnt"), from_cents(F.sum("amt")).alias("amt"))
 
 
 PRICE_BANDS = [(900.0, 924.99, "A"), (925.0, 949.99, "B"), (950.0, 974.99, "C"), (960.0, 999.99, "D")]
@@ -186,11 +186,11 @@ def tolerance_join(t: Tables) -> DataFrame:
     e = t.events.withColumn("d", day("ts"))
     bought = e.where("event_type = 'purchase'").select("event_id", "user_id", "d", key.alias("id"))
     seen = e.where("event_type in ('click', 'view')").select(
-        "user_id", F.col("d").alias("d2"), F.when(F.col("value") < 20, F.lit(" ")).otherwise(key).alias("rid"), money("value").alias("v")
+        "user_id", F.col("d").alias("d2"), F.when(F.col("value") < 20, F.lit(" ")).otherwise(key).alias("rid"), cents("value").alias("v")
     )
     aggs = {"hits": ("count", "v"), "amt": ("sum", "v"), "top": ("max", "v")}
     near = join_within(bought, seen, "user_id", "d", "d2", 1, aggs, residual=("id", "rid"))
-    return near.select("event_id", "hits", F.col("amt").cast("double").alias("amt"), F.col("top").cast("double").alias("top"))
+    return near.select("event_id", "hits", from_cents("amt").alias("amt"), from_cents("top").alias("top"))
 
 
 @report("computed_key_join", """
@@ -210,9 +210,9 @@ SELECT n_regionkey, members, cnt, bal FROM n JOIN c USING (n_regionkey)
 """)
 def list_membership_join(t: Tables) -> DataFrame:
     lists = list_agg(t.nation, "n_regionkey", "n_nationkey", name="members")
-    per_nation = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("cnt"), F.sum(money("c_acctbal")).alias("bal"))
+    per_nation = t.customer.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("cnt"), F.sum(cents("c_acctbal")).alias("bal"))
     found = join_list_member(lists, "members", per_nation, "c_nationkey")
-    return found.groupBy("n_regionkey", "members").agg(F.sum("cnt").alias("cnt"), F.sum("bal").cast("double").alias("bal"))
+    return found.groupBy("n_regionkey", "members").agg(F.sum("cnt").alias("cnt"), from_cents(F.sum("bal")).alias("bal"))
 
 
 @report("self_join_same_day", """
@@ -238,7 +238,7 @@ WITH f AS (SELECT CAST(sum(CAST(l_discount AS DECIMAL(4,2))) AS DOUBLE) / count(
 SELECT l_returnflag, round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) * (SELECT avg_disc FROM f), 2) AS expected_discount FROM lineitem GROUP BY 1
 """)
 def scalar_factor(t: Tables) -> DataFrame:
-    factor = t.lineitem.agg((F.sum(F.col("l_discount").cast("decimal(4,2)")).cast("double") / F.count(F.lit(1))).alias("avg_disc"))
+    factor = t.lineitem.agg((from_cents(F.sum(cents("l_discount"))) / F.count(F.lit(1))).alias("avg_disc"))
     sums = t.lineitem.groupBy("l_returnflag").agg(total("l_extendedprice").alias("amt"))
     return with_scalar(sums, factor).select("l_returnflag", F.round(F.col("amt") * F.col("avg_disc"), 2).alias("expected_discount"))
 
@@ -264,7 +264,7 @@ m AS (SELECT l_orderkey, min(p) AS p FROM s GROUP BY 1)
 SELECT l_orderkey, source, count(*) AS cnt, CAST(sum(amt) AS DOUBLE) AS amt FROM s JOIN m USING (l_orderkey, p) GROUP BY 1, 2
 """)
 def waterfall_sources(t: Tables) -> DataFrame:
-    rows = t.lineitem.select("l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", money("l_extendedprice").alias("amt"))
+    rows = t.lineitem.select("l_orderkey", "l_quantity", "l_returnflag", "l_linestatus", cents("l_extendedprice").alias("amt"))
     taken = waterfall(
         [
             ("RETURN", rows.where("l_returnflag = 'R' and l_linestatus = 'O'")),
@@ -273,7 +273,7 @@ def waterfall_sources(t: Tables) -> DataFrame:
         ],
         ["l_orderkey"],
     )
-    return taken.groupBy("l_orderkey", "source").agg(F.count(F.lit(1)).alias("cnt"), F.sum("amt").cast("double").alias("amt"))
+    return taken.groupBy("l_orderkey", "source").agg(F.count(F.lit(1)).alias("cnt"), from_cents(F.sum("amt")).alias("amt"))
 
 
 @report("match_fallback", """
@@ -332,4 +332,4 @@ def revenue_by_region(t: Tables) -> DataFrame:
     """Facts summed per supplier before three reference joins."""
     per_supp = t.lineitem.groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.sum(revenue()).alias("rev"))
     places = t.supplier.join(t.nation, t.supplier.s_nationkey == t.nation.n_nationkey).join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return per_supp.join(places.select("s_suppkey", "r_name"), "s_suppkey").groupBy("r_name").agg(F.sum("rev").cast("double").alias("rev"))
+    return per_supp.join(places.select("s_suppkey", "r_name"), "s_suppkey").groupBy("r_name").agg(from_revenue(F.sum("rev")).alias("rev"))
