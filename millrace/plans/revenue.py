@@ -120,7 +120,9 @@ def addon_fees(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     )
     asked = rows.select(*KEY, "inv_date", "mkt_cd", "new_ld_revenue", "create_by", "eff_date").distinct()
     mkt = pick(t["mkt_ref_vw"], "ld_revenue", "ld_bill_cd", fee_mkt="mkt_cd")
-    lines = asked.join(services, LINE, "left").where("bill_start_date is null or inv_date <= bill_start_date")
+    later = pick(services, "bill_serv_cd", "bill_start_date", of_cust="cust_num", of_subr="subr_num")
+    cond = (F.col("cust_num") == F.col("of_cust")) & (F.col("subr_num") == F.col("of_subr")) & (F.col("inv_date") <= F.col("bill_start_date"))
+    lines = asked.join(later, cond, "left").drop("of_cust", "of_subr")
     lines = lines.withColumn("fee_start", F.coalesce("bill_start_date", "eff_date"))
     lines = join_asof(lines, held, LINE, "fee_start", how="inner", years=w.years).withColumn("fee_mkt", F.coalesce("ld_mkt", "mkt_cd")).join(mkt, "fee_mkt")
     lines = lines.withColumn("vas_cd", F.when(~blank("bill_serv_cd"), F.col("bill_serv_cd")).otherwise(F.col("ld_bill_cd")))

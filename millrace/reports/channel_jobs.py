@@ -143,7 +143,36 @@ class _CallTables:
         return self.w[name]
 
 
-@report("channel_attribution")
+_ATTRIBUTION_SQL = """
+typ AS (SELECT d.*, CASE WHEN d.ref = 'Chg plan only' THEN 'UPGRADE' WHEN trim(d.orig_ld_cd) IN ('', 'NA') OR d.orig_ld_exp_date IN (DATE '1900-01-01', DATE '2999-12-31') THEN 'RETENTION'
+    WHEN date_diff('month', date_trunc('month', d.inv_date), date_trunc('month', d.orig_ld_exp_date)) > 3 THEN 'UPGRADE' ELSE 'RETENTION' END AS trx_type,
+    coalesce(CASE WHEN u.salesman_flg = 'Y' THEN d.salesman_cd ELSE d.usr_id END, ' ') AS create_by FROM det d LEFT JOIN w_fes_usr_info u ON d.salesman_cd = u.usr_name),
+cl AS (SELECT 'C' || o_custkey AS cust_num, 'S' || o_custkey AS subr_num, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN 'SM3' WHEN '2' THEN 'ADMIN' WHEN '3' THEN 'CA9' ELSE 'SM4' END AS comm_by,
+    row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, CASE WHEN o_orderpriority LIKE '2%' THEN 0 ELSE 1 END DESC, o_orderkey) AS rn FROM orders WHERE o_orderstatus = 'F'),
+call AS (SELECT * FROM cl WHERE rn = 1 AND (cust_num, subr_num) NOT IN (SELECT (cust_num, subr_num) FROM newl)),
+red AS (SELECT 'C' || o_custkey AS cust_num, max(CAST(o_orderdate + INTERVAL 12 MONTH AS DATE)) AS rd FROM orders WHERE o_orderstatus = 'P' GROUP BY 1),
+tt AS (SELECT h.*, m.ld_revenue, row_number() OVER (PARTITION BY cust_num, subr_num ORDER BY ld_start_date DESC, ld_expired_date DESC, inv_num) AS rn FROM w_subr_ld_hist h JOIN w_mkt_ref_vw m ON h.mkt_cd = m.mkt_cd WHERE m.ld_revenue IN ('P', 'V')),
+a1 AS (SELECT t.*, call.comm_by, coalesce(t.inv_date > rd, false) AS late, t.store_cd IN ('ST1', 'ST3', 'ST5', 'ST7') AS own,
+    coalesce(o2.ld_start_date, DATE '1900-01-01') AS os0, CASE WHEN order_num LIKE 'ORDER%' AND t.ref <> 'Chg plan only' AND n1.ld_start_date IS NULL THEN t.eff_date ELSE coalesce(n1.ld_start_date, DATE '1900-01-01') END AS ns0
+  FROM typ t LEFT JOIN call USING (cust_num, subr_num) LEFT JOIN red ON t.cust_num = red.cust_num
+  LEFT JOIN tt o2 ON o2.rn = 2 AND o2.cust_num = t.cust_num AND o2.ld_revenue = t.orig_ld_revenue LEFT JOIN tt n1 ON n1.rn = 1 AND n1.cust_num = t.cust_num AND n1.ld_revenue = t.new_ld_revenue),
+a2 AS (SELECT *, CASE WHEN comm_by IS NULL OR comm_by = 'ADMIN' OR late THEN create_by ELSE comm_by END AS who FROM a1),
+a3 AS (SELECT *, CASE WHEN who = 'SM3' THEN 'Cold call' WHEN who LIKE 'CA%' THEN 'BM' WHEN online_inv IN ('Y', 'B') THEN 'Online' WHEN who LIKE 'FA%' THEN 'Street fighter' WHEN own THEN 'RBD' ELSE 'Others' END AS ch,
+    CASE WHEN ns0 = DATE '1900-01-01' AND new_ld_exp_date NOT IN (DATE '1900-01-01', DATE '2999-12-31') AND trim(new_ld_cd) NOT IN ('', 'NA') THEN CASE WHEN new_ld_exp_date = last_day(new_ld_exp_date) THEN last_day(CAST(new_ld_exp_date - CAST(substr(new_ld_cd, 4, 2) AS INTEGER) * INTERVAL 1 MONTH AS DATE)) ELSE CAST(new_ld_exp_date - CAST(substr(new_ld_cd, 4, 2) AS INTEGER) * INTERVAL 1 MONTH AS DATE) END + 1 ELSE ns0 END AS ns,
+    CASE WHEN os0 = DATE '1900-01-01' AND orig_ld_exp_date NOT IN (DATE '1900-01-01', DATE '2999-12-31') AND trim(orig_ld_cd) NOT IN ('', 'NA') THEN CASE WHEN orig_ld_exp_date = last_day(orig_ld_exp_date) THEN last_day(CAST(orig_ld_exp_date - CAST(substr(orig_ld_cd, 4, 2) AS INTEGER) * INTERVAL 1 MONTH AS DATE)) ELSE CAST(orig_ld_exp_date - CAST(substr(orig_ld_cd, 4, 2) AS INTEGER) * INTERVAL 1 MONTH AS DATE) END + 1 ELSE os0 END AS os FROM a2),
+a4 AS (SELECT *, CASE WHEN new_ld_exp_date IN (DATE '1900-01-01', DATE '2999-12-31') AND ns NOT IN (DATE '1900-01-01', DATE '2999-12-31') AND trim(new_ld_cd) NOT IN ('', 'NA') THEN CASE WHEN ns = last_day(ns) THEN last_day(CAST(ns + CAST(substr(new_ld_cd, 4, 2) AS INTEGER) * INTERVAL 1 MONTH AS DATE)) ELSE CAST(ns + CAST(substr(new_ld_cd, 4, 2) AS INTEGER) * INTERVAL 1 MONTH AS DATE) END - 1 ELSE new_ld_exp_date END AS ne,
+    CASE WHEN orig_ld_exp_date IN (DATE '1900-01-01', DATE '2999-12-31') AND os NOT IN (DATE '1900-01-01', DATE '2999-12-31') AND trim(orig_ld_cd) NOT IN ('', 'NA') THEN CASE WHEN os = last_day(os) THEN last_day(CAST(os + CAST(substr(orig_ld_cd, 4, 2) AS INTEGER) * INTERVAL 1 MONTH AS DATE)) ELSE CAST(os + CAST(substr(orig_ld_cd, 4, 2) AS INTEGER) * INTERVAL 1 MONTH AS DATE) END - 1 ELSE orig_ld_exp_date END AS oe,
+    (cust_num, subr_num) IN (SELECT (cust_num, subr_num) FROM newl) AS act,
+    ch = 'Online' AND (cust_num, rate_plan_cd, inv_date) IN (SELECT ('C' || o_custkey, 'RP' || substr(o_orderpriority, 1, 1), CAST(o_orderdate AS DATE)) FROM orders WHERE o_totalprice > 400000 AND date_trunc('month', o_orderdate) = DATE '1996-01-01') AS por FROM a3)
+SELECT cust_num, order_num, CASE WHEN por THEN 'ST3' ELSE store_cd END AS store_cd, CASE WHEN act THEN 'NEW ACTIVATION' ELSE trx_type END AS trx_type, CASE WHEN act THEN 'NEW ACTIVATION' ELSE ref END AS ref,
+  CASE WHEN por THEN 'SM5' ELSE create_by END AS create_by, CASE WHEN por THEN 'RBD' ELSE ch END AS channel_effort, os AS orig_ld_start_date, oe AS orig_ld_exp_date, ns AS new_ld_start_date, ne AS new_ld_exp_date,
+  CASE WHEN act THEN 'Y' ELSE 'N' END AS new_activation_flg,
+  CASE WHEN ns IN (DATE '1900-01-01', DATE '2999-12-31') OR oe IN (DATE '1900-01-01', DATE '2999-12-31') THEN 'N' WHEN date_trunc('month', ns) = date_trunc('month', os) AND date_trunc('month', ne) = date_trunc('month', oe) THEN 'N' WHEN date_trunc('month', ns) <= date_trunc('month', oe) THEN 'Y' ELSE 'N' END AS replace_old_ld
+FROM a4
+"""
+
+
+@report("channel_attribution", with_tables(*_DETAIL_TABLES) + "," + _TRX_SQL + "," + _DETAIL_SQL + "," + _ATTRIBUTION_SQL)
 def channel_attribution(t: Tables) -> DataFrame:
     """Channel, repaired contract dates and activation flag of each transaction."""
     out = channel.attributed(_CallTables(t), settle(_typed(t), "channel_typed"), SPAN)
@@ -199,7 +228,20 @@ def service_revenue(t: Tables) -> DataFrame:
     return out.select("order_num", F.col("months_left").cast("bigint").alias("months_left"), *[F.col(c).cast("double").alias(c) for c in sums])
 
 
-@report("addon_fees")
+@report("addon_fees", with_tables("pos_inv_header", "subr_ld_hist", "bill_servs", "mkt_ref_vw") + """,
+ask AS (SELECT 'C' || o_custkey AS cust_num, 'S' || o_custkey AS subr_num, CASE WHEN o_orderkey % 5 = 0 THEN 'F' ELSE 'I' END || o_orderkey AS order_num, 'ST' || (o_custkey % 9) AS store_cd, CAST(o_orderdate AS DATE) AS d,
+  CASE WHEN o_orderpriority LIKE '5%' THEN 'V' ELSE 'P' END AS nlr, CAST(o_orderdate AS DATE) + 5 AS eff FROM orders),
+sv AS (SELECT DISTINCT cust_num, subr_num, bill_serv_cd, bill_start_date FROM w_bill_servs WHERE bill_start_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'),
+l1 AS (SELECT a.*, s.bill_serv_cd, coalesce(s.bill_start_date, eff) AS fs FROM ask a LEFT JOIN sv s ON a.cust_num = s.cust_num AND a.subr_num = s.subr_num AND a.d <= s.bill_start_date),
+l2 AS (SELECT DISTINCT l.cust_num, l.subr_num, l.order_num, l.store_cd, l.d, l.nlr, l.fs, h.inv_num, h.mkt_cd, h.ld_cd, h.ld_expired_date AS fe, m.ld_revenue, m.ld_bill_cd, coalesce(l.bill_serv_cd, m.ld_bill_cd) AS vas
+  FROM l1 l JOIN w_subr_ld_hist h ON l.cust_num = h.cust_num AND l.subr_num = h.subr_num AND l.fs BETWEEN h.start_date AND h.end_date JOIN w_mkt_ref_vw m ON h.mkt_cd = m.mkt_cd),
+l3 AS (SELECT *, CASE vas WHEN 'V1' THEN 30 ELSE 12 END AS rate, abs(date_diff('month', date_trunc('month', fs), date_trunc('month', fe + 1))) AS per, CASE WHEN mkt_cd = 'M2' AND vas = 'V1' THEN 12 ELSE 0 END AS reb
+  FROM l2 WHERE vas IN ('V1', 'V2') AND date_trunc('month', fe) > date_trunc('month', d)),
+s AS (SELECT 1 AS pr, 'ADDON' AS fee_source, * FROM l3 WHERE nlr = 'V' AND ld_revenue <> 'P' AND (ld_bill_cd = vas OR (ld_bill_cd = ' ' AND ld_revenue = 'V'))
+  UNION ALL SELECT 2, 'PLAN', * FROM l3 WHERE nlr = 'P' AND ld_revenue = 'P'
+  UNION ALL SELECT 3, 'OTHER', * FROM l3 WHERE ld_revenue <> 'P' AND (ld_bill_cd = vas OR (ld_bill_cd = ' ' AND ld_revenue = 'V')))
+SELECT fee_source, vas AS vas_cd, store_cd, count(*) AS cnt, CAST(sum(rate * per - reb) AS DOUBLE) AS vas_fee FROM s JOIN (SELECT cust_num, subr_num, min(pr) AS pr FROM s GROUP BY 1, 2) USING (cust_num, subr_num, pr) GROUP BY 1, 2, 3
+""")
 def addon_fees(t: Tables) -> DataFrame:
     """Add-on fee lines per renewal by source, and their sum per transaction."""
     w = Warehouse(t)
