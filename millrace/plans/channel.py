@@ -251,16 +251,12 @@ def channel(user: Column, team: Column, online: Column, store_is_own: Column, te
 
 def attributed(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     """Channel and contract dates of each transaction, with missing dates derived from the other end."""
-    by_case = [*LINE, "order_num"]
     admin = F.upper("comm_by").like("%ADMIN%") | blank("comm_by")
     calls = t["pr_status"].where(F.col("program_id").rlike("^(PRR|HP|FB|PR00)") & F.lit(w.end).between(F.col("start_date"), F.col("end_date")))
     calls = pick(calls, *LINE, "program_id", "comm_by", "pr_status", "lst_mod_date", "create_date", prog_start="start_date", prog_end="end_date")
-    asked = drop_in(rows.select(*by_case, "store_cd"), new_lines(t, w), LINE)
-    each = nth_row(
-        asked.join(calls, LINE).withColumn("_p", F.when(admin, 0).otherwise(1)), [*by_case, "store_cd"],
-        [_latest("lst_mod_date"), _latest("_p"), "program_id"],
-    )
-    call = nth_row(each, LINE, [_latest("create_date"), _latest("lst_mod_date"), _latest("prog_end"), "program_id"])
+    fresh = settle(pick(new_lines(t, w), *LINE, is_new=F.lit("Y")).distinct(), "channel_new_lines")
+    # All transactions of a line see the same calls, so the call is chosen per line.
+    call = nth_row(drop_in(calls, fresh, LINE).withColumn("_p", F.when(admin, 0).otherwise(1)), LINE, [_latest("lst_mod_date"), _latest("_p"), "program_id"])
     call = call.select(*LINE, "program_id", "comm_by", "pr_status", "lst_mod_date", "prog_start", "prog_end")
     redeem = t["redemption"].groupBy(*LINE).agg(F.max("redem_end_date").alias("redem_end_date"))
     names = staff_names(t)
@@ -275,7 +271,7 @@ def attributed(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     effort = F.when(by_creator, channel(F.col("create_by"), F.col("create_team"), online, mine, F.lit(True))).otherwise(
         channel(F.col("comm_by"), F.col("comm_team"), online, mine, F.coalesce(agreed, F.lit(False)))
     )
-    out = out.withColumn("channel_effort", effort).drop("own_store")
+    out = settle(out.withColumn("channel_effort", effort).drop("own_store"), "channel_effort")
 
     terms = t["subr_ld_hist"].where((F.col("end_date") == F.lit(OPEN_DATE)) & (F.col("void_flg") != "Y") & (F.col("waived_flg") != "Y"))
     terms = terms.join(t["mkt_ref_vw"].where("ld_revenue in ('P', 'V')").select("mkt_cd", "ld_revenue"), "mkt_cd")
@@ -297,7 +293,6 @@ def attributed(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
         out = out.withColumn(f"{side}_ld_start_date", repair_start(f"{side}_ld_start_date", f"{side}_ld_exp_date", f"{side}_ld_cd"))
     for side in ("new", "orig"):
         out = out.withColumn(f"{side}_ld_exp_date", repair_end(f"{side}_ld_start_date", f"{side}_ld_exp_date", f"{side}_ld_cd"))
-    fresh = pick(new_lines(t, w), *LINE, is_new=F.lit("Y")).distinct()
     out = out.withColumn("new_activation_flg", F.lit("N"))
     out = apply_match(out, fresh, LINE, {"new_activation_flg": "m_is_new"})
     out = apply_rules(out, [("new_activation_flg = 'Y'", {"trx_type": F.lit("NEW ACTIVATION"), "ref": F.lit("NEW ACTIVATION")})])
