@@ -82,12 +82,13 @@ def keep_first(
 
 def list_agg(
     df: DataFrame, by: str | Sequence[str], value: str, order: Sequence[str] | None = None, sep: str = ",",
-    distinct: bool = False, name: str | None = None,
+    distinct: bool = False, name: str | None = None, repeats: bool = True,
 ) -> DataFrame:
     """Values joined to one text per group, in order; nulls are skipped.
 
     Equal values at the same place in the order are counted before the shuffle and repeated in
-    the text, so a group full of repeats moves as a few rows.
+    the text, so a group full of repeats moves as a few rows. Set `repeats` to False where the
+    order is close to unique: the count is then left out, and with it one shuffle.
     """
     by = _list(by)
     order = [value] if distinct or not order else list(order)
@@ -95,7 +96,9 @@ def list_agg(
     text = F.col(value).cast("string")
     keyed = df.where(F.col(value).isNotNull()).select(*by, *[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], text.alias("_v"))
     marks = [f"_o{i}" for i in range(len(order))]
-    counted = keyed.groupBy(*by, *marks, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counted = keyed.withColumn("_n", F.lit(1))
+    if repeats or distinct:
+        counted = keyed.groupBy(*by, *marks, "_v").agg(F.count(F.lit(1)).alias("_n"))
     entry = F.struct(*marks, "_v", "_n")
     repeat = (lambda x: F.array(x["_v"])) if distinct else (lambda x: F.array_repeat(x["_v"], x["_n"].cast("int")))
     joined = F.array_join(F.flatten(F.transform(F.array_sort(F.collect_list(entry)), repeat)), sep)

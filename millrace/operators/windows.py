@@ -14,6 +14,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.params import OPEN_DATE
 
@@ -63,13 +64,19 @@ def label_order(df: DataFrame, parent: Sequence[str], child: str, name: str = "o
 
 # --- row to row ---------------------------------------------------------------------------
 
-def day_bin(ts: str) -> Column:
-    return F.to_date(F.col(ts))
+BIN_SECONDS = 600
+
+
+def time_bin(df: DataFrame, ts: str) -> Column:
+    """Default bin of a time column: the date itself, or ten minutes of a timestamp."""
+    if isinstance(df.schema[ts].dataType, T.DateType):
+        return F.col(ts)
+    return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / BIN_SECONDS)
 
 
 def _neighbour(df, by, order, cols, bin_, prefix, step) -> DataFrame:
     by, order = _list(by), list(order)
-    rows = df.withColumn("_bin", day_bin(order[0]) if bin_ is None else bin_)
+    rows = df.withColumn("_bin", time_bin(df, order[0]) if bin_ is None else bin_)
     in_bin, along = W.partitionBy(*by, "_bin").orderBy(*order), W.partitionBy(*by).orderBy("_bin")
     pick, shift = (F.max_by, F.lag) if step < 0 else (F.min_by, F.lead)
     key = F.col(order[0]) if len(order) == 1 else F.struct(*order)
@@ -89,7 +96,8 @@ def previous_row(
 ) -> DataFrame:
     """The values of `cols` in the row before, per key, in ascending `order`.
 
-    `bin_` must not decrease along the first order column (by default its day). Windows run per
+    `bin_` must not decrease along the first order column; by default it is the date, or ten
+    minutes of a timestamp, so that even a key with a third of all rows is many groups. Windows run per
     key and bin; the last row of each bin is carried over to the next bin in use. Keys and order
     columns must not be null, and `order` must be unique within a key.
     """
@@ -127,7 +135,7 @@ def runs(df: DataFrame, by: str | Sequence[str], ts: str, state: str, bin_: Colu
     """
     by = _list(by)
     seen = df.select(*by, F.col(ts).alias("_ts"), F.col(state).alias("_state")).where("_state is not null").distinct()
-    seen = seen.withColumn("_bin", F.to_date("_ts") if bin_ is None else bin_)
+    seen = seen.withColumn("_bin", time_bin(seen, "_ts") if bin_ is None else bin_)
     inner = W.partitionBy(*by, "_bin").orderBy("_ts", "_state")
     before = F.lag("_state").over(inner)
     marked = seen.withColumn("_new", F.when(before.isNull() | (before != F.col("_state")), 1).otherwise(0))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import blank, decode, first_match, month_start, pct_text, ratio
 from millrace.operators import constant_rows, grid, keep_first, keep_in, label_order, list_agg, pivot_report, split_rows, stack
+from millrace.operators.sizing import small_values
 from millrace.params import NO_TEXT, OPEN_DATE
 from millrace.plans.base import LINE, Frames, pick
 from millrace.sources.storage import settle
@@ -231,13 +232,19 @@ def kpi_cells(base: DataFrame, by: str = "shk_tier") -> DataFrame:
     return base.select(F.col(by).alias("col_key"), F.explode(F.array(*cells)).alias("c")).select("col_key", "c.*")
 
 
+def _tiers(h: DataFrame, by: str, whole: str) -> list[str] | None:
+    """Columns of a matrix: the total, then the tiers in order; None leaves them to the pivot."""
+    found = small_values(h, [by], 199)
+    return None if found is None else [whole, *[v for (v,) in found]]
+
+
 def kpi_matrix(h: DataFrame, by: str = "shk_tier") -> DataFrame:
     """35 lines by tier with Total; Total comes from the detail, not from the tier cells."""
     tiers = kpi_base(h, by)
     sums = [c for c in tiers.columns if c != by]
     whole = tiers.agg(*[F.sum(c).cast(tiers.schema[c].dataType).alias(c) for c in sums]).withColumn(by, F.lit("Total"))
     cells = kpi_cells(stack(whole.select(*tiers.columns), tiers), by)
-    return pivot_report(cells, ["row_num", "label"], "col_key", "disp_val")
+    return pivot_report(cells, ["row_num", "label"], "col_key", "disp_val", _tiers(h, by, "Total"))
 
 
 # --- plan mix -----------------------------------------------------------------------------
@@ -265,7 +272,7 @@ def plan_mix_cells(h: DataFrame) -> DataFrame:
 
 def plan_mix_matrix(h: DataFrame) -> DataFrame:
     cells = plan_mix_cells(h)
-    return pivot_report(cells, ["batch_id", "rnk_nature", "rnk_sub_nature", "display_nature"], "shk_tier", "ptg")
+    return pivot_report(cells, ["batch_id", "rnk_nature", "rnk_sub_nature", "display_nature"], "shk_tier", "ptg", _tiers(h, "shk_tier", "TOTAL"))
 
 
 def run(t: Frames, day: Column) -> dict[str, DataFrame]:

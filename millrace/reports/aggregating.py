@@ -123,7 +123,7 @@ def keep_first_last(t: Tables) -> DataFrame:
 SELECT o_custkey, string_agg(o_orderpriority, ';' ORDER BY o_orderdate, o_orderkey) AS priorities FROM orders GROUP BY 1
 """)
 def listagg_ordered(t: Tables) -> DataFrame:
-    return list_agg(t.orders, "o_custkey", "o_orderpriority", ["o_orderdate", "o_orderkey"], ";", name="priorities")
+    return list_agg(t.orders, "o_custkey", "o_orderpriority", ["o_orderdate", "o_orderkey"], ";", name="priorities", repeats=False)
 
 
 @report("listagg_distinct", """

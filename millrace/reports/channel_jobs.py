@@ -190,7 +190,7 @@ def _services(t: Tables) -> DataFrame:
         "o_custkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("d"), code.alias("code"), F.concat(F.lit("RP"), p).alias("plan"),
         F.add_months("o_orderdate", p.cast("int") * 6).alias("end"), p.alias("p"),
     )
-    both = previous_row(rows, "o_custkey", ["d", "o_orderkey"], ["d", "code", "plan", "end"], F.trunc("d", "YEAR"), "o_")
+    both = previous_row(rows, "o_custkey", ["d", "o_orderkey"], ["d", "code", "plan", "end"], prefix="o_")
     return both.select(
         F.concat(F.lit("C"), "o_custkey").alias("cust_num"), F.concat(F.lit("S"), "o_custkey").alias("subr_num"),
         F.concat(F.when(F.col("o_orderkey") % 5 == 0, "F").otherwise("I"), "o_orderkey").alias("order_num"), F.concat(F.lit("ST"), (F.col("o_custkey") % 9).cast("string")).alias("store_cd"),

@@ -204,7 +204,7 @@ def _contracts(t: Tables) -> DataFrame:
         (F.substring("o_orderpriority", 1, 1).cast("int") * 100).cast("decimal(12,2)").alias("subsidy"),
     )
     cols = ["start", "end", "bill", "flag", "rebate", "subsidy", "o_orderkey"]
-    return previous_row(rows, "o_custkey", ["start", "o_orderkey"], cols, F.trunc("start", "YEAR"), "old_")
+    return previous_row(rows, "o_custkey", ["start", "o_orderkey"], cols, prefix="old_")
 
 
 @report("contract_value", """
@@ -258,7 +258,7 @@ def retention_upgrade(t: Tables) -> DataFrame:
     from millrace.operators import next_row
 
     rows = orders(t).select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("d"))
-    nxt = next_row(rows, "o_custkey", ["d", "o_orderkey"], ["d"], F.trunc("d", "YEAR"), "n_")
+    nxt = next_row(rows, "o_custkey", ["d", "o_orderkey"], ["d"], prefix="n_")
     gap = F.months_between(X.month_start("n_d"), X.month_start("d"))
     return nxt.select(
         "o_orderkey",
