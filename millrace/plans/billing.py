@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import clean_number, contract_months, strip_money, tier_string
@@ -56,20 +57,21 @@ def extra_costs(t: Frames) -> DataFrame:
     return found.groupBy("subr_num").agg(F.sum("cost").alias("extra_cost"))
 
 
-# The suppliers of the cost sheet and the month ranges of a tier text.
-SUPPLIERS = ["hkbn", "wtt", "hgc"]
+# The month ranges of a tier text.
 RANGES = ["0-12", "13-24", "25-36"]
 
 
-def cost_sheet(df: DataFrame) -> DataFrame:
-    """Money text cleaned, and monthly costs put together as tier texts."""
-
-    def once(c: str) -> Column:
-        return F.concat(F.lit("0-36:"), strip_money(c))
-
-    monthly = {f"{s}_mthly": tier_string(*[(r, f"{s}_mthly_{n}") for r, n in zip(RANGES, (12, 24, 36))]) for s in SUPPLIERS}
-    return df.select(
-        "bill_cd", *[strip_money(c).alias(c) for c in ("oneoff_cost", "add_oneoff_cost", "monthly_cost")],
-        *[c.alias(n) for n, c in monthly.items()], once("hkbn_oneoff").alias("hkbn_oneoff"), once("wtt_oneoff").alias("wtt_oneoff"),
-        F.concat(F.lit("0-12:"), strip_money("hgc_oneoff_12"), F.lit("|13-36:0")).alias("hgc_oneoff"),
-    )
+def cost_sheet(df: DataFrame, suppliers: Sequence[str], first_year_only: str) -> DataFrame:
+    """Money text cleaned, and costs per supplier put together as tier texts.
+
+    Each supplier has the columns `<s>_mthly_12/24/36` and `<s>_oneoff`; the one-off cost of
+    `first_year_only` is `<s>_oneoff_12` and holds for the first year.
+    """
+    out = {c: strip_money(c) for c in ("oneoff_cost", "add_oneoff_cost", "monthly_cost")}
+    for s in suppliers:
+        out[f"{s}_mthly"] = tier_string(*[(r, f"{s}_mthly_{n}") for r, n in zip(RANGES, (12, 24, 36))])
+        if s == first_year_only:
+            out[f"{s}_oneoff"] = F.concat(F.lit("0-12:"), strip_money(f"{s}_oneoff_12"), F.lit("|13-36:0"))
+        else:
+            out[f"{s}_oneoff"] = F.concat(F.lit("0-36:"), strip_money(f"{s}_oneoff"))
+    return df.select("bill_cd", *[c.alias(n) for n, c in out.items()])

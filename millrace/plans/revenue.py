@@ -50,11 +50,14 @@ def _admin(t: Frames, key: str, name: str) -> DataFrame:
     return fees.groupBy(F.col("rate_plan_cd").alias(key)).agg(F.max(name).alias(name))
 
 
-def service_revenue(t: Frames, rows: DataFrame) -> DataFrame:
-    """Contract revenue of each transaction, by the ordered rules of the report."""
+def service_revenue(t: Frames, rows: DataFrame, premium_group: str) -> DataFrame:
+    """Contract revenue of each transaction, by the ordered rules of the report.
+
+    Plans of `premium_group` are shown apart from the others.
+    """
     rebate = market_rebates(t)
     subsidy = t["hs_subsidy"].groupBy(F.col("inv_num").alias("order_num")).agg(F.sum("net_subsidy_amt").alias("subsidy_amt"))
-    premium = keep_in(t["rate_plan_ref"], t["plan_grp_ref"].where("shk_plan_grp = 'SuperCare Mobile Mass plans'"), "free_data_entitle")
+    premium = keep_in(t["rate_plan_ref"], t["plan_grp_ref"].where(F.col("shk_plan_grp") == premium_group), "free_data_entitle")
     super_care = premium.select("free_data_entitle").distinct().withColumn("is_super", F.lit(True))
     out = rows.join(_tariffs(t, "new_rate_plan_cd", "new_rate"), "new_rate_plan_cd", "left")
     out = out.join(_tariffs(t, "orig_rate_plan_cd", "orig_rate"), "orig_rate_plan_cd", "left")

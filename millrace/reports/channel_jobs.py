@@ -223,7 +223,7 @@ FROM se
 """)
 def service_revenue(t: Tables) -> DataFrame:
     """Contract revenue per renewal by the ordered rules."""
-    out = revenue.service_revenue(Warehouse(t), _services(t))
+    out = revenue.service_revenue(Warehouse(t), _services(t), "Premium plans")
     sums = ["new_revenue", "super_care_plan", "other_service_plan", "total_service_revenue"]
     return out.select("order_num", F.col("months_left").cast("bigint").alias("months_left"), *[F.col(c).cast("double").alias(c) for c in sums])
 

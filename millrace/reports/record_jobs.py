@@ -162,18 +162,21 @@ def extra_costs(t: Tables) -> DataFrame:
     return billing.extra_costs(frames).withColumn("extra_cost", F.col("extra_cost").cast("double"))
 
 
+_SUPPLIERS = ["sup_a", "sup_b", "sup_c"]
+
+
 @report("cost_sheet", """
 SELECT CAST(p_partkey AS VARCHAR) AS bill_cd, CAST(p_size * 1000 AS VARCHAR) AS oneoff_cost, '0' AS add_oneoff_cost, '0' AS monthly_cost,
-  '0-12:' || p_size || '|13-24:0|25-36:' || p_size * 1000 AS hkbn_mthly, '0-12:' || p_size || '|13-24:0|25-36:' || p_size * 1000 AS wtt_mthly, '0-12:' || p_size || '|13-24:0|25-36:' || p_size * 1000 AS hgc_mthly,
-  '0-36:' || p_size * 1000 AS hkbn_oneoff, '0-36:0' AS wtt_oneoff, '0-12:' || p_size || '|13-36:0' AS hgc_oneoff FROM part
+  '0-12:' || p_size || '|13-24:0|25-36:' || p_size * 1000 AS sup_a_mthly, '0-12:' || p_size || '|13-24:0|25-36:' || p_size * 1000 AS sup_b_mthly, '0-12:' || p_size || '|13-24:0|25-36:' || p_size * 1000 AS sup_c_mthly,
+  '0-36:' || p_size * 1000 AS sup_a_oneoff, '0-36:0' AS sup_b_oneoff, '0-12:' || p_size || '|13-36:0' AS sup_c_oneoff FROM part
 """)
 def cost_sheet(t: Tables) -> DataFrame:
     """Cost sheet with money text cleaned and tier texts built."""
     one, big = F.concat(F.lit("$"), F.col("p_size")), F.concat(F.lit("$"), F.format_number(F.col("p_size") * 1000, 0))
-    cols = {"bill_cd": F.col("p_partkey").cast("string"), "oneoff_cost": big, "add_oneoff_cost": F.lit(" "), "monthly_cost": F.lit(None).cast("string"), "hkbn_oneoff": big, "wtt_oneoff": F.lit("$0"), "hgc_oneoff_12": one}
-    for s in billing.SUPPLIERS:
+    cols = {"bill_cd": F.col("p_partkey").cast("string"), "oneoff_cost": big, "add_oneoff_cost": F.lit(" "), "monthly_cost": F.lit(None).cast("string"), "sup_a_oneoff": big, "sup_b_oneoff": F.lit("$0"), "sup_c_oneoff_12": one}
+    for s in _SUPPLIERS:
         cols |= {f"{s}_mthly_12": one, f"{s}_mthly_24": F.lit(" "), f"{s}_mthly_36": big}
-    return billing.cost_sheet(t.part.select(*[c.alias(n) for n, c in cols.items()]))
+    return billing.cost_sheet(t.part.select(*[c.alias(n) for n, c in cols.items()]), _SUPPLIERS, "sup_c")
 
 
 @report("key_candidates", """

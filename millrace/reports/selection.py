@@ -11,7 +11,7 @@ from millrace.operators import (
     update_from_agg,
 )
 from millrace.params import NO_DATE, OPEN_DATE
-from millrace.reports.common import day, lines, orders, total
+from millrace.reports.common import day, lines, orders, priority_history, total
 from millrace.reports.registry import report
 from millrace.sources.readers import json_struct, key_lookup, wide_column_view
 from millrace.sources.tables import Tables
@@ -477,3 +477,15 @@ def unit_conversion(t: Tables) -> DataFrame:
         X.to_gb(F.col("l_quantity") * 1048576).alias("gb"), F.abs(F.col("l_quantity") - 25).alias("dist"),
         X.ratio("l_tax", F.col("l_quantity") - 25).alias("per_unit"),
     )
+
+
+@report("history_backfill", """
+WITH h AS (SELECT o_custkey, plan, d AS start_date, coalesce(lead(d) OVER (PARTITION BY o_custkey ORDER BY d) - 1, DATE '2999-12-31') AS end_date
+  FROM (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, max(o_orderpriority) AS plan FROM orders GROUP BY 1, 2))
+SELECT o_custkey, plan, start_date, end_date, CASE WHEN end_date = DATE '2999-12-31' THEN c_mktsegment ELSE ' ' END AS segment FROM h LEFT JOIN customer ON o_custkey = c_custkey
+""")
+def history_backfill(t: Tables) -> DataFrame:
+    """A new column filled by key, on the open row of each history only."""
+    hist = priority_history(t).withColumn("segment", F.lit(" "))
+    ref = t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return apply_match(hist, ref, ["o_custkey"], {"segment": "m_c_mktsegment"}, guard=F.col("end_date") == F.lit(OPEN_DATE))

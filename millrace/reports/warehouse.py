@@ -171,7 +171,7 @@ CONST: dict[str, tuple[str, list[tuple]]] = {
     "pos_prod_ref": ("pos_prod_cd string, item_cat string", [("P0", "ACC"), ("P1", "FIXED"), ("P2", "OTHER"), ("P3", "PC3"), ("P4", "HS"), ("P5", "HS"), ("P6", "SIM"), ("P7", "SIM"), ("P8", "OTHER"), ("CRPP", "ACC"), ("LDFD", "OTHER")]),
     "entitle_ref": ("bill_serv_cd string, free_data_entitle string", [("V1", "PACK"), ("V2", "PACK")]),
     "rate_plan_ref": ("rate_plan_cd string, rate_plan_grp string, free_data_entitle string, high_tier string", [("RP1", "G1", "E1", "Y"), ("RP2", "G2", "E2", "N"), ("RP3", "G3", "E3", "Y"), ("RP4", "G4", "E4", "N"), ("RP5", "G5", "E5", "N")]),
-    "plan_grp_ref": ("free_data_entitle string, shk_plan_grp string", [("E1", "SuperCare Mobile Mass plans"), ("E2", "Other"), ("E4", "SuperCare Mobile Mass plans")]),
+    "plan_grp_ref": ("free_data_entitle string, shk_plan_grp string", [("E1", "Premium plans"), ("E2", "Other"), ("E4", "Premium plans")]),
     "suppl_serv_map": ("rate_plan_cd string, suppl_serv_cd string", [("RP1", "ADM"), ("RP3", "ADM"), ("RP4", "XYZ")]),
     "crbk_offer_ref": ("mkt_cd string, cr_cd string, ctr_type string, pattern string, period_cnt int", [("M1", "K1", "PERIODIC", "YNYy", 9), ("M2", "K2", "FIXED", " ", 3)]),
     "crbk_check_ref": ("cr_cd string, cb_amt int, vas_cd string", [("K1", 5, "RP1,RP4"), ("K2", 4, "V1")]),
