@@ -29,8 +29,7 @@ from millrace.llm import text as tx
 U = np.uint64
 CUT_BITS = 10  # one cut in 1,024 bytes on average
 SHORTEST, LONGEST = 256, 16_384
-UNIT_BYTES = 48  # longer units are encoded without being remembered
-UNITS = 400_000
+UNIT_BYTES = 48  # longer units are encoded one by one
 CHUNK_MEMORY = 48 << 20
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -73,7 +72,7 @@ def space_ends(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Encoder:
-    """Encodes byte strings to ids exactly as the whole-text tokenizer would; remembers the ids of short units."""
+    """Encodes byte strings to ids exactly as the whole-text tokenizer would."""
 
     def __init__(self, content: str):
         ranks, special = vocabulary(content)
@@ -89,72 +88,46 @@ class Encoder:
         self.lengths = np.array([len(b) for b in self.bytes_of], np.int64)
         self.table = np.frombuffer(b"".join(self.bytes_of), np.uint8)
         self.table_starts = np.concatenate([[0], np.cumsum(self.lengths)])
-        self.clear()
-
-    def clear(self) -> None:
-        self.known: dict[int, int] = {}
-        self.store = np.zeros(1 << 16, self.dtype)
-        self.used = 0
-        self.starts: list[int] = []
-        self.sizes: list[int] = []
 
     def plain(self, text: bytes) -> list[int]:
-        return self.core.encode(text.decode("utf-8"), allowed_special="all")
-
-    def _add(self, key: int, ids: list[int] | np.ndarray) -> None:
-        if self.used + len(ids) > len(self.store):
-            self.store = np.concatenate([self.store, np.zeros(max(len(ids), len(self.store)), self.dtype)])
-        self.store[self.used : self.used + len(ids)] = ids
-        self.known[key] = len(self.starts)
-        self.starts.append(self.used)
-        self.sizes.append(len(ids))
-        self.used += len(ids)
+        text = text.decode("utf-8")
+        if any(s in text for s in self.special):
+            return self.core.encode(text, allowed_special="all")
+        return self.core.encode_ordinary(text)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """Ids of each text. Texts are cut to units at `space_ends`; distinct units are encoded once."""
+        """Ids of each text. Texts are cut to units at `space_ends`, and distinct units are encoded once.
+
+        Units that start with white space and end with another character stand in a row without changing each
+        other, so all distinct ones are encoded in one call; the rest are encoded one by one.
+        """
         data = np.frombuffer(b"".join(texts), np.uint8)
         offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
         if not len(data):
             return [np.zeros(0, self.dtype) for _ in texts]
-        if len(self.known) > UNITS:
-            self.clear()
         starts = space_ends(data, offsets)
         ends = np.append(starts[1:], len(data))
-        keys = tx.span_hashes(data, starts, ends)
-        keys[ends - starts > UNIT_BYTES] = 0
-        unique, first, inverse = np.unique(keys, return_index=True, return_inverse=True)
+        closed = np.ones(len(starts), bool)  # ends without white space: all but the last unit of a text do
+        final = np.searchsorted(starts, offsets[1:][np.diff(offsets) > 0]) - 1
+        closed[final] = ~tx.SPACES[data[ends[final] - 1]] & (data[ends[final] - 1] < 0x80)
+        plain = tx.SPACES[data[starts]] & closed & (ends - starts <= UNIT_BYTES)
+        which = np.flatnonzero(plain)
+        _, first, inverse = np.unique(tx.span_hashes(data, starts, ends)[which], return_index=True, return_inverse=True)
+        at = which[first]
         raw = data.tobytes()
-        long_ids: dict[int, list[int]] = {}
-        if unique[0] == 0:
-            long_ids = {int(i): self.plain(raw[starts[i] : ends[i]]) for i in np.flatnonzero(inverse == 0)}
-        todo = [j for j, k in enumerate(unique.tolist()) if k and k not in self.known]
-        together = [j for j in todo if tx.SPACES[data[starts[first[j]]]] and not tx.SPACES[data[ends[first[j]] - 1]] and data[ends[first[j]] - 1] < 0x80]
-        alone = set(todo).difference(together)
-        for j in alone:
-            i = first[j]
-            self._add(int(unique[j]), self.plain(raw[starts[i] : ends[i]]))
-        if together:  # units that start with white space and end without: in a row, none changes another
-            at = first[np.array(together)]
-            ids = np.array(self.plain(b"".join([raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())])), np.int64)
-            bounds = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(ends[at] - starts[at])) + 1
-            low = 0
-            for j, high in zip(together, bounds.tolist()):
-                self._add(int(unique[j]), ids[low:high])
-                low = high
-        where = np.array([self.known[k] if k else -1 for k in unique.tolist()])[inverse]
-        base, size = np.asarray(self.starts, np.int64), np.asarray(self.sizes, np.int64)
-        short = where >= 0
-        counts = np.zeros(len(where), np.int64)
-        counts[short] = size[where[short]]
-        for i, ids in long_ids.items():
-            counts[i] = len(ids)
-        edges = np.concatenate([[0], np.cumsum(counts)])
-        out = np.zeros(edges[-1], self.dtype)
-        source = np.repeat(np.where(short, base[np.where(short, where, 0)] if len(base) else 0, 0) - edges[:-1], counts) + np.arange(edges[-1])
-        filled = np.repeat(short, counts)
-        out[filled] = self.store[source[filled]]
-        for i, ids in long_ids.items():
-            out[edges[i] : edges[i + 1]] = ids
+        ids = np.array(self.plain(b"".join([raw[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())])), np.int64)
+        upto = np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(ends[at] - starts[at])) + 1
+        store, base, size = [ids.astype(self.dtype)], np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+        from_ = np.concatenate([[0], upto[:-1]]) if len(upto) else upto
+        base[which], size[which] = from_[inverse], (upto - from_)[inverse]
+        used = len(ids)
+        for i in np.flatnonzero(~plain).tolist():
+            own = self.plain(raw[starts[i] : ends[i]])
+            store.append(np.array(own, self.dtype))
+            base[i], size[i] = used, len(own)
+            used += len(own)
+        edges = np.concatenate([[0], np.cumsum(size)])
+        out = np.concatenate(store)[np.repeat(base - edges[:-1], size) + np.arange(edges[-1])]
         owner = np.searchsorted(starts, offsets)
         return [out[edges[a] : edges[b]] for a, b in zip(owner[:-1], owner[1:])]
 
