@@ -22,6 +22,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
 from millrace.llm import text as tx
@@ -327,7 +328,7 @@ def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     kept = [c for c in docs.columns if c not in ("ids", "n_tokens", "_text")]
     source = together(docs.select(*[F.col(f"`{c}`") for c in kept])).withColumn("_text", F.col("text"))
-    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("ids", "array<int>").add("n_tokens", "bigint")
+    schema = docs.select(*[F.col(f"`{c}`") for c in kept]).schema.add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", "long")
     return source.mapInArrow(_tasks(content, finish, ["ids", "n_tokens"]), schema)
 
 
@@ -356,5 +357,5 @@ def digests(docs: DataFrame, tokenizer: str) -> DataFrame:
         ]
 
     source = together(docs.select("doc_id", "text")).withColumnRenamed("text", "_text")
-    schema = docs.select("doc_id").schema.add("n_tokens", "bigint").add("ids_sha256", "string").add("decoded_sha256", "string").add("n_bytes", "bigint")
+    schema = docs.select("doc_id").schema.add("n_tokens", "long").add("ids_sha256", "string").add("decoded_sha256", "string").add("n_bytes", "long")
     return source.mapInArrow(_tasks(content, finish, ["n_tokens", "ids_sha256", "decoded_sha256", "n_bytes"]), schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, language, minhash_dups, private_data
+from millrace.llm import bpe, decontaminate, language, minhash_dups, packing, private_data, toxicity
 from millrace.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_packed_rows")
+def op1(t: Tables) -> DataFrame:
+    """Every document's ids in packed rows."""
+    return packing.pack(t.documents, default_tokenizer())
+
+
 @query("op2_bpe_chunks")
 def op2(t: Tables) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
@@ -75,6 +81,13 @@ def op5(t: Tables) -> DataFrame:
     return private_data.report(t.documents, private_data.fit(t.documents))
 
 
+@query("op7_nnpu_toxicity")
+def op7(t: Tables) -> DataFrame:
+    """Toxicity of every document."""
+    found = toxicity.score(t.documents, toxicity.fit(t.documents, t.labels))
+    return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
 @query("op8_nearest_centroid")
 def op8(t: Tables) -> DataFrame:
     """Language of every document."""
