@@ -1,7 +1,12 @@
-"""Connected components of links, by alternating star contraction; every step is a join or an aggregate."""
+"""Groups of things that are alike: links within buckets, and connected components of links.
+
+Every step is a join or an aggregate, and its result is written to the shared folder.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +41,34 @@ def components(links: DataFrame, stages: Stages, a: str = "a", b: str = "b") ->
             break
         before, edges = state, after
     return after.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(after.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+
+
+def linked_groups(buckets: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], stages: Stages) -> DataFrame:
+    """(node, root) for keys that are linked to others, from (bucket, key): keys of a bucket may be linked.
+
+    verifier: gets the (distinct) keys that share a bucket, once, and returns the function that keeps those of given
+    pairs (a, b) that are links. Not all pairs of a bucket are made. First each key is held against the bucket's
+    smallest. Then, as long as this links anything more, keys that are still apart from the bucket's smallest
+    component are held against the bucket's keys of other components: what could only confirm a group is left
+    out, and no link between groups is lost.
+    """
+    full = buckets.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a != z").select("bucket", "a")
+    members = stages.keep(buckets.join(stages.keep(full, "buckets"), "bucket").select("bucket", "key", "a").distinct(), "members")
+    verify = verifier(members.select("key").distinct())
+    tried = stages.keep(members.where("key != a").select("a", F.col("key").alias("b")).distinct(), "pairs")
+    links = stages.keep(verify(tried), "links")
+    while True:
+        roots = stages.keep(components(links, stages), "roots")
+        placed = members.join(roots, members.key == roots.node, "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
+        mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket", "low")
+        apart = stages.keep(placed.join(mixed, "bucket"), "apart")
+        rest = apart.where("root != low").select("bucket", F.col("key").alias("x"), F.col("root").alias("root_x"))
+        more = rest.join(apart.select("bucket", F.col("key").alias("y"), "root"), "bucket").where(F.col("root_x") != F.col("root"))
+        more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        fresh = stages.keep(more.join(tried, ["a", "b"], "left_anti"), "pairs")
+        if fresh.isEmpty():
+            return roots
+        found = stages.keep(verify(fresh), "links")
+        if found.isEmpty():
+            return roots
+        links, tried = links.unionByName(found), tried.unionByName(fresh)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import text as tx
-from millrace.llm.components import components
+from millrace.llm.components import linked_groups
 from millrace.llm.store import Stages
 
 U = np.uint64
@@ -148,47 +148,22 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILA
     rows and rows without a doc_id, are one class by their key alone. Texts without a word are only in the class
     of their equals. An empty table gives no rows.
 
-    Buckets are handled without all their pairs: each member is checked against the bucket's first text. Then,
-    until no bucket holds two components, members outside the component of the first are checked against it in
-    another order; what is still apart is checked member by member against those of other components only.
+    Buckets are handled without all their pairs, see `components.linked_groups`.
     """
     spark = docs.sparkSession
     stages = Stages(spark, "near-dups")
     signed = stages.keep(signatures(docs, k, bands, rows), "signed")
     distinct = stages.keep(signed.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"), F.first("bands").alias("bands")), "distinct")
     stages.drop(signed)
-    buckets = distinct.select("key", F.explode("bands").alias("bucket"))
-    full = stages.keep(
-        buckets.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a != z").select("bucket", "a"),
-        "buckets",
-    )
-    members = stages.keep(buckets.join(full, "bucket").select("bucket", "key", "a"), "members")
-    touched = members.select("key").distinct().join(distinct.select("key", "doc_id"), "key")
     keyed = docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("key"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    texts = stages.keep(
-        keyed.join(touched.withColumnRenamed("doc_id", "first"), (keyed.key == touched.key) & keyed.doc_id.eqNullSafe(F.col("first")), "left_semi").dropDuplicates(["key"]).select("key", "text"),
-        "texts",
-    )
-    pairs = members.where("key != a").select("a", F.col("key").alias("b")).distinct()
-    links = stages.keep(verify(pairs, texts, k, threshold), "links")
-    roots = stages.keep(components(links, stages), "roots")
-    tried = pairs
-    while True:
-        placed = members.join(roots, members.key == roots.node, "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high")
-        apart = stages.keep(placed.join(mixed, "bucket"), "apart")
-        rest = apart.where("root != low").select("bucket", F.col("key").alias("x"), F.col("root").alias("root_x"))
-        more = rest.join(apart.select("bucket", F.col("key").alias("y"), "root"), "bucket").where((F.col("root_x") != F.col("root")))
-        more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        fresh = stages.keep(more.join(tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "fresh")
-        if fresh.isEmpty():
-            break
-        found = stages.keep(verify(fresh, texts, k, threshold), "links")
-        if found.isEmpty():
-            break
-        links = links.unionByName(found)
-        tried = tried.unionByName(fresh)
-        roots = stages.keep(components(links, stages), "roots")
+
+    def verifier(keys: DataFrame):
+        first = keys.join(distinct.select("key", F.col("doc_id").alias("first")), "key")
+        chosen = keyed.join(first, (keyed.key == first.key) & keyed.doc_id.eqNullSafe(F.col("first")), "left_semi")
+        texts = stages.keep(chosen.dropDuplicates(["key"]).select("key", "text"), "texts")
+        return lambda pairs: verify(pairs, texts, k, threshold)
+
+    roots = linked_groups(distinct.select("key", F.explode("bands").alias("bucket")), verifier, stages)
     grouped = distinct.join(roots, distinct.key == roots.node, "left").select("key", "doc_id", "copies", F.coalesce("root", "key").alias("class_key"))
     sizes = grouped.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
     return grouped.join(sizes, "class_key").select(F.col("key").alias("text_key"), "class_key", "class_id", "class_size")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, language, minhash_dups, packing, private_data, toxicity
+from millrace.llm import bpe, decontaminate, fingerprint, language, minhash_dups, packing, passages, perplexity, private_data, toxicity
 from millrace.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,14 @@ def op2(t: Tables) -> DataFrame:
     return bpe.digests(t.documents, default_tokenizer()).drop("n_bytes")
 
 
+@query("op3_improbable_features")
+def op3(t: Tables) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they are."""
+    rank = fingerprint.rarity(fingerprint.entropy_counts(t.documents))
+    parts = 2 * int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return fingerprint.with_edits(t.documents, rank, parts)
+
+
 @query(
     "op4_spaced_seeds",
     """
@@ -81,6 +89,12 @@ def op5(t: Tables) -> DataFrame:
     return private_data.report(t.documents, private_data.fit(t.documents))
 
 
+@query("op6_paragraph_bands")
+def op6(t: Tables) -> DataFrame:
+    """Passages that occur in several documents."""
+    return passages.repeats(t.documents)
+
+
 @query("op7_nnpu_toxicity")
 def op7(t: Tables) -> DataFrame:
     """Toxicity of every document."""
@@ -95,6 +109,12 @@ def op8(t: Tables) -> DataFrame:
     return found.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), F.col("lang_rejected").alias("rejected"))
 
 
+@query("op9_kneser_ney")
+def op9(t: Tables) -> DataFrame:
+    """Perplexity of every document under a model of the trusted ones, and whether it is kept."""
+    return perplexity.assess(t.documents, t.labels.where("quality = 1"))
+
+
 @query("op10_prob_minhash")
 def op10(t: Tables) -> DataFrame:
     """Class of every document among near-duplicates."""

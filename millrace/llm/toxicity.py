@@ -26,7 +26,7 @@ from millrace.llm.language import held_out
 U = np.uint64
 SLOTS = 1 << 20
 POSITIVES, UNLABELLED = 4_000, 12_000  # the bounded samples that the model is fitted on
-STRENGTH = 4.0  # standard errors by which a word's rate among P must differ from that among U
+STRENGTH = 4.0  # standard errors by which a word's count in P must differ from what U lets expect
 STEPS, RATE, DECAY = 300, 0.1, 1e-4
 
 
@@ -63,9 +63,8 @@ def train(rows: np.ndarray, slots: np.ndarray, positive: np.ndarray, prior: floa
     names, index = np.unique(slots, return_inverse=True)
     in_p = np.bincount(index[positive[rows]], minlength=len(names))
     in_u = np.bincount(index[~positive[rows]], minlength=len(names))
-    p, u = (in_p + 0.5) / (n_p + 1), (in_u + 0.5) / (n_u + 1)
-    spread = np.sqrt(p * (1 - p) / n_p + u * (1 - u) / n_u)
-    kept = (np.abs(p - u) >= STRENGTH * spread) & (in_p + in_u >= 5)
+    expected = n_p * (in_u + 2.0) / n_u  # of P, if a word were as frequent there as in U, at the least favourable
+    kept = (in_p >= expected + STRENGTH * np.sqrt(expected) + 3) | (in_p <= expected - STRENGTH * np.sqrt(expected) - 3)
     at = np.full(len(names), -1)
     at[kept] = np.arange(kept.sum())
     column = at[index]
