@@ -43,32 +43,50 @@ def components(links: DataFrame, stages: Stages, a: str = "a", b: str = "b") ->
     return after.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(after.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
+LEADERS = 3
+
+
 def linked_groups(buckets: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], stages: Stages) -> DataFrame:
-    """(node, root) for keys that are linked to others, from (bucket, key): keys of a bucket may be linked.
+    """(node, root) for keys that share a bucket with others, from (bucket, key): keys of a bucket may be linked.
 
     verifier: gets the (distinct) keys that share a bucket, once, and returns the function that keeps those of given
-    pairs (a, b) that are links. Not all pairs of a bucket are made. First each key is held against the bucket's
-    smallest. Then, as long as this links anything more, keys that are still apart from the bucket's smallest
-    component are held against the bucket's keys of other components: what could only confirm a group is left
-    out, and no link between groups is lost.
+    pairs (a, b) that are links. Not all pairs of a bucket are made. Its keys are held against a few leaders, the
+    first by different hashes of the key, so that buckets of one group mostly have the same ones. Keys that are
+    still outside the bucket's largest component are held against another leader of it, as long as that brings
+    many of them in. Only what is left then is held against all keys of other components of its bucket, so that
+    no link between components is lost, and what could only confirm a component is left out.
     """
-    full = buckets.groupBy("bucket").agg(F.min("key").alias("a"), F.max("key").alias("z")).where("a != z").select("bucket", "a")
-    members = stages.keep(buckets.join(stages.keep(full, "buckets"), "bucket").select("bucket", "key", "a").distinct(), "members")
+    shared = buckets.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("bucket")
+    members = stages.keep(buckets.join(shared, "bucket").distinct(), "members")
     verify = verifier(members.select("key").distinct())
-    tried = stages.keep(members.where("key != a").select("a", F.col("key").alias("b")).distinct(), "pairs")
-    links = stages.keep(verify(tried), "links")
+    rank = lambda seed: F.struct(F.xxhash64(F.lit(seed), F.col("key")).alias("h"), F.col("key").alias("k"))
+    pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+    leaders = members.groupBy("bucket").agg(F.array(*[F.min(rank(s))["k"] for s in range(LEADERS)]).alias("leaders"))
+    first = members.join(leaders, "bucket").select("key", F.explode(F.array_distinct("leaders")).alias("leader")).where("key != leader")
+    pairs = stages.keep(first.select(*pair("key", "leader")).distinct(), "pairs")
+    links = stages.keep(verify(pairs), "links")
+    roots = components(links, stages)
+    placed = stages.keep(members.join(roots, members.key == roots.node, "left").select("bucket", "key", F.coalesce("root", "key").alias("root")), "placed")
+    tried, seed, exact = pairs, LEADERS, False
     while True:
-        roots = stages.keep(components(links, stages), "roots")
-        placed = members.join(roots, members.key == roots.node, "left").select("bucket", "key", F.coalesce("root", "key").alias("root"))
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("bucket", "low")
-        apart = stages.keep(placed.join(mixed, "bucket"), "apart")
-        rest = apart.where("root != low").select("bucket", F.col("key").alias("x"), F.col("root").alias("root_x"))
-        more = rest.join(apart.select("bucket", F.col("key").alias("y"), "root"), "bucket").where(F.col("root_x") != F.col("root"))
-        more = more.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        fresh = stages.keep(more.join(tried, ["a", "b"], "left_anti"), "pairs")
-        if fresh.isEmpty():
-            return roots
-        found = stages.keep(verify(fresh), "links")
-        if found.isEmpty():
-            return roots
-        links, tried = links.unionByName(found), tried.unionByName(fresh)
+        sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
+        largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("bucket", "main")
+        apart = stages.keep(placed.join(largest, "bucket"), "apart")
+        rest = apart.where("root != main").select("bucket", F.col("key").alias("x"), F.col("root").alias("root_x"))
+        if exact:
+            others = apart.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y"))
+        else:
+            chosen = apart.where("root = main").groupBy("bucket").agg(F.min(rank(seed))["k"].alias("y"), F.first("main").alias("root_y"))
+            others = chosen.select("bucket", "y", "root_y")
+        more = rest.join(others, "bucket").where(F.col("root_x") != F.col("root_y")).select(*pair("x", "y"), *[c.alias(n) for c, n in zip((F.least("root_x", "root_y"), F.greatest("root_x", "root_y")), ("root_a", "root_b"))])
+        fresh = stages.keep(more.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        count = fresh.count()
+        found = stages.keep(verify(fresh.select("a", "b")), "links") if count else None
+        hits = found.count() if count else 0
+        if not hits and exact:
+            return placed.select(F.col("key").alias("node"), "root").distinct()
+        tried, seed, exact = tried.unionByName(fresh.select("a", "b")), seed + 1, hits * 20 < count or not hits
+        if hits:
+            merged = components(found.join(fresh, ["a", "b"]).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), stages)
+            placed = stages.keep(placed.join(merged, placed.root == merged.node, "left").select("bucket", "key", F.coalesce(merged.root, placed.root).alias("root")), "placed")

@@ -30,7 +30,7 @@ BINS = 512
 FULLEST = 0.98  # windows of nearly the highest entropy, and below of nearly none, say nothing of a text
 EMPTIEST = 0.02
 CHUNK = 1 << 16
-SHARED_BY_CHANCE = 0.3
+SHARED_BY_CHANCE = 0.1
 
 NLOGN = np.array([0.0] + [n * np.log2(n) for n in range(1, WINDOW + 1)])
 SCALED = np.rint(NLOGN * 65536).astype(np.int64)
@@ -142,7 +142,7 @@ def fingerprint(data: np.ndarray, rank: np.ndarray) -> bytes:
 def filters(print_: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of features and bits (as rows of packed bytes) of a fingerprint's filters."""
     rows = np.frombuffer(print_, np.uint8).reshape(-1, 2 + FILTER_BITS // 8)
-    return rows[:, 0].astype(np.int64) + 256 * rows[:, 1], rows[:, 2:]
+    return rows[:, 0].astype(np.int64) + 256 * rows[:, 1].astype(np.int64), rows[:, 2:]
 
 
 def likeness(a: bytes, b: bytes) -> float:
