@@ -174,6 +174,7 @@ class ProductClass:
     also: dict[str, str] = field(default_factory=dict)
     coupons: bool = False
     subsidy: bool = False
+    rebate: bool = False
 
     def test(self) -> Column:
         ok = ~F.col("pos_prod_cd").isin(list(self.not_codes)) if self.not_codes else F.lit(True)
@@ -192,7 +193,7 @@ class ProductClass:
 # Warehouse, item and product codes that make up each class.
 _NEVER = ["CRRT", "JDC", "CRDP", "CRCP", "SIMTEENTRANSITH3", "MONTHLYPLANREBATE", "LDFD"]
 CLASSES = [
-    ProductClass("HANDSET", warehouses=["AH"], also={"AA": "CRPP"}, not_codes=_NEVER, coupons=True, subsidy=True),
+    ProductClass("HANDSET", warehouses=["AH"], also={"AA": "CRPP"}, not_codes=_NEVER, coupons=True, subsidy=True, rebate=True),
     ProductClass("SIM", warehouses=["AP", "PP"], not_categories=["OTHER", "ACC", "FIXED", "PC3"], not_codes=["CRPP", *_NEVER]),
     ProductClass("ACCESSORY", warehouses=["AA"], categories=["ACC", "FIXED"], not_codes=["CRPP", *_NEVER], coupons=True),
     ProductClass("VOUCHER", categories=["PC3"], not_codes=["CRPP", "CRDP", "AALGGD330COUPON", "AASSE1100COUPON", "MONTHLYPLANREBATE", "LDFD"]),
@@ -243,14 +244,17 @@ def product_sales(t: Frames, w: Window, classes: Sequence[ProductClass] = tuple(
     out = out.join(coupon_discounts(t, w), "inv_num", "left").join(subsidy, "inv_num", "left")
     with_coupon = F.col("cls").isin([c.name for c in classes if c.coupons])
     with_subsidy = F.col("cls").isin([c.name for c in classes if c.subsidy])
+    rebates = t["pos_inv_detail"].where(F.col("common_desc").like("%HANDSET%REBATE%")).groupBy("inv_num").agg(F.sum("net_amt").alias("rebate"))
+    out = out.join(rebates, "inv_num", "left")
     names = pick(staff_names(t), salesman="usr_name", staff_name="full_name")
     zero = F.lit(0).cast(AMOUNT)
+    rebate = F.when(F.col("cls").isin([c.name for c in classes if c.rebate]), F.coalesce("rebate", zero)).otherwise(zero)
     coupon = F.when(with_coupon, F.coalesce("coupon_amt", zero)).otherwise(zero)
     taken = F.when(with_subsidy, F.coalesce("subsidy", zero) + coupon).otherwise(zero)
     return out.join(names, "salesman", "left").select(
         "cls", "store_cd", *LINE, "inv_num", "inv_date", "mkt_cd", "online_inv_flg", "salesman", F.coalesce("staff_name", F.lit(NO_TEXT)).alias("staff_name"),
         (F.col("pos_amt") - taken).cast(AMOUNT).alias("pos_amt"), F.col("trade_in_amt").cast(AMOUNT).alias("trade_in_amt"), coupon.cast(AMOUNT).alias("coupon_amt"),
-        "qty", "products", "warehouses", "item_cats", F.when(F.col("fa"), "Y").otherwise("N").alias("fa_inv_flg"),
+        rebate.cast(AMOUNT).alias("rebate_amt"), "qty", "products", "warehouses", "item_cats", F.when(F.col("fa"), "Y").otherwise("N").alias("fa_inv_flg"),
     ).distinct()
 
 
@@ -264,21 +268,16 @@ def store_staff_summary(t: Frames, services: DataFrame, products: DataFrame) ->
     """Revenue by day, store and staff with store and overall totals and averages."""
     zero = F.lit(0).cast(AMOUNT)
 
-    def shaped(df: DataFrame, by: list[Column], doc: str, **sums: Column) -> DataFrame:
-        values = [sums.get(i, zero).alias(i) for i in ITEMS]
-        rows = df.select(*by, F.col(doc).alias("doc"), *values)
-        return rows.groupBy("inv_date", "store_cd", "staff_name").agg(*[F.sum(i).cast(AMOUNT).alias(i) for i in ITEMS], F.count_distinct("doc").alias("inv_cnt"))
+    by = ["inv_date", "store_cd", "staff_name"]
 
-    by = [F.col(c) for c in ("inv_date", "store_cd", "staff_name")]
+    def summed(df: DataFrame, doc: Column, values: dict[str, Column]) -> DataFrame:
+        return df.groupBy(*by).agg(*[F.sum(values.get(i, zero)).cast(AMOUNT).alias(i) for i in ITEMS], F.count_distinct(doc).alias("inv_cnt"))
+
+    amount = F.col("pos_amt") + F.when(F.col("cls") == "HANDSET", F.col("trade_in_amt")).when(F.col("cls") == "ACCESSORY", F.col("coupon_amt")).otherwise(zero)
     parts = [
-        shaped(
-            services, by, "order_num", super_care_plan=F.col("super_care_plan"), other_service_plan=F.col("other_service_plan"),
-            non_service_plan=F.col("vas_fee"),
-        )
+        summed(services, F.col("order_num"), {"super_care_plan": F.col("super_care_plan"), "other_service_plan": F.col("other_service_plan"), "non_service_plan": F.col("vas_fee")}),
+        summed(products, F.struct("cls", "inv_num"), {item: F.when(F.col("cls") == cls, amount).otherwise(zero) for cls, item in _CLASS_ITEM.items()}),
     ]
-    for cls, item in _CLASS_ITEM.items():
-        amount = F.col("pos_amt") + (F.col("trade_in_amt") if cls == "HANDSET" else zero)
-        parts.append(shaped(products.where(F.col("cls") == cls), by, "inv_num", **{item: amount.cast(AMOUNT)}))
     rows = keep_in(stack(*parts), t["stores"].where("daily_sales_sms = 'Y'"), "store_cd")
     rows = rows.withColumn("total", sum((F.col(i) for i in ITEMS[1:]), F.col(ITEMS[0])).cast("decimal(24,2)"))
     return with_subtotals(rows, "store_cd", "staff_name", [*ITEMS, "total", "inv_cnt"], "All RBD", ["inv_date"])

@@ -261,22 +261,25 @@ pl AS (
   UNION ALL SELECT 'ACCESSORY', * FROM pd WHERE warehouse = 'AA' AND item_cat IN ('ACC', 'FIXED') AND pos_prod_cd NOT IN ('CRPP', 'LDFD')
   UNION ALL SELECT 'VOUCHER', * FROM pd WHERE item_cat = 'PC3' AND pos_prod_cd NOT IN ('CRPP', 'LDFD')
   UNION ALL SELECT 'OTHER', * FROM pd WHERE item_cat = 'OTHER' AND pos_prod_cd NOT IN ('CRPP', 'LDFD')),
-pg AS (SELECT inv_num, cls, sum(net_amt) AS amt, sum(trade_in_amt) AS trade, CAST(sum(CASE WHEN cls = 'HANDSET' AND pos_prod_cd = 'CRPP' THEN 0 ELSE qty END) AS BIGINT) AS qty, string_agg(pos_prod_cd, ', ' ORDER BY pos_prod_cd, warehouse) AS products FROM pl GROUP BY 1, 2),
+pg AS (SELECT inv_num, cls, sum(net_amt) AS amt, sum(trade_in_amt) AS trade, CAST(sum(CASE WHEN cls = 'HANDSET' AND pos_prod_cd = 'CRPP' THEN 0 ELSE qty END) AS BIGINT) AS qty, string_agg(pos_prod_cd, ', ' ORDER BY pos_prod_cd, warehouse) AS products,
+  coalesce(string_agg(warehouse, ', ' ORDER BY pos_prod_cd, warehouse), '') AS warehouses, coalesce(string_agg(item_cat, ', ' ORDER BY pos_prod_cd, warehouse), '') AS item_cats FROM pl GROUP BY 1, 2),
+rb AS (SELECT inv_num, sum(net_amt) AS rebate FROM w_pos_inv_detail WHERE common_desc LIKE '%HANDSET%REBATE%' GROUP BY 1),
 ps AS (SELECT cls, i.pos_shop_cd AS store_cd, g.inv_num, i.inv_date, i.online_inv_flg, i.salesman, coalesce(n.full_name, ' ') AS staff_name,
-    amt - CASE WHEN cls = 'HANDSET' THEN coalesce(s.net_subsidy_amt, 0) + coalesce(c.coupon_amt, 0) ELSE 0 END AS pos_amt, trade AS trade_in_amt, CASE WHEN cls IN ('HANDSET', 'ACCESSORY') THEN coalesce(c.coupon_amt, 0) ELSE 0 END AS coupon_amt, qty, products
-  FROM pi i JOIN pg g ON i.inv_num = g.inv_num LEFT JOIN w_hs_subsidy s ON i.inv_num = s.inv_num LEFT JOIN w_coupons c ON i.inv_num = c.inv_num
+    amt - CASE WHEN cls = 'HANDSET' THEN coalesce(s.net_subsidy_amt, 0) + coalesce(c.coupon_amt, 0) ELSE 0 END AS pos_amt, trade AS trade_in_amt, CASE WHEN cls IN ('HANDSET', 'ACCESSORY') THEN coalesce(c.coupon_amt, 0) ELSE 0 END AS coupon_amt, CASE WHEN cls = 'HANDSET' THEN coalesce(rb.rebate, 0) ELSE 0 END AS rebate_amt, qty, products, warehouses, item_cats,
+    CASE WHEN i.salesman_cd LIKE 'FA%' OR i.usr_id LIKE 'FA%' THEN 'Y' ELSE 'N' END AS fa_inv_flg
+  FROM pi i JOIN pg g ON i.inv_num = g.inv_num LEFT JOIN rb ON i.inv_num = rb.inv_num LEFT JOIN w_hs_subsidy s ON i.inv_num = s.inv_num LEFT JOIN w_coupons c ON i.inv_num = c.inv_num
   LEFT JOIN (SELECT u.usr_name, f.full_name FROM w_fes_usr_info u JOIN (SELECT staff_id, arg_min(full_name, pos_shop_cd || lpad(CAST(create_ts AS VARCHAR), 4, '0')) AS full_name FROM w_fes_usr_info WHERE upper(full_name) NOT LIKE '%TEST%' GROUP BY 1) f USING (staff_id) WHERE upper(u.full_name) NOT LIKE '%TEST%') n ON i.salesman = n.usr_name)
 """
 
 
 @report("product_class_sales", with_tables(*_PRODUCTS_TABLES) + "," + _PRODUCTS_SQL + """
-SELECT cls, store_cd, inv_num, inv_date, salesman, staff_name, CAST(pos_amt AS DOUBLE) AS pos_amt, CAST(trade_in_amt AS DOUBLE) AS trade_in_amt, CAST(coupon_amt AS DOUBLE) AS coupon_amt, qty, products FROM ps
+SELECT cls, store_cd, inv_num, inv_date, salesman, staff_name, CAST(pos_amt AS DOUBLE) AS pos_amt, CAST(trade_in_amt AS DOUBLE) AS trade_in_amt, CAST(coupon_amt AS DOUBLE) AS coupon_amt, CAST(rebate_amt AS DOUBLE) AS rebate_amt, qty, products, warehouses, item_cats, fa_inv_flg FROM ps
 """)
 def product_class_sales(t: Tables) -> DataFrame:
     """Sales per invoice and product class in one pass over the invoice lines."""
     out = revenue.product_sales(Warehouse(t), WHOLE)
-    sums = [F.col(c).cast("double").alias(c) for c in ("pos_amt", "trade_in_amt", "coupon_amt")]
-    return out.select("cls", "store_cd", "inv_num", "inv_date", "salesman", "staff_name", *sums, "qty", "products")
+    sums = [F.col(c).cast("double").alias(c) for c in ("pos_amt", "trade_in_amt", "coupon_amt", "rebate_amt")]
+    return out.select("cls", "store_cd", "inv_num", "inv_date", "salesman", "staff_name", *sums, "qty", "products", "warehouses", "item_cats", "fa_inv_flg")
 
 
 def _simple_services(t: Tables) -> DataFrame:
@@ -299,72 +302,109 @@ ss AS (SELECT 'ST' || (o_custkey % 9) AS store_cd, 'NAME ' || (o_orderkey % 4) A
 """
 
 
-@report("store_staff_summary", with_tables(*_PRODUCTS_TABLES) + "," + _PRODUCTS_SQL + "," + _SIMPLE_SQL + """,
-u AS (SELECT inv_date, store_cd, staff_name, CASE WHEN st = 'F' THEN amt ELSE 0 END AS super, CASE WHEN st = 'P' THEN 0 ELSE amt END + CASE WHEN st = 'P' THEN 9 ELSE 0 END AS total, 0 AS handset, 'S' || order_num AS doc, 'S' AS k FROM ss
-  UNION ALL SELECT inv_date, store_cd, staff_name, 0, pos_amt + CASE WHEN cls = 'HANDSET' THEN trade_in_amt ELSE 0 END, CASE WHEN cls = 'HANDSET' THEN pos_amt + trade_in_amt ELSE 0 END, inv_num, cls FROM ps),
-v AS (SELECT * FROM u WHERE store_cd IN (SELECT store_cd FROM w_stores WHERE daily_sales_sms = 'Y')),
+_MEASURES = [*revenue.ITEMS, "total"]
+
+
+def _each(pattern: str, names: list[str] = _MEASURES) -> str:
+    return ", ".join(pattern.replace("@", n) for n in names)
+
+
+def _summary_sql() -> str:
+    """Cents are summed; an average is rounded half away from zero to a tenth of a cent."""
+    service = {"super_care_plan": "CASE WHEN st = 'F' THEN amt ELSE 0 END", "other_service_plan": "CASE WHEN st = 'O' THEN amt ELSE 0 END", "non_service_plan": "CASE WHEN st = 'P' THEN 9 ELSE 0 END"}
+    product = {item: f"CASE WHEN cls = '{cls}' THEN v ELSE 0 END" for cls, item in (("HANDSET", "handset"), ("SIM", "prepaid_sim"), ("ACCESSORY", "accessories"), ("VOUCHER", "prepaid_voucher"), ("OTHER", "other"))}
+    pick = lambda have: ", ".join(f"{have.get(i, '0')} AS {i}" for i in revenue.ITEMS)
+    average = "sign(@) * ((abs(@) * 20 + m) // (2 * m)) / 1000.0 AS @"
+    return f"""
+u AS (SELECT inv_date, store_cd, staff_name, {pick(service)}, 'S' || order_num AS doc, 'S' AS k FROM ss
+  UNION ALL SELECT inv_date, store_cd, staff_name, {pick(product)}, inv_num, cls FROM (SELECT *, pos_amt + CASE cls WHEN 'HANDSET' THEN trade_in_amt WHEN 'ACCESSORY' THEN coupon_amt ELSE 0 END AS v FROM ps)),
+v AS (SELECT *, {" + ".join(revenue.ITEMS)} AS total FROM u WHERE store_cd IN (SELECT store_cd FROM w_stores WHERE daily_sales_sms = 'Y')),
 c AS (SELECT inv_date, store_cd, staff_name, CAST(sum(n) AS BIGINT) AS n FROM (SELECT inv_date, store_cd, staff_name, k, count(DISTINCT doc) AS n FROM v GROUP BY ALL) GROUP BY 1, 2, 3),
-d AS (SELECT inv_date, store_cd, staff_name, CAST(sum(super) * 100 AS BIGINT) AS super, CAST(sum(handset) * 100 AS BIGINT) AS handset, CAST(sum(total) * 100 AS BIGINT) AS total, any_value(n) AS n FROM v JOIN c USING (inv_date, store_cd, staff_name) GROUP BY 1, 2, 3),
-s AS (SELECT inv_date, store_cd, CAST(sum(super) AS BIGINT) AS super, CAST(sum(handset) AS BIGINT) AS handset, CAST(sum(total) AS BIGINT) AS total, CAST(sum(n) AS BIGINT) AS n, count(*) AS m FROM d GROUP BY 1, 2),
-a AS (SELECT inv_date, CAST(sum(super) AS BIGINT) AS super, CAST(sum(handset) AS BIGINT) AS handset, CAST(sum(total) AS BIGINT) AS total, CAST(sum(n) AS BIGINT) AS n, count(*) AS m FROM s GROUP BY 1)
-SELECT inv_date, store_cd, staff_name, super / 100.0 AS super_care_plan, handset / 100.0 AS handset, total / 100.0 AS total, CAST(n AS DOUBLE) AS inv_cnt, 'N' AS summ_fig FROM d
-UNION ALL SELECT inv_date, store_cd, store_cd || ' Total', super / 100.0, handset / 100.0, total / 100.0, CAST(n AS DOUBLE), 'Y' FROM s
-UNION ALL SELECT inv_date, store_cd, store_cd || ' Average', ((super * 20 + m) // (2 * m)) / 1000.0, sign(handset) * ((abs(handset) * 20 + m) // (2 * m)) / 1000.0, sign(total) * ((abs(total) * 20 + m) // (2 * m)) / 1000.0, ((n * 2000 + m) // (2 * m)) / 1000.0, 'Y' FROM s
-UNION ALL SELECT inv_date, 'All RBD', 'All RBD Total', super / 100.0, handset / 100.0, total / 100.0, CAST(n AS DOUBLE), 'Y' FROM a
-UNION ALL SELECT inv_date, 'All RBD', 'All RBD Average', ((super * 20 + m) // (2 * m)) / 1000.0, sign(handset) * ((abs(handset) * 20 + m) // (2 * m)) / 1000.0, sign(total) * ((abs(total) * 20 + m) // (2 * m)) / 1000.0, ((n * 2000 + m) // (2 * m)) / 1000.0, 'Y' FROM a
-""")
+d AS (SELECT inv_date, store_cd, staff_name, {_each("CAST(sum(@) * 100 AS BIGINT) AS @")}, any_value(n) AS n FROM v JOIN c USING (inv_date, store_cd, staff_name) GROUP BY 1, 2, 3),
+s AS (SELECT inv_date, store_cd, {_each("CAST(sum(@) AS BIGINT) AS @")}, CAST(sum(n) AS BIGINT) AS n, count(*) AS m FROM d GROUP BY 1, 2),
+a AS (SELECT inv_date, {_each("CAST(sum(@) AS BIGINT) AS @")}, CAST(sum(n) AS BIGINT) AS n, count(*) AS m FROM s GROUP BY 1)
+SELECT inv_date, store_cd, staff_name, {_each("@ / 100.0 AS @")}, CAST(n AS DOUBLE) AS inv_cnt, 'N' AS summ_fig FROM d
+UNION ALL SELECT inv_date, store_cd, store_cd || ' Total', {_each("@ / 100.0 AS @")}, CAST(n AS DOUBLE), 'Y' FROM s
+UNION ALL SELECT inv_date, store_cd, store_cd || ' Average', {_each(average)}, ((n * 2000 + m) // (2 * m)) / 1000.0, 'Y' FROM s
+UNION ALL SELECT inv_date, 'All RBD', 'All RBD Total', {_each("@ / 100.0 AS @")}, CAST(n AS DOUBLE), 'Y' FROM a
+UNION ALL SELECT inv_date, 'All RBD', 'All RBD Average', {_each(average)}, ((n * 2000 + m) // (2 * m)) / 1000.0, 'Y' FROM a
+"""
+
+
+@report("store_staff_summary", with_tables(*_PRODUCTS_TABLES) + "," + _PRODUCTS_SQL + "," + _SIMPLE_SQL + "," + _summary_sql())
 def store_staff_summary(t: Tables) -> DataFrame:
-    """Revenue by day, store and staff with totals and averages."""
+    """Revenue by day, store and staff with totals and averages, every measure."""
     w = Warehouse(t)
     out = revenue.store_staff_summary(w, _simple_services(t), settle(revenue.product_sales(w, WHOLE), "products"))
-    sums = ["super_care_plan", "handset", "total", "inv_cnt"]
-    return out.select("inv_date", "store_cd", "staff_name", *[F.col(c).cast("double").alias(c) for c in sums], "summ_fig")
+    return out.select("inv_date", "store_cd", "staff_name", *[F.col(c).cast("double").alias(c) for c in (*_MEASURES, "inv_cnt")], "summ_fig")
 
 
 _RATED_SQL = """
 own AS (SELECT store_cd FROM w_stores WHERE daily_sales_sms = 'Y'),
 sr AS (SELECT s.*, CASE WHEN p IN (1, 2, 5) THEN 'postpaid' WHEN p = 3 THEN 'fbb' ELSE 'hp' END AS kind, CASE st WHEN 'P' THEN 9 ELSE amt END AS v, CASE p WHEN 1 THEN 0.9 WHEN 2 THEN 0.5 WHEN 3 THEN 1 ELSE 0.6 END AS rate, CASE p WHEN 1 THEN 0.6 WHEN 2 THEN 0.4 WHEN 5 THEN 0.3 END AS margin FROM ss s),
 pr AS (SELECT *, CASE WHEN salesman LIKE 'FA%' THEN 0.7 WHEN online_inv_flg IN ('Y', 'B') THEN 0.5 WHEN store_cd IN (SELECT store_cd FROM own) THEN 0.9 ELSE 0.4 END AS chan_rate,
-    CASE cls WHEN 'HANDSET' THEN 'handset' WHEN 'ACCESSORY' THEN 'accessory' WHEN 'OTHER' THEN 'others' ELSE 'prepaid' END AS kind, pos_amt + CASE cls WHEN 'HANDSET' THEN trade_in_amt WHEN 'ACCESSORY' THEN coupon_amt ELSE 0 END AS v FROM ps)
+    CASE cls WHEN 'HANDSET' THEN 'handset' WHEN 'ACCESSORY' THEN 'accessory' WHEN 'OTHER' THEN 'others' ELSE 'prepaid' END AS kind, pos_amt + CASE cls WHEN 'HANDSET' THEN trade_in_amt + rebate_amt WHEN 'ACCESSORY' THEN coupon_amt ELSE 0 END AS v FROM ps)
 """
 
 
-@report("contribution_by_store", with_tables(*_PRODUCTS_TABLES, "channel_cost", "headcount", "cost_codes", "cost_centres") + "," + _PRODUCTS_SQL + "," + _SIMPLE_SQL + "," + _RATED_SQL + """,
-rv AS (SELECT store_cd, kind, sum(v * rate) AS rev FROM sr GROUP BY 1, 2 UNION ALL SELECT store_cd, kind, sum(v * CASE WHEN kind = 'others' THEN 1 ELSE chan_rate END) FROM pr GROUP BY 1, 2),
-mg AS (SELECT store_cd, sum(v * margin) AS c FROM sr WHERE margin IS NOT NULL GROUP BY 1 UNION ALL SELECT store_cd, sum(rev * CASE kind WHEN 'handset' THEN 0.1 WHEN 'accessory' THEN 0.25 WHEN 'prepaid' THEN 0.2 END) FROM rv WHERE kind IN ('handset', 'accessory', 'prepaid') GROUP BY 1),
+_MINUS_SQL = "'3', '3.1', '3.2', '4', '5', '6', '7', '8', '8.1', '8.2', '8.3'"
+
+
+@report("contribution_by_store", with_tables(*_PRODUCTS_TABLES, "channel_cost", "headcount", "cost_codes", "cost_centres", "store_orders", "sim_cost", "depreciation", "locations") + "," + _PRODUCTS_SQL + "," + _SIMPLE_SQL + "," + _RATED_SQL + f""",
+rv AS (SELECT store_cd, kind, CAST(sum(v * rate) AS DECIMAL(28,6)) AS rev FROM sr GROUP BY 1, 2 UNION ALL SELECT store_cd, kind, CAST(sum(v * CASE WHEN kind = 'others' THEN 1 ELSE chan_rate END) AS DECIMAL(28,6)) FROM pr GROUP BY 1, 2),
+mg AS (SELECT store_cd, CAST(sum(v * margin) AS DECIMAL(28,6)) AS c FROM sr WHERE margin IS NOT NULL GROUP BY 1 UNION ALL SELECT store_cd, CAST(sum(rev * CASE kind WHEN 'handset' THEN 0.1 WHEN 'accessory' THEN 0.25 WHEN 'prepaid' THEN 0.2 WHEN 'others' THEN 0.15 END) AS DECIMAL(28,6)) FROM rv
+  WHERE kind IN ('handset', 'accessory', 'prepaid') OR (kind = 'others' AND store_cd IN (SELECT store_code FROM w_cost_centres)) GROUP BY 1),
 lg AS (SELECT 'ST' || substr(cost_center, 3) AS store_cd, account_cd, net_trx_amt FROM w_channel_cost WHERE cost_center IN (SELECT cost_center_code FROM w_cost_centres)),
 ln AS (
-  SELECT store_cd, '1' AS line, sum(rev) AS amt FROM rv GROUP BY 1 UNION ALL SELECT store_cd, '2', sum(c) FROM mg GROUP BY 1
+  SELECT store_cd, '1' AS line, CAST(sum(rev) AS DOUBLE) AS amt FROM rv GROUP BY 1 UNION ALL SELECT store_cd, '2', sum(c) FROM mg GROUP BY 1
   UNION ALL SELECT c.store_code, x.line, coalesce((SELECT sum(net_trx_amt) FROM lg WHERE lg.store_cd = c.store_code AND account_cd BETWEEN x.lo AND x.hi), 0) FROM w_cost_centres c CROSS JOIN (VALUES ('3', 'A00', 'A19'), ('5', 'A20', 'A49'), ('6', 'A50', 'A69'), ('7', 'A70', 'A99')) x(line, lo, hi)
   UNION ALL SELECT store_code, '3.2', 0 FROM w_cost_centres
+  UNION ALL SELECT c.store_code, '8.1', (SELECT count(*) FROM w_store_orders o WHERE o.store_cd = c.store_code AND mobile_type = 'Mobile' AND connection_type = 'New Activation' AND report_date BETWEEN DATE '1995-01-01' AND DATE '1995-01-31') * 12.5 FROM w_cost_centres c
+  UNION ALL SELECT l.store_cd, '8.3', sum(deprn_amt) FROM w_depreciation d JOIN w_locations l ON d.location_code = l.location WHERE account_cd BETWEEN 'B00' AND 'B99' GROUP BY 1
   UNION ALL SELECT c.store_code, '8.2', (SELECT sum(CASE WHEN is_general AND (account_cd BETWEEN 'A00' AND 'A49') THEN net_trx_amt WHEN cost_center IN ('CC8', 'CC9') AND is_project AND account_cd BETWEEN 'A50' AND 'A69' THEN net_trx_amt WHEN cost_center IN ('CC8', 'CC9') AND account_cd BETWEEN 'A70' AND 'A99' THEN net_trx_amt ELSE 0 END) FROM w_channel_cost)
-    * (SELECT count(*) FROM w_headcount WHERE split_part(acct_flexfield, '.', 2) = c.cost_center_code) / (SELECT CAST(count(*) AS DOUBLE) FROM w_headcount) FROM w_cost_centres c)
-SELECT store_cd, round(coalesce(sum(amt) FILTER (WHERE line = '1'), 0), 0) AS revenue, round(coalesce(sum(amt) FILTER (WHERE line = '8.2'), 0), 0) AS overhead,
-  round(sum(CASE WHEN line = '2' THEN amt WHEN line IN ('3', '3.1', '3.2', '5', '6', '7', '8', '8.2') THEN -amt ELSE 0 END), 0) AS contribution
-FROM (SELECT store_cd, line, CAST(amt AS DOUBLE) AS amt FROM ln) GROUP BY 1
+    * (SELECT count(*) FROM w_headcount WHERE split_part(acct_flexfield, '.', 2) = c.cost_center_code) / (SELECT CAST(count(*) AS DOUBLE) FROM w_headcount) FROM w_cost_centres c),
+ld AS (SELECT store_cd, line, CAST(amt AS DOUBLE) AS amt FROM ln)
+SELECT store_cd, line, round(amt, 2) AS amt FROM ld
+UNION ALL SELECT store_cd, '9', round(coalesce(sum(CASE WHEN line = '2' THEN amt WHEN line IN ({_MINUS_SQL}) THEN -amt END), 0), 2) FROM ld GROUP BY 1
 """)
 def contribution_by_store(t: Tables) -> DataFrame:
-    """Revenue, share of the overhead, and contribution per store."""
+    """Every line of the store report: revenue, margin, each cost, the share of the overhead, and (9) what is left."""
     w = Warehouse(t)
     out = contribution.by_store(w, _simple_services(t), settle(revenue.product_sales(w, WHOLE), "products"), WHOLE)
-    lines = out["lines"].groupBy("store_cd").agg(
-        *[F.round(F.coalesce(F.sum(F.when(F.col("line") == n, F.col("amt"))), F.lit(0)), 0).cast("double").alias(c) for n, c in (("1", "revenue"), ("8.2", "overhead"))]
-    )
-    return lines.join(out["contribution"], "store_cd").withColumn("contribution", F.round("contribution", 0).cast("double"))
+    return _with_result(out, ["store_cd"])
 
 
-@report("contribution_by_staff", with_tables(*_PRODUCTS_TABLES) + "," + _PRODUCTS_SQL + "," + _SIMPLE_SQL + "," + _RATED_SQL + """,
+def _with_result(out: dict[str, DataFrame], by: list[str]) -> DataFrame:
+    """The lines (settled, as the result is made of them) and line 9."""
+    lines = out["lines"].where("line <> '-1'").select(*by, "line", "amt")
+    left = out["contribution"].select(*by, F.lit("9").alias("line"), F.col("contribution").alias("amt"))
+    return lines.unionByName(left).withColumn("amt", F.round("amt", 2).cast("double"))
+
+
+@report("contribution_by_staff", with_tables(*_PRODUCTS_TABLES, "cost_centres", "staff_commission", "staff_list") + "," + _PRODUCTS_SQL + "," + _SIMPLE_SQL + "," + _RATED_SQL + f""",
 ids AS (SELECT DISTINCT usr_name, staff_id FROM w_fes_usr_info WHERE upper(full_name) NOT LIKE '%TEST%'),
-sx AS (SELECT s.*, coalesce(i.staff_id, ' ') AS staff_id FROM sr s LEFT JOIN ids i ON i.usr_name = CASE WHEN create_by LIKE 'FA%' AND usr_id NOT LIKE 'FA%' AND store_cd IN (SELECT store_cd FROM own) THEN usr_id ELSE create_by END),
+su AS (SELECT s.*, CASE WHEN create_by LIKE 'FA%' AND usr_id NOT LIKE 'FA%' AND store_cd IN (SELECT store_cd FROM own) THEN usr_id ELSE create_by END AS usr FROM sr s),
+sx AS (SELECT s.*, coalesce(i.staff_id, ' ') AS staff_id FROM su s LEFT JOIN ids i ON i.usr_name = s.usr),
 px AS (SELECT p.*, coalesce(i.staff_id, ' ') AS staff_id FROM pr p LEFT JOIN ids i ON i.usr_name = p.salesman),
-rv AS (SELECT store_cd, staff_id, kind, sum(v * rate) AS rev FROM sx GROUP BY 1, 2, 3 UNION ALL SELECT store_cd, staff_id, kind, sum(v * CASE WHEN kind = 'others' THEN 1 ELSE chan_rate END) FROM px GROUP BY 1, 2, 3),
-mg AS (SELECT store_cd, staff_id, sum(v * margin) AS c FROM sx WHERE margin IS NOT NULL GROUP BY 1, 2 UNION ALL SELECT store_cd, staff_id, sum(rev * CASE kind WHEN 'handset' THEN 0.1 WHEN 'accessory' THEN 0.25 WHEN 'prepaid' THEN 0.2 END) FROM rv WHERE kind IN ('handset', 'accessory', 'prepaid') GROUP BY 1, 2)
-SELECT store_cd, staff_id, round(CAST(r AS DOUBLE), 0) AS revenue, round(CAST(coalesce(c, 0) AS DOUBLE), 0) AS contribution
-FROM (SELECT store_cd, staff_id, sum(rev) AS r FROM rv GROUP BY 1, 2) LEFT JOIN (SELECT store_cd, staff_id, sum(c) AS c FROM mg GROUP BY 1, 2) USING (store_cd, staff_id)
+rv AS (SELECT store_cd, staff_id, kind, CAST(sum(v * rate) AS DECIMAL(28,6)) AS rev FROM sx GROUP BY 1, 2, 3 UNION ALL SELECT store_cd, staff_id, kind, CAST(sum(v * CASE WHEN kind = 'others' THEN 1 ELSE chan_rate END) AS DECIMAL(28,6)) FROM px GROUP BY 1, 2, 3),
+mg AS (SELECT store_cd, staff_id, CAST(sum(v * margin) AS DECIMAL(28,6)) AS c FROM sx WHERE margin IS NOT NULL GROUP BY 1, 2 UNION ALL SELECT store_cd, staff_id, CAST(sum(rev * CASE kind WHEN 'handset' THEN 0.1 WHEN 'accessory' THEN 0.25 WHEN 'prepaid' THEN 0.2 END) AS DECIMAL(28,6)) FROM rv WHERE kind IN ('handset', 'accessory', 'prepaid') GROUP BY 1, 2),
+mem AS (SELECT store_cd, staff_id, sum(rev) AS r FROM rv GROUP BY 1, 2),
+deal AS (SELECT DISTINCT * FROM (
+  SELECT store_cd, staff_id, usr, order_num AS inv_num, CASE p WHEN 1 THEN 0.9 WHEN 2 THEN 0.5 WHEN 3 THEN NULL ELSE 0.6 END AS rate FROM sx
+  UNION ALL SELECT store_cd, staff_id, salesman, inv_num, CASE WHEN fa_inv_flg = 'Y' THEN 0.7 ELSE chan_rate END FROM px)),
+gd AS (SELECT inv_num, sum(CASE pos_prod_cd WHEN 'P4' THEN 1.25 WHEN 'P7' THEN 0.5 END) AS c FROM w_pos_inv_detail WHERE pos_prod_cd IN ('P4', 'P7') GROUP BY 1),
+ln AS (
+  SELECT store_cd, staff_id, '1' AS line, CAST(r AS DECIMAL(28,6)) AS amt FROM mem
+  UNION ALL SELECT store_cd, staff_id, '2', CAST(sum(c) AS DECIMAL(28,6)) FROM mg GROUP BY 1, 2
+  UNION ALL SELECT m.store_cd, m.staff_id, '3', CAST(coalesce((SELECT sum(commission_payable) FROM w_staff_commission q WHERE q.shop_cd = m.store_cd AND q.staff_code = m.staff_id), 0) AS DECIMAL(28,6)) FROM mem m
+  UNION ALL SELECT m.store_cd, m.staff_id, '4', CAST(coalesce(g.c, 0) AS DECIMAL(28,6)) FROM mem m LEFT JOIN (SELECT store_cd, staff_id, sum(gd.c * rate) AS c FROM deal JOIN gd USING (inv_num) GROUP BY 1, 2) g USING (store_cd, staff_id)
+  UNION ALL SELECT m.store_cd, m.staff_id, '5', coalesce(k.total_package, 0) FROM mem m LEFT JOIN (SELECT DISTINCT store_code AS store_cd, staff_no AS staff_id, total_package FROM w_staff_list JOIN w_cost_centres ON dept_code = cost_center_code) k USING (store_cd, staff_id)),
+ld AS (SELECT store_cd, staff_id, line, CAST(amt AS DECIMAL(28,6)) AS amt FROM ln)
+SELECT store_cd, staff_id, line, CAST(round(amt, 2) AS DOUBLE) AS amt FROM ld
+UNION ALL SELECT store_cd, staff_id, '9', CAST(round(coalesce(sum(CASE WHEN line = '2' THEN amt WHEN line IN ({_MINUS_SQL}) THEN -amt END), 0), 2) AS DOUBLE) FROM ld GROUP BY 1, 2
 """)
 def contribution_by_staff(t: Tables) -> DataFrame:
-    """Revenue and contribution per store and staff member."""
+    """Every line of the staff report: revenue, margin, commission, premium goods, manpower, and (9) what is left."""
     w = Warehouse(t)
     products = settle(revenue.product_sales(w, WHOLE), "products")
-    out = contribution.by_staff(w, _simple_services(t), products, channel.staff_names(w), WHOLE)
-    return out.select("store_cd", "staff_id", *[F.round(c, 0).cast("double").alias(c) for c in ("revenue", "contribution")])
+    return _with_result(contribution.by_staff(w, _simple_services(t), products, channel.staff_names(w), WHOLE), ["store_cd", "staff_id"])

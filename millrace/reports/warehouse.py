@@ -60,6 +60,7 @@ def pos_inv_detail(t: Tables) -> DataFrame:
         F.when(F.pmod(part, F.lit(40)) == 0, "CRPP").when(F.pmod(part, F.lit(41)) == 0, "LDFD").otherwise(_text("P", F.pmod(part, F.lit(10)))).alias("pos_prod_cd"),
         F.when(F.col("l_returnflag") == "A", "AH").when(F.col("l_returnflag") == "N", "AA").otherwise("AP").alias("warehouse"),
         money("l_extendedprice").alias("net_amt"), money(F.col("l_tax") * 100).alias("trade_in_amt"), F.col("l_quantity").cast("bigint").alias("qty"),
+        F.when(F.pmod(part, F.lit(23)) == 0, "HANDSET CASH REBATE").otherwise("ITEM").alias("common_desc"),
     )
 
 
@@ -177,13 +178,16 @@ CONST: dict[str, tuple[str, list[tuple]]] = {
     "crbk_check_ref": ("cr_cd string, cb_amt int, vas_cd string", [("K1", 5, "RP1,RP4"), ("K2", 4, "V1")]),
     "mkt_rebate_ref": ("mkt_cd string, rebate_amt int", [("M1", 11)]),
     "channel_rate": ("channel string, discount_rate double", [("RBD", 0.9), ("Online", 0.5), ("Street fighter", 0.7), ("Others", 0.4), ("Cold call", 0.6)]),
-    "margin": ("grp_name string, margin double", [("01. Unlimited", 0.6), ("02. High", 0.5), ("03. Mid", 0.4), ("12. Other plans", 0.3), ("Handset", 0.1), ("Accessory", 0.25), ("Prepaid", 0.2)]),
+    "margin": ("grp_name string, margin double", [("01. Unlimited", 0.6), ("02. High", 0.5), ("03. Mid", 0.4), ("12. Other plans", 0.3), ("Handset", 0.1), ("Accessory", 0.25), ("Prepaid", 0.2), ("Others", 0.15)]),
     "cost_codes": ("acct_code_start string, acct_code_end string, expenses_nature string", [("A00", "A19", "Commission"), ("A20", "A49", "Manpower costs"), ("A50", "A69", "Rental & utilities"), ("A70", "A99", "MIS expenses"), ("B00", "B99", "Headcount")]),
     "cost_centres": ("cost_center_code string, store_code string", [(f"CC{n}", f"ST{n}") for n in range(8)]),
+    "sim_cost": ("trx_mth string, sim_cost double", [("1995-01-01", 12.5)]),
+    "locations": ("location string, store_cd string, trx_mth string", [(f"LOC{n}", f"ST{n % 6}", "1995-01-01") for n in range(9)]),
+    "premium_cost": ("product_code string, unit_cost double, trx_month string", [("P4", 1.25, "1995-01-01"), ("P7", 0.5, "1995-01-01")]),
     "shared_codes": ("acct_code_start string, acct_code_end string, expenses_nature string, trx_mth string", [("A00", "A49", "Administration expenses", "1995-01-01"), ("A50", "A69", "Marketing expense", "1995-01-01"), ("A70", "A99", "Marketing expense2", "1995-01-01")]),
 }
-_DATES = {"eff_start_date", "eff_end_date", "comm_mth", "eff_s_date", "eff_e_date", "start_date", "end_date", "trx_mth"}
-_DECIMALS = {"bill_rate", "overr_rebate_amt", "overr_bill_rate", "credit_back_amt", "cb_amt", "rebate_amt", "discount_rate", "margin"}
+_DATES = {"eff_start_date", "eff_end_date", "comm_mth", "eff_s_date", "eff_e_date", "start_date", "end_date", "trx_mth", "trx_month"}
+_DECIMALS = {"bill_rate", "overr_rebate_amt", "overr_bill_rate", "credit_back_amt", "cb_amt", "rebate_amt", "discount_rate", "margin", "sim_cost", "unit_cost"}
 
 MADE: dict[str, Callable[[Tables], DataFrame]] = {
     "pos_inv_header": pos_inv_header, "pos_inv_detail": pos_inv_detail, "pos_return_header": pos_return_header, "subr_info_hist": subr_info_hist,
@@ -224,7 +228,35 @@ def _headcount(t: Tables) -> DataFrame:
     return t.customer.select(F.concat(F.lit("10.CC"), F.pmod("c_custkey", F.lit(7)).cast("string"), F.lit(".5")).alias("acct_flexfield"), F.lit(FIRST).alias("trx_mth"), F.lit(1).alias("headcount"))
 
 
+def _store_orders(t: Tables) -> DataFrame:
+    p = _p()
+    return orders(t).select(
+        _text("ST", F.pmod("o_custkey", F.lit(9))).alias("store_cd"), F.when(p <= 3, "Mobile").otherwise("Fixed").alias("mobile_type"),
+        F.when(F.col("o_orderstatus") == "F", "New Activation").otherwise("Renewal").alias("connection_type"), F.date_add(F.lit(FIRST), F.pmod("o_orderkey", F.lit(40)).cast("int")).alias("report_date"),
+    )
+
+
+def _depreciation(t: Tables) -> DataFrame:
+    return t.lineitem.select(
+        _text("LOC", F.pmod("l_suppkey", F.lit(10))).alias("location_code"), F.concat(F.when(F.pmod("l_partkey", F.lit(3)) == 0, "A").otherwise("B"), F.lpad(F.pmod("l_partkey", F.lit(100)).cast("string"), 2, "0")).alias("account_cd"),
+        money(F.col("l_tax") * 100).alias("deprn_amt"), F.lit(FIRST).alias("trx_mth"),
+    )
+
+
+def _staff_commission(t: Tables) -> DataFrame:
+    return t.customer.select(
+        _text("ST", F.pmod("c_custkey", F.lit(9))).alias("shop_cd"), _text("E", F.pmod("c_custkey", F.lit(6))).alias("staff_code"), money("c_acctbal").alias("commission_payable"), F.lit(FIRST).alias("trx_month"),
+    )
+
+
+def _staff_list(t: Tables) -> DataFrame:
+    return t.supplier.where("s_suppkey < 40").select(
+        _text("E", F.pmod("s_suppkey", F.lit(6))).alias("staff_no"), _text("CC", F.pmod("s_suppkey", F.lit(8))).alias("dept_code"), (F.pmod("s_suppkey", F.lit(5)) * 100).cast(AMT).alias("total_package"), F.lit(FIRST).alias("trx_month"),
+    )
+
+
 MADE.update(
+    store_orders=_store_orders, depreciation=_depreciation, staff_commission=_staff_commission, staff_list=_staff_list,
     prepd_postpaid_subr=_prepd, pos_recpt_detail=_recpt_detail, pos_recpt_payment=_recpt_payment, data_entitle_hist=_entitle_hist, channel_cost=_ledger,
     shared_ledger=_ledger, headcount=_headcount,
 )
@@ -284,7 +316,8 @@ SQL: dict[str, str] = {name: _const_sql(name) for name in CONST} | {
       CASE WHEN o_orderkey % 13 = 0 THEN 'FA1' WHEN o_orderkey % 17 = 0 THEN 'CA1' ELSE 'SM' || (o_orderkey % 11) END AS salesman_cd, 'SM' || (o_orderkey % 7) AS usr_id,
       CASE WHEN o_totalprice > 400000 THEN 'Y' ELSE 'N' END AS online_inv_flg FROM orders)""",
     "pos_inv_detail": f"""w_pos_inv_detail AS (SELECT {_inv_sql('l_orderkey')} AS inv_num, CASE WHEN l_partkey % 40 = 0 THEN 'CRPP' WHEN l_partkey % 41 = 0 THEN 'LDFD' ELSE 'P' || (l_partkey % 10) END AS pos_prod_cd,
-      CASE l_returnflag WHEN 'A' THEN 'AH' WHEN 'N' THEN 'AA' ELSE 'AP' END AS warehouse, CAST(l_extendedprice AS DECIMAL(18,2)) AS net_amt, CAST(l_tax * 100 AS DECIMAL(18,2)) AS trade_in_amt, CAST(l_quantity AS BIGINT) AS qty FROM lineitem)""",
+      CASE l_returnflag WHEN 'A' THEN 'AH' WHEN 'N' THEN 'AA' ELSE 'AP' END AS warehouse, CAST(l_extendedprice AS DECIMAL(18,2)) AS net_amt, CAST(l_tax * 100 AS DECIMAL(18,2)) AS trade_in_amt, CAST(l_quantity AS BIGINT) AS qty,
+      CASE WHEN l_partkey % 23 = 0 THEN 'HANDSET CASH REBATE' ELSE 'ITEM' END AS common_desc FROM lineitem)""",
     "pos_return_header": f"w_pos_return_header AS (SELECT {_inv_sql('l_orderkey')} AS inv_num, CAST(l_shipdate AS DATE) AS trx_date FROM lineitem WHERE l_returnflag = 'R' AND l_quantity = 50)",
     "subr_info_hist": f"w_subr_info_hist AS (SELECT {_L}, CASE WHEN substr(plan, 1, 1) = '5' THEN 'PE' ELSE 'OK' END AS subr_stat_cd, 'RP' || substr(plan, 1, 1) AS rate_plan_cd, start_date, end_date FROM w_hist)",
     "subr_ld_hist": "w_subr_ld_hist AS (SELECT inv_num, cust_num, subr_num, ld_cd, mkt_cd, inv_date AS ld_start_date, ld_expiry_date AS ld_expired_date, inv_date AS start_date, DATE '2999-12-31' AS end_date FROM w_pos_inv_header WHERE ld_cd <> ' ' AND inv_num LIKE 'I%')",
@@ -302,6 +335,10 @@ SQL: dict[str, str] = {name: _const_sql(name) for name in CONST} | {
     "coupons": f"w_coupons AS (SELECT {_inv_sql('o_orderkey')} AS inv_num, CAST(25 AS DECIMAL(12,2)) AS coupon_amt FROM orders WHERE o_totalprice > 250000)",
     "data_entitle_hist": f"w_data_entitle_hist AS (SELECT {_L}, 'E' || substr(plan, 1, 1) AS free_data_entitle, start_date, end_date FROM w_hist WHERE plan <> '3-MEDIUM')",
     "channel_cost": "w_channel_cost AS (SELECT 'CC' || (l_suppkey % 10) AS cost_center, 'A' || lpad(CAST(l_partkey % 100 AS VARCHAR), 2, '0') AS account_cd, CAST(l_extendedprice AS DECIMAL(18,2)) AS net_trx_amt, l_suppkey % 10 = 9 AS is_general, l_linenumber = 1 AS is_project FROM lineitem)",
+    "store_orders": f"w_store_orders AS (SELECT 'ST' || (o_custkey % 9) AS store_cd, CASE WHEN {_P} <= 3 THEN 'Mobile' ELSE 'Fixed' END AS mobile_type, CASE WHEN o_orderstatus = 'F' THEN 'New Activation' ELSE 'Renewal' END AS connection_type, DATE '1995-01-01' + CAST(o_orderkey % 40 AS INTEGER) AS report_date FROM orders)",
+    "depreciation": "w_depreciation AS (SELECT 'LOC' || (l_suppkey % 10) AS location_code, CASE WHEN l_partkey % 3 = 0 THEN 'A' ELSE 'B' END || lpad(CAST(l_partkey % 100 AS VARCHAR), 2, '0') AS account_cd, CAST(l_tax * 100 AS DECIMAL(18,2)) AS deprn_amt FROM lineitem)",
+    "staff_commission": "w_staff_commission AS (SELECT 'ST' || (c_custkey % 9) AS shop_cd, 'E' || (c_custkey % 6) AS staff_code, CAST(c_acctbal AS DECIMAL(18,2)) AS commission_payable FROM customer)",
+    "staff_list": "w_staff_list AS (SELECT 'E' || (s_suppkey % 6) AS staff_no, 'CC' || (s_suppkey % 8) AS dept_code, CAST(s_suppkey % 5 * 100 AS DECIMAL(12,2)) AS total_package FROM supplier WHERE s_suppkey < 40)",
     "headcount": "w_headcount AS (SELECT '10.CC' || (c_custkey % 7) || '.5' AS acct_flexfield FROM customer)",
 }
 
