@@ -229,6 +229,11 @@ def octet_bucket(c: Column | str, n: int = 3, width: int = 1) -> Column:
 
 # --- text ---------------------------------------------------------------------------------
 
+def literal(sep: str) -> str:
+    """A pattern that matches a separator as it stands, of any characters."""
+    return "\\Q" + sep.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
 def nth_segment(c: Column | str, sep: str, n: int) -> Column:
     """n-th piece of separated text; empty text beyond the last one."""
     return F.split_part(as_col(c), F.lit(sep), F.lit(n))
@@ -236,14 +241,14 @@ def nth_segment(c: Column | str, sep: str, n: int) -> Column:
 
 def nth_token(c: Column | str, n: int, sep: str = ",") -> Column:
     """n-th non-empty token; null beyond the last one."""
-    pieces = F.filter(F.split(as_col(c), "[" + sep + "]"), lambda x: x != "")
+    pieces = F.filter(F.split(as_col(c), literal(sep)), lambda x: x != "")
     return F.try_element_at(pieces, F.lit(n))
 
 
 def token_count(c: Column | str, sep: str = ",") -> Column:
     """Number of separators plus one; 0 for a blank."""
     c = as_col(c)
-    return F.when(blank(c), F.lit(0)).otherwise(F.regexp_count(c, F.lit("[" + sep + "]")) + 1)
+    return F.when(blank(c), F.lit(0)).otherwise(F.regexp_count(c, F.lit(literal(sep))) + 1)
 
 
 def composite_id(*cs: Column | str) -> Column:

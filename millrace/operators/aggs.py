@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.exprs import ratio
-from millrace.operators.sizing import small_values
 
 __all__ = [
     "allocate", "duplicate_keys", "keep_first", "list_agg", "offset_pairs", "per_day", "pick_rank", "pivot_report",
@@ -159,14 +158,14 @@ def with_subtotals(
 
 
 def pivot_report(
-    df: DataFrame, rows: Sequence[str], col: str, value: str, cols: Sequence | None = None, limit: int = 200
+    df: DataFrame, rows: Sequence[str], col: str, value: str, cols: Sequence | None = None
 ) -> DataFrame:
-    """Long cells to a wide table. Column values are listed, or found and bounded by `limit`."""
+    """Long cells to a wide table, with the listed column values, or those found, in order.
+
+    The long cells are the form for any number of values; each value becomes a column here.
+    """
     if cols is None:
-        found = small_values(df.where(F.col(col).isNotNull()), [col], limit)
-        if found is None:
-            raise ValueError(f"more than {limit} values of {col} to pivot")
-        cols = [v for (v,) in found]
+        cols = sorted(v for (v,) in df.where(F.col(col).isNotNull()).select(col).distinct().collect())
     return df.groupBy(*_list(rows)).pivot(col, list(cols)).agg(F.max(value))
 
 

@@ -13,10 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.exprs import as_col
-from millrace.operators.sizing import hint_small, small_values
+from millrace.functions.exprs import as_col, literal
+from millrace.operators.sizing import BROADCAST_BYTES, estimated_bytes, hint_small, small_values
 
-LABEL_LIMIT = 1000
 PATTERN_LIMIT = 500
 
 
@@ -33,12 +32,13 @@ def join_eq(
     when a known hot key meets a `right` side of few rows per key. Not for right or full joins.
     """
     on = _names(on)
-    if small:
-        right = hint_small(right)
     if salt <= 1:
-        return left.join(right, on, how)
+        return left.join(hint_small(right) if small else right, on, how)
     left = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salt)).cast("int"))
+    size = estimated_bytes(right)
     right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+    if small and size is not None and size * salt <= BROADCAST_BYTES:
+        right = F.broadcast(right)
     return left.join(right, on + ["_salt"], how).drop("_salt")
 
 
@@ -219,6 +219,8 @@ def drop_like(df: DataFrame, col: str, patterns: DataFrame, pattern: str = "patt
         if not found:
             return df
         hits = [F.col(col).like(p) for (p,) in found if p is not None]
+        if not hits:
+            return df
         any_hit = reduce(lambda a, b: a | b, hits)
         return df.where(~F.coalesce(any_hit, F.lit(False)))
     texts = df.select(F.col(col).alias("_text")).distinct()
@@ -231,19 +233,14 @@ def drop_like(df: DataFrame, col: str, patterns: DataFrame, pattern: str = "patt
 def grid(first: DataFrame, *dims: DataFrame) -> DataFrame:
     """Every combination of the rows of small label sets.
 
-    Labels up to the bound are attached as an array and exploded; only a longer set is cross joined.
+    The distinct labels of a set are one array, a scalar subquery, and are exploded for each row; an empty
+    set gives an empty grid.
     """
     out = first
     for dim in dims:
-        found = small_values(dim, dim.columns, LABEL_LIMIT)
-        if found is None:
-            out = out.crossJoin(dim.distinct())
-            continue
-        types = [f.dataType for f in dim.schema.fields]
-        items = [
-            F.struct(*[F.lit(v).cast(t).alias(n) for v, t, n in zip(row, types, dim.columns)]) for row in found
-        ]
-        out = out.withColumn("_label", F.explode(F.array(*items))).select(*out.columns, "_label.*")
+        labels = dim.agg(F.array_sort(F.collect_set(F.struct(*dim.columns))).alias("labels")).scalar()
+        kept = out.columns
+        out = out.withColumn("_labels", labels).withColumn("_label", F.explode("_labels")).select(*kept, "_label.*")
     return out
 
 
@@ -271,7 +268,7 @@ def join_on_expr(
 
 def join_list_member(df: DataFrame, list_col: str, other: DataFrame, key: str, sep: str = ",", how: str = "inner") -> DataFrame:
     """Join rows holding a list text to the rows of `other` whose key is in the list."""
-    items = F.array_distinct(F.transform(F.split(F.col(list_col), "[" + sep + "]"), lambda x: F.trim(x)))
+    items = F.array_distinct(F.transform(F.split(F.col(list_col), literal(sep)), lambda x: F.trim(x)))
     split = df.withColumn("_item", F.explode(items)).where("_item <> ''")
     keyed = other.withColumn("_key", F.trim(F.col(key).cast("string")))
     return split.join(keyed, split["_item"] == keyed["_key"], how).drop("_item", "_key")

@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.exprs import literal
 from millrace.operators.aggs import list_agg
 
 
 def split_rows(df: DataFrame, col: str, sep: str = ",", name: str = "item", keep_empty: bool = False) -> DataFrame:
     """One row per item with its place; a null or empty list keeps one row with a null item."""
-    items = F.split(F.col(col), "[" + sep + "]")
+    items = F.split(F.col(col), literal(sep))
     if not keep_empty:
         items = F.filter(F.transform(items, lambda x: F.trim(x)), lambda x: x != "")
     out = df.select("*", F.posexplode_outer(items).alias("_pos", name))

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions import blank, decode, first_match, month_start, pct_text, ratio
 from millrace.operators import constant_rows, grid, keep_first, keep_in, label_order, list_agg, pivot_report, split_rows, stack
-from millrace.operators.sizing import small_values
 from millrace.params import NO_TEXT, OPEN_DATE
 from millrace.plans.base import LINE, Frames, pick
 from millrace.sources.storage import settle
@@ -35,7 +34,7 @@ def before(t: Frames) -> DataFrame:
     avg3 = (F.col("net_rev_1") + F.col("net_rev_2") + F.col("net_rev_3")) / 3
     usage = (F.col("vol_kb_1") + F.col("vol_kb_2") + F.col("vol_kb_3")) / 3 / 1024 / 1024
     out = asked.join(t["master_summ"], [*LINE, "trx_month"]).groupBy(*by).agg(
-        F.round(F.sum(avg3), 2).alias("avg_net_rev"), F.sum(usage).alias("avg_usage_gb")
+        F.sum(avg3).alias("avg_net_rev"), F.sum(usage).alias("avg_usage_gb")
     )
     return out
 
@@ -232,10 +231,9 @@ def kpi_cells(base: DataFrame, by: str = "shk_tier") -> DataFrame:
     return base.select(F.col(by).alias("col_key"), F.explode(F.array(*cells)).alias("c")).select("col_key", "c.*")
 
 
-def _tiers(h: DataFrame, by: str, whole: str) -> list[str] | None:
-    """Columns of a matrix: the total, then the tiers in order; None leaves them to the pivot."""
-    found = small_values(h, [by], 199)
-    return None if found is None else [whole, *[v for (v,) in found]]
+def _tiers(h: DataFrame, by: str, whole: str) -> list[str]:
+    """Columns of a matrix: the total, then the tiers in order."""
+    return [whole, *sorted(v for (v,) in h.where(F.col(by).isNotNull()).select(by).distinct().collect())]
 
 
 def kpi_matrix(h: DataFrame, by: str = "shk_tier") -> DataFrame:

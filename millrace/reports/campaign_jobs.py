@@ -160,7 +160,7 @@ o AS (SELECT 'C' || o_custkey AS c, 'S' || o_custkey AS s, CAST(o_orderdate AS D
 x AS (SELECT 'T' || substr(c, 2) AS trx_id, c, s, CAST(min(d) + INTERVAL 12 MONTH AS DATE) AS cd FROM o GROUP BY c, s),
 prj AS (SELECT trx_id, CASE p WHEN '1' THEN 'Accept Offer' WHEN '2' THEN 'Consider' ELSE 'Busy' END AS v, rank() OVER (PARTITION BY trx_id ORDER BY d DESC) AS rk FROM x JOIN o USING (c, s) WHERE d >= cd AND st IN ('F', 'O')),
 pr AS (SELECT trx_id, max(v) AS pr FROM prj WHERE rk = 1 GROUP BY 1),
-bf AS (SELECT trx_id, round(CAST(sum(amt) AS DOUBLE), 2) AS rev FROM x JOIN o USING (c, s) WHERE date_trunc('month', d) = date_trunc('month', cd) - INTERVAL 1 MONTH GROUP BY 1),
+bf AS (SELECT trx_id, CAST(sum(amt) AS DOUBLE) AS rev FROM x JOIN o USING (c, s) WHERE date_trunc('month', d) = date_trunc('month', cd) - INTERVAL 1 MONTH GROUP BY 1),
 fupj AS (SELECT trx_id, rank() OVER (PARTITION BY trx_id ORDER BY d DESC) AS rk FROM x JOIN o USING (c, s) WHERE d < cd AND p = '1'),
 fup AS (SELECT DISTINCT trx_id, 'FUP12' AS cd, 1 AS amt, 'BILL_CD' AS src FROM fupj WHERE rk = 1),
 ldj AS (SELECT trx_id FROM x JOIN w_subr_ld_hist l ON l.cust_num = c AND l.subr_num = s WHERE l.mkt_cd = 'M3' AND l.ld_start_date < cd),
@@ -173,7 +173,7 @@ ru(rule_id, plan, mkt, addons, price) AS (VALUES ('R1', 'RP1', 'M1', 'M1,M2', 30
 j AS (SELECT x.trx_id, coalesce(pr, ' ') AS pr, coalesce(rev, 0) AS rev, coalesce(lst, ' ') AS lst, coalesce(oth.amt, 0) AS oamt, coalesce(ch, ' ') AS ch, coalesce(tariff, 0) AS tariff, coalesce(ad.addons, ' ') AS addons, coalesce(ru.rule_id, ' ') AS rule, ru.price
   FROM x LEFT JOIN pr USING (trx_id) LEFT JOIN bf USING (trx_id) LEFT JOIN oth USING (trx_id) LEFT JOIN rn USING (trx_id) LEFT JOIN ad USING (trx_id) LEFT JOIN ru ON rn.plan = ru.plan AND rn.mkt = ru.mkt AND ad.addons = ru.addons),
 k AS (SELECT *, CASE WHEN rule <> ' ' THEN price ELSE tariff END AS net FROM j)
-SELECT trx_id, pr AS pr_final_status, rev AS bf_avg_net_rev, lst AS bf_other_lst, oamt AS bf_other_amt, ch AS af_channel_effort, addons AS af_addon_map_mkt_lst, rule AS ru_rule_id, CAST(net AS DOUBLE) AS af_net_price,
+SELECT trx_id, pr AS pr_final_status, round(rev, 2) AS bf_avg_net_rev, lst AS bf_other_lst, oamt AS bf_other_amt, ch AS af_channel_effort, addons AS af_addon_map_mkt_lst, rule AS ru_rule_id, CAST(net AS DOUBLE) AS af_net_price,
   CASE WHEN rule = ' ' THEN ' ' WHEN rev > net THEN 'DOWN_SELL' WHEN rev = net THEN 'FLAT_SELL' ELSE 'UP_SELL' END AS cl_sale_type,
   CASE WHEN pr IN ('Accept Offer', 'Consider') THEN 'REACH' ELSE 'NON_REACH' END AS cl_reach,
   CASE WHEN pr = 'Accept Offer' AND ch = 'Outbound' THEN 'HIT:OUTBOUND' WHEN rule <> ' ' THEN 'HIT:' || upper(ch) ELSE ' ' END AS cl_hit,
@@ -185,4 +185,4 @@ def campaign_classify(t: Tables) -> DataFrame:
     out = campaign.classify(_Inputs(t), F.to_date(F.lit("2002-01-01")))
     sums = ["bf_avg_net_rev", "bf_other_amt", "af_net_price"]
     texts = ["pr_final_status", "bf_other_lst", "af_channel_effort", "af_addon_map_mkt_lst", "ru_rule_id", "cl_sale_type", "cl_reach", "cl_hit", "cl_except"]
-    return out.select("trx_id", *texts, *[F.col(c).cast("double").alias(c) for c in sums])
+    return out.select("trx_id", *texts, *[F.round(c, 2).cast("double").alias(c) for c in sums])

@@ -96,14 +96,14 @@ FROM orders
 """)
 def decode_nvl(t: Tables) -> DataFrame:
     prio = F.col("o_orderpriority")
-    high = F.when(F.substring(prio, 1, 1).isin("1", "2"), F.substring(prio, 3, 100)).otherwise(F.lit(" "))
+    high = F.when(F.substring(prio, 1, 1).isin("1", "2"), F.substr(prio, F.lit(3))).otherwise(F.lit(" "))
     return t.orders.select(
         "o_orderkey",
         X.decode("o_orderstatus", ("F", "done"), ("O", "open"), default="other").alias("status_nm"),
         F.coalesce(F.nullif(prio, F.lit("5-LOW")), F.lit("none")).alias("prio"),
         X.decode(F.nullif("o_orderstatus", F.lit("P")), (None, "was null"), ("O", "o"), default="x").alias("null_match"),
         X.override(high, "o_orderstatus").alias("shown"),
-        (X.clean_number(F.substring(prio, 3, 100)) + X.clean_number(F.substring(prio, 1, 1))).cast("double").alias("num"),
+        (X.clean_number(F.substr(prio, F.lit(3))) + X.clean_number(F.substring(prio, 1, 1))).cast("double").alias("num"),
     )
 
 
@@ -328,7 +328,7 @@ def text_clean(t: Tables) -> DataFrame:
     listed = F.concat_ws(",", name, "c_mktsegment")
     return t.customer.select(
         "c_custkey",
-        F.substring(name, 10, 100).alias("tail"),
+        F.substr(name, F.lit(10)).alias("tail"),
         F.substring(name, -3, 3).alias("last3"),
         F.replace(name, F.lit("#"), F.lit(":")).alias("swapped"),
         X.composite_id(F.upper("c_mktsegment"), "c_custkey").alias("id"),
@@ -390,12 +390,12 @@ def _wide(t: Tables, kind: str) -> DataFrame:
 _WIDE_SQL = """
 v AS (SELECT lpad(CAST(user_id AS VARCHAR), 9, '0') || '_' || strftime(ts, '%Y%m%d%H%M%S') AS row_key, CAST(user_id AS VARCHAR) AS src,
     date_trunc('second', ts) AS start_datetime, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS send_volume, CAST(0 AS DOUBLE) AS receive_volume, event_type AS service
-  FROM events WHERE event_type IN ('view', 'click', 'purchase'))
+  FROM events)
 """
 
 
 def _flat(t: Tables) -> DataFrame:
-    v = wide_column_view([_wide(t, k) for k in ("view", "click", "purchase")])
+    v = wide_column_view([_wide(t, k) for k in ("view", "click", "purchase", "signup", "error")])
     return v.select(
         "row_key", "src", F.col("start_datetime").cast("timestamp_ntz").alias("start_datetime"),
         F.col("send_volume").cast("double").alias("send_volume"), F.col("receive_volume").cast("double").alias("receive_volume"), "service",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.functions.exprs import json_number
+from millrace.functions.exprs import json_number, literal
 
 Paths = str | Sequence[str]
 
@@ -93,7 +93,7 @@ def read_fixed_width(
 
 def parse_pipe(df: DataFrame, col: str, names: Sequence[str], sep: str = "|") -> DataFrame:
     """Quotes removed, then split into named fields; missing trailing fields are null."""
-    parts = F.split(F.regexp_replace(F.col(col), '"', ""), "[" + sep + "]")
+    parts = F.split(F.regexp_replace(F.col(col), '"', ""), literal(sep))
     return df.withColumn("_p", parts).select(*[F.get("_p", i).alias(n) for i, n in enumerate(names)])
 
 

@@ -7,6 +7,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from millrace.sources.storage import children
+
+
+def last_batch(spark: SparkSession, checkpoint: str) -> int:
+    """Number of the last batch that a checkpoint has committed; -1 before the first."""
+    return max([int(n) for n in children(spark, f"{checkpoint}/commits") if n.isdigit()], default=-1)
+
 
 def ingest_incremental(
     spark: SparkSession,
@@ -35,6 +42,7 @@ def ingest_incremental(
     writer = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).option("path", sink)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    before = last_batch(spark, checkpoint)
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
-    return len([p for p in query.recentProgress if p["numInputRows"] > 0])
+    return last_batch(spark, checkpoint) - before

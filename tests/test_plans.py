@@ -42,14 +42,14 @@ def test_fixed_width_short_and_header_lines(spark):
 
 
 def test_firewall_rejects_and_both_feeds(spark):
-    raw = ['"1"|10|20|2020-05-04 07:16:58|web|10.131.43.174|1.2.3.4', "2|1|2|bad|web|10.0.0.1|x", "3|1"]
+    raw = ['"1"|10|20|2021-03-02 01:02:03|web|192.0.2.17|1.2.3.4', "2|1|2|bad|web|10.0.0.1|x", "3|1"]
     good, bad = records.firewall_keyed(spark.createDataFrame([(x,) for x in raw], "value string"))
-    assert cells(good, "row_key", "send_volume") == [("010.131.043.174_20200504071658_1.2.3.4", "10")]
+    assert cells(good, "row_key", "send_volume") == [("192.000.002.017_20210302010203_1.2.3.4", "10")]
     assert bad.count() == 2
     wide = records.firewall_columns(good).first()
-    assert (wide.trx_date, wide.pkey, wide.srcip_num, wide.srv) == ("20200504", 43, 10131043174, "web")
-    old = spark.createDataFrame([("k", "2020-05-04 07:16:58", "10.131.43.174", "1.2.3.4", "5-6-dns")], R._strings(R.FIREWALL_LOADER))
-    assert cells(records.firewall_columns(old), "send_vol", "recv_vol", "srv", "pkey") == [("5", "6", "dns", 43)]
+    assert (wide.trx_date, wide.pkey, wide.srcip_num, wide.srv) == ("20210302", 2, 192000002017, "web")
+    old = spark.createDataFrame([("k", "2021-03-02 01:02:03", "192.0.2.17", "1.2.3.4", "5-6-dns")], R._strings(R.FIREWALL_LOADER))
+    assert cells(records.firewall_columns(old), "send_vol", "recv_vol", "srv", "pkey") == [("5", "6", "dns", 2)]
 
 
 def test_address_lookup_prunes_and_pushes(spark, folder):
@@ -185,7 +185,7 @@ def test_bill_offsets_span_sibling_bills(spark):
 def test_costs_fill_every_store_line(spark):
     t = {
         "cost_centres": spark.createDataFrame([("C1", "S1"), ("C2", "S2")], "cost_center_code string, store_code string"),
-        "channel_cost": spark.createDataFrame([("C1", "A05", D(2020, 1, 1), 10.0), ("C1", "09179010", D(2020, 1, 1), 4.0), ("C1", "A05", D(2019, 1, 1), 99.0), ("C9", "A05", D(2020, 1, 1), 7.0)], "cost_center string, account_cd string, period date, net_trx_amt double"),
+        "channel_cost": spark.createDataFrame([("C1", "A05", D(2020, 1, 1), 10.0), ("C1", contribution.MARKETING_ACCOUNTS[0], D(2020, 1, 1), 4.0), ("C1", "A05", D(2019, 1, 1), 99.0), ("C9", "A05", D(2020, 1, 1), 7.0)], "cost_center string, account_cd string, period date, net_trx_amt double"),
         "cost_codes": spark.createDataFrame([("A00", "A09", "Commission"), ("A10", "A19", "Manpower costs"), ("A00", "A99", "Headcount")], "acct_code_start string, acct_code_end string, expenses_nature string"),
     }
     got = {(r[0], r[1]): float(r[2]) for r in contribution.cost_lines(t, Window(D(2020, 1, 1), D(2020, 1, 31))).collect()}
