@@ -22,6 +22,8 @@ HEADLINE = [
     "conditional_kpis", "kpi_matrix_pivot", "plan_mix_share", "signed_contribution", "dedup_latest", "first_row", "second_row", "nested_dedup",
     "rank_ties", "dwell_time", "movement_path", "drop_repeats", "predicates", "date_repair", "contract_value", "retention_upgrade", "row_key",
     "json_fields", "update_rules", "events_per_day", "service_revenue", "product_class_sales", "campaign_kpi_matrix", "bill_offsets",
+    "commission_base", "commission_value", "commission_exceptions", "channel_transactions", "channel_addons", "channel_typing", "channel_attribution",
+    "addon_fees", "campaign_classify", "store_staff_summary", "contribution_by_store", "contribution_by_staff", "bill_standing", "wide_column_view",
 ]
 
 
