@@ -31,9 +31,11 @@ def components(links: DataFrame, stages: Stages, a: str = "a", b: str = "b") ->
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        low = stages.keep(low, "least")  # written, so that a node with very many links can be split in the join
         large = both.join(low, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.where(F.col("u") != F.col("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = stages.keep(large, "stars")
+        least = stages.keep(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         after = stages.keep(small.select("e.u", "e.v").where(F.col("u") != F.col("v")).distinct(), "links")
         state = after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -57,12 +59,13 @@ def linked_groups(buckets: DataFrame, verifier: Callable[[DataFrame], Callable[[
     no link between components is lost, and what could only confirm a component is left out.
     """
     shared = buckets.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("bucket")
-    members = stages.keep(buckets.join(shared, "bucket").distinct(), "members")
+    members = stages.keep(buckets.join(stages.keep(shared, "buckets"), "bucket").distinct(), "members")
     verify = verifier(members.select("key").distinct())
     rank = lambda seed: F.struct(F.xxhash64(F.lit(seed), F.col("key")).alias("h"), F.col("key").alias("k"))
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
     leaders = members.groupBy("bucket").agg(F.array(*[F.min(rank(s))["k"] for s in range(LEADERS)]).alias("leaders"))
+    leaders = stages.keep(leaders, "leaders")
     first = members.join(leaders, "bucket").select("key", F.explode(F.array_distinct("leaders")).alias("leader")).where("key != leader")
     pairs = stages.keep(first.select(*pair("key", "leader")).distinct(), "pairs")
     links = stages.keep(verify(pairs), "links")
@@ -72,13 +75,14 @@ def linked_groups(buckets: DataFrame, verifier: Callable[[DataFrame], Callable[[
     while True:
         sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("bucket", "main")
-        apart = stages.keep(placed.join(largest, "bucket"), "apart")
+        apart = stages.keep(placed.join(stages.keep(largest, "largest"), "bucket"), "apart")
         rest = apart.where("root != main").select("bucket", F.col("key").alias("x"), F.col("root").alias("root_x"))
         if exact:
             others = apart.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y"))
         else:
             chosen = apart.where("root = main").groupBy("bucket").agg(F.min(rank(seed))["k"].alias("y"), F.first("main").alias("root_y"))
-            others = chosen.select("bucket", "y", "root_y")
+            others = stages.keep(chosen, "leaders")
+            others = others.select("bucket", "y", "root_y")
         more = rest.join(others, "bucket").where(F.col("root_x") != F.col("root_y")).select(*pair("x", "y"), *[c.alias(n) for c, n in zip((F.least("root_x", "root_y"), F.greatest("root_x", "root_y")), ("root_a", "root_b"))])
         fresh = stages.keep(more.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         count = fresh.count()

@@ -166,6 +166,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILA
     roots = linked_groups(distinct.select("key", F.explode("bands").alias("bucket")), verifier, stages)
     grouped = distinct.join(roots, distinct.key == roots.node, "left").select("key", "doc_id", "copies", F.coalesce("root", "key").alias("class_key"))
     sizes = grouped.groupBy("class_key").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
+    grouped, sizes = stages.keep(grouped, "grouped"), stages.keep(sizes, "sizes")
     return grouped.join(sizes, "class_key").select(F.col("key").alias("text_key"), "class_key", "class_id", "class_size")
 
 

@@ -197,10 +197,12 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, k: int = SHINGLE, thres
     placed = lines.select("key", "doc", "words", "start", "end", "again").join(roots.withColumnRenamed("node", "key"), "key", "left")
     placed = placed.withColumn("class", F.coalesce("root", "key"))
     shared = placed.groupBy("class").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.max("again").alias("twice")).where(F.col("low") < F.col("high")).select("class", "low")
+    placed, shared = stages.keep(placed, "placed"), stages.keep(shared, "shared")
     near = placed.join(shared, "class").select("doc", F.lit("paragraph").alias("kind"), "start", "end", F.col("words").alias("n_words"), F.col("low").alias("class_id"), ((F.col("doc") == F.col("low")) & ~F.col("again")).alias("kept"))
 
     said = stages.keep(sentences(source), "sentences")
     common = said.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where(F.col("low") < F.col("high")).select("key", "low")
+    common = stages.keep(common, "common")
     found = said.join(common, "key").select("doc", "word", "words", "start", "end", "low", ((F.col("doc") == F.col("low")) & ~F.col("again")).alias("kept")).distinct()
     order = Window.partitionBy("doc").orderBy("word", "end")
     upto = F.max(F.col("word") + F.col("words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
