@@ -6,7 +6,9 @@ Every step is a join or an aggregate, and its result is written to the shared fo
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,21 +48,51 @@ def components(links: DataFrame, stages: Stages, a: str = "a", b: str = "b") ->
 
 
 LEADERS = 3
+SKETCH_LONGS = 32
+SKETCH_BITS = 64 * SKETCH_LONGS
+DEVIATIONS = 4.5
 
 
-def linked_groups(buckets: DataFrame, verifier: Callable[[DataFrame], Callable[[DataFrame], DataFrame]], stages: Stages) -> DataFrame:
+@dataclass
+class Checker:
+    """How pairs of keys are checked.
+
+    links: keeps those of given pairs (a, b) that are links; sketches: (key, sketch) for given keys, arrays of
+    SKETCH_LONGS numbers whose bits differ between two keys with probability (1 - similarity) / 2; threshold: the
+    similarity of a link.
+    """
+
+    links: Callable[[DataFrame], DataFrame]
+    sketches: Callable[[DataFrame], DataFrame]
+    threshold: float
+
+    def most_different(self) -> int:
+        """Bits in which the sketches of a link differ at most, but for one link in 300,000."""
+        p = (1 - self.threshold) / 2
+        return int(SKETCH_BITS * p + DEVIATIONS * (SKETCH_BITS * p * (1 - p)) ** 0.5)
+
+
+def bit_sketches(registers: np.ndarray) -> np.ndarray:
+    """Sketches from SKETCH_BITS min-hash registers of each key: a bit of each register."""
+    bits = np.packbits((registers & np.uint64(1)).astype(np.uint8), axis=1)
+    return bits.view("<i8").reshape(len(registers), SKETCH_LONGS)
+
+
+def linked_groups(buckets: DataFrame, verifier: Callable[[DataFrame], Checker], stages: Stages) -> DataFrame:
     """(node, root) for keys that share a bucket with others, from (bucket, key): keys of a bucket may be linked.
 
-    verifier: gets the (distinct) keys that share a bucket, once, and returns the function that keeps those of given
-    pairs (a, b) that are links. Not all pairs of a bucket are made. Its keys are held against a few leaders, the
+    verifier: gets the (distinct) keys that share a bucket, once, and returns how to check pairs of them. Not all
+    pairs of a bucket are made. Its keys are held against a few leaders, the
     first by different hashes of the key, so that buckets of one group mostly have the same ones. Keys that are
     still outside the bucket's largest component are held against another leader of it, as long as that brings
-    many of them in. Only what is left then is held against all keys of other components of its bucket, so that
-    no link between components is lost, and what could only confirm a component is left out.
+    many of them in. What is left then is compared by sketch, within the join, with all keys of other components
+    of its bucket, and pairs that may be links by their sketches are checked: no link between components is lost, and
+    what could only confirm a component is left out.
     """
     shared = buckets.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("bucket")
     members = stages.keep(buckets.join(stages.keep(shared, "buckets"), "bucket").distinct(), "members")
-    verify = verifier(members.select("key").distinct())
+    checker = verifier(members.select("key").distinct())
+    verify = checker.links
     rank = lambda seed: F.struct(F.xxhash64(F.lit(seed), F.col("key")).alias("h"), F.col("key").alias("k"))
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -77,13 +109,19 @@ def linked_groups(buckets: DataFrame, verifier: Callable[[DataFrame], Callable[[
         largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("bucket", "main")
         apart = stages.keep(placed.join(stages.keep(largest, "largest"), "bucket"), "apart")
         rest = apart.where("root != main").select("bucket", F.col("key").alias("x"), F.col("root").alias("root_x"))
+        differs = F.col("root_x") != F.col("root_y")
         if exact:
-            others = apart.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y"))
+            drawn = stages.keep(checker.sketches(apart.select("key").distinct()), "sketches")
+            side = lambda key, name: drawn.select(F.col("key").alias(key), *[F.col("sketch")[i].alias(f"{name}{i}") for i in range(SKETCH_LONGS)])
+            others = stages.keep(apart.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y")).join(side("y", "v"), "y"), "others")
+            rest = stages.keep(rest.join(side("x", "u"), "x"), "rest")
+            bits = sum((F.bit_count(F.col(f"u{i}").bitwiseXOR(F.col(f"v{i}"))) for i in range(1, SKETCH_LONGS)), F.bit_count(F.col("u0").bitwiseXOR(F.col("v0"))))
+            differs = differs & (bits <= checker.most_different())
         else:
             chosen = apart.where("root = main").groupBy("bucket").agg(F.min(rank(seed))["k"].alias("y"), F.first("main").alias("root_y"))
             others = stages.keep(chosen, "leaders")
             others = others.select("bucket", "y", "root_y")
-        more = rest.join(others, "bucket").where(F.col("root_x") != F.col("root_y")).select(*pair("x", "y"), *[c.alias(n) for c, n in zip((F.least("root_x", "root_y"), F.greatest("root_x", "root_y")), ("root_a", "root_b"))])
+        more = rest.join(others, (rest["bucket"] == others["bucket"]) & differs).select(*pair("x", "y"), *[c.alias(n) for c, n in zip((F.least("root_x", "root_y"), F.greatest("root_x", "root_y")), ("root_a", "root_b"))])
         fresh = stages.keep(more.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
         count = fresh.count()
         found = stages.keep(verify(fresh.select("a", "b")), "links") if count else None

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import text as tx
-from millrace.llm.components import linked_groups
+from millrace.llm.components import SKETCH_BITS, SKETCH_LONGS, Checker, bit_sketches, linked_groups
 from millrace.llm.store import Stages
 
 U = np.uint64
@@ -140,6 +140,19 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, threshold: floa
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a string, b string")
 
 
+def sketches(texts: DataFrame, k: int = SHINGLE) -> DataFrame:
+    """(key, sketch) of (key, text): a bit of each of many registers, see `components.Checker`."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in tx.slices(batches, budget=tx.SLICE_BYTES // 4):
+            codes, who, weight = weighted_shingles(part.column("text"), k)
+            bits = bit_sketches(probminhash(codes, who, weight, part.num_rows, SKETCH_BITS))
+            ends = np.arange(part.num_rows + 1, dtype=np.int32) * SKETCH_LONGS
+            yield pa.RecordBatch.from_arrays([part.column("key"), pa.ListArray.from_arrays(ends, pa.array(bits.ravel()))], ["key", "sketch"])
+
+    return texts.select("key", "text").mapInArrow(draw, "key string, sketch array<bigint>")
+
+
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(text_key, class_key, class_id, class_size) for every distinct text of `docs` (columns doc_id, text; others are ignored).
 
@@ -161,7 +174,7 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILA
         first = keys.join(distinct.select("key", F.col("doc_id").alias("first")), "key")
         chosen = keyed.join(first, (keyed.key == first.key) & keyed.doc_id.eqNullSafe(F.col("first")), "left_semi")
         texts = stages.keep(chosen.dropDuplicates(["key"]).select("key", "text"), "texts")
-        return lambda pairs: verify(pairs, texts, k, threshold)
+        return Checker(lambda pairs: verify(pairs, texts, k, threshold), lambda wanted: sketches(texts.join(wanted, "key", "left_semi"), k), threshold)
 
     roots = linked_groups(distinct.select("key", F.explode("bands").alias("bucket")), verifier, stages)
     grouped = distinct.join(roots, distinct.key == roots.node, "left").select("key", "doc_id", "copies", F.coalesce("root", "key").alias("class_key"))

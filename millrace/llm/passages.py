@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import text as tx
-from millrace.llm.components import linked_groups
+from millrace.llm.components import SKETCH_BITS, SKETCH_LONGS, Checker, bit_sketches, linked_groups
 from millrace.llm.store import Stages
 
 U = np.uint64
@@ -173,6 +173,22 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint")
 
 
+def sketches(sets: DataFrame) -> DataFrame:
+    """(key, sketch) of (key, shingles), see `components.Checker`."""
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches:
+            for at in range(0, part.num_rows, 2048):
+                piece = part.slice(at, 2048)
+                own = [np.frombuffer(x, "<u4") for x in piece.column("shingles").to_pylist()]
+                starts = np.concatenate([[0], np.cumsum([len(x) for x in own])])
+                bits = bit_sketches(minhashes(tx.mix(np.concatenate(own).astype(U)), starts[:-1], SKETCH_BITS))
+                ends = np.arange(len(own) + 1, dtype=np.int32) * SKETCH_LONGS
+                yield pa.RecordBatch.from_arrays([piece.column("key"), pa.ListArray.from_arrays(ends, pa.array(bits.ravel()))], ["key", "sketch"])
+
+    return sets.select("key", "shingles").mapInArrow(draw, "key bigint, sketch array<bigint>")
+
+
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, k: int = SHINGLE, threshold: float = SIMILARITY, recall: float = RECALL, rows: int = ROWS) -> DataFrame:
     """(doc_id, kind, start, end, n_words, class_id, kept): the passages of `docs` (doc_id, text) that occur elsewhere too.
 
@@ -191,7 +207,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, k: int = SHINGLE, thres
 
     def verifier(keys: DataFrame):
         sets = stages.keep(lines.select("key", "shingles").join(keys, "key", "left_semi").groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
-        return lambda pairs: verified(pairs, sets, threshold)
+        return Checker(lambda pairs: verified(pairs, sets, threshold), lambda wanted: sketches(sets.join(wanted, "key", "left_semi")), threshold)
 
     roots = linked_groups(lines.select(F.explode("bands").alias("bucket"), "key").distinct(), verifier, stages)
     placed = lines.select("key", "doc", "words", "start", "end", "again").join(roots.withColumnRenamed("node", "key"), "key", "left")

@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from millrace.llm import minhash_dups as m
-from millrace.llm.components import components
+from millrace.llm.components import SKETCH_BITS, bit_sketches, components
 from millrace.llm.store import Stages
 
 
@@ -101,3 +101,25 @@ def test_components(spark):
     links = [(1, 2), (2, 3), (10, 9), (9, 8), (8, 10), (5, 5)] + [(100 + i, 101 + i) for i in range(40)] + [(500, 500 + i) for i in range(1, 50)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long"), Stages(spark, "t")).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8, 10: 8} | {i: 100 for i in range(100, 141)} | {i: 500 for i in range(500, 550)}
+
+
+def test_sketches_differ_by_half_the_distance(words):
+    base = words(150, 5)
+    texts = [" ".join(base), " ".join(changed(base, 60, 1)), " ".join(changed(base, 25, 2))]
+    codes, who, weight = m.weighted_shingles(pa.array(texts), 5)
+    bits = np.unpackbits(bit_sketches(m.probminhash(codes, who, weight, 3, SKETCH_BITS)).view(np.uint8), axis=1)
+    for x, y in ((0, 1), (0, 2), (1, 2)):
+        p = (1 - probability_jaccard(shingle_weights(texts[x]), shingle_weights(texts[y]))) / 2
+        assert np.mean(bits[x] != bits[y]) == pytest.approx(p, abs=4 * math.sqrt(p * (1 - p) / SKETCH_BITS))
+
+
+def test_group_around_the_threshold(frame, words):
+    base = words(140, 77)
+    texts = [" ".join(changed(base, every, s)) for s, every in enumerate([18, 22, 26, 30, 35, 40, 50, 60, 70] * 5)]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    by_hand = classes_by_hand(texts)
+    smallest = {}
+    for i, t in enumerate(texts):
+        smallest.setdefault(by_hand[t], i)
+    assert len(smallest) > 2
+    assert {r.doc_id: r.class_id for r in m.labelled(frame(rows)).collect()} == {i: smallest[by_hand[t]] for i, t in enumerate(texts)}
