@@ -55,15 +55,15 @@ def op3(t: Tables) -> DataFrame:
     "op4_spaced_seeds",
     """
     WITH doc AS (
-        SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\x0B\\f\\r]+'), x -> x <> '') AS w FROM documents
+        SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM documents
     ), item AS (
-        SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\x0B\\f\\r]+'), x -> x <> '') AS w FROM benchmark
+        SELECT DISTINCT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[ \\t\\n\\x0B\\f\\r]+'), lambda x: x <> '') AS w FROM benchmark
     ), mask(number, bits) AS (
         VALUES (0, [0, 1, 3, 4, 6]), (1, [0, 1, 2, 5, 7]), (2, [0, 2, 3, 7, 8])
     ), doc_at AS (SELECT doc_id, w, unnest(range(len(w) - 6)) AS p FROM doc WHERE len(w) >= 7),
     item_at AS (SELECT item_id, w, unnest(range(len(w) - 6)) AS p FROM item WHERE len(w) >= 7),
-    doc_seed AS (SELECT DISTINCT doc_id, p, number, list_transform(bits, b -> w[p + b + 1]) AS seed FROM doc_at, mask WHERE p + bits[5] < len(w)),
-    item_seed AS (SELECT DISTINCT item_id, p, number, list_transform(bits, b -> w[p + b + 1]) AS seed FROM item_at, mask WHERE p + bits[5] < len(w)),
+    doc_seed AS (SELECT DISTINCT doc_id, p, number, list_transform(bits, lambda b: w[p + b + 1]) AS seed FROM doc_at, mask WHERE p + bits[5] < len(w)),
+    item_seed AS (SELECT DISTINCT item_id, p, number, list_transform(bits, lambda b: w[p + b + 1]) AS seed FROM item_at, mask WHERE p + bits[5] < len(w)),
     hit AS (SELECT DISTINCT doc_id, item_id, d.p - i.p AS shift FROM doc_seed d JOIN item_seed i USING (number, seed)),
     cell AS (
         SELECT h.doc_id, h.item_id, h.shift, len(i.w) AS n, j, CASE WHEN d.w[h.shift + j + 1] = i.w[j + 1] THEN 1 ELSE -1 END AS step
