@@ -111,11 +111,13 @@ def linked_groups(buckets: DataFrame, verifier: Callable[[DataFrame], Checker],
         differs = F.col("root_x") != F.col("root_y")
         if exact:
             drawn = stages.keep(checker.sketches(apart.select("key").distinct()), "sketches")
-            side = lambda key, name: drawn.select(F.col("key").alias(key), *[F.col("sketch")[i].alias(f"{name}{i}") for i in range(SKETCH_LONGS)])
+            held = stages.keep(apart.groupBy("key").agg(F.collect_set("bucket").alias("held")).join(drawn, "key"), "held")  # a key has a bucket for each band at most
+            side = lambda key, name: held.select(F.col("key").alias(key), F.col("held").alias(f"{name}_held"), *[F.col("sketch")[i].alias(f"{name}{i}") for i in range(SKETCH_LONGS)])
             others = stages.keep(apart.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y")).join(side("y", "v"), "y"), "others")
             rest = stages.keep(rest.join(side("x", "u"), "x"), "rest")
             bits = sum((F.bit_count(F.col(f"u{i}").bitwiseXOR(F.col(f"v{i}"))) for i in range(1, SKETCH_LONGS)), F.bit_count(F.col("u0").bitwiseXOR(F.col("v0"))))
-            differs = differs & (bits <= checker.most_different())
+            once = F.array_min(F.array_intersect("u_held", "v_held")) == rest["bucket"]  # a pair comes from the first bucket that it shares
+            differs = differs & (bits <= checker.most_different()) & once
         else:
             chosen = apart.where("root = main").groupBy("bucket").agg(F.min(rank(seed))["k"].alias("y"), F.first("main").alias("root_y"))
             others = stages.keep(chosen, "leaders")
