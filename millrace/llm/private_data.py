@@ -10,6 +10,8 @@ is a sum of CASE expressions. Each generator has its own threshold, set for the
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -29,11 +31,12 @@ NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 OCTET = r"0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2}|(?<=0))"
 
 GENERATORS = {
-    "secret": r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{4,200}+",
-    "token": r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]{0,200}[0-9])(?=[0-9_+/-]{0,200}[A-Za-z])[A-Za-z0-9_+/-]{16,200}+(?![A-Za-z0-9_+/-])",
+    "secret": r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth)[\"']?\s{0,3}[=:]\s{0,3}[\"']?[^\s\"',;]{4,}+",
+    "token": r"(?<![A-Za-z0-9_+/-])[A-Za-z0-9_+/-]{16,}+",
     "number": r"(?<![0-9+().-])[(]?[0-9](?:[\x20().-]{0,2}[0-9]){8,18}+(?![0-9])",
     "spelled": r"(?i)(?<![A-Za-z0-9._-])[A-Za-z0-9._-]{1,64}+\s?[\[(]at[\])]\s?[A-Za-z0-9-]{1,64}+(?:\s?(?:\.|[\[(]dot[\])])\s?[A-Za-z0-9-]{1,64}+){1,4}+",
 }
+HOLDS = {"token": ("[0-9]", "[A-Za-z]")}  # what a value must hold besides
 NUMBERS = {name: i for i, name in enumerate(GENERATORS)}
 CONTEXT = r"(?i)(?:mail|phone|tel|call|mobile|fax|card|visa|credit|account|iban|ip|host|server|password|passwd|pwd|secret|token|key|login|user)\W{0,3}\s*$"
 FEATURES = ("generator", "length", "digits", "upper", "marks", "context", "before")
@@ -127,7 +130,8 @@ def candidates(text: Column, taken: Column) -> Column:
     """Spans of all generators that do not touch an exact one, with features and label; they may overlap."""
 
     def proposed(name: str) -> Column:
-        spans = F.filter(located(text, GENERATORS[name]), lambda s: ~F.exists(taken, lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"])))
+        holds = lambda s: [s["value"].rlike(p) for p in HOLDS.get(name, ())]
+        spans = F.filter(located(text, GENERATORS[name]), lambda s: reduce(and_, holds(s), ~F.exists(taken, lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"]))))
         return F.transform(spans, lambda s: F.struct(described(name, text, s).alias("f"), strict(name, s["value"]).alias("label")))
 
     parts = [proposed(name) for name in GENERATORS]

@@ -132,6 +132,14 @@ def test_added_spans_and_redaction(frame):
     assert done[0].text == "some words before [SECRET]\" and after" and done[61].text == rows[3][1] and done[501].text is None
 
 
+def test_long_secrets_and_tokens_go_whole(frame):
+    long = "".join(hashlib.sha1(str(i).encode()).hexdigest() for i in range(8))[:300]
+    rows = secrets(60) + [(1000 + i, f"see {hashlib.sha256(str(i).encode()).hexdigest()} there", "en", "s", 0) for i in range(60)]
+    rows += [(500, f"here token = {long} and on", "en", "s", 0), (501, f"see {long} there", "en", "s", 0), (502, "see " + "-" * 300 + " there", "en", "s", 0)]
+    done = {r.doc_id: r.text for r in p.redacted(frame(rows), p.fit(frame(rows))).collect()}
+    assert done[500] == "here [SECRET] and on" and done[501] == "see [TOKEN] there" and done[502] == rows[-1][1]
+
+
 def test_score_column_equals_the_trees(spark):
     rng = np.random.default_rng(1)
     x = rng.integers(0, 4, size=(200, len(p.FEATURES)))
