@@ -12,6 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm import text as tx
 from millrace.llm.store import Stages
 
 
@@ -50,6 +51,7 @@ LEADERS = 3
 SKETCH_LONGS = 32
 SKETCH_BITS = 64 * SKETCH_LONGS
 DEVIATIONS = 4.5
+STEP = 0xD1B54A32D192ED03
 
 
 @dataclass
@@ -72,8 +74,12 @@ class Checker:
 
 
 def bit_sketches(registers: np.ndarray) -> np.ndarray:
-    """Sketches from SKETCH_BITS min-hash registers of each key: a bit of each register."""
-    bits = np.packbits((registers & np.uint64(1)).astype(np.uint8), axis=1)
+    """Sketches from SKETCH_BITS min-hash registers of each key: a bit of each register.
+
+    The register's number is mixed in: an element that holds many registers gives each an independent bit.
+    """
+    numbers = np.arange(1, registers.shape[1] + 1, dtype=np.uint64) * np.uint64(STEP)
+    bits = np.packbits((tx.mix(registers ^ numbers[None, :]) & np.uint64(1)).astype(np.uint8), axis=1)
     return bits.view("<i8").reshape(len(registers), SKETCH_LONGS)
 
 

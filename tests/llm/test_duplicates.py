@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 
 from millrace.llm import minhash_dups as m
-from millrace.llm.components import SKETCH_BITS, bit_sketches, components
+from millrace.llm.components import SKETCH_BITS, Checker, bit_sketches, components
 from millrace.llm.store import Stages
 
 
@@ -123,3 +123,30 @@ def test_group_around_the_threshold(frame, words):
         smallest.setdefault(by_hand[t], i)
     assert len(smallest) > 2
     assert {r.doc_id: r.class_id for r in m.labelled(frame(rows)).collect()} == {i: smallest[by_hand[t]] for i, t in enumerate(texts)}
+
+
+def test_links_of_short_texts_pass_the_sketch(words):
+    limit = Checker(None, None, 0.8).most_different()
+    for n in (8, 12, 16, 20, 28, 36, 48):
+        texts = [" ".join(words(n, 10_000 * n + i) + tail) for i in range(60) for tail in ([], [f"w{i}x{j}" for j in range((n - 4) // 4)])]
+        codes, who, weight = m.weighted_shingles(pa.array(texts), 5)
+        bits = np.unpackbits(bit_sketches(m.probminhash(codes, who, weight, len(texts), SKETCH_BITS)).view(np.uint8), axis=1)
+        for i in range(0, len(texts), 2):
+            assert probability_jaccard(shingle_weights(texts[i]), shingle_weights(texts[i + 1])) >= 0.8 - 1e-9
+            assert np.sum(bits[i] != bits[i + 1]) <= limit, n
+
+
+def test_large_buckets_of_short_texts_equal_brute_force(frame, words):
+    texts = []
+    for n in (10, 16, 26, 46):
+        base = words(n, 3000 + n)
+        extra = words(n, 4000 + n)
+        for s in range(40):
+            a, b = s % 8, s // 8
+            texts.append(" ".join(base[a * n // 60 :] + [f"{w}{a}" for w in extra[: max(1, b * n // 40)]]))
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    by_hand = classes_by_hand(texts)
+    smallest = {}
+    for i, t in enumerate(texts):
+        smallest.setdefault(by_hand[t], i)
+    assert {r.doc_id: r.class_id for r in m.labelled(frame(rows)).collect()} == {i: smallest[by_hand[t]] for i, t in enumerate(texts)}
