@@ -4,7 +4,8 @@ Paragraphs (lines) of enough words get a MinHash signature over their five-word
 recall: at a Jaccard similarity of 0.8 a pair of paragraphs shares a band with a probability of at least 0.985.
 Paragraphs that share a band are verified by exact Jaccard similarity and clustered by components. A passage
 that starts or ends inside a line shows as sentences that occur elsewhere word for word; such sentences are
-joined to runs, with small gaps bridged, and runs of enough words are passages too.
+joined to runs, with small gaps bridged, and in runs of enough words they are passages too. Of every such sentence
+one occurrence is kept, and what lies in the gaps belongs to no passage.
 """
 
 from __future__ import annotations
@@ -104,7 +105,7 @@ def lowered(texts: pa.Array) -> pa.Array:
 
 
 def sentences(docs: DataFrame, least: int = SENTENCE_WORDS) -> DataFrame:
-    """(key, doc, word, words, start, end, again) of every sentence of at least `least` words."""
+    """(key, doc, word, words, start, end, line) of every sentence of at least `least` words; line: where its line starts."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in tx.slices(batches):
@@ -112,12 +113,14 @@ def sentences(docs: DataFrame, least: int = SENTENCE_WORDS) -> DataFrame:
             s = spans(p, "sentence")
             pick = np.flatnonzero(s["last"] - s["first"] + 1 >= least)
             start, end, word = located(p, s, pick)
+            line_first = np.searchsorted(p["line"], p["line"][s["first"][pick]])
+            line = characters(p, p["start"][line_first]) - characters(p, p["offsets"][:-1][s["owner"][pick]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(s["key"][pick].view(np.int64)), part.column("doc").take(pa.array(s["owner"][pick])), pa.array(word.astype(np.int32)), pa.array((s["last"] - s["first"] + 1)[pick].astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(s["again"][pick])],
-                ["key", "doc", "word", "words", "start", "end", "again"],
+                [pa.array(s["key"][pick].view(np.int64)), part.column("doc").take(pa.array(s["owner"][pick])), pa.array(word.astype(np.int32)), pa.array((s["last"] - s["first"] + 1)[pick].astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(line.astype(np.int32))],
+                ["key", "doc", "word", "words", "start", "end", "line"],
             )
 
-    return docs.mapInArrow(cut, "key bigint, doc bigint, word int, words int, start int, end int, again boolean")
+    return docs.mapInArrow(cut, "key bigint, doc bigint, word int, words int, start int, end int, line int")
 
 
 def paragraphs(docs: DataFrame, least: int, k: int, bands: int, rows: int) -> DataFrame:
@@ -193,9 +196,10 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, k: int = SHINGLE, thres
     """(doc_id, kind, start, end, n_words, class_id, kept): the passages of `docs` (doc_id, text) that occur elsewhere too.
 
     kind 'paragraph': a line alike another line, near or exact; kind 'run': sentences in a row that all occur
-    elsewhere. start and end are in code points. class_id is the smallest doc_id among the documents that share the
-    paragraph, or any sentence of the run. kept: this is the occurrence to keep (the first in that document; of a
-    run, if that holds for all its sentences); all others can be removed. Documents without repeated passages
+    elsewhere and are all kept or all not; such rows are parts of runs of enough words, and may be shorter. start and
+    end are in code points. class_id is the smallest doc_id among the documents that share the paragraph, or any
+    sentence of the run. kept: this is the occurrence to keep (the first in that document; of a sentence, its first
+    outside the lines that can be removed); all others can be removed. Documents without repeated passages
     have no row. Null and empty texts have none, rows without a doc_id are left out, and rows that repeat an id
     and its text count once; different texts under one id count as one document.
     """
@@ -219,13 +223,21 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, k: int = SHINGLE, thres
     said = stages.keep(sentences(source), "sentences")
     common = said.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where(F.col("low") < F.col("high")).select("key", "low")
     common = stages.keep(common, "common")
-    found = said.join(common, "key").select("doc", "word", "words", "start", "end", "low", ((F.col("doc") == F.col("low")) & ~F.col("again")).alias("kept")).distinct()
+    cut_lines = near.where(~F.col("kept")).select("doc", F.col("start").alias("line"), F.lit(True).alias("cut")).distinct()
+    found = said.join(common, "key").join(cut_lines, ["doc", "line"], "left")
+    found = stages.keep(found.select("key", "doc", "word", "words", "start", "end", "low", F.coalesce("cut", F.lit(False)).alias("cut")).distinct(), "found")
+    place = F.struct("cut", "doc", "word", "start")
+    first = stages.keep(found.groupBy("key").agg(F.min(place).alias("first")), "first")  # outside the lines that are cut, if there is such a one
+    found = found.join(first, "key").withColumn("kept", place == F.col("first"))
     order = Window.partitionBy("doc").orderBy("word", "end")
-    upto = F.max(F.col("word") + F.col("words")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    cut = found.withColumn("new", F.when(F.col("word") - F.coalesce(upto, F.lit(-1_000_000)) > GAP, 1).otherwise(0))
-    numbered = cut.withColumn("run", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = numbered.groupBy("doc", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("int").alias("n_words"), F.min("low").alias("class_id"), F.min("kept").alias("kept"))
-    runs = runs.where(F.col("n_words") >= min_words).select("doc", F.lit("run").alias("kind"), "start", "end", "n_words", "class_id", "kept")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    since = F.col("word") - F.coalesce(F.max(F.col("word") + F.col("words")).over(before), F.lit(-1_000_000))
+    marked = found.withColumns({"far": (since > GAP).cast("int"), "new": ((since > 0) | (F.col("kept") != F.lag("kept", 1, True).over(order))).cast("int")})
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    numbered = marked.withColumns({"run": F.sum("far").over(upto), "piece": F.sum("new").over(upto)})
+    pieces = numbered.groupBy("doc", "run", "piece").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").cast("int").alias("n_words"), F.min("low").alias("class_id"), F.first("kept").alias("kept"))
+    pieces = pieces.withColumn("whole", F.sum("n_words").over(Window.partitionBy("doc", "run")))
+    runs = pieces.where(F.col("whole") >= min_words).select("doc", F.lit("run").alias("kind"), "start", "end", "n_words", "class_id", "kept")
     return near.unionByName(runs).distinct().withColumnRenamed("doc", "doc_id")
 
 

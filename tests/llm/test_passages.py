@@ -38,6 +38,27 @@ def test_passage_inside_lines_is_found_and_cut(frame, words):
     assert all(len(cut[i]) < len(rows[i][1]) - 150 for i in range(1, 6))
 
 
+def test_one_occurrence_of_every_sentence_stays(frame, words):
+    a, b, between = (sentence_text(words, n, seed) for n, seed in ((32, 1), (32, 2), (8, 3)))
+    about = lambda i: sentence_text(words, 48, 100 + i)
+    bodies = [a, a + " " + b, b, a + " " + between + " " + b]
+    rows = [(i, about(i) + " " + body + " " + about(50 + i), "en", "s", 0) for i, body in enumerate(bodies, 1)]
+    cut = {r.doc_id: r.text for r in m.without_repeats(frame(rows)).collect()}
+    for passage in (a, b):
+        for sentence in passage.split(". "):
+            assert sum(sentence.rstrip(".") in t for t in cut.values()) == 1
+    assert a in cut[1] and b in cut[2] and a not in cut[2] and between in cut[4]
+
+
+def test_a_sentence_kept_in_a_line_that_goes_stays_elsewhere(frame, words):
+    base = words(200, 5)
+    line = lambda x: " ".join([*base[:100], x, *base[100:]])
+    own = sentence_text(words, 32, 9)
+    rows = [(1, " ".join(base), "en", "s", 0), (2, line("end. " + own), "en", "s", 0), (3, sentence_text(words, 40, 70) + " " + own + " " + sentence_text(words, 40, 71), "en", "s", 0)]
+    cut = {r.doc_id: r.text for r in m.without_repeats(frame(rows)).collect()}
+    assert base[0] + " " + base[1] not in cut[2] and own in cut[3]
+
+
 def test_anything_goes(oddities, nothing):
     got = m.repeats(oddities)
     assert all(r.doc_id is not None for r in got.collect())
