@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, decontaminate, fingerprint, language, minhash_dups, packing, passages, perplexity, private_data, toxicity
+from millrace.llm import bpe, collisions, decontaminate, fingerprint, language, minhash_dups, packing, passages, periodic, perplexity, private_data, spelling, toxicity
 from millrace.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,22 @@ def op9(t: Tables) -> DataFrame:
 def op10(t: Tables) -> DataFrame:
     """Class of every document among near-duplicates."""
     return minhash_dups.labelled(t.documents.select("doc_id", "text")).select("doc_id", "class_id", "class_size")
+
+
+@query("op11_periodic_runs")
+def op11(t: Tables) -> DataFrame:
+    """Periodic runs of words of every document, as digests; one document in ten has a periodic tail."""
+    docs = t.documents.select("doc_id", periodic.with_periodic_tail(F.col("text"), F.col("doc_id")).alias("text"))
+    return periodic.digests(periodic.collapse(docs))
+
+
+@query("op12_collision_counting")
+def op12(t: Tables) -> DataFrame:
+    """The five nearest other vectors of every vector whose id is divisible by 50."""
+    return collisions.nearest(t.embeddings, F.col("vec_id") % 50 == 0)
+
+
+@query("op13_permuterm_variants")
+def op13(t: Tables) -> DataFrame:
+    """Words of all documents, how many are near, and the more frequent forms that they vary."""
+    return spelling.variants(t.documents)
