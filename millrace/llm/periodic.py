@@ -250,7 +250,7 @@ def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, owner: np.nda
     keep = np.ones(len(out), bool)
     keep[closing] = False  # no space after a text's last word
     gone = np.concatenate([[0], np.cumsum(~keep)])
-    return pa.StringArray.sourcebuffers(n, pa.py_buffer((offsets - gone[offsets]).astype(np.int32)), pa.py_buffer(out[keep]))
+    return pa.StringArray.from_buffers(n, pa.py_buffer((offsets - gone[offsets]).astype(np.int32)), pa.py_buffer(out[keep]))
 
 
 def collapse(docs: DataFrame, text: str = "text", id_: str = "doc_id", min_length: int = MIN_LENGTH) -> DataFrame:
@@ -275,10 +275,10 @@ def collapse(docs: DataFrame, text: str = "text", id_: str = "doc_id", min_lengt
             stays = np.cumsum(change)[:-1] == 0
             bounds = np.searchsorted(owner, np.arange(n + 1))
             whose = owner[start]
-            runs = pa.StructArray.sourcearrays([pa.array(x) for x in (start - bounds[whose], end - start, period)], ["start", "length", "period"])
-            runs = pa.ListArray.sourcearrays(np.searchsorted(whose, np.arange(n + 1)).astype(np.int32), runs)
+            runs = pa.StructArray.from_arrays([pa.array(x) for x in (start - bounds[whose], end - start, period)], ["start", "length", "period"])
+            runs = pa.ListArray.from_arrays(np.searchsorted(whose, np.arange(n + 1)).astype(np.int32), runs)
             text_out = joined(data, starts[stays], ends[stays], owner[stays], n)
-            yield pa.RecordBatch.sourcearrays([part.column("id"), pa.array(np.diff(bounds)), runs, text_out], ["id", "n_words", "runs", "collapsed"])
+            yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(np.diff(bounds)), runs, text_out], ["id", "n_words", "runs", "collapsed"])
 
     kind = docs.schema[id_].dataType.simpleString()
     plain = docs.select(F.col(f"`{id_}`").alias("id"), F.col(f"`{text}`").alias("text"))
