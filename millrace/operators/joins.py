@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.exprs import as_col, literal
-from millrace.operators.sizing import BROADCAST_BYTES, estimated_bytes, hint_small, small_values
-
-PATTERN_LIMIT = 500
+from millrace.operators.intervals import match_ranges
+from millrace.operators.sizing import BROADCAST_BYTES, estimated_bytes, hint_small
 
 
 def _names(on: str | Sequence[str]) -> list[str]:
@@ -104,25 +103,6 @@ def join_asof(
     return probe.join(renamed, cond, how).drop("_day", "_bin", *["_r_" + k for k in keys])
 
 
-def join_overlap(
-    left: DataFrame, right: DataFrame, on: str | Sequence[str], s1: str, e1: str, s2: str, e2: str, unit: str = "MM"
-) -> DataFrame:
-    """Pairs of one key whose intervals share a day.
-
-    Both sides are copied into the calendar bins they touch; a pair is kept only in the bin where
-    its common part begins, so it comes out once.
-    """
-    on = _names(on)
-    a = left.withColumn("_bin", _bins_between(F.col(s1), F.col(e1), unit))
-    b = right.withColumn("_bin", _bins_between(F.col(s2), F.col(e2), unit))
-    return (
-        a.join(b, on + ["_bin"])
-        .where((F.col(s1) <= F.col(e2)) & (F.col(e1) >= F.col(s2)))
-        .where(F.col("_bin") == _bin(F.greatest(F.col(s1), F.col(s2)), unit))
-        .drop("_bin")
-    )
-
-
 # --- ranges and tolerance -----------------------------------------------------------------
 
 def join_range(
@@ -131,8 +111,7 @@ def join_range(
     """Join a value to the ranges that hold it, both ends included.
 
     With `width` the numeric line is cut into bins and the join is on the bin. Without it (text
-    codes) the distinct values are matched first, so the pairwise step works on the codes in use
-    and not on the rows.
+    codes, or ranges of any length) the distinct values are matched by `intervals.match_ranges`.
     """
     if width is not None:
         binned = ranges.withColumn(
@@ -143,8 +122,7 @@ def join_range(
         binned = binned.withColumnRenamed("_bin", "_rbin")
         cond = (probe["_bin"] == binned["_rbin"]) & probe[value].between(binned[lo], binned[hi])
         return probe.join(binned, cond, how).drop("_bin", "_rbin")
-    codes = left.select(F.col(value).alias("_code")).distinct()
-    pairs = codes.join(hint_small(ranges), F.col("_code").between(F.col(lo), F.col(hi)))
+    pairs = match_ranges(left, ranges, value, lo, hi)
     return left.join(pairs, left[value] == pairs["_code"], how).drop("_code")
 
 
@@ -208,26 +186,6 @@ def drop_in(df: DataFrame, other: DataFrame, on: str | Sequence[str]) -> DataFra
     return df.join(other.select(*on), on, "left_anti")
 
 
-def drop_like(df: DataFrame, col: str, patterns: DataFrame, pattern: str = "pattern") -> DataFrame:
-    """Rows whose text matches none of the LIKE patterns of a table.
-
-    A bounded pattern list becomes one predicate. A longer one is matched against the distinct
-    texts only, in a join of texts and patterns, and the matching texts are then dropped by key.
-    """
-    found = small_values(patterns, [pattern], PATTERN_LIMIT)
-    if found is not None:
-        if not found:
-            return df
-        hits = [F.col(col).like(p) for (p,) in found if p is not None]
-        if not hits:
-            return df
-        any_hit = reduce(lambda a, b: a | b, hits)
-        return df.where(~F.coalesce(any_hit, F.lit(False)))
-    texts = df.select(F.col(col).alias("_text")).distinct()
-    matched = texts.join(patterns.select(F.col(pattern).alias("_pattern")), F.expr("_text like _pattern"), "left_semi")
-    return df.join(matched, df[col] == matched["_text"], "left_anti")
-
-
 # --- grids, scalars, computed keys --------------------------------------------------------
 
 def grid(first: DataFrame, *dims: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from millrace.functions import (
     repair_end, repair_start,
 )
 from millrace.operators import (
-    apply_match, apply_rules, drop_in, drop_where, join_asof, keep_in, list_agg, nth_row, snapshot, split_rows, stack, waterfall,
+    apply_match, apply_rules, best_open, drop_in, drop_where, join_asof, keep_in, list_agg, nth_row, snapshot, split_rows, stack, waterfall,
 )
 from millrace.params import NO_DATE, NO_TEXT, OPEN_DATE, Window
 from millrace.plans.base import LINE, Frames, not_returned, pick, within
@@ -128,8 +128,9 @@ def detail(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     valid = not_returned(t["subr_ld_hist"].where("void_flg <> 'Y' and waived_flg <> 'Y'"), t)
     terms = valid.join(t["mkt_ref_vw"].where("ld_revenue in ('P', 'V')").select("mkt_cd", "ld_revenue"), "mkt_cd")
     terms = pick(terms, *LINE, "start_date", "end_date", orig_ld_cd="ld_cd", orig_ld_exp_date="ld_expired_date", orig_ld_revenue="ld_revenue")
-    held = join_asof(rows.select(*LINE, "order_num", "inv_date"), terms, LINE, "inv_date", offset_days=-1, how="inner", years=w.years)
-    last = nth_row(held, [*LINE, "order_num"], [_latest("orig_ld_exp_date"), _latest("orig_ld_cd")])
+    asked = rows.select(*LINE, "order_num", "inv_date").distinct()
+    held = best_open(asked, terms, LINE, F.date_sub("inv_date", 1), "start_date", "end_date", ["orig_ld_exp_date", "orig_ld_cd"], ["orig_ld_exp_date", "orig_ld_cd", "orig_ld_revenue"])
+    last = nth_row(held.where("orig_ld_revenue is not null"), [*LINE, "order_num"], [_latest("orig_ld_exp_date"), _latest("orig_ld_cd")])
     last = last.select(*LINE, "order_num", "orig_ld_cd", "orig_ld_exp_date", F.col("orig_ld_revenue").alias("ld_revenue"), F.lit(True).alias("had"))
     out = out.join(last, [*LINE, "order_num", "ld_revenue"], "left")
     own = pick(t["pos_inv_header"], *LINE, order_num="inv_num", new_exp="ld_expiry_date", inv_ld_cd="ld_cd", inv_plan="rate_plan_cd", usr_id="usr_id", salesman_cd="salesman_cd")
@@ -161,7 +162,8 @@ def addon_lists(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
         return keep_in(split, known, "item")
 
     live = stack(*[t[n].select(*LINE, "bill_end_date", F.col("bill_serv_cd").alias("item")) for n in ("bill_servs", "bill_servs_pend")])
-    active = asked.join(keep_in(live, known, "item"), LINE).where("inv_date < bill_end_date").select(*key, "item").distinct()
+    live = keep_in(live, known, "item").groupBy(*LINE, "item").agg(F.max("bill_end_date").alias("bill_end_date"))
+    active = asked.join(live, LINE).where("inv_date < bill_end_date").select(*key, "item").distinct()
     added, ended = items("add_vas"), items("end_vas")
     parts = {"add": added, "end": ended, "act": active}
     kind = [part.withColumn("kind", F.lit(n)) for n, part in parts.items()]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import blank, composite_id, concat_text, contract_value, month_start, no_date, override
 from millrace.operators import (
-    drop_in, drop_like, join_asof, join_within, keep_first, keep_in, list_agg, pick_rank, ranked, snapshot, stack,
+    drop_in, drop_like, first_events, join_asof, join_within, keep_first, keep_in, list_agg, pick_rank, ranked, snapshot, stack,
     update_from_agg, waterfall,
 )
 from millrace.params import NO_DATE, NO_TEXT, OPEN_DATE, CommissionWindow
@@ -75,7 +75,7 @@ def matched(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
     by_code = pick(
         valid, *LINE, "ld_cd", "ld_start_date", "ld_expired_date", pos_ld_cd="ld_cd", ld_inv_num="inv_num", ld_mkt_cd="mkt_cd"
     )
-    later = rows.join(by_code, [*LINE, "pos_ld_cd"]).where(F.col("ld_start_date").between(F.col("pos_inv_date"), F.lit(w.eve)))
+    later = first_events(rows, by_code, [*LINE, "pos_ld_cd"], "pos_inv_date", "ld_start_date", 1).where(F.col("ld_start_date") <= F.lit(w.eve))
     early = keep_first(later.withColumn("_at", F.col("ld_start_date")), CASE, "_at", CONTRACT)
     early = early.withColumn("json_rmk", concat_text("json_rmk", F.lit(',"TAG1A04"="MAP_LATEST_LD"')))
     assumed = rows.withColumns(
@@ -85,7 +85,7 @@ def matched(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
             "json_rmk": concat_text("json_rmk", F.lit(',"TAG1A04"="UNMAP_LD"')),
         }
     )
-    return waterfall([("INVOICE", exact), ("EARLIEST", early), ("NONE", assumed)], ["case_id"], "ld_match")
+    return waterfall([("INVOICE", exact), ("EARLIEST", early), ("NONE", assumed)], ["case_id"], "ld_match", stage=lambda df: settle(df, "commission_matches"))
 
 
 def profiled(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
@@ -133,7 +133,9 @@ def old_contracts(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
     others = t["comm_mkt_ref"].where((F.col("comm_mth") == F.lit(w.comm_month)) & (F.upper("bm_cat") == "OTHERS"))
     asked = drop_in(rows.select("case_id", *LINE, "ld_mkt_cd"), pick(others, ld_mkt_cd="mkt_cd"), "ld_mkt_cd")
     held = ["old_ld_inv_num", "old_ld_cd", "old_ld_mkt_cd", "old_ld_start_date", "old_end", "old_cust", "old_subr"]
-    last = keep_first(asked.join(old, LINE), "case_id", "ld_expired_date", held, desc=True)
+    # All cases of a line see the same contracts, so the one is chosen per line.
+    best = keep_first(old, LINE, "ld_expired_date", held, desc=True)
+    last = asked.select("case_id", *LINE).distinct().join(best, LINE).drop(*LINE)
     info = pick(t["subr_info_hist"], "start_date", "end_date", old_cust="cust_num", old_subr="subr_num", old_rate_plan_cd="rate_plan_cd")
     out = join_asof(last, info, ["old_cust", "old_subr"], "old_end", years=w.years).drop("start_date", "end_date")
     first = pick(t["subr_ld_hist"], "start_date", "end_date", old_ld_inv_num="inv_num", old_ld_expired_date="ld_expired_date")
@@ -173,12 +175,10 @@ def bill_rebates(t: Frames, w: CommissionWindow, rows: DataFrame, inv: str, labe
     )
     last = F.date_sub(F.add_months(F.lit(w.comm_month), 1), 1)
     bills = pick(t["inv_header"].where(F.col("inv_date") <= last), b_subr="subr_num", b_cust="cust_num", bill_inv="inv_num", bill_date="inv_date")
-    day = F.col("bill_date")
-    billed = (
-        rows.select("case_id", inv).join(terms, inv).join(bills, ["b_subr", "b_cust"])
-        .where(day.between(F.col("start_date"), F.col("end_date")) & day.between(F.col("term_start"), F.col("term_end")))
-    )
-    first = ranked(billed, "case_id", ["bill_date"], 4)
+    spans = rows.select("case_id", inv).join(terms, inv).where("start_date is not null and end_date is not null and term_start is not null and term_end is not null")
+    spans = spans.withColumns({"since": F.greatest("start_date", "term_start"), "until": F.least("end_date", "term_end")})
+    billed = first_events(spans.drop("start_date", "end_date", "term_start", "term_end"), bills, ["b_subr", "b_cust"], "since", "bill_date", 4, "until")
+    first = settle(ranked(billed.drop("rnk"), "case_id", ["bill_date"], 4), "commission_bills")
     at = pick_rank(first, "case_id", "rnk", ranks, ["bill_inv", "bill_date", "b_subr", "b_cust"])
     shown = F.concat(F.lit("["), "bill_inv", F.lit("]-"), F.date_format("bill_date", "yyyyMMdd"))
     lists = list_agg(first.withColumn("bill", shown), "case_id", "bill", ["rnk", "bill_inv"], ";", name="bill_inv_list")

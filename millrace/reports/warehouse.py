@@ -16,6 +16,7 @@ from millrace.functions import money, month_start
 from millrace.operators import constant_rows
 from millrace.params import OPEN_DATE
 from millrace.reports.common import lines, orders, priority_history
+from millrace.sources.storage import settle
 from millrace.sources.tables import Tables
 
 COMM_MONTH = date(2002, 1, 1)
@@ -250,9 +251,9 @@ def _staff_commission(t: Tables) -> DataFrame:
 
 
 def _staff_list(t: Tables) -> DataFrame:
-    return t.supplier.where("s_suppkey < 40").select(
-        _text("E", F.pmod("s_suppkey", F.lit(6))).alias("staff_no"), _text("CC", F.pmod("s_suppkey", F.lit(8))).alias("dept_code"), (F.pmod("s_suppkey", F.lit(5)) * 100).cast(AMT).alias("total_package"), F.lit(FIRST).alias("trx_month"),
-    )
+    """All suppliers as staff: one package for each member and cost centre."""
+    one = t.supplier.select(_text("E", F.pmod("s_suppkey", F.lit(6))).alias("staff_no"), _text("CC", F.pmod("s_suppkey", F.lit(8))).alias("dept_code"), (F.pmod("s_suppkey", F.lit(5)) * 100).cast(AMT).alias("package"))
+    return one.groupBy("staff_no", "dept_code").agg(F.sum("package").cast("decimal(18,2)").alias("total_package")).withColumn("trx_month", F.lit(FIRST))
 
 
 MADE.update(
@@ -262,11 +263,15 @@ MADE.update(
 )
 
 
+SHUFFLED = {"subr_info_hist", "data_entitle_hist", "hs_subsidy"}
+
+
 class Warehouse:
-    """The derived tables, each built when asked for."""
+    """The derived tables, each built when asked for; those that take a join or a window to derive are written once."""
 
     def __init__(self, t: Tables):
         self.t = t
+        self.stored: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in CONST:
@@ -275,6 +280,10 @@ class Warehouse:
             fixed = {c: F.to_date(c) for c in df.columns if c in _DATES}
             fixed |= {c: F.col(c).cast(AMT) for c in df.columns if c in _DECIMALS}
             return df.withColumns(fixed) if fixed else df
+        if name in SHUFFLED:
+            if name not in self.stored:
+                self.stored[name] = settle(MADE[name](self.t), name)
+            return self.stored[name]
         return MADE[name](self.t)
 
 
@@ -338,7 +347,7 @@ SQL: dict[str, str] = {name: _const_sql(name) for name in CONST} | {
     "store_orders": f"w_store_orders AS (SELECT 'ST' || (o_custkey % 9) AS store_cd, CASE WHEN {_P} <= 3 THEN 'Mobile' ELSE 'Fixed' END AS mobile_type, CASE WHEN o_orderstatus = 'F' THEN 'New Activation' ELSE 'Renewal' END AS connection_type, DATE '1995-01-01' + CAST(o_orderkey % 40 AS INTEGER) AS report_date FROM orders)",
     "depreciation": "w_depreciation AS (SELECT 'LOC' || (l_suppkey % 10) AS location_code, CASE WHEN l_partkey % 3 = 0 THEN 'A' ELSE 'B' END || lpad(CAST(l_partkey % 100 AS VARCHAR), 2, '0') AS account_cd, CAST(l_tax * 100 AS DECIMAL(18,2)) AS deprn_amt FROM lineitem)",
     "staff_commission": "w_staff_commission AS (SELECT 'ST' || (c_custkey % 9) AS shop_cd, 'E' || (c_custkey % 6) AS staff_code, CAST(c_acctbal AS DECIMAL(18,2)) AS commission_payable FROM customer)",
-    "staff_list": "w_staff_list AS (SELECT 'E' || (s_suppkey % 6) AS staff_no, 'CC' || (s_suppkey % 8) AS dept_code, CAST(s_suppkey % 5 * 100 AS DECIMAL(12,2)) AS total_package FROM supplier WHERE s_suppkey < 40)",
+    "staff_list": "w_staff_list AS (SELECT 'E' || (s_suppkey % 6) AS staff_no, 'CC' || (s_suppkey % 8) AS dept_code, CAST(sum(s_suppkey % 5 * 100) AS DECIMAL(18,2)) AS total_package FROM supplier GROUP BY 1, 2)",
     "headcount": "w_headcount AS (SELECT '10.CC' || (c_custkey % 7) || '.5' AS acct_flexfield FROM customer)",
 }
 
