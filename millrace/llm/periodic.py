@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import text as tx
@@ -285,21 +285,20 @@ def collapse(docs: DataFrame, text: str = "text", id_: str = "doc_id", min_lengt
     return plain.mapInArrow(work, f"id {kind}, n_words bigint, runs array<{RUN}>, collapsed string").withColumnRenamed("id", id_)
 
 
-def with_periodic_tail(text: Column, number: Column) -> Column:
-    """`text`, or, for one number in ten, its words with a tail that repeats a stretch of them.
+def with_periodic_tail(docs: DataFrame, text: str = "text", id_: str = "doc_id") -> DataFrame:
+    """(id_, text) of `docs`; the text of one id in ten has its words in place of it, with a tail that repeats a stretch of them.
 
-    With h the CRC-32 of the number's digits and g = h div 10, a text of n words is changed if h mod 10 is 0: word
-    i >= a becomes word a + (i - a) mod p, with a = g mod n and p = 1 + (n - a) div (3 + g mod 8). A null number
-    changes nothing.
+    With h the CRC-32 of the id's digits and g = h div 10, a text of n words is changed if h mod 10 is 0: word i >= a
+    becomes word a + (i - a) mod p, with a = g mod n and p = 1 + (n - a) div (3 + g mod 8). A null id changes nothing.
     """
-    h = F.crc32(number.cast("string").cast("binary"))
-    g = F.floor(h / 10).cast("bigint")
-    words = F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    n = F.size(words).cast("bigint")
-    a = F.pmod(g, n)
-    p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8)))).cast("bigint")
-    new = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.element_at(words, (1 + a + F.pmod(i - a, p)).cast("int"))))
-    return F.when((F.pmod(h, F.lit(10)) == 0) & (n > 0), F.array_join(new, " ")).otherwise(text)
+    h = F.crc32(F.col("id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    out = docs.select(F.col(f"`{id_}`").alias("id"), F.col(f"`{text}`").alias("text")).withColumn("g", F.floor(h / 10).cast("bigint"))
+    out = out.withColumn("words", F.when(F.pmod(h, F.lit(10)) == 0, words))
+    out = out.withColumn("n", F.when(F.size("words") > 0, F.size("words"))).withColumn("a", F.expr("cast(pmod(g, n) as int)"))
+    out = out.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    new = F.expr("concat(slice(words, 1, a), slice(flatten(array_repeat(slice(words, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a))")
+    return out.select(F.col("id").alias(id_), F.when(F.col("n").isNotNull(), F.array_join(new, " ")).otherwise(F.col("text")).alias(text))
 
 
 def digests(collapsed: DataFrame, id_: str = "doc_id") -> DataFrame:

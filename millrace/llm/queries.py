@@ -124,8 +124,7 @@ def op10(t: Tables) -> DataFrame:
 @query("op11_periodic_runs")
 def op11(t: Tables) -> DataFrame:
     """Periodic runs of words of every document, as digests; one document in ten has a periodic tail."""
-    docs = t.documents.select("doc_id", periodic.with_periodic_tail(F.col("text"), F.col("doc_id")).alias("text"))
-    return periodic.digests(periodic.collapse(docs))
+    return periodic.digests(periodic.collapse(periodic.with_periodic_tail(t.documents)))
 
 
 @query("op12_collision_counting")
