@@ -12,7 +12,7 @@ from millrace.functions import blank, decode, first_match, month_start, pct_text
 from millrace.operators import constant_rows, grid, keep_first, keep_in, label_order, list_agg, pivot_report, split_rows, stack
 from millrace.params import NO_TEXT, OPEN_DATE
 from millrace.plans.base import LINE, Frames, pick
-from millrace.sources.storage import settle
+from millrace.storage import settle
 
 # Final states of a call that count as reached.
 REACHED = ["ACCEPT OFFER", "CONSIDER", "WAIT FULFILL", "REJECT", "NOT AVAILABLE"]

@@ -16,7 +16,7 @@ from millrace.operators import (
 )
 from millrace.params import NO_DATE, NO_TEXT, OPEN_DATE, Window
 from millrace.plans.base import LINE, Frames, not_returned, pick, within
-from millrace.sources.storage import settle
+from millrace.storage import settle
 
 LIVE = ["OK", "PE"]
 ORDER = [*LINE, "store_cd", "rate_plan_cd", "order_num", "inv_date", "mkt_cd", "ref", "online_inv", "ld_revenue", "subr_stat_cd", "ld_cd", "add_vas", "eff_date"]

@@ -15,7 +15,7 @@ from millrace.operators import (
 )
 from millrace.params import NO_DATE, NO_TEXT, OPEN_DATE, CommissionWindow
 from millrace.plans.base import LINE, Frames, not_returned, pick, within
-from millrace.sources.storage import settle
+from millrace.storage import settle
 
 CUSTOM = "CSTPN"
 CASE = ["case_id", *LINE, "pos_inv_num", "pos_mkt_cd", "pos_ld_cd", "pos_inv_date", "pos_inv_tag", "json_rmk"]

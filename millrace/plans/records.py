@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.functions import ip_long, is_date_text, nth_segment, octet_bucket, row_key
 from millrace.sources import readers as R
 from millrace.sources import writers as Wr
+from millrace.sources.placement import ROWS_PER_TASK, place
 
 
 def firewall_keyed(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -37,12 +38,23 @@ def firewall_columns(rows: DataFrame) -> DataFrame:
     )
 
 
-def load_firewall(spark: SparkSession, src: str, dst: str, bad: str | None = None, salt: int = 0) -> None:
-    """Raw files to the partitioned table; each address range is sorted inside its files."""
+def _load(good: DataFrame, rejected: DataFrame, dst: str, bad: str, by: list[str], sort: list[str], rows_per_task: int, fmt: str = "parquet", **options) -> dict[str, int]:
+    """Write both kinds of rows and return how many of each there were, as counted while they were written."""
+    counts = {name: Observation(name) for name in ("accepted", "rejected")}
+    placed = place(good, by, rows_per_task, sort).observe(counts["accepted"], F.count(F.lit(1)).alias("n"))
+    placed.write.mode("append").partitionBy(*by).options(**options).format(fmt).save(dst)
+    refused = rejected.observe(counts["rejected"], F.count(F.lit(1)).alias("n"))
+    refused.write.mode("append").options(sep="|", compression="gzip").csv(bad)
+    return {name: c.get["n"] for name, c in counts.items()}
+
+
+def load_firewall(spark: SparkSession, src: str, dst: str, bad: str, rows_per_task: int = ROWS_PER_TASK) -> dict[str, int]:
+    """Raw files to the partitioned table; each address range is sorted inside its files. Rejected rows go to `bad`.
+
+    Returns the numbers of accepted and rejected rows. A large partition is spread over tasks, see `place`.
+    """
     good, rejected = firewall_keyed(R.read_lines(spark, src))
-    Wr.write_partitioned(firewall_columns(good), dst, ["trx_date", "pkey"], sort=["srcip_num"], salt=salt)
-    if bad:
-        Wr.write_csv(rejected, bad, sep="|")
+    return _load(firewall_columns(good), rejected, dst, bad, ["trx_date", "pkey"], ["srcip_num"], rows_per_task, compression="zstd")
 
 
 def lookup_ip(table: DataFrame, ip: str, first_date: str | None = None, last_date: str | None = None) -> DataFrame:
@@ -68,10 +80,13 @@ def forward_records(lines: DataFrame, legacy: bool = False) -> tuple[DataFrame,
     return good.select(*FORWARD_KEPT, F.concat(F.lit("20"), "call_start_date").alias("part_key")), bad.select(*FORWARD_KEPT)
 
 
-def load_forward(spark: SparkSession, src: str, dst: str, bad: str, max_rows_per_file: int = 200_000_000) -> None:
-    good, rejected = forward_records(R.read_lines(spark, src))
-    good.write.mode("append").partitionBy("part_key").options(sep="|", compression="gzip", maxRecordsPerFile=max_rows_per_file).csv(dst)
-    Wr.write_csv(rejected, bad, sep="|")
+def load_forward(
+    spark: SparkSession, src: str, dst: str, bad: str, max_rows_per_file: int = 200_000_000, rows_per_task: int = ROWS_PER_TASK, legacy: bool = False
+) -> dict[str, int]:
+    """Fixed-width files to pipe-separated files by date, rolled after a number of rows; returns the two counts."""
+    good, rejected = forward_records(R.read_lines(spark, src), legacy)
+    kept = {"sep": "|", "compression": "gzip", "maxRecordsPerFile": max_rows_per_file}
+    return _load(good, rejected, dst, bad, ["part_key"], [], rows_per_task, "csv", **kept)
 
 
 def trace_records(spark: SparkSession, src: str, sep: str = ",") -> DataFrame:
@@ -80,5 +95,7 @@ def trace_records(spark: SparkSession, src: str, sep: str = ",") -> DataFrame:
     return R.with_file_attrs(rows, R.TRACE_NAME, ["trx_date", "event_id"])
 
 
-def load_trace(spark: SparkSession, src: str, dst: str) -> None:
-    Wr.write_partitioned(trace_records(spark, src), dst, ["trx_date", "event_id"])
+def load_trace(spark: SparkSession, src: str, dst: str, bad: str, rows_per_task: int = ROWS_PER_TASK) -> dict[str, int]:
+    """Trace files to the table by date and event; rows of files whose name gives neither are rejected."""
+    good, rejected = Wr.split_valid(trace_records(spark, src), (F.col("trx_date") != "") & (F.col("event_id") != ""))
+    return _load(good, rejected, dst, bad, ["trx_date", "event_id"], [], rows_per_task, compression="zstd")

@@ -11,7 +11,7 @@ from millrace.plans import campaign
 from millrace.reports.common import orders
 from millrace.reports.registry import report
 from millrace.reports.warehouse import Warehouse, with_tables
-from millrace.sources.storage import settle
+from millrace.storage import settle
 from millrace.sources.tables import Tables
 
 

@@ -14,7 +14,7 @@ from millrace.plans import channel, contribution, revenue
 from millrace.reports.common import orders
 from millrace.reports.registry import report
 from millrace.reports.warehouse import FIRST, LAST, Warehouse, with_tables
-from millrace.sources.storage import settle
+from millrace.storage import settle
 from millrace.sources.tables import Tables
 
 # Two windows, so that both new and old lines occur, and the ledger's period in the second.

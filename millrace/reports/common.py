@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.operators import build_history, keep_first
+from millrace.sources import readers as R
 from millrace.sources.tables import Tables
 
 
@@ -62,3 +63,20 @@ hist AS (
 """
 
 __all__ = ["HISTORY_SQL", "YEARS", "cents", "day", "from_cents", "from_revenue", "keep_first", "lines", "orders", "priority_history", "revenue", "total"]
+
+
+def _pad(c, n: int):
+    return F.rpad(F.coalesce(c.cast("string"), F.lit("")), n, " ")
+
+
+def fixed_lines(t: Tables, day: str = "dd") -> DataFrame:
+    """Orders as fixed-width call-forward lines: those of one status are header lines, those of another have a short date.
+
+    `day` is the form of the day in the date; a quoted number puts all calls of a month on that day.
+    """
+    status = F.col("o_orderstatus")
+    kind = F.when(status == "F", "20").when(status == "O", "30").otherwise("10")
+    date = F.when(status == "O", F.date_format("o_orderdate", "yyMM")).otherwise(F.date_format("o_orderdate", "yyMM" + day))
+    held = {"record_type": kind, "imsi": F.col("o_custkey"), "dial_digit": F.col("o_orderpriority"), "call_start_date": date, "caller_no": F.col("o_orderkey")}
+    line = F.concat(*[_pad(held.get(n, F.lit("")), w) for n, w in R.FORWARD_WIDTHS])
+    return t.orders.select(line.alias("value"))

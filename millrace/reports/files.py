@@ -6,19 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import is_date_text, money, year2_date
-from millrace.reports.common import orders, total
+from millrace.reports.common import fixed_lines, orders, total
 from millrace.reports.registry import report
 from millrace.sources import readers as R
 from millrace.sources import writers as Wr
-from millrace.sources.storage import children, scratch_dir, touch
+from millrace.storage import children, scratch_dir, touch
 from millrace.sources.tables import Tables
 from millrace.streaming.ingest import ingest_incremental
 
 
-def _pad(c, n: int):
-    return F.rpad(F.coalesce(c.cast("string"), F.lit("")), n, " ")
-
-
 @report("fixed_width_parse", """
 SELECT 'good' AS outcome, CAST(o_custkey AS VARCHAR) AS imsi, strftime(o_orderdate, '%y%m%d') AS call_start_date, CAST(strptime('20' || strftime(o_orderdate, '%y%m%d'), '%Y%m%d') AS DATE) AS call_day,
   CAST(o_orderkey AS VARCHAR) AS caller_no, o_orderpriority AS dial_digit FROM orders WHERE o_orderstatus = 'F'
@@ -26,13 +22,8 @@ UNION ALL SELECT 'bad', CAST(o_custkey AS VARCHAR), strftime(o_orderdate, '%y%m'
 """)
 def fixed_width_parse(t: Tables) -> DataFrame:
     """Fixed-width lines with header records to skip and short dates to reject."""
-    status = F.col("o_orderstatus")
-    kind = F.when(status == "F", "20").when(status == "O", "30").otherwise("10")
-    date = F.when(status == "O", F.date_format("o_orderdate", "yyMM")).otherwise(F.date_format("o_orderdate", "yyMMdd"))
-    held = {"record_type": kind, "imsi": F.col("o_custkey"), "dial_digit": F.col("o_orderpriority"), "call_start_date": date, "caller_no": F.col("o_orderkey")}
-    line = F.concat(*[_pad(held.get(n, F.lit("")), w) for n, w in R.FORWARD_WIDTHS])
     path = scratch_dir(t.spark, "fixed")
-    t.orders.select(line.alias("value")).write.text(path)
+    fixed_lines(t).write.text(path)
     parsed = R.read_fixed_width(t.spark, path)
     good, bad = Wr.split_valid(parsed, F.length("call_start_date") == 6)
 

@@ -10,21 +10,21 @@ from pyspark.sql import functions as F
 from millrace.functions import money
 from millrace.operators import constant_rows
 from millrace.plans import audit, billing, records, usage
-from millrace.reports.common import day, orders
+from millrace.reports.common import day, fixed_lines, orders
 from millrace.reports.registry import report
 from millrace.reports.warehouse import Warehouse, with_tables
 from millrace.sources import writers as Wr
 from millrace.sources.readers import read_partitioned
-from millrace.sources.storage import scratch_dir
+from millrace.storage import scratch_dir
 from millrace.sources.tables import Tables
 
 _IP = "'10.0.' || CAST((user_id * 7) % 200 AS VARCHAR) || '.' || CAST(user_id % 250 AS VARCHAR)"
 
 
-def _firewall_lines(t: Tables) -> DataFrame:
-    """Events as raw firewall lines; those of one type carry a broken date."""
+def _firewall_lines(t: Tables, ranges: int = 200) -> DataFrame:
+    """Events as raw firewall lines from a number of address ranges; those of one type carry a broken date."""
     u = F.col("user_id")
-    ip = F.concat_ws(".", F.lit("10"), F.lit("0"), (u * 7 % 200).cast("string"), (u % 250).cast("string"))
+    ip = F.concat_ws(".", F.lit("10"), F.lit("0"), (u * 7 % ranges).cast("string"), (u % 250).cast("string"))
     ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
     ts = F.when(F.col("event_type") == "error", F.concat(F.lit("19"), F.substring(ts, 3, 17))).otherwise(ts)
     volume = F.get_json_object("props", "$.k")
@@ -64,6 +64,68 @@ def firewall_load(t: Tables) -> DataFrame:
     return found.groupBy("trx_date", "pkey").agg(F.count(F.lit(1)).alias("cnt"), F.sum(F.col("send_vol").cast("bigint")).alias("vol"), F.min("srcip_num").alias("lo_ip"))
 
 
+@report("firewall_load_job", """
+SELECT 'accepted' AS outcome, strftime(ts, '%Y%m%d') AS trx_date, CAST((user_id * 7) % 4 AS VARCHAR) AS pkey, count(*) AS cnt, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS vol FROM events WHERE event_type <> 'error' GROUP BY 2, 3
+UNION ALL SELECT 'rejected', NULL, NULL, count(*), NULL FROM events WHERE event_type = 'error'
+UNION ALL SELECT 'counted_' || CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'accepted' END, NULL, NULL, count(*), NULL FROM events GROUP BY 1
+""")
+def firewall_load_job(t: Tables) -> DataFrame:
+    """Raw files loaded to the table by date and address range; what is in the table, in the rejects, and what the job counted."""
+    root = scratch_dir(t.spark, "firewall-job")
+    _firewall_lines(t, 4).write.text(f"{root}/in")
+    counts = records.load_firewall(t.spark, f"{root}/in", f"{root}/table", f"{root}/bad", rows_per_task=LOAD_ROWS)
+    table = read_partitioned(t.spark, f"{root}/table")
+    kept = table.groupBy("trx_date", "pkey").agg(F.count(F.lit(1)).alias("cnt"), F.sum(F.col("send_vol").cast("bigint")).alias("vol"))
+    none = F.lit(None).cast("string")
+    refused = t.spark.read.text(f"{root}/bad").agg(F.count(F.lit(1)).alias("cnt"))
+    extra = refused.select(F.lit("rejected").alias("outcome"), none.alias("trx_date"), none.alias("pkey"), "cnt", F.lit(None).cast("bigint").alias("vol"))
+    return kept.select(F.lit("accepted").alias("outcome"), "trx_date", "pkey", "cnt", "vol").unionByName(extra).unionByName(_counted(t, counts, ["trx_date", "pkey"], ["vol"]))
+
+
+LOAD_ROWS = 20_000
+
+
+def _counted(t: Tables, counts: dict[str, int], texts: list[str], numbers: list[str]) -> DataFrame:
+    """What a load counted, one row for each outcome with rows."""
+    rows = constant_rows(t.spark, [(f"counted_{k}", n) for k, n in counts.items()], "outcome string, cnt bigint").where("cnt > 0")
+    return rows.withColumns({**{c: F.lit(None).cast("string") for c in texts}, **{c: F.lit(None).cast("bigint") for c in numbers}})
+
+
+@report("forward_load_job", """
+SELECT 'accepted' AS outcome, '20' || strftime(o_orderdate, '%y%m') || '01' AS part_key, count(*) AS cnt, CAST(sum(o_orderkey) AS BIGINT) AS total FROM orders WHERE o_orderstatus = 'F' GROUP BY 2
+UNION ALL SELECT 'rejected', NULL, count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders WHERE o_orderstatus = 'O'
+UNION ALL SELECT CASE o_orderstatus WHEN 'F' THEN 'counted_accepted' ELSE 'counted_rejected' END, NULL, count(*), NULL FROM orders WHERE o_orderstatus IN ('F', 'O') GROUP BY 1
+""")
+def forward_load_job(t: Tables) -> DataFrame:
+    """Fixed-width files loaded by date, rolled by row count; header lines are skipped, short dates rejected."""
+    root = scratch_dir(t.spark, "forward-job")
+    fixed_lines(t, "'01'").write.text(f"{root}/in")
+    counts = records.load_forward(t.spark, f"{root}/in", f"{root}/table", f"{root}/bad", max_rows_per_file=5_000, rows_per_task=LOAD_ROWS)
+    schema = ", ".join(f"{c} string" for c in records.FORWARD_KEPT)
+    before = t.spark.read.options(sep="|", recursiveFileLookup=True).schema(schema)
+    sums = [F.count(F.lit(1)).alias("cnt"), F.sum(F.col("caller_no").cast("bigint")).alias("total")]
+    kept = before.csv(f"{root}/table").withColumn("part_key", F.regexp_extract(F.col("_metadata.file_path"), "part_key=([0-9]+)", 1)).groupBy("part_key").agg(*sums)
+    bad = before.csv(f"{root}/bad").agg(*sums).withColumn("part_key", F.lit(None).cast("string"))
+    cols = ["part_key", "cnt", "total"]
+    both = kept.select(F.lit("accepted").alias("outcome"), *cols).unionByName(bad.select(F.lit("rejected").alias("outcome"), *cols))
+    return both.unionByName(_counted(t, counts, ["part_key"], ["total"]))
+
+
+@report("trace_load_job", """
+SELECT 'accepted' AS outcome, strftime(ts, '%Y%m%d') AS trx_date, event_type AS event_id, count(*) AS cnt, CAST(sum(event_id) AS BIGINT) AS total FROM events WHERE event_type <> 'error' GROUP BY 2, 3
+UNION ALL SELECT 'counted_' || CASE WHEN event_type = 'error' THEN 'rejected' ELSE 'accepted' END, NULL, NULL, count(*), NULL FROM events GROUP BY 1
+""")
+def trace_load_job(t: Tables) -> DataFrame:
+    """Files with a header line, named by date and event, loaded by both; files of another name are rejected."""
+    root = scratch_dir(t.spark, "trace-job")
+    rows = t.events.select(F.col("event_id").alias("number"), "value", F.date_format("ts", "yyyyMMdd").alias("d"), F.col("event_type").alias("e"))
+    Wr.write_named(rows, f"{root}/in", ["d", "e"], lambda d, e: "unknown" if e == "error" else f"A{d}_x_{e}", header=True)
+    counts = records.load_trace(t.spark, f"{root}/in", f"{root}/table", f"{root}/bad", rows_per_task=LOAD_ROWS)
+    table = read_partitioned(t.spark, f"{root}/table").withColumn("number", F.col("number").cast("bigint"))
+    kept = table.groupBy("trx_date", "event_id").agg(F.count(F.lit(1)).alias("cnt"), F.sum("number").alias("total"))
+    return kept.select(F.lit("accepted").alias("outcome"), "trx_date", "event_id", "cnt", "total").unionByName(_counted(t, counts, ["trx_date", "event_id"], ["total"]))
+
+
 @report("usage_by_line", """
 SELECT 'S' || user_id AS subr_num, strftime(ts, '%Y%m%d') AS accs_date, CASE event_type WHEN 'view' THEN 'web' WHEN 'click' THEN 'web' WHEN 'purchase' THEN 'shop' END AS media_category_name,
   CASE event_type WHEN 'view' THEN 1 WHEN 'click' THEN 1 WHEN 'purchase' THEN 2 END AS media_sub_category_name, count(*) AS cnt, CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT) + 5) AS BIGINT) AS sum_vol

@@ -16,7 +16,7 @@ from millrace.functions import money, month_start
 from millrace.operators import constant_rows
 from millrace.params import OPEN_DATE
 from millrace.reports.common import lines, orders, priority_history
-from millrace.sources.storage import settle
+from millrace.storage import settle
 from millrace.sources.tables import Tables
 
 COMM_MONTH = date(2002, 1, 1)

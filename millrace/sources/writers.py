@@ -2,27 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import json
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators.layout import cluster
-from millrace.sources.storage import children, drop_folder, touch
+from millrace.sources.placement import place
+from millrace.storage import children, drop_folder, move, read_text, scratch_name, touch, write_text
 
 
 def write_partitioned(
     df: DataFrame, path: str, by: Sequence[str], cluster_by: Sequence[str] | None = None, sort: Sequence[str] = (),
-    mode: str = "append", codec: str = "zstd", max_rows_per_file: int = 0, salt: int = 0,
+    mode: str = "append", codec: str = "zstd", max_rows_per_file: int = 0, salt: int = 0, rows_per_task: int = 0,
 ) -> None:
     """Parquet under partition folders. Rows are brought together by `cluster_by` (default `by`).
 
     Sorting inside the files keeps their min/max statistics narrow for key lookups. `salt` spreads
-    a partition that is too large for one task over several files.
+    every partition over several files; `rows_per_task` deals rows by a plan from the counts instead, so that only
+    partitions that are too large for one task are spread (`placement.place`).
     """
-    keys = list(cluster_by or by)
-    placed = cluster(df, keys, sort=[*by, *sort] if sort else (), salt=salt)
+    if rows_per_task:
+        placed = place(df, by, rows_per_task, sort)
+    else:
+        placed = cluster(df, list(cluster_by or by), sort=[*by, *sort] if sort else (), salt=salt)
     writer = placed.write.mode(mode).partitionBy(*by).option("compression", codec)
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)
@@ -49,6 +54,29 @@ def write_csv(
     writer.csv(path)
 
 
+def write_named(df: DataFrame, path: str, by: Sequence[str], name: Callable[..., str], header: bool = False, rows_per_file: int = 0) -> int:
+    """CSV files named by the values of `by`, with a number after it; returns how many files.
+
+    The files are written under partition folders, then renamed into one: work of the driver in proportion to files.
+    """
+    spark = df.sparkSession
+    writer = df.repartition(*by).write.partitionBy(*by).options(header=header)
+    if rows_per_file:
+        writer = writer.option("maxRecordsPerFile", rows_per_file)
+    writer.csv(f"{path}/_parts")
+    folders = [f"{path}/_parts"]
+    for _ in by:
+        folders = [f"{f}/{c}" for f in folders for c in children(spark, f) if "=" in c]
+    made = 0
+    for folder in folders:
+        values = [p.split("=", 1)[1] for p in folder.split("/")[-len(by) :]]
+        for old in children(spark, folder):
+            move(spark, f"{folder}/{old}", f"{path}/{name(*values)}_{made:06d}.csv")
+            made += 1
+    drop_folder(spark, f"{path}/_parts")
+    return made
+
+
 def split_valid(df: DataFrame, cond: Column) -> tuple[DataFrame, DataFrame]:
     """Accepted and rejected rows; a row whose test is null is rejected."""
     ok = F.coalesce(cond, F.lit(False))
@@ -89,18 +117,79 @@ def export_report(df: DataFrame, path: str, header: bool = True, sep: str = ",",
     write_csv(df, path, files=files, mode="overwrite", codec="none", sep=sep, header=header)
 
 
+# --- window refresh -----------------------------------------------------------------------
+
+REFRESH = "_refresh"
+
+
+def _stage_window(spark: SparkSession, df: DataFrame, target: str, part_col: str, window: Sequence) -> str:
+    """Write the recomputed rows beside the table; nothing that readers see changes."""
+    run = scratch_name()
+    inside = df.where(F.col(part_col).isin(list(window)))
+    inside.write.partitionBy(part_col).parquet(f"{target}/{REFRESH}/{run}/new")
+    return run
+
+
+def _commit_window(spark: SparkSession, target: str, part_col: str, window: Sequence, run: str) -> None:
+    """Write the manifest: which partitions are replaced, and which files each has and will have.
+
+    It appears under its name at once. From here on the refresh is going to be finished, by this run or a later one.
+    """
+    folder = lambda root, v: f"{root}/{part_col}={v}"
+    rows = {str(v): {"old": children(spark, folder(target, v)), "new": [n for n in children(spark, folder(f"{target}/{REFRESH}/{run}/new", v)) if n[0] not in "._"]} for v in window}
+    write_text(spark, f"{target}/{REFRESH}/{run}.manifest", json.dumps({"column": part_col, "partitions": rows}))
+
+
+def _switch_window(spark: SparkSession, target: str, run: str) -> None:
+    """Do what the manifest says. Every step may be repeated: a file that is gone or moved already is passed over."""
+    plan = json.loads(read_text(spark, f"{target}/{REFRESH}/{run}.manifest"))
+    for value, files in plan["partitions"].items():
+        home = f"{target}/{plan['column']}={value}"
+        staged = f"{target}/{REFRESH}/{run}/new/{plan['column']}={value}"
+        for name in files["new"]:
+            move(spark, f"{staged}/{name}", f"{home}/.{name}")  # not seen by readers under this name
+        for name in files["old"]:
+            drop_folder(spark, f"{home}/{name}")
+        for name in files["new"]:
+            move(spark, f"{home}/.{name}", f"{home}/{name}")
+        if not files["new"]:
+            drop_folder(spark, home)
+
+
+def _close_window(spark: SparkSession, target: str, run: str) -> None:
+    drop_folder(spark, f"{target}/{REFRESH}/{run}")
+    drop_folder(spark, f"{target}/{REFRESH}/{run}.manifest")
+
+
+def recover_windows(spark: SparkSession, target: str) -> int:
+    """Finish refreshes that broke off after their commit, remove what others left; returns how many were finished.
+
+    Only one run may work on a table at a time.
+    """
+    found = children(spark, f"{target}/{REFRESH}")
+    committed = [n.removesuffix(".manifest") for n in found if n.endswith(".manifest")]
+    for run in committed:
+        _switch_window(spark, target, run)
+        _close_window(spark, target, run)
+    for name in found:
+        if not name.endswith(".manifest") and name not in committed:
+            drop_folder(spark, f"{target}/{REFRESH}/{name}")
+    return len(committed)
+
+
 def refresh_window(spark: SparkSession, df: DataFrame, target: str, part_col: str, window: Sequence) -> None:
     """Replace the partitions of a window by the recomputed rows; other partitions are not touched.
 
-    A partition of the window for which no row came out is removed.
+    A partition of the window for which no row came out is removed. The rows are first written beside the table,
+    then a manifest commits them, then files are switched by renames. A run that breaks off leaves the old window if
+    that was before the manifest, and else a switch that the next run, or `recover_windows`, brings to its end; `df`
+    may read the table itself.
     """
-    before = {v: set(children(spark, f"{target}/{part_col}={v}")) for v in window}
-    inside = df.where(F.col(part_col).isin(list(window)))
-    inside.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(target)
-    for v, files in before.items():
-        folder = f"{target}/{part_col}={v}"
-        if files and set(children(spark, folder)) == files:
-            drop_folder(spark, folder)
+    recover_windows(spark, target)
+    run = _stage_window(spark, df, target, part_col, window)
+    _commit_window(spark, target, part_col, window, run)
+    _switch_window(spark, target, run)
+    _close_window(spark, target, run)
 
 
 def append_stamped(df: DataFrame, path: str, by: Sequence[str] = (), mode: str = "append") -> None:

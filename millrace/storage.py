@@ -23,6 +23,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def scratch_name() -> str:
+    return uuid.uuid4().hex
+
+
 def settle(df: DataFrame, name: str) -> DataFrame:
     """Write a frame that several later steps read, and read it back.
 
@@ -61,3 +65,34 @@ def drop_folder(spark: SparkSession, path: str) -> bool:
 def touch(spark: SparkSession, path: str) -> None:
     fs, where, _ = _fs(spark, path)
     fs.create(where, True).close()
+
+
+def move(spark: SparkSession, old: str, new: str) -> bool:
+    """Rename one file, making the folder it goes to; False if `old` is not there."""
+    fs, where, jvm = _fs(spark, old)
+    if not fs.exists(where):
+        return False
+    goal = jvm.org.apache.hadoop.fs.Path(new)
+    fs.mkdirs(goal.getParent())
+    if not fs.rename(where, goal):
+        raise OSError(f"{old} could not be renamed to {new}")
+    return True
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole: written under another name, then renamed."""
+    fs, where, jvm = _fs(spark, f"{path}.part")
+    out = fs.create(where, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not fs.rename(where, jvm.org.apache.hadoop.fs.Path(path)):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, where, jvm = _fs(spark, path)
+    stream = fs.open(where)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream)).decode()
+    finally:
+        stream.close()

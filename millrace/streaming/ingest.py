@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from millrace.sources.storage import children
+from millrace.storage import children
 
 
 def last_batch(spark: SparkSession, checkpoint: str) -> int:

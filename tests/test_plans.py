@@ -11,7 +11,7 @@ from millrace.params import OPEN_DATE, Window
 from millrace.plans import billing, campaign, channel, contribution, records, revenue, usage
 from millrace.sources import readers as R
 from millrace.sources import writers as W
-from millrace.sources.storage import children, scratch_dir, settle
+from millrace.storage import children, scratch_dir, settle
 from millrace.streaming.ingest import ingest_incremental
 
 D = date
