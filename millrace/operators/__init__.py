@@ -5,7 +5,7 @@ from millrace.operators.joins import (  # noqa: F401
     join_range, join_siblings, join_within, keep_in, match_fallback, snapshot, waterfall, with_scalar,
 )
 from millrace.operators.layout import cluster, modulo_parts, top  # noqa: F401
-from millrace.operators.lists import number_rows, regroup, split_rows  # noqa: F401
+from millrace.operators.lists import list_pieces, number_rows, regroup, split_rows  # noqa: F401
 from millrace.operators.ordering import dense_positions, with_position, with_running  # noqa: F401
 from millrace.operators.patterns import drop_like  # noqa: F401
 from millrace.operators.rules import apply_match, apply_rules, drop_where, select_where, update_from_agg  # noqa: F401

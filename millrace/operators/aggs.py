@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.exprs import ratio
+from millrace.operators.sizing import small_values
 
 __all__ = [
-    "allocate", "duplicate_keys", "keep_first", "list_agg", "offset_pairs", "per_day", "pick_rank", "pivot_report",
+    "allocate", "duplicate_keys", "keep_first", "list_agg", "offset_pairs", "per_day", "pick_rank", "pivot_blocks", "pivot_report",
     "pre_aggregate_join", "ratio", "ready", "reconcile", "signed_total", "summarise", "weighted_total", "with_subtotals",
 ]
 
@@ -157,18 +158,36 @@ def with_subtotals(
     return head.unionByName(per_outer).unionByName(whole)
 
 
+PIVOT_LIMIT = 1000
+
+
 def pivot_report(
     df: DataFrame, rows: Sequence[str], col: str, value: str, cols: Sequence | None = None
 ) -> DataFrame:
     """Long cells to a wide table, with the listed column values, or those found, in order.
 
-    The long cells are the form for any number of values; each value becomes a column here.
+    Each value becomes a column, so there may be PIVOT_LIMIT of them at most; `pivot_blocks` takes any number.
     """
     if cols is None:
-        cols = sorted(v for (v,) in df.where(F.col(col).isNotNull()).select(col).distinct().collect())
+        found = small_values(df.where(F.col(col).isNotNull()), [col], PIVOT_LIMIT)
+        if found is None:
+            raise ValueError(f"more than {PIVOT_LIMIT} values of {col}: list the columns, or use pivot_blocks")
+        cols = [v for (v,) in found]
     return df.groupBy(*_list(rows)).pivot(col, list(cols)).agg(F.max(value))
 
 
+def pivot_blocks(df: DataFrame, rows: Sequence[str], number: str, value: str, first: int, width: int) -> DataFrame:
+    """Long cells to narrow tables, for columns of any number: (rows, block, c0 ... c<width-1>).
+
+    Column `number` counts from `first`; block 0 holds the first `width` columns, block 1 the next, and so on. The
+    columns are fixed, so nothing is collected to find them; a wide table is its blocks side by side.
+    """
+    at = F.col(number) - first
+    place = F.pmod(at, F.lit(width))
+    cells = [F.max(F.when(place == i, F.col(value))).alias(f"c{i}") for i in range(width)]
+    return df.groupBy(*_list(rows), F.floor(at / width).cast("int").alias("block")).agg(*cells)
+
+
 def pick_rank(df: DataFrame, by: str | Sequence[str], rank_col: str, ranks: Sequence[int], cols: Sequence[str]) -> DataFrame:
     """Values at the first of `ranks` that the group has; all columns come from that one rank."""
     at = [F.max(F.when(F.col(rank_col) == r, F.struct(*cols))).alias(f"_r{r}") for r in ranks]

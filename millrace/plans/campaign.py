@@ -5,11 +5,13 @@ Then the KPI matrix and the plan-mix matrix that are drawn from the classified l
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import blank, decode, first_match, month_start, pct_text, ratio
-from millrace.operators import constant_rows, grid, keep_first, keep_in, label_order, list_agg, pivot_report, split_rows, stack
+from millrace.operators import constant_rows, grid, keep_first, keep_in, label_order, list_agg, pivot_blocks, pivot_report, split_rows, stack, with_position
 from millrace.params import NO_TEXT, OPEN_DATE
 from millrace.plans.base import LINE, Frames, pick
 from millrace.storage import settle
@@ -27,16 +29,23 @@ def dictionary(t: Frames, group: str, day: Column | None = None) -> DataFrame:
     return rows.select("dict_grp", "dict_val").distinct()
 
 
+# The averages and the monthly figures that they are of (last month, the one before, the one before that).
+AVERAGES = {
+    "avg_net_rev": "net_rev", "avg_net_accs_rev": "net_accs_rev", "avg_net_thereafter_rev": "net_thereafter_rev", "avg_net_idd_rev": "net_idd_rev",
+    "avg_net_outbd_roam_rev": "net_outbd_roam_rev", "avg_net_vdrs_rev": "net_vdrs_rev", "avg_other_rev": "other_rev", "avg_hs_amort_amt": "hs_amort_amt",
+    "avg_mou": "mou", "avg_usage_gb": "vol_kb",
+}
+
+
 def before(t: Frames) -> DataFrame:
-    """Average of the last three months before the contact, from the monthly summary."""
+    """Averages of the last three months before the contact, from the monthly summary: those whose figures it has."""
     asked = t["campaign"].select("trx_id", *LINE, F.add_months(month_start("contact_start_date"), -1).alias("trx_month"))
     by = ["trx_id", *LINE, "ld_exp_date", "rate_plan_cd", "plan_tariff", "subr_sw_on_date", "nomination_flg"]
-    avg3 = (F.col("net_rev_1") + F.col("net_rev_2") + F.col("net_rev_3")) / 3
-    usage = (F.col("vol_kb_1") + F.col("vol_kb_2") + F.col("vol_kb_3")) / 3 / 1024 / 1024
-    out = asked.join(t["master_summ"], [*LINE, "trx_month"]).groupBy(*by).agg(
-        F.sum(avg3).alias("avg_net_rev"), F.sum(usage).alias("avg_usage_gb")
-    )
-    return out
+    summary = t["master_summ"]
+    three = lambda c: (F.col(f"{c}_1") + F.col(f"{c}_2") + F.col(f"{c}_3")) / 3
+    scaled = {"vol_kb": lambda c: c / 1024 / 1024}
+    sums = [F.sum(scaled.get(c, lambda x: x)(three(c))).alias(n) for n, c in AVERAGES.items() if f"{c}_1" in summary.columns]
+    return asked.join(summary, [*LINE, "trx_month"]).groupBy(*by).agg(*sums)
 
 
 def last_call(t: Frames, day: Column) -> DataFrame:
@@ -231,18 +240,33 @@ def kpi_cells(base: DataFrame, by: str = "shk_tier") -> DataFrame:
     return base.select(F.col(by).alias("col_key"), F.explode(F.array(*cells)).alias("c")).select("col_key", "c.*")
 
 
-def _tiers(h: DataFrame, by: str, whole: str) -> list[str]:
-    """Columns of a matrix: the total, then the tiers in order."""
-    return [whole, *sorted(v for (v,) in h.where(F.col(by).isNotNull()).select(by).distinct().collect())]
+FIRST_COLUMN = 3  # after the line's number and label
+
 
+def column_numbers(h: DataFrame, by: str, whole: str) -> DataFrame:
+    """(col_key, col_num): the whole is column 3, the tiers follow it in order."""
+    tiers = with_position(h.where(F.col(by).isNotNull()).select(F.col(by).alias("col_key")).distinct(), "col_key", "col_num")
+    first = constant_rows(h.sparkSession, [(whole, FIRST_COLUMN)], "col_key string, col_num bigint")
+    return stack(first, tiers.withColumn("col_num", F.col("col_num") + FIRST_COLUMN + 1))
 
-def kpi_matrix(h: DataFrame, by: str = "shk_tier") -> DataFrame:
-    """35 lines by tier with Total; Total comes from the detail, not from the tier cells."""
+
+def kpi_long(h: DataFrame, by: str = "shk_tier") -> DataFrame:
+    """Cells of the 35 lines by tier with Total, with their column's number; Total comes from the detail, not from the tier cells."""
     tiers = kpi_base(h, by)
     sums = [c for c in tiers.columns if c != by]
     whole = tiers.agg(*[F.sum(c).cast(tiers.schema[c].dataType).alias(c) for c in sums]).withColumn(by, F.lit("Total"))
     cells = kpi_cells(stack(whole.select(*tiers.columns), tiers), by)
-    return pivot_report(cells, ["row_num", "label"], "col_key", "disp_val", _tiers(h, by, "Total"))
+    return cells.join(column_numbers(h, by, "Total"), "col_key")
+
+
+def kpi_matrix(h: DataFrame, tiers: Sequence[str], by: str = "shk_tier") -> DataFrame:
+    """The cells as a table with Total and the given tiers as columns."""
+    return pivot_report(kpi_long(h, by), ["row_num", "label"], "col_key", "disp_val", ["Total", *tiers])
+
+
+def kpi_blocks(h: DataFrame, by: str = "shk_tier", width: int = 50) -> DataFrame:
+    """The cells as tables of `width` columns, for tiers of any number."""
+    return pivot_blocks(kpi_long(h, by), ["row_num", "label"], "col_num", "disp_val", FIRST_COLUMN, width)
 
 
 # --- plan mix -----------------------------------------------------------------------------
@@ -268,14 +292,23 @@ def plan_mix_cells(h: DataFrame) -> DataFrame:
     return stack(heads.select(*detail.columns), detail)
 
 
-def plan_mix_matrix(h: DataFrame) -> DataFrame:
-    cells = plan_mix_cells(h)
-    return pivot_report(cells, ["batch_id", "rnk_nature", "rnk_sub_nature", "display_nature"], "shk_tier", "ptg", _tiers(h, "shk_tier", "TOTAL"))
+PLAN_MIX_ROW = ["batch_id", "rnk_nature", "rnk_sub_nature", "display_nature"]
+
+
+def plan_mix_matrix(h: DataFrame, tiers: Sequence[str]) -> DataFrame:
+    """Shares with TOTAL and the given tiers as columns."""
+    return pivot_report(plan_mix_cells(h), PLAN_MIX_ROW, "shk_tier", "ptg", ["TOTAL", *tiers])
+
+
+def plan_mix_blocks(h: DataFrame, width: int = 50) -> DataFrame:
+    """Shares as tables of `width` columns, for tiers of any number."""
+    cells = plan_mix_cells(h).join(column_numbers(h, "shk_tier", "TOTAL").withColumnRenamed("col_key", "shk_tier"), "shk_tier")
+    return pivot_blocks(cells, PLAN_MIX_ROW, "col_num", "ptg", FIRST_COLUMN, width)
 
 
 def run(t: Frames, day: Column) -> dict[str, DataFrame]:
     h = settle(classify(t, day), "campaign_lines")
-    return {"lines": h, "kpi": kpi_matrix(h), "plan_mix": plan_mix_matrix(h)}
+    return {"lines": h, "kpi": kpi_blocks(h), "plan_mix": plan_mix_blocks(h)}
 
 
-__all__ = ["classify", "kpi_matrix", "labels", "plan_mix_cells", "plan_mix_matrix", "run"]
+__all__ = ["before", "classify", "kpi_blocks", "kpi_long", "kpi_matrix", "labels", "plan_mix_blocks", "plan_mix_cells", "plan_mix_matrix", "run"]

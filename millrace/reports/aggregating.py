@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import money, month_start, pct_text, ratio
 from millrace.operators import (
-    constant_rows, drop_in, duplicate_keys, join_eq, keep_first, list_agg, per_day, pivot_report, pre_aggregate_join,
+    constant_rows, drop_in, duplicate_keys, join_eq, keep_first, list_agg, list_pieces, per_day, pivot_report, pre_aggregate_join,
     printable, ready, reconcile, regroup, share, signed_total, split_rows, stack, summarise, weighted_total,
     with_header_rows, with_subtotals,
 )
@@ -369,3 +369,21 @@ def data_ready(t: Tables) -> DataFrame:
     o = orders(t).withColumn("year", F.trunc("o_orderdate", "YEAR"))
     inside = (F.col("o_orderdate") >= F.to_date(F.lit("1996-01-01"))) & (F.col("o_orderdate") < F.to_date(F.lit("1997-01-01")))
     return ready(o, inside, "year")
+
+
+@report("listagg_pieces", """
+WITH n AS (SELECT o_orderstatus, o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderpriority, o_orderkey) - 1 AS pos FROM orders)
+SELECT o_orderstatus, pos // 500 AS piece, CAST(count(*) AS BIGINT) AS items, string_agg(CAST(o_orderkey AS VARCHAR), ';' ORDER BY pos) AS order_list FROM n GROUP BY 1, 2
+""")
+def listagg_pieces(t: Tables) -> DataFrame:
+    """Ordered lists of a few groups that hold all rows, as pieces of 500 values."""
+    return list_pieces(t.orders, ["o_orderstatus"], "o_orderkey", ["o_orderpriority", "o_orderkey"], ";", 500, name="order_list")
+
+
+@report("listagg_repeats", """
+WITH n AS (SELECT l_linestatus, l_returnflag, row_number() OVER (PARTITION BY l_linestatus ORDER BY l_returnflag) - 1 AS pos FROM lineitem)
+SELECT l_linestatus, pos // 1000 AS piece, CAST(count(*) AS BIGINT) AS items, string_agg(l_returnflag, '' ORDER BY pos) AS flags FROM n GROUP BY 1, 2
+""")
+def listagg_repeats(t: Tables) -> DataFrame:
+    """The same where a group is a few values, each repeated many times."""
+    return list_pieces(t.lineitem, ["l_linestatus"], "l_returnflag", ["l_returnflag"], "", 1000, name="flags")

@@ -78,13 +78,66 @@ SELECT row_num, label, max(v) FILTER (WHERE tier = 'AUTOMOBILE') AS "AUTOMOBILE"
 def campaign_kpi_matrix(t: Tables) -> DataFrame:
     """Lines of the KPI matrix that SQL can state exactly; the plan computes all 35."""
     lines = [1, 3, 5, 6, 7, 8, 9, 10, 11, 23, 28, 31, 34, 35]
-    return campaign.kpi_matrix(settle(_labelled(t), "campaign_lines")).where(F.col("row_num").isin(lines))
+    return campaign.kpi_matrix(settle(_labelled(t), "campaign_lines"), SEGMENTS).where(F.col("row_num").isin(lines))
 
 
-@report("campaign_kpi_full")
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _r10(n: str, d: str) -> str:
+    """n / d in units of 10**-10, rounded half up; 0 for d = 0."""
+    return f"(CASE WHEN {d} = 0 THEN 0 ELSE (2 * CAST(10000000000 AS HUGEINT) * CAST({n} AS HUGEINT) + {d}) // (2 * CAST({d} AS HUGEINT)) END)"
+
+
+def _pct10(x: str) -> str:
+    """Text of a fraction in units of 10**-10 as a percentage."""
+    return f"""(SELECT CASE WHEN {x} < 0 AND k <> 0 THEN '-' ELSE '' END || CAST(k // 100 AS VARCHAR) || '.' || lpad(CAST(k % 100 AS VARCHAR), 2, '0') || '%' FROM (SELECT CAST((2 * abs({x}) + 1000000) // 2000000 AS BIGINT) AS k))"""
+
+
+def _cents(x: str) -> str:
+    return f"(CAST({x} // 100 AS VARCHAR) || '.' || lpad(CAST({x} % 100 AS VARCHAR), 2, '0'))"
+
+
+_KPI_LINES = {
+    1: ("KPI", "tier"), 2: ("Recontract Plan Rate", "' '"), 3: ("Target(Plan)", "'50%'"), 4: ("Gap(Plan)", _pct10(f"({_r10('hits', 'size')} - 5000000000)")),
+    5: ("PTD(Plan)", _pct10(_r10("hits", "size"))), 6: ("Size", "CAST(size AS VARCHAR)"), 7: ("Size (5G potential customer)", "CAST(size_pot AS VARCHAR)"),
+    8: ("Reached", "CAST(reached AS VARCHAR)"), 9: ("Reach %", _pct10(_r10("reached", "size"))), 10: ("Hit", "CAST(hits AS VARCHAR)"),
+    11: ("Hit/Reach%", _pct10(_r10("hits", "reached"))), 12: ("Hit (from 5G potential customer)", "CAST(hit_pot AS VARCHAR)"), 13: ("Recontract Revenue Rate", "' '"),
+    14: ("Target(Revenue)", "'50%'"), 15: ("Gap(Revenue)", _pct10("(rev10 - 5000000000)")), 16: ("PTD(Revenue)", _pct10("rev10")),
+    17: ("Net service revenue1 (before)", _cents("((was6 + 5000) // 10000)")), 18: ("Net service revenue (after)", _cents("((now6 + 5000) // 10000)")),
+    19: ("Avg Net Service Revenue Per User", "' '"), 20: ("Before", _cents("((was10 + 50000000) // 100000000)")), 21: ("After (accept order)", _cents("((now10 + 50000000) // 100000000)")),
+    22: ("Sales status (%)", "' '"), 23: ("Upsell(%)", _pct10(_r10("up", "sold"))), 24: ("Flatsell(%)", _pct10(_r10("flat", "sold"))), 25: ("Downsell(%)", _pct10(_r10("down", "sold"))),
+    26: ("Total(%)", "' '"), 27: ("Sales status (count)", "' '"), 28: ("Upsell(count)", "CAST(up AS VARCHAR)"), 29: ("Flatsell(count)", "CAST(flat AS VARCHAR)"),
+    30: ("Downsell(count)", "CAST(down AS VARCHAR)"), 31: ("Total(count)", "CAST(sold AS VARCHAR)"), 32: ("Magnitude", "' '"), 33: ("Upsell magnitude", _pct10(_r10("bup", "asold"))),
+    34: ("Downsell magnitude", _pct10(f"(-{_r10('bdown', 'asold')})")), 35: ("Overall magnitude", _pct10(_r10("bsold", "asold"))),
+}
+_SUMS = ["size", "size_pot", "reached", "hits", "hit_pot", "bf", "af", "up", "flat", "down", "sold", "bup", "bdown", "bsold", "asold"]
+_KPI_SQL = f"""{_LINES},
+g AS (SELECT tier, count(*) AS size, count(*) FILTER (WHERE nk > 12) AS size_pot, count(*) FILTER (WHERE reach = 'REACH') AS reached, count(*) FILTER (WHERE hit LIKE 'HIT%') AS hits, count(*) FILTER (WHERE hit LIKE 'HIT%' AND nk > 12) AS hit_pot,
+  coalesce(sum(CAST(was AS BIGINT)) FILTER (WHERE hit LIKE 'HIT%'), 0) AS bf, coalesce(sum(CAST(now AS BIGINT)) FILTER (WHERE hit LIKE 'HIT%'), 0) AS af,
+  count(*) FILTER (WHERE sale = 'UP_SELL') AS up, count(*) FILTER (WHERE sale = 'FLAT_SELL') AS flat, count(*) FILTER (WHERE sale = 'DOWN_SELL') AS down, count(*) FILTER (WHERE sale LIKE '%SELL') AS sold,
+  sum(CASE WHEN sale = 'UP_SELL' THEN p * 100 ELSE 0 END) AS bup, sum(CASE WHEN sale = 'DOWN_SELL' THEN p * 100 ELSE 0 END) AS bdown, sum(CASE WHEN sale LIKE '%SELL' THEN p * 100 ELSE 0 END) AS bsold, sum(CASE WHEN sale LIKE '%SELL' THEN p * 90 + 10 ELSE 0 END) AS asold
+  FROM h GROUP BY 1),
+a AS (SELECT tier, {', '.join(_SUMS)}, 3 + row_number() OVER (ORDER BY tier) AS col_num FROM g UNION ALL SELECT 'Total', {', '.join(f'sum({c})' for c in _SUMS)}, 3 FROM g),
+b AS (SELECT *, {_r10('bf', 'hits')} AS was10, {_r10('af', 'hits')} AS now10 FROM a),
+d AS (SELECT *, (size * was10 + 5000) // 10000 AS was6, (hits * now10 + 5000) // 10000 AS now6 FROM b),
+e AS (SELECT *, {_r10('was6', 'now6')} AS rev10 FROM d)"""
+_KPI_CELLS = " UNION ALL ".join(f"SELECT {n} AS row_num, '{label}' AS label, tier AS col_key, CAST(col_num AS BIGINT) AS col_num, {v} AS disp_val FROM e" for n, (label, v) in _KPI_LINES.items())
+
+
+@report("campaign_kpi_full", f"WITH {_KPI_SQL} {_KPI_CELLS}")
 def campaign_kpi_full(t: Tables) -> DataFrame:
-    """All 35 lines."""
-    return campaign.kpi_matrix(settle(_labelled(t), "campaign_lines"))
+    """All 35 lines as cells with the number of their column."""
+    return campaign.kpi_long(settle(_labelled(t), "campaign_lines")).select("row_num", "label", "col_key", "col_num", "disp_val")
+
+
+@report("campaign_kpi_blocks", f"WITH {_KPI_SQL}, cells AS ({_KPI_CELLS})" + """
+SELECT row_num, label, CAST((col_num - 3) // 4 AS INTEGER) AS block, max(disp_val) FILTER (WHERE (col_num - 3) % 4 = 0) AS c0, max(disp_val) FILTER (WHERE (col_num - 3) % 4 = 1) AS c1,
+  max(disp_val) FILTER (WHERE (col_num - 3) % 4 = 2) AS c2, max(disp_val) FILTER (WHERE (col_num - 3) % 4 = 3) AS c3 FROM cells GROUP BY 1, 2, 3
+""")
+def campaign_kpi_blocks(t: Tables) -> DataFrame:
+    """The matrix as tables of four columns each, side by side the whole."""
+    return campaign.kpi_blocks(settle(_labelled(t), "campaign_lines"), width=4)
 
 
 @report("campaign_plan_mix", f"""
@@ -105,6 +158,46 @@ def campaign_plan_mix(t: Tables) -> DataFrame:
     return cells.select("shk_tier", "ru_plan_mix_nature", "ru_plan_mix_sub_nature", "rnk_nature", "rnk_sub_nature", "display_nature", "ptg")
 
 
+@report("campaign_plan_mix_matrix", f"""
+WITH {_LINES},
+n AS (SELECT tier, CASE p WHEN 4 THEN 'N1' WHEN 2 THEN 'N2' ELSE 'UNMAP' END AS nat, CASE WHEN p = 4 THEN 'a' WHEN s = 'F' THEN 'b' ELSE 'UNMAP' END AS sub FROM h WHERE hit LIKE 'HIT%'),
+g AS (SELECT tier, nat, sub, count(*) AS cnt FROM n GROUP BY ALL UNION ALL SELECT 'TOTAL', nat, sub, count(*) FROM n GROUP BY ALL),
+s AS (SELECT *, CAST(sum(cnt) OVER (PARTITION BY tier) AS BIGINT) AS total FROM g),
+k AS (SELECT DISTINCT nat, sub FROM n),
+r AS (SELECT nat, sub, CAST(dense_rank() OVER (ORDER BY nat) AS INTEGER) AS rn, CAST(dense_rank() OVER (PARTITION BY nat ORDER BY sub) AS INTEGER) AS rs FROM k),
+tiers AS (SELECT DISTINCT tier FROM h UNION SELECT 'TOTAL'),
+cells AS (SELECT tier, rn, rs, r.sub AS disp, coalesce({_pct('s.cnt', 's.total')}, '0.00%') AS ptg FROM r CROSS JOIN tiers LEFT JOIN s USING (tier, nat, sub)
+  UNION ALL SELECT DISTINCT tier, rn, 0, nat, ' ' FROM r CROSS JOIN tiers)
+SELECT 'B1' AS batch_id, rn AS rnk_nature, rs AS rnk_sub_nature, disp AS display_nature, max(ptg) FILTER (WHERE tier = 'TOTAL') AS "TOTAL", {', '.join(f"max(ptg) FILTER (WHERE tier = '{x}') AS {x}" for x in SEGMENTS)} FROM cells GROUP BY 1, 2, 3, 4
+""")
+def campaign_plan_mix_matrix(t: Tables) -> DataFrame:
+    """Plan mix with tiers as columns."""
+    return campaign.plan_mix_matrix(settle(_labelled(t), "campaign_lines"), SEGMENTS)
+
+
+_AVG_COLS = {n: i for i, n in enumerate(campaign.AVERAGES)}
+
+
+@report("campaign_averages", f"""
+WITH o AS (SELECT 'C' || o_custkey AS c, CAST(o_orderdate AS DATE) AS d, CAST(o_totalprice AS DECIMAL(18,2)) AS amt FROM orders),
+x AS (SELECT c, CAST(min(d) + INTERVAL 12 MONTH AS DATE) AS cd FROM o GROUP BY c),
+m AS (SELECT c, CAST(date_trunc('month', d) AS DATE) AS mth, sum(amt) AS r FROM o GROUP BY 1, 2)
+SELECT 'T' || substr(x.c, 2) AS trx_id, {', '.join(f"CAST(round(CAST(r AS DOUBLE) * {i + 1} + 1, 2) AS DOUBLE) AS {n}" if n != 'avg_usage_gb' else f"CAST(round((CAST(r AS DOUBLE) * {i + 1} + 1) / 1048576, 2) AS DOUBLE) AS {n}" for n, i in _AVG_COLS.items())}
+FROM x JOIN m ON m.c = x.c AND m.mth = CAST(date_trunc('month', cd) - INTERVAL 1 MONTH AS DATE)
+""")
+def campaign_averages(t: Tables) -> DataFrame:
+    """The ten averages of the three months before a contact."""
+    inputs = _Inputs(t)
+    summary = inputs["master_summ"]
+    figures = {}
+    for n, c in campaign.AVERAGES.items():
+        whole = F.col("net_rev_1").cast("double") * (_AVG_COLS[n] + 1)
+        figures |= {f"{c}_1": whole, f"{c}_2": whole + 1, f"{c}_3": whole + 2}
+    base = summary.select("cust_num", "subr_num", "trx_month", "ld_exp_date", "rate_plan_cd", "plan_tariff", "subr_sw_on_date", "nomination_flg", *[v.alias(k) for k, v in figures.items()])
+    out = campaign.before({"campaign": inputs["campaign"], "master_summ": base})
+    return out.select("trx_id", *[F.round(n, 2).alias(n) for n in campaign.AVERAGES])
+
+
 class _Inputs:
     """Campaign tables: each customer is contacted at the date of its first order, plus a year."""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import is_date_text, money, year2_date
@@ -12,6 +12,7 @@ from millrace.sources import readers as R
 from millrace.sources import writers as Wr
 from millrace.storage import children, scratch_dir, touch
 from millrace.sources.tables import Tables
+from millrace.streaming import ledger
 from millrace.streaming.ingest import ingest_incremental
 
 
@@ -226,3 +227,43 @@ def write_reconciled(t: Tables) -> DataFrame:
     schema = "o_orderkey bigint, d string"
     parts = {n: R.read_delimited(t.spark, f"{root}/{n}", schema, sep=",") for n in ("good", "bad")}
     return reconcile(parts, t.orders)
+
+
+@report("ordered_export", """
+SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS d, replace('x,' || o_orderpriority, ',', '|') AS remark, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS line FROM orders
+""")
+def ordered_export(t: Tables) -> DataFrame:
+    """A report in order of date as numbered files, read back by file name and place in the file."""
+    root = scratch_dir(t.spark, "ordered")
+    rows = orders(t).select("o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("d"), F.concat(F.lit("x,"), "o_orderpriority").alias("remark"))
+    Wr.export_ordered(rows, root, ["d", "o_orderkey"], remark=["remark"])
+    text = t.spark.read.text(root).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("nth"))
+    body = text.where("file > '000000.csv'")
+    sizes = body.groupBy("file").agg(F.count(F.lit(1)).alias("n"))
+    before = sizes.select("file", F.coalesce(F.sum("n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))  # a row a file
+    placed = body.withColumn("in_file", F.row_number().over(Window.partitionBy("file").orderBy("at", "nth"))).join(before, "file")
+    parts = F.split("value", ",")
+    return placed.select(parts[0].cast("bigint").alias("o_orderkey"), parts[1].alias("d"), parts[2].alias("remark"), (F.col("before") + F.col("in_file")).cast("bigint").alias("line"))
+
+
+@report("checked_ingest", """
+WITH e AS (SELECT event_type, value, CASE WHEN value > 20 THEN 'accepted' ELSE 'rejected' END AS outcome FROM events)
+SELECT outcome, event_type, count(*) AS cnt, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS amt FROM e GROUP BY 1, 2
+UNION ALL SELECT 'ledger_' || outcome, NULL, count(*), NULL FROM e GROUP BY 1
+UNION ALL SELECT 'ledger_read', NULL, count(*), NULL FROM e
+""")
+def checked_ingest(t: Tables) -> DataFrame:
+    """Files taken in two rounds, rows accepted or rejected, against the account of the batches."""
+    root = scratch_dir(t.spark, "checked")
+    rows = t.events.select("event_id", "value", "event_type")
+    schema = "event_id bigint, value double, event_type string"
+    for half in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        Wr.write_csv(rows.where(half).repartition(3), f"{root}/in", sep="|")
+        for _ in range(2):
+            ledger.ingest_checked(t.spark, f"{root}/in", f"{root}/out", schema, lambda df: F.col("value") > 20, max_files=2, options={"sep": "|"})
+    kinds = [ledger.loaded(t.spark, f"{root}/out", schema, k).withColumn("outcome", F.lit(k)) for k in ("accepted", "rejected")]
+    found = kinds[0].unionByName(kinds[1]).groupBy("outcome", "event_type").agg(F.count(F.lit(1)).alias("cnt"), total("value").alias("amt"))
+    kept = ledger.ledger(t.spark, f"{root}/out").agg(*[F.sum(f"{k}_cnt").alias(k) for k in ("accepted", "rejected", "read")])
+    pairs = F.explode(F.array(*[F.struct(F.lit(f"ledger_{k}").alias("outcome"), F.col(k).alias("cnt")) for k in ("accepted", "rejected", "read")]))
+    account = kept.select(pairs.alias("p")).select("p.outcome", F.lit(None).cast("string").alias("event_type"), "p.cnt", F.lit(None).cast("double").alias("amt"))
+    return found.unionByName(account)

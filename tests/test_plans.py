@@ -167,7 +167,7 @@ def test_campaign_labels_cover_every_case(spark):
 def test_kpi_matrix_with_nothing_hit(spark):
     cols = "shk_tier string, shk_sale_tag string, cl_reach string, cl_hit string, cl_sale_type string, bf_avg_net_rev int, af_net_price int, bf_plan_tariff int, af_plan_tariff int"
     h = spark.createDataFrame([("T1", " ", "NON_REACH", " ", " ", 1, 2, 3, 4)], cols)
-    out = {r.row_num: (r.T1, r.Total) for r in campaign.kpi_matrix(h).collect()}
+    out = {r.row_num: (r.T1, r.Total) for r in campaign.kpi_matrix(h, ["T1"]).collect()}
     assert len(out) == 35 and out[4] == ("-50.00%", "-50.00%") and out[16] == ("0.00%", "0.00%") and out[3] == ("50%", "50%")
 
 
