@@ -13,6 +13,7 @@ from millrace.operators import apply_rules, drop_in, join_asof, keep_in, split_r
 from millrace.params import NO_TEXT, OPEN_DATE, Window
 from millrace.plans.base import LINE, Frames, not_returned, pick, within
 from millrace.plans.channel import PLAN_CHANGE, staff_names
+from millrace.storage import settle
 
 ADMIN_FEES = ["ADM", "ADM2"]
 AMOUNT = "decimal(18,2)"
@@ -136,7 +137,7 @@ def addon_fees(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     lines = lines.join(pick(market_rebates(t), "vas_cd", fee_mkt="mkt_cd", fee_rebate="rebate_amt"), ["vas_cd", "fee_mkt"], "left")
     cols = [*KEY, "fee_inv", "fee_mkt", "fee_ld_cd", "vas_cd", "vas_rate", "fee_start", "fee_end", "create_by", "inv_date", "ld_revenue", "ld_bill_cd", "new_ld_revenue"]
     lines = lines.withColumn("ld_period", fee_period(F.col("fee_start"), F.col("fee_end"), F.col("fee_ld_cd")))
-    lines = lines.withColumn("fee_rebate", F.coalesce("fee_rebate", F.lit(0).cast(AMOUNT))).select(*cols, "ld_period", "fee_rebate").distinct()
+    lines = settle(lines.withColumn("fee_rebate", F.coalesce("fee_rebate", F.lit(0).cast(AMOUNT))).select(*cols, "ld_period", "fee_rebate").distinct(), "fee_lines")
     fits = (F.col("ld_bill_cd") == F.col("vas_cd")) | (blank("ld_bill_cd") & (F.col("ld_revenue") == "V"))
     found = waterfall(
         [

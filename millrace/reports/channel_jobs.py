@@ -250,6 +250,39 @@ def addon_fees(t: Tables) -> DataFrame:
     return fees.groupBy("fee_source", "vas_cd", "store_cd").agg(F.count(F.lit(1)).alias("cnt"), F.sum("vas_fee").cast("double").alias("vas_fee"))
 
 
+_FEES_SQL = """
+ask AS (SELECT 'C' || o_custkey AS cust_num, 'S' || o_custkey AS subr_num, CASE WHEN o_orderkey % 5 = 0 THEN 'F' ELSE 'I' END || o_orderkey AS order_num, 'ST' || (o_custkey % 9) AS store_cd, CAST(o_orderdate AS DATE) AS d,
+  CASE WHEN o_orderpriority LIKE '5%' THEN 'V' ELSE 'P' END AS nlr, CAST(o_orderdate AS DATE) + 5 AS eff FROM orders),
+fv AS (SELECT DISTINCT cust_num, subr_num, bill_serv_cd, bill_start_date FROM w_bill_servs WHERE bill_start_date BETWEEN DATE '1995-01-01' AND DATE '2001-12-31'),
+f1 AS (SELECT a.*, s.bill_serv_cd, coalesce(s.bill_start_date, eff) AS fs FROM ask a LEFT JOIN fv s ON a.cust_num = s.cust_num AND a.subr_num = s.subr_num AND a.d <= s.bill_start_date),
+f2 AS (SELECT DISTINCT l.cust_num, l.subr_num, l.order_num, l.store_cd, l.d, l.nlr, l.fs, h.inv_num, h.mkt_cd, h.ld_cd, h.ld_expired_date AS fe, m.ld_revenue, m.ld_bill_cd, coalesce(l.bill_serv_cd, m.ld_bill_cd) AS vas
+  FROM f1 l JOIN w_subr_ld_hist h ON l.cust_num = h.cust_num AND l.subr_num = h.subr_num AND l.fs BETWEEN h.start_date AND h.end_date JOIN w_mkt_ref_vw m ON h.mkt_cd = m.mkt_cd),
+f3 AS (SELECT *, CASE vas WHEN 'V1' THEN 30 ELSE 12 END AS rate, abs(date_diff('month', date_trunc('month', fs), date_trunc('month', fe + 1))) AS per, CASE WHEN mkt_cd = 'M2' AND vas = 'V1' THEN 12 ELSE 0 END AS freb
+  FROM f2 WHERE vas IN ('V1', 'V2') AND date_trunc('month', fe) > date_trunc('month', d)),
+f4 AS (SELECT 1 AS pr, * FROM f3 WHERE nlr = 'V' AND ld_revenue <> 'P' AND (ld_bill_cd = vas OR (ld_bill_cd = ' ' AND ld_revenue = 'V'))
+  UNION ALL SELECT 2, * FROM f3 WHERE nlr = 'P' AND ld_revenue = 'P'
+  UNION ALL SELECT 3, * FROM f3 WHERE ld_revenue <> 'P' AND (ld_bill_cd = vas OR (ld_bill_cd = ' ' AND ld_revenue = 'V'))),
+fee AS (SELECT cust_num, order_num, store_cd, sum(rate * per - freb) AS fee FROM f4 JOIN (SELECT cust_num, subr_num, min(pr) AS pr FROM f4 GROUP BY 1, 2) USING (cust_num, subr_num, pr) GROUP BY 1, 2, 3),
+wf AS (SELECT e.o_custkey, e.o_orderkey, e.d, e.p, e.val, a.order_num, a.store_cd, CASE WHEN p <> 5 AND max(CASE WHEN p = 5 THEN 1 ELSE 0 END) OVER (PARTITION BY e.o_custkey) = 1 THEN 0 ELSE coalesce(fee, 0) END AS vas_fee
+  FROM se e JOIN ask a ON a.order_num = CASE WHEN e.o_orderkey % 5 = 0 THEN 'F' ELSE 'I' END || e.o_orderkey LEFT JOIN fee USING (cust_num, order_num, store_cd))
+"""
+
+
+def _charged(t: Tables, w: Warehouse) -> DataFrame:
+    """Renewals with their contract revenue and the fees of their add-ons."""
+    rows = settle(_services(t), "services")
+    return revenue.with_fees(revenue.service_revenue(w, rows, "Premium plans"), revenue.addon_fees(w, rows, WHOLE))
+
+
+@report("services_with_fees", with_tables("hs_subsidy", "pos_inv_header", "subr_ld_hist", "bill_servs", "mkt_ref_vw") + "," + _SERVICES_SQL + "," + _FEES_SQL + """
+SELECT order_num, store_cd, CAST(vas_fee AS DOUBLE) AS vas_fee, CAST(val AS DOUBLE) AS total_service_revenue FROM wf
+""")
+def services_with_fees(t: Tables) -> DataFrame:
+    """Fees merged into service revenue; a plan line gives its fee up where the line has other lines too."""
+    out = _charged(t, Warehouse(t))
+    return out.select("order_num", "store_cd", F.col("vas_fee").cast("double").alias("vas_fee"), F.col("total_service_revenue").cast("double").alias("total_service_revenue"))
+
+
 _PRODUCTS_TABLES = ("pos_inv_header", "pos_inv_detail", "pos_return_header", "stores", "fes_usr_info", "pos_prod_ref", "hs_subsidy", "coupons")
 _PRODUCTS_SQL = """
 pi AS (SELECT i.*, coalesce(CASE WHEN u.salesman_flg = 'Y' THEN i.salesman_cd ELSE i.usr_id END, ' ') AS salesman FROM w_pos_inv_header i LEFT JOIN w_fes_usr_info u ON i.salesman_cd = u.usr_name
@@ -309,9 +342,11 @@ def _each(pattern: str, names: list[str] = _MEASURES) -> str:
     return ", ".join(pattern.replace("@", n) for n in names)
 
 
-def _summary_sql() -> str:
+_SIMPLE_ITEMS = {"super_care_plan": "CASE WHEN st = 'F' THEN amt ELSE 0 END", "other_service_plan": "CASE WHEN st = 'O' THEN amt ELSE 0 END", "non_service_plan": "CASE WHEN st = 'P' THEN 9 ELSE 0 END"}
+
+
+def _summary_sql(service: dict[str, str] = _SIMPLE_ITEMS) -> str:
     """Cents are summed; an average is rounded half away from zero to a tenth of a cent."""
-    service = {"super_care_plan": "CASE WHEN st = 'F' THEN amt ELSE 0 END", "other_service_plan": "CASE WHEN st = 'O' THEN amt ELSE 0 END", "non_service_plan": "CASE WHEN st = 'P' THEN 9 ELSE 0 END"}
     product = {item: f"CASE WHEN cls = '{cls}' THEN v ELSE 0 END" for cls, item in (("HANDSET", "handset"), ("SIM", "prepaid_sim"), ("ACCESSORY", "accessories"), ("VOUCHER", "prepaid_voucher"), ("OTHER", "other"))}
     pick = lambda have: ", ".join(f"{have.get(i, '0')} AS {i}" for i in revenue.ITEMS)
     average = "sign(@) * ((abs(@) * 20 + m) // (2 * m)) / 1000.0 AS @"
@@ -339,6 +374,24 @@ def store_staff_summary(t: Tables) -> DataFrame:
     return out.select("inv_date", "store_cd", "staff_name", *[F.col(c).cast("double").alias(c) for c in (*_MEASURES, "inv_cnt")], "summ_fig")
 
 
+_CHAIN_SQL = """
+names AS (SELECT u.usr_name, f.full_name FROM w_fes_usr_info u JOIN (SELECT staff_id, arg_min(full_name, pos_shop_cd || lpad(CAST(create_ts AS VARCHAR), 4, '0')) AS full_name FROM w_fes_usr_info WHERE upper(full_name) NOT LIKE '%TEST%' GROUP BY 1) f USING (staff_id) WHERE upper(u.full_name) NOT LIKE '%TEST%'),
+ss AS (SELECT store_cd, coalesce(n.full_name, ' ') AS staff_name, d AS inv_date, order_num, CASE WHEN p IN (1, 4) THEN val ELSE 0 END AS care, CASE WHEN p IN (1, 4) THEN 0 ELSE val END AS plain, vas_fee
+  FROM wf LEFT JOIN (SELECT DISTINCT * FROM names) n ON n.usr_name = 'SM' || (o_orderkey % 11))
+"""
+
+
+@report("store_staff_chain", with_tables(*_PRODUCTS_TABLES, "subr_ld_hist", "bill_servs", "mkt_ref_vw") + "," + _PRODUCTS_SQL + "," + _SERVICES_SQL + "," + _FEES_SQL + "," + _CHAIN_SQL + ","
+        + _summary_sql({"super_care_plan": "care", "other_service_plan": "plain", "non_service_plan": "vas_fee"}))
+def store_staff_chain(t: Tables) -> DataFrame:
+    """The summary made from the revenue and fee steps before it: renewals to revenue, fees, sellers, then store and staff."""
+    w = Warehouse(t)
+    names = channel.staff_names(w).select(F.col("usr_name").alias("create_by"), F.col("full_name").alias("staff_name")).distinct()
+    services = _charged(t, w).join(names, "create_by", "left").withColumn("staff_name", F.coalesce("staff_name", F.lit(" ")))
+    out = revenue.store_staff_summary(w, services, settle(revenue.product_sales(w, WHOLE), "products"))
+    return out.select("inv_date", "store_cd", "staff_name", *[F.col(c).cast("double").alias(c) for c in (*_MEASURES, "inv_cnt")], "summ_fig")
+
+
 _RATED_SQL = """
 own AS (SELECT store_cd FROM w_stores WHERE daily_sales_sms = 'Y'),
 sr AS (SELECT s.*, CASE WHEN p IN (1, 2, 5) THEN 'postpaid' WHEN p = 3 THEN 'fbb' ELSE 'hp' END AS kind, CASE st WHEN 'P' THEN 9 ELSE amt END AS v, CASE p WHEN 1 THEN 0.9 WHEN 2 THEN 0.5 WHEN 3 THEN 1 ELSE 0.6 END AS rate, CASE p WHEN 1 THEN 0.6 WHEN 2 THEN 0.4 WHEN 5 THEN 0.3 END AS margin FROM ss s),
