@@ -68,9 +68,9 @@ BIN_SECONDS = 600
 
 
 def time_bin(df: DataFrame, ts: str) -> Column:
-    """Default bin of a time column: the date itself, or ten minutes of a timestamp."""
+    """Default bin of a time column: the year of a date, or ten minutes of a timestamp."""
     if isinstance(df.schema[ts].dataType, T.DateType):
-        return F.col(ts)
+        return F.trunc(F.col(ts), "YEAR")
     return F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / BIN_SECONDS)
 
 
@@ -96,7 +96,7 @@ def previous_row(
 ) -> DataFrame:
     """The values of `cols` in the row before, per key, in ascending `order`.
 
-    `bin_` must not decrease along the first order column; by default it is the date, or ten
+    `bin_` must not decrease along the first order column; by default it is the year of a date, or ten
     minutes of a timestamp, so that even a key with a third of all rows is many groups. Windows run per
     key and bin; the last row of each bin is carried over to the next bin in use. Keys and order
     columns must not be null, and `order` must be unique within a key.

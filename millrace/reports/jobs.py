@@ -131,6 +131,19 @@ def commission_value(t: Tables) -> DataFrame:
     return out.select("case_id", "sales_team", "bm_cat", "rebate_flg", "old_rebate_flg", "chg_plan_flg", *[F.col(c).cast("double").alias(c) for c in sums])
 
 
+@report("commission_bills", with_tables(*_COMM_TABLES, *_MORE_TABLES) + "," + _CASES_SQL.replace("{eve}", "1995-12-31") + "," + _RESULT_SQL.split(",\nolds AS")[0].strip().rstrip(",") + "," + _bills_sql("bl", "ld_inv_num", True, True) + """,
+lst AS (SELECT case_id, string_agg('[' || bill || ']-' || strftime(d, '%Y%m%d'), ';' ORDER BY rnk, bill) AS bills FROM bl_r WHERE rnk <= 4 GROUP BY 1),
+prt AS (SELECT a.case_id, string_agg(split_part(l.kind, '-', 1) || '=' || CAST(CAST(l.amt AS DECIMAL(12,2)) AS VARCHAR), ';' ORDER BY l.kind, l.amt) AS parts
+  FROM bl_at a JOIN ledger l ON l.subr_num = a.r[3] AND l.cust_num = a.r[4] AND l.mth = date_trunc('month', a.r[2]) AND day BETWEEN DATE '1996-01-01' AND DATE '1996-06-01' GROUP BY 1)
+SELECT bl_at.case_id, bills AS bill_inv_list, CAST(bl.amt AS DOUBLE) AS inv_cb_amt, ',"INV_REBTE":"' || parts || '"' AS inv_note FROM bl_at JOIN lst USING (case_id) LEFT JOIN bl USING (case_id) LEFT JOIN prt USING (case_id)
+""")
+def commission_bills(t: Tables) -> DataFrame:
+    """The first four bills under each case's contract, as a list, and the rebates in the month of the fourth."""
+    w = Warehouse(t)
+    found = commission.bill_rebates(w, COMM, commission.prepared(w, COMM), "ld_inv_num", "INV_REBTE", [4, 3], True)
+    return found.withColumn("inv_cb_amt", F.col("inv_cb_amt").cast("double"))
+
+
 @report("commission_exceptions", with_tables("pos_inv_header", "pos_return_header", "retent_salesman") + """
 SELECT inv_num, inv_date, mkt_cd, ld_cd, salesman_cd FROM w_pos_inv_header
 WHERE inv_date BETWEEN DATE '1996-01-01' AND DATE '2001-12-31' AND salesman_cd IN (SELECT salesman_cd FROM w_retent_salesman)

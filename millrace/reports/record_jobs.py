@@ -153,12 +153,12 @@ def usage_for_lines(t: Tables) -> DataFrame:
 @report("cell_movement", """
 WITH a AS (SELECT user_id, ts, event_type, lag(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_type) AS prev FROM events),
 r AS (SELECT * FROM a WHERE prev IS NULL OR prev <> event_type)
-SELECT user_id AS imsi, event_type AS eci, coalesce(lead(event_type) OVER (PARTITION BY user_id ORDER BY ts), '') AS eciout, lead(ts) OVER (PARTITION BY user_id ORDER BY ts) IS NULL AS is_last FROM r
+SELECT user_id AS imsi, ts AS time, event_type AS eci, coalesce(CAST(lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_type) AS VARCHAR), '0') AS timeout, coalesce(lead(event_type) OVER (PARTITION BY user_id ORDER BY ts, event_type), '') AS eciout FROM r
 """)
 def cell_movement(t: Tables) -> DataFrame:
     """Cells in order with the next one; the last has time `0` and no next cell."""
     seen = t.events.select(F.col("user_id").alias("imsi"), F.col("ts").alias("time"), F.col("event_type").alias("eci"))
-    return usage.cell_movement(seen).select("imsi", "eci", "eciout", (F.col("timeout") == "0").alias("is_last"))
+    return usage.cell_movement(seen).select("imsi", "time", "eci", "timeout", "eciout")
 
 
 class _Bills:
