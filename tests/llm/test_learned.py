@@ -71,6 +71,58 @@ def test_toxicity_on_held_out_rows(frame, spark, words):
     assert wrong <= 0.03 * len(held) and got[5000].score == got[5001].score < 0.5
 
 
+@pytest.mark.parametrize("shift", [0.0, -4.0])
+def test_toxicity_risk_and_its_slope(shift):
+    """Against the definition, and against differences; where the clean part is negative the step goes up it."""
+    rnd = np.random.default_rng(4)
+    positive = np.arange(40) < 15
+    z, prior = rnd.standard_normal(40) + shift + np.where(positive, 6, 0) * (shift < 0), 0.3
+    loss = lambda x: 1 / (1 + np.exp(x))
+    parts = lambda z: (prior * loss(z[positive]).mean(), loss(-z[~positive]).mean() - prior * loss(-z[positive]).mean())
+    value, clean, slope = to.risk(z, positive, prior)
+    toxic, want_clean = parts(z)
+    assert (clean < 0) == (shift < 0)
+    assert np.isclose(clean, want_clean) and np.isclose(value, toxic + max(0, want_clean))
+    for i in range(40):
+        up = z.copy()
+        up[i] += 1e-6
+        moved = (sum(parts(up)) - sum(parts(z))) / 1e-6 if clean >= 0 else -(parts(up)[1] - parts(z)[1]) / 1e-6
+        assert np.isclose(slope[i], moved, atol=1e-5)
+
+
+def test_toxicity_grams_equal_plain_python():
+    import pyarrow as pa
+
+    texts = [None, "", "Don't! über-Tag  don't", "a", "1 ab2cd", "x" * 50, "日本語 テキスト"]
+    rows, slots, counts = to.gram_slots(pa.array(texts))
+    got = defaultdict(list)
+    for r, c in zip(rows, counts):
+        got[int(r)].append(int(c))
+    for i, t in enumerate(texts):
+        words = "".join(c if c.isalpha() or c == "'" else " " for c in (t or "").lower()).split()
+        want = Counter(g for w in words for n in to.ORDERS for g in [f" {w} "[j : j + n] for j in range(len(w) + 3 - n)])
+        assert sorted(got[i]) == sorted(want.values())
+    only = np.zeros(to.SLOTS, bool)
+    only[slots[rows == 2][:5]] = True
+    part = to.gram_slots(pa.array(texts), only)
+    keep = only[slots]
+    assert all((a == b[keep]).all() for a, b in zip(part, (rows, slots, counts)))
+
+
+def test_toxicity_in_every_language_of_the_given_data(spark):
+    """Held-out labels of the larger table: recall of 0.9 or more, hardly a false alarm."""
+    root = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{root}/{n}.parquet") for n in ("documents", "labels"))
+    found = to.score(docs, to.fit(docs, labels))
+    rows = found.join(labels, "doc_id").join(docs.select("doc_id", "lang"), "doc_id").where(la.held_out(F.col("doc_id"))).select("lang", "toxic", "predicted").collect()
+    hits = lambda lang: [r.predicted for r in rows if r.toxic == 1 and (lang is None or r.lang == lang)]
+    assert sum(hits(None)) >= 0.9 * len(hits(None))
+    for lang in ("en", "de", "fr", "es"):
+        assert sum(hits(lang)) >= 0.9 * len(hits(lang)) > 4
+    clean = [r.predicted for r in rows if r.toxic == 0]
+    assert len(clean) > 600 and sum(clean) <= 0.01 * len(clean)
+
+
 def test_toxicity_takes_anything(oddities, nothing, spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     some = spark.createDataFrame([(None, 1), (3, None), (4, 1), (5, 0), (4, 1)], "doc_id long, toxic int")
