@@ -186,7 +186,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, id_: str = "vec_id",
                 asking = np.repeat(numbers["id"][a:b], [len(x) for x, _ in out])
                 yield pa.RecordBatch.from_arrays([pa.array(asking), pa.array(arrays.ids[found]), pa.array(np.concatenate([x for _, x in out]))], ["query_id", "vec_id", "score"])
 
-    stream = vectors.unionByName(queries).repartition(groups, "group").sortWithinPartitions("group", "dim", "kind", "id", "vector")
+    stream = vectors.unionByName(queries).repartitionById(groups, "group").sortWithinPartitions("group", "dim", "kind", "id", "vector")
     found = stream.mapInArrow(work, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
