@@ -9,32 +9,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import clean_number, contract_months, strip_money, tier_string
-from millrace.operators import drop_in, join_list_member, join_siblings, keep_first, keep_in, offset_pairs, snapshot
+from millrace.operators import drop_in, join_list_member, keep_first, keep_in, offset_pairs, snapshot
 from millrace.params import shift_months
 from millrace.plans.base import LINE, Frames, pick
 
 
-def adjustments(t: Frames, bills: DataFrame) -> DataFrame:
-    """Adjustment transactions of all bills of the same customer and date as each given bill."""
+GROUP = ["customer_reference", "actual_bill_date"]
+
+
+def adjustments(t: Frames, bills: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The given bills with their group (customer and date), and the adjustment transactions of all bills of those groups.
+
+    Every bill of a group sees the same transactions, so these are found once a group, not once a bill.
+    """
     kinds = pick(t["payment_method"].where(F.substring("payment_method_name", 7, 3) == "ADJ"), payment_method_name=F.substring("payment_method_name", 1, 5))
-    rows = join_siblings(
-        keep_in(t["bill"], bills, "bill_reference"), t["bill"], t["bill_trans"], ["customer_reference", "actual_bill_date"], "bill_reference"
-    )
-    return keep_in(rows, kinds, "payment_method_name")
+    main = keep_in(t["bill"], bills, "bill_reference").select("bill_reference", *GROUP)
+    every = keep_in(t["bill"].select("bill_reference", *GROUP), main.select(*GROUP).distinct(), GROUP)
+    return main, keep_in(t["bill_trans"].join(every, "bill_reference"), kinds, "payment_method_name")
 
 
 def offsets(t: Frames, bills: DataFrame) -> DataFrame:
-    """Sum of the absolute amounts that cancel out in exactly two adjustments, per bill."""
-    pairs = offset_pairs(adjustments(t, bills), "main_bill_reference", "transaction_amount")
-    return pairs.groupBy(F.col("main_bill_reference").alias("bill_reference")).agg(F.sum("abs_transaction_amount").alias("offset_amt"))
+    """Sum of the absolute amounts that cancel out in exactly two adjustments of a bill's group, per bill."""
+    main, rows = adjustments(t, bills)
+    sums = offset_pairs(rows, GROUP, "transaction_amount").groupBy(*GROUP).agg(F.sum("abs_transaction_amount").alias("offset_amt"))
+    return main.join(sums, GROUP).select("bill_reference", "offset_amt")
 
 
 def standing(t: Frames, bills: DataFrame) -> DataFrame:
-    """Own adjustments of each bill that nothing cancels."""
-    rows = adjustments(t, bills)
-    pairs = offset_pairs(rows, "main_bill_reference", "transaction_amount")
-    own = rows.where("main_bill_reference = bill_reference").withColumn("abs_transaction_amount", F.abs("transaction_amount"))
-    return drop_in(own, pairs, ["main_bill_reference", "abs_transaction_amount"]).select("bill_reference", "transaction_amount")
+    """Own adjustments of each bill that nothing in its group cancels."""
+    main, rows = adjustments(t, bills)
+    pairs = offset_pairs(rows, GROUP, "transaction_amount")
+    own = keep_in(rows, main, "bill_reference").withColumn("abs_transaction_amount", F.abs("transaction_amount"))
+    return drop_in(own, pairs, [*GROUP, "abs_transaction_amount"]).select("bill_reference", "transaction_amount")
 
 
 def latest_contracts(t: Frames, month_end: date, months_back: int = 5) -> DataFrame:
