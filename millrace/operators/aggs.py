@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from millrace.functions.exprs import ratio
 from millrace.operators.sizing import small_values
+from millrace.storage import settle
 
 __all__ = [
     "allocate", "duplicate_keys", "keep_first", "list_agg", "offset_pairs", "per_day", "pick_rank", "pivot_blocks", "pivot_report",
@@ -125,7 +126,8 @@ def with_subtotals(
     the distinct counts are plain counts of a much smaller set.
     """
     by, measures = list(by), list(measures)
-    detail = df.groupBy(*by, outer, member).agg(*[F.sum(m).alias(m) for m in measures])
+    # Written, as the detail, the totals of outers and those of all are made of it.
+    detail = settle(df.groupBy(*by, outer, member).agg(*[F.sum(m).alias(m) for m in measures]), "subtotals")
     stores = detail.groupBy(*by, outer).agg(
         *[F.sum(m).alias(m) for m in measures], F.count(F.col(member)).alias("_n")
     )

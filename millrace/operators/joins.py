@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from millrace.functions.exprs import as_col, literal
 from millrace.operators.intervals import match_ranges
 from millrace.operators.sizing import BROADCAST_BYTES, estimated_bytes, hint_small
+from millrace.storage import settle
 
 
 def _names(on: str | Sequence[str]) -> list[str]:
@@ -266,8 +267,8 @@ def waterfall(
 def match_fallback(
     base: DataFrame, key: str, matchers: Sequence[tuple[str, DataFrame]], default: Mapping[str, object], tag: str = "match"
 ) -> DataFrame:
-    """Columns from the first matcher that has the row's key, defaults where none has."""
-    found = waterfall(matchers, [key], tag)
+    """Columns from the first matcher that has the row's key, defaults where none has. The matchers' rows are written once."""
+    found = waterfall(matchers, [key], tag, stage=lambda rows: settle(rows, "matches"))
     out = base.join(found, key, "left")
     fill = {tag: "NONE", **default}
     keep = [c for c in out.columns if c not in fill]
