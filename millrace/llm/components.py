@@ -29,6 +29,7 @@ def components(links: DataFrame, stages: Stages, a: str = "a", b: str = "b") ->
         .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
         .distinct(),
         "links",
+        narrow=True,
     )
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -37,7 +38,7 @@ def components(links: DataFrame, stages: Stages, a: str = "a", b: str = "b") ->
         large = large.where(F.col("u") != F.col("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        after = stages.keep(small.select("e.u", "e.v").where(F.col("u") != F.col("v")).distinct(), "links")
+        after = stages.keep(small.select("e.u", "e.v").where(F.col("u") != F.col("v")).distinct(), "links", narrow=True)
         # Done when every node points at one other, and none of those points on.
         ends = after.select("u", F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(after.select(F.col("v").alias("u"), F.lit(0).alias("out"), F.lit(1).alias("into")))
         ends = ends.groupBy("u").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
@@ -95,47 +96,47 @@ def linked_groups(buckets: DataFrame, verifier: Callable[[DataFrame], Checker],
     what could only confirm a component is left out.
     """
     shared = buckets.groupBy("bucket").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high").select("bucket")
-    members = stages.keep(buckets.join(stages.keep(shared, "buckets"), "bucket").distinct(), "members")
+    members = stages.keep(buckets.join(stages.keep(shared, "buckets", narrow=True), "bucket").distinct(), "members", narrow=True)
     checker = verifier(members.select("key").distinct())
     verify = checker.links
     rank = lambda seed: F.struct(F.xxhash64(F.lit(seed), F.col("key")).alias("h"), F.col("key").alias("k"))
     pair = lambda x, y: [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
     leaders = members.groupBy("bucket").agg(F.array(*[F.min(rank(s))["k"] for s in range(LEADERS)]).alias("leaders"))
-    leaders = stages.keep(leaders, "leaders")
+    leaders = stages.keep(leaders, "leaders", narrow=True)
     first = members.join(leaders, "bucket").select("key", F.explode(F.array_distinct("leaders")).alias("leader")).where("key != leader")
-    pairs = stages.keep(first.select(*pair("key", "leader")).distinct(), "pairs")
-    links = stages.keep(verify(pairs), "links")
+    pairs = stages.keep(first.select(*pair("key", "leader")).distinct(), "pairs", narrow=True)
+    links = stages.keep(verify(pairs), "links", narrow=True)
     roots = components(links, stages)
-    placed = stages.keep(members.join(roots, members.key == roots.node, "left").select("bucket", "key", F.coalesce("root", "key").alias("root")), "placed")
+    placed = stages.keep(members.join(roots, members.key == roots.node, "left").select("bucket", "key", F.coalesce("root", "key").alias("root")), "placed", narrow=True)
     tried, seed, exact = pairs, LEADERS, False
     while True:
         sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"))
         largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root"))["root"].alias("main"), F.count("*").alias("parts")).where("parts > 1").select("bucket", "main")
-        apart = stages.keep(placed.join(stages.keep(largest, "largest"), "bucket"), "apart")
+        apart = stages.keep(placed.join(stages.keep(largest, "largest", narrow=True), "bucket"), "apart", narrow=True)
         rest = apart.where("root != main").select("bucket", F.col("key").alias("x"), F.col("root").alias("root_x"))
         differs = F.col("root_x") != F.col("root_y")
         if exact:
-            drawn = stages.keep(checker.sketches(apart.select("key").distinct()), "sketches")
-            held = stages.keep(apart.groupBy("key").agg(F.collect_set("bucket").alias("held")).join(drawn, "key"), "held")  # a key has a bucket for each band at most
+            drawn = stages.keep(checker.sketches(apart.select("key").distinct()), "sketches", narrow=True)
+            held = stages.keep(apart.groupBy("key").agg(F.collect_set("bucket").alias("held")).join(drawn, "key"), "held", narrow=True)  # a key has a bucket for each band at most
             side = lambda key, name: held.select(F.col("key").alias(key), F.col("held").alias(f"{name}_held"), *[F.col("sketch")[i].alias(f"{name}{i}") for i in range(SKETCH_LONGS)])
-            others = stages.keep(apart.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y")).join(side("y", "v"), "y"), "others")
-            rest = stages.keep(rest.join(side("x", "u"), "x"), "rest")
+            others = stages.keep(apart.select("bucket", F.col("key").alias("y"), F.col("root").alias("root_y")).join(side("y", "v"), "y"), "others", narrow=True)
+            rest = stages.keep(rest.join(side("x", "u"), "x"), "rest", narrow=True)
             bits = sum((F.bit_count(F.col(f"u{i}").bitwiseXOR(F.col(f"v{i}"))) for i in range(1, SKETCH_LONGS)), F.bit_count(F.col("u0").bitwiseXOR(F.col("v0"))))
             once = F.array_min(F.array_intersect("u_held", "v_held")) == rest["bucket"]  # a pair comes from the first bucket that it shares
             differs = differs & (bits <= checker.most_different()) & once
         else:
             chosen = apart.where("root = main").groupBy("bucket").agg(F.min(rank(seed))["k"].alias("y"), F.first("main").alias("root_y"))
-            others = stages.keep(chosen, "leaders")
+            others = stages.keep(chosen, "leaders", narrow=True)
             others = others.select("bucket", "y", "root_y")
         more = rest.join(others, (rest["bucket"] == others["bucket"]) & differs).select(*pair("x", "y"), *[c.alias(n) for c, n in zip((F.least("root_x", "root_y"), F.greatest("root_x", "root_y")), ("root_a", "root_b"))])
-        fresh = stages.keep(more.distinct().join(tried, ["a", "b"], "left_anti"), "pairs")
+        fresh = stages.keep(more.distinct().join(tried, ["a", "b"], "left_anti"), "pairs", narrow=True)
         count = fresh.count()
-        found = stages.keep(verify(fresh.select("a", "b")), "links") if count else None
+        found = stages.keep(verify(fresh.select("a", "b")), "links", narrow=True) if count else None
         hits = found.count() if count else 0
         if not hits and exact:
             return placed.select(F.col("key").alias("node"), "root").distinct()
         tried, seed, exact = tried.unionByName(fresh.select("a", "b")), seed + 1, hits * 20 < count or not hits
         if hits:
             merged = components(found.join(fresh, ["a", "b"]).select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), stages)
-            placed = stages.keep(placed.join(merged, placed.root == merged.node, "left").select("bucket", "key", F.coalesce(merged.root, placed.root).alias("root")), "placed")
+            placed = stages.keep(placed.join(merged, placed.root == merged.node, "left").select("bucket", "key", F.coalesce(merged.root, placed.root).alias("root")), "placed", narrow=True)

@@ -18,6 +18,9 @@ def shared_root(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="llm-")
 
 
+TASKS_A_CORE = 4
+
+
 class Stages:
     """Tables of one run. Each is written under the shared folder and may be dropped when it has been used."""
 
@@ -26,10 +29,16 @@ class Stages:
         self.root = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
         self.count = 0
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write `df` and return the table read back: its lineage ends here and lost executors lose nothing."""
+    def keep(self, df: DataFrame, name: str, narrow: bool = False) -> DataFrame:
+        """Write `df` and return the table read back: its lineage ends here and lost executors lose nothing.
+
+        narrow: for a step among many small ones. Its last stage runs in a few tasks a core, each taking several
+        shuffle partitions one after the other, where that is fewer tasks: starting tasks and files is most of its cost.
+        """
         self.count += 1
         path = f"{self.root}/{self.count:03d}-{name}"
+        if narrow:
+            df = df.coalesce(TASKS_A_CORE * self.spark.sparkContext.defaultParallelism)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
