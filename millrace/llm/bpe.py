@@ -291,6 +291,7 @@ def home(text: pa.Array) -> pa.Array:
         least = np.zeros(part.num_rows, np.int64)
         least[counts > 0] = np.minimum.reduceat(hashes, np.concatenate([[0], np.cumsum(counts[counts > 0])[:-1]]))
         out.append(least)
+    tx.release()
     return pa.array(np.concatenate(out) if out else np.zeros(0, np.int64))
 
 
@@ -311,7 +312,7 @@ def _tasks(content: str, finish, names: list[str]):
             rest = [c for c, f in zip(part.columns, part.schema.names) if f != "_text"]
             yield pa.RecordBatch.from_arrays([*rest, *finish(chunked.encoder, ids)], [*[f for f in part.schema.names if f != "_text"], *names])
 
-    return apply
+    return tx.worker(apply)
 
 
 def encode(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -338,7 +339,12 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", into: str = "de
 
     def text(values: pa.Array) -> pa.Array:
         own = encoder(content)
-        return pa.array([None if v is None else own.decode(np.asarray(v, np.int64)).decode("utf-8", "replace") for v in values.to_pylist()], pa.string())
+        edges, flat, valid = values.offsets.to_numpy(), values.values.to_numpy(), values.is_valid().to_pylist()
+        texts = [own.decode(flat[a:b].astype(np.int64)).decode("utf-8", "replace") if v else None for a, b, v in zip(edges[:-1], edges[1:], valid)]
+        out = pa.array(texts, pa.string())
+        del texts
+        tx.release()
+        return out
 
     return encoded.withColumn(into, arrow_udf(text, "string")(F.col(ids)))
 

@@ -204,13 +204,13 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         known = pa.array([*model.languages, UNKNOWN], pa.string())
-        for part in tx.slices(batches):
+        for part in tx.slices(batches, budget=tx.SLICE_BYTES // 4):  # n-gram codes and their sort take some 150 bytes a letter
             best, cosine, far = model.classify(part.column("text"))
             picked = known.take(pa.array(np.where(best < 0, len(known) - 1, best)))
             yield pa.RecordBatch.from_arrays([*part.columns, picked, pa.array(cosine), pa.array(far)], [*part.schema.names, "lang_pred", "lang_score", "lang_rejected"])
 
     out = schema.add("lang_pred", "string").add("lang_score", "double").add("lang_rejected", "boolean")
-    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(apply, out)
+    return docs.select(*[F.col(f"`{c}`") for c in names]).mapInArrow(tx.worker(apply), out)
 
 
 def identified(docs: DataFrame, **options) -> DataFrame:

@@ -29,6 +29,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5
 STEP = 0xD1B54A32D192ED03
+REGISTERS = 1 << 18  # of all texts of a slice; 16 bytes each, and as much again while they are filled
 
 
 def weights(counts: np.ndarray) -> np.ndarray:
@@ -101,7 +102,7 @@ def signatures(docs: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: int
     """(key, doc_id, words, bands): the text's digest, and the band keys of its signature, empty without words."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches):
+        for part in tx.slices(batches, rows=max(1, REGISTERS // (bands * rows))):
             codes, who, weight = weighted_shingles(part.column("text"), k)
             registers = probminhash(codes, who, weight, part.num_rows, bands * rows)
             some = np.bincount(who, minlength=part.num_rows) > 0
@@ -109,7 +110,7 @@ def signatures(docs: DataFrame, k: int = SHINGLE, bands: int = BANDS, rows: int
             ends = np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays([part.column("key"), part.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(keys.ravel()))], ["key", "doc_id", "bands"])
 
-    return docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("key"), F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(sign, "key string, doc_id bigint, bands array<bigint>")
+    return docs.select(F.md5(F.coalesce("text", F.lit(""))).alias("key"), F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(tx.worker(sign), "key string, doc_id bigint, bands array<bigint>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, threshold: float = SIMILARITY) -> DataFrame:
@@ -137,20 +138,20 @@ def verify(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, threshold: floa
                 known.clear()
 
     side = lambda c: texts.select(F.col("key").alias(c), F.col("text").alias(f"text_{c}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(check, "a string, b string")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b").mapInArrow(tx.worker(check), "a string, b string")
 
 
 def sketches(texts: DataFrame, k: int = SHINGLE) -> DataFrame:
     """(key, sketch) of (key, text): a bit of each of many registers, see `components.Checker`."""
 
     def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in tx.slices(batches, budget=tx.SLICE_BYTES // 4):
+        for part in tx.slices(batches, budget=tx.SLICE_BYTES // 4, rows=max(1, REGISTERS // SKETCH_BITS)):
             codes, who, weight = weighted_shingles(part.column("text"), k)
             bits = bit_sketches(probminhash(codes, who, weight, part.num_rows, SKETCH_BITS))
             ends = np.arange(part.num_rows + 1, dtype=np.int32) * SKETCH_LONGS
             yield pa.RecordBatch.from_arrays([part.column("key"), pa.ListArray.from_arrays(ends, pa.array(bits.ravel()))], ["key", "sketch"])
 
-    return texts.select("key", "text").mapInArrow(draw, "key string, sketch array<bigint>")
+    return texts.select("key", "text").mapInArrow(tx.worker(draw), "key string, sketch array<bigint>")
 
 
 def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -183,28 +184,42 @@ def near_duplicates(docs: DataFrame, k: int = SHINGLE, threshold: float = SIMILA
     return grouped.join(sizes, "class_key").select(F.col("key").alias("text_key"), "class_key", "class_id", "class_size")
 
 
+def _unused(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to be no column of `docs`."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def labelled(docs: DataFrame, **options) -> DataFrame:
-    """`docs` with class_id and class_size; columns of those names are replaced."""
-    keyed = docs.drop("class_id", "class_size", "text_key", "class_key").withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
-    return keyed.join(near_duplicates(docs, **options).drop("class_key"), "text_key").drop("text_key")
+    """`docs` with class_id and class_size; columns of those names are replaced, all others kept."""
+    rows = docs.drop("class_id", "class_size")
+    (key,) = _unused(rows, "text_key")
+    classes = near_duplicates(docs, **options).select(F.col("text_key").alias(key), "class_id", "class_size")
+    return rows.withColumn(key, F.md5(F.coalesce("text", F.lit("")))).join(classes, key).drop(key)
 
 
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
     """One row of every class: that with the smallest doc_id (rows without one come last, then by text).
 
-    Further rows that repeat the id and text of the one kept go. The columns are those of `docs`.
+    Further rows that repeat the id and text of the one kept go. The columns are those of `docs`, whatever their names.
     """
     classes = near_duplicates(docs, **options)
-    key = F.md5(F.coalesce("text", F.lit("")))
+    names = docs.columns
+    key, id_, row = _unused(docs, "_key", "_id", "_row")
+    hashed = F.xxhash64(*[F.col(f"`{c}`") for c in names if docs.schema[c].dataType.typeName() != "map"])
+    marked = docs.withColumns({key: F.md5(F.coalesce("text", F.lit(""))), id_: F.col("doc_id").cast("bigint"), row: hashed})
     numbered = Stages(docs.sparkSession, "near-dups-kept").keep(
-        docs.select(key.alias("text_key"), F.col("doc_id").cast("bigint").alias("id"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if not docs.schema[c].dataType.typeName() == "map"]).alias("row"))
+        marked.select(F.col(key).alias("text_key"), F.col(id_).alias("id"), F.col(row).alias("row"))
         .join(classes.select("text_key", "class_key"), "text_key")
         .groupBy("class_key")
         .agg(F.min(F.struct(F.col("id").isNull().alias("no"), "id", "text_key", "row")).alias("w"))
         .select(F.col("w.text_key").alias("text_key"), F.col("w.id").alias("id"), F.col("w.row").alias("row")),
         "winners",
     )
-    names = docs.columns
-    marked = docs.withColumns({"_key": key, "_id": F.col("doc_id").cast("bigint"), "_row": F.xxhash64(*[F.col(f"`{c}`") for c in names if not docs.schema[c].dataType.typeName() == "map"])})
-    kept = marked.join(numbered, (marked["_key"] == numbered.text_key) & marked["_id"].eqNullSafe(numbered.id) & (marked["_row"] == numbered.row), "left_semi")
-    return kept.dropDuplicates(["_key", "_id", "_row"]).select(*[F.col(f"`{c}`") for c in names])
+    kept = marked.join(numbered, (marked[key] == numbered.text_key) & marked[id_].eqNullSafe(numbered.id) & (marked[row] == numbered.row), "left_semi")
+    return kept.dropDuplicates([key, id_, row]).select(*[F.col(f"`{c}`") for c in names])

@@ -6,7 +6,8 @@ A word is a run of bytes other than ASCII white space, after lower-casing. Two w
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,26 @@ SPACES[[9, 10, 11, 12, 13, 32]] = True
 _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
+def release() -> None:
+    """Give memory that is free in this worker back to the system: workers are kept, and the next task may be another operator's."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def worker(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """`work`, a function for mapInArrow, with `release` when a task is done."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release()
+
+    return run
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finalizer."""
     x = x ^ (x >> U(30))
@@ -55,8 +76,11 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", budget: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that the texts of a piece come to about `budget` bytes; one text is never cut."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", budget: int = SLICE_BYTES, rows: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that the texts of a piece come to about `budget` bytes, `rows` texts at most; one text is never cut.
+
+    Set `rows` where work on a text takes memory of its own, such as registers, however short the text is.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -65,7 +89,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", budget: int
         at = 0
         while at < batch.num_rows:
             done = ends[at - 1] if at else 0
-            upto = max(at + 1, int(np.searchsorted(ends, done + budget, "right")))
+            upto = min(at + rows, max(at + 1, int(np.searchsorted(ends, done + budget, "right"))))
             yield batch.slice(at, upto - at)
             at = upto
 

@@ -150,3 +150,13 @@ def test_large_buckets_of_short_texts_equal_brute_force(frame, words):
     for i, t in enumerate(texts):
         smallest.setdefault(by_hand[t], i)
     assert {r.doc_id: r.class_id for r in m.labelled(frame(rows)).collect()} == {i: smallest[by_hand[t]] for i, t in enumerate(texts)}
+
+
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(1, "one two three four five six", "k", "i", "r", "t", "c", 7), (2, "one two three four five six", "k2", "i2", "r2", "t2", "c2", 8), (3, "other words here", "k3", "i3", "r3", "t3", "c3", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key string, _id string, _row string, text_key string, class_key string, class_size int")
+    got = sorted(tuple(r) for r in m.deduplicated(df).collect())
+    assert got == [rows[0], rows[2]]
+    seen = m.labelled(df)
+    assert [c for c in df.columns if c != "class_size"] == [c for c in seen.columns if c not in ("class_id", "class_size")]
+    assert sorted((r.doc_id, r._key, r.text_key, r.class_key, r.class_id, r.class_size) for r in seen.collect()) == [(1, "k", "t", "c", 1, 2), (2, "k2", "t2", "c2", 1, 2), (3, "k3", "t3", "c3", 3, 1)]
