@@ -99,7 +99,7 @@ def best_open(
 
     Ties are settled by the greatest values of `cols`, in their order; nulls come last. The intervals of a key are first
     reduced to the best of each cell, and the distinct days of a key look up their cells, so rows of a key never
-    meet as pairs, however many intervals are open at once.
+    meet as pairs, however many intervals are open at once. Cells are not broadcast: they are many times the size seen.
     """
     on, cols = _names(on), list(cols)
     rank = [*order, *[c for c in cols if c not in order]]
@@ -108,7 +108,7 @@ def best_open(
     top = _spread(span, cells(F.col("_from"), F.col("_to"), DAY_LEVELS)).groupBy(*on, "_level", "_cell").agg(F.max("_best").alias("_best"))
     asked = probes.withColumn("_place", day_place(as_col(at)))
     days = asked.select(*on, "_place").where("_place is not null").distinct()
-    found = _spread(days, cells_of_place(F.col("_place"), DAY_LEVELS)).join(top, [*on, "_level", "_cell"])
+    found = _spread(days, cells_of_place(F.col("_place"), DAY_LEVELS)).hint("merge").join(top, [*on, "_level", "_cell"])
     best = found.groupBy(*on, "_place").agg(F.max("_best").alias("_best")).select(*on, "_place", *[F.col(f"_best.{c}.v").alias(c) for c in cols])
     return asked.join(best, [*on, "_place"], "left").drop("_place")
 

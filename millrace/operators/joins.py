@@ -83,25 +83,23 @@ def join_asof(
     together with a calendar bin, so that a hot key spreads over its bins. An interval is copied
     into the bins it touches; the calendar is bounded, so an open interval has few copies, and
     dates outside it fall into its first or last bin on both sides. Narrow `years` to those the
-    left dates lie in to save copies, or set `unit` to None for a key that is nearly unique.
+    left dates lie in to save copies, or set `unit` to None for a key that is nearly unique. The
+    copies are not broadcast: the optimizer sees the size before them, the driver would hold them all.
     `starts_only` keeps the intervals that begin on the date itself.
     """
     on = _names(on)
-    probe = left.withColumn("_day", F.date_add(F.col(at), offset_days))
+    day = F.date_add(left[at], offset_days)
     if starts_only:
-        return probe.join(hist.withColumn("_day", F.col(start)), on + ["_day"], how).drop("_day")
+        return left.withColumn("_day", day).join(hist.withColumn("_day", F.col(start)), on + ["_day"], how).drop("_day")
     right = hist.where(F.col(start) <= F.col(end))
-    keys = list(on)
+    renamed = right.select(*[F.col(k).alias("_r_" + k) for k in on], *[c for c in right.columns if c not in on])
     if unit:
-        right = right.withColumn("_bin", _bins_between(F.col(start), F.col(end), unit, years))
-        probe = probe.withColumn("_bin", F.when(F.col("_day").isNotNull(), _bin(F.col("_day"), unit, years)))
-        keys += ["_bin"]
-    renamed = right.select(
-        *[F.col(k).alias("_r_" + k) for k in keys], *[c for c in right.columns if c not in keys]
-    )
-    cond = reduce(lambda a, b: a & b, [probe[k] == renamed["_r_" + k] for k in keys])
-    cond = cond & probe["_day"].between(renamed[start], renamed[end])
-    return probe.join(renamed, cond, how).drop("_day", "_bin", *["_r_" + k for k in keys])
+        # The bin is that of `at` itself and the interval is moved instead, so joins at several offsets share one shuffle.
+        moved = [F.date_sub(F.col(c), offset_days) for c in (start, end)]
+        renamed = renamed.withColumn("_bin", _bins_between(*moved, unit, years)).hint("merge")
+    keys = [left[k] == renamed["_r_" + k] for k in on] + ([_bin(left[at], unit, years) == renamed["_bin"]] if unit else [])
+    cond = reduce(lambda a, b: a & b, [*keys, day.between(renamed[start], renamed[end])])
+    return left.join(renamed, cond, how).drop("_bin", *["_r_" + k for k in on])
 
 
 # --- ranges and tolerance -----------------------------------------------------------------

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.operators import keep_first, nth_row, ranked, share, waterfall
+from millrace.operators import best_open, join_asof, keep_first, nth_row, ranked, share, waterfall
 from millrace.reports.registry import callables
 
 
@@ -44,6 +44,22 @@ def test_no_pairwise_join_and_no_python(spark, sf_dir, name):
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text and "Python" not in text
 
 
+def test_copies_for_bins_and_cells_are_not_broadcast(spark):
+    """The optimizer sees the few rows before the copies are made, so it would send the copies through the driver."""
+    hist = spark.sql("select 1L as k, 'p' as plan, date'1995-01-01' as start_date, date'2999-12-31' as end_date")
+    days = spark.sql("select 1L as k, date'1996-05-05' as at")
+    assert "BroadcastHashJoin" not in plan(join_asof(days, hist, "k", "at"))
+    assert "_cell" not in "".join(x for x in plan(best_open(days, hist, ["k"], "at", "start_date", "end_date", ["plan"], ["plan"])).splitlines() if "BroadcastHashJoin" in x)
+
+
+def test_joins_at_two_offsets_share_a_shuffle(spark, orders):
+    hist = orders.select("o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("start_date"), F.to_date("o_orderdate").alias("end_date"))
+    left = orders.select("o_custkey", F.to_date("o_orderdate").alias("at"))
+    at = join_asof(left, hist.withColumnRenamed("o_orderpriority", "now"), "o_custkey", "at").drop("start_date", "end_date")
+    both = join_asof(at, hist.withColumnRenamed("o_orderpriority", "before"), "o_custkey", "at", offset_days=-1)
+    assert plan(both).count("Exchange hashpartitioning") == 3
+
+
 def test_scan_reads_needed_columns_only(spark, sf_dir):
     text = plan(callables()["usage_by_category"](spark, sf_dir))
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in text
