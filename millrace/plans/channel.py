@@ -12,8 +12,9 @@ from millrace.functions import (
     repair_end, repair_start,
 )
 from millrace.operators import (
-    apply_match, apply_rules, best_open, drop_in, drop_where, join_asof, keep_in, list_agg, nth_row, snapshot, split_rows, stack, waterfall,
+    apply_match, apply_rules, best_open, drop_in, drop_where, join_asof, keep_in, nth_row, snapshot, split_rows, stack, waterfall,
 )
+from millrace.operators.joins import CALENDAR
 from millrace.params import NO_DATE, NO_TEXT, OPEN_DATE, Window
 from millrace.plans.base import LINE, Frames, not_returned, pick, within
 from millrace.storage import settle
@@ -158,18 +159,17 @@ def addon_lists(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     matched = settle(asked.join(orders.where(within("inv_date", w)), [*LINE, "inv_date"]).select(*key, "add_vas", "end_vas"), "addon_orders")
 
     def items(c: str) -> DataFrame:
-        split = split_rows(matched.select(*key, c).distinct(), c).where("item is not null").select(*key, "item").distinct()
-        return keep_in(split, known, "item")
+        return keep_in(split_rows(matched.select(*key, c), c).where("item is not null").select(*key, "item"), known, "item")
 
     live = stack(*[t[n].select(*LINE, "bill_end_date", F.col("bill_serv_cd").alias("item")) for n in ("bill_servs", "bill_servs_pend")])
     live = keep_in(live, known, "item").groupBy(*LINE, "item").agg(F.max("bill_end_date").alias("bill_end_date"))
-    active = asked.join(live, LINE).where("inv_date < bill_end_date").select(*key, "item").distinct()
-    added, ended = items("add_vas"), items("end_vas")
-    parts = {"add": added, "end": ended, "act": active}
-    kind = [part.withColumn("kind", F.lit(n)) for n, part in parts.items()]
-    listed = list_agg(stack(*kind), [*key, "kind"], "item", distinct=True, name="items")
-    wide = listed.groupBy(*key).pivot("kind", list(parts)).agg(F.first("items"))
-    out = asked.join(wide, key, "left")
+    active = asked.join(live, LINE).where("inv_date < bill_end_date").select(*key, "item")
+    parts = {"add": items("add_vas"), "end": items("end_vas"), "act": active}
+    # Sets drop the repeats, so the three lists take one shuffle, by transaction.
+    sets = {n: F.collect_set(F.when(F.col("kind") == n, F.col("item"))) for n in parts}
+    found = stack(*[part.withColumn("kind", F.lit(n)) for n, part in parts.items()]).groupBy(*key).agg(*[c.alias(n) for n, c in sets.items()])
+    lists = {n: F.when(F.size(n) > 0, F.array_join(F.array_sort(n), ",")) for n in parts}
+    out = asked.join(found.withColumns(lists), key, "left")
     count = {n: F.when(F.col(n).isNull(), 0).otherwise(F.size(F.split(F.col(n), ","))) for n in parts}
     high = pick(t["rate_plan_ref"].where("high_tier = 'Y'"), "rate_plan_cd", is_high=F.lit(True))
     out = out.join(high.distinct(), "rate_plan_cd", "left")
@@ -186,17 +186,19 @@ def transaction_type(ref: Column, orig_code: Column, orig_end: Column, day: Colu
 
 
 def typed(
-    t: Frames, rows: DataFrame, groups: Mapping[str, str], starts_only: bool = False, use_history: bool = True
+    t: Frames, rows: DataFrame, groups: Mapping[str, str], starts_only: bool = False, use_history: bool = True,
+    years: tuple[int, int] = CALENDAR,
 ) -> DataFrame:
     """Type, plan group and creator of each transaction.
 
     The entitlement comes from the line's history on the effective date (or only from an interval
-    that starts on it), else from the plan; a line with an add-on pack takes the add-on's.
+    that starts on it), else from the plan; a line with an add-on pack takes the add-on's. `years`
+    are those that most effective dates lie in; others are matched too.
     """
     out = rows
     if use_history:
         hist = pick(t["data_entitle_hist"], *LINE, "start_date", "end_date", hist_entitle="free_data_entitle")
-        out = join_asof(out, hist, LINE, "eff_date", starts_only=starts_only)
+        out = join_asof(out, hist, LINE, "eff_date", starts_only=starts_only, years=years)
         out = out.drop("start_date", "end_date")
     else:
         out = out.withColumn("hist_entitle", F.lit(None).cast("string"))
@@ -322,7 +324,7 @@ def replaces(orig_start: Column, orig_end: Column, new_start: Column, new_end: C
 def run(t: Frames, w: Window, groups: Mapping[str, str]) -> dict[str, DataFrame]:
     rows = settle(transactions(t, w), "channel_rows")
     full = detail(t, rows, w).join(addon_lists(t, rows, w), [*LINE, "store_cd", "order_num"], "left")
-    done = typed(t, settle(full, "channel_detail"), groups)
+    done = typed(t, settle(full, "channel_detail"), groups, years=w.years)
     return {"transactions": rows, "detail": settle(attributed(t, done, w), "channel_done")}
 
 

@@ -190,3 +190,12 @@ def test_costs_fill_every_store_line(spark):
     }
     got = {(r[0], r[1]): float(r[2]) for r in contribution.cost_lines(t, Window(D(2020, 1, 1), D(2020, 1, 31))).collect()}
     assert got == {("S1", "3"): 10, ("S1", "5"): 0, ("S2", "3"): 0, ("S2", "5"): 0, ("S1", "3.2"): 4, ("S2", "3.2"): 0}
+
+
+def test_addon_lists_take_one_shuffle_by_transaction(spark, sf_dir):
+    """The three lists come from one aggregate; no shuffle is by transaction and kind of list."""
+    from millrace.reports.channel_jobs import channel_addons
+    from millrace.sources.tables import Tables
+
+    text = channel_addons(Tables(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in text.splitlines() if "Exchange hashpartitioning" in x and "kind#" in x.split("hashpartitioning", 1)[1].split(")")[0]]
