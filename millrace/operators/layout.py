@@ -25,6 +25,17 @@ def cluster(df: DataFrame, by: Sequence[Column | str], n: int | None = None, sor
     return out.sortWithinPartitions(*sort) if sort else out
 
 
-def modulo_parts(df: DataFrame, key: str, parts: int = 255) -> DataFrame:
-    """Partition by key modulo, sorted by key."""
-    return df.repartition(parts, F.pmod(F.col(key), F.lit(parts))).sortWithinPartitions(key)
+PART_ROWS = 500_000
+
+
+def modulo_parts(df: DataFrame, key: str, parts: int = 255, part_rows: int = PART_ROWS) -> DataFrame:
+    """Key modulo by key modulo, each sorted by key.
+
+    A part is one task up to about `part_rows` rows; beyond that it is a run of tasks by ranges of the key, in order,
+    so that no task grows with the table. Rows of one key stay together.
+    """
+    part = F.pmod(F.col(key), F.lit(parts))
+    pieces = -(-df.count() // (part_rows * parts))
+    if pieces <= 1:
+        return df.repartition(parts, part).sortWithinPartitions(key)
+    return df.repartitionByRange(parts * pieces, part, F.col(key)).sortWithinPartitions(part, key)

@@ -359,3 +359,15 @@ def test_windows():
     assert (w.start, w.end, w.txdate) == (D(2020, 2, 1), D(2020, 2, 29), D(2020, 3, 1))
     c = CommissionWindow.of_month(D(2020, 5, 1))
     assert (c.start, c.end, c.eve) == (D(2020, 2, 1), D(2020, 2, 29), D(2020, 4, 30))
+
+
+def test_modulo_parts_are_cut_by_rows(spark):
+    """A part of many rows is several tasks, in order; none is missing and no key is in two."""
+    from millrace.operators import modulo_parts
+
+    df = spark.range(6000).selectExpr("id % 500 as k")
+    placed = modulo_parts(df, "k", 3, part_rows=200).withColumns({"pid": F.spark_partition_id(), "seq": F.monotonically_increasing_id()})
+    got = [tuple(r) for r in placed.select(F.col("k") % 3, "k", "pid").orderBy("seq").collect()]
+    assert got == sorted(got) and len(got) == 6000
+    assert len({(k, pid) for _, k, pid in got}) == 500
+    assert max(sum(1 for x in got if x[2] == pid) for pid in {x[2] for x in got}) < 1200
