@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import blank, contract_months, month_gap, month_start, no_code, no_date
-from millrace.operators import apply_rules, drop_in, join_asof, keep_in, split_rows, stack, waterfall, with_subtotals
+from millrace.operators import apply_rules, drop_in, join_asof, join_eq, keep_in, split_rows, stack, waterfall, with_subtotals
 from millrace.params import NO_TEXT, OPEN_DATE, Window
 from millrace.plans.base import LINE, Frames, not_returned, pick, within
 from millrace.plans.channel import PLAN_CHANGE, staff_names
@@ -18,6 +18,7 @@ from millrace.storage import settle
 ADMIN_FEES = ["ADM", "ADM2"]
 AMOUNT = "decimal(18,2)"
 KEY = [*LINE, "order_num", "store_cd"]
+FEW_CODES = 32  # parts of a key of few values, when rows meet a reference table that is too large to be sent to them
 
 
 def market_rebates(t: Frames) -> DataFrame:
@@ -134,10 +135,12 @@ def addon_fees(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
     lines = drop_in(lines, pick(t["rate_plan_ref"], vas_cd="rate_plan_cd"), "vas_cd").where(~F.col("vas_cd").isin(ADMIN_FEES))
     lines = lines.join(rate, "vas_cd").where("vas_rate <> 0")
     lines = lines.where(month_start("fee_end") > month_start("inv_date"))
-    lines = lines.join(pick(market_rebates(t), "vas_cd", fee_mkt="mkt_cd", fee_rebate="rebate_amt"), ["vas_cd", "fee_mkt"], "left")
     cols = [*KEY, "fee_inv", "fee_mkt", "fee_ld_cd", "vas_cd", "vas_rate", "fee_start", "fee_end", "create_by", "inv_date", "ld_revenue", "ld_bill_cd", "new_ld_revenue"]
     lines = lines.withColumn("ld_period", fee_period(F.col("fee_start"), F.col("fee_end"), F.col("fee_ld_cd")))
-    lines = settle(lines.withColumn("fee_rebate", F.coalesce("fee_rebate", F.lit(0).cast(AMOUNT))).select(*cols, "ld_period", "fee_rebate").distinct(), "fee_lines")
+    # Not made distinct before the waterfall has taken most rows away: this would hold, or move, all of them whole.
+    rebate = pick(market_rebates(t), "vas_cd", fee_mkt="mkt_cd", fee_rebate="rebate_amt").distinct()
+    lines = join_eq(lines.select(*cols, "ld_period"), rebate, ["vas_cd", "fee_mkt"], "left", small=True, salt=FEW_CODES)
+    lines = settle(lines.withColumn("fee_rebate", F.coalesce("fee_rebate", F.lit(0).cast(AMOUNT))), "fee_lines")
     fits = (F.col("ld_bill_cd") == F.col("vas_cd")) | (blank("ld_bill_cd") & (F.col("ld_revenue") == "V"))
     found = waterfall(
         [
@@ -147,7 +150,7 @@ def addon_fees(t: Frames, rows: DataFrame, w: Window) -> DataFrame:
         ],
         LINE,
         "fee_source",
-    )
+    ).distinct()
     return found.withColumn("vas_fee", (F.col("vas_rate") * F.col("ld_period") - F.col("fee_rebate")).cast(AMOUNT))
 
 

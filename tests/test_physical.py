@@ -1,9 +1,12 @@
 """The plans that matter at scale: what is limited, pruned or pushed before a shuffle."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import best_open, join_asof, keep_first, nth_row, ranked, share, waterfall
+from millrace.plans import revenue
 from millrace.reports.registry import callables
 
 
@@ -74,3 +77,14 @@ def test_filters_reach_the_scan(spark, sf_dir):
 
 def test_reports_do_not_use_row_udfs(orders):
     assert "BatchEvalPython" not in plan(orders.select(F.upper("o_orderstatus")))
+
+
+def test_fee_rows_are_not_gathered_by_a_few_codes(spark, sf_dir, monkeypatch):
+    """Market codes and add-ons are few: rows that lie by them are the work of a few tasks, however many rows there are."""
+    seen = {}
+    monkeypatch.setattr(revenue, "settle", lambda df, name: seen.setdefault(name, df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    callables()["addon_fees"](spark, sf_dir)
+    text = plan(seen["fee_lines"])
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert not re.search(r"hashpartitioning\(vas_cd#\d+, fee_mkt#\d+, \d+\)", text)
