@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -205,18 +206,18 @@ CLASSES = [
 ]
 
 
-def coupon_discounts(t: Frames, w: Window) -> DataFrame:
+def coupons(t: Frames, w: Window) -> DataFrame:
+    """Coupon amounts of the invoices on each receipt."""
     paid = t["pos_recpt_payment"].where(F.col("payment_cd").like("%COUP%") & within("recpt_date", w))
     sums = paid.groupBy("recpt_num").agg(F.sum("amt").alias("amt"))
-    return t["pos_recpt_detail"].where(within("recpt_date", w)).join(sums, "recpt_num").groupBy("inv_num").agg(
-        F.max("recpt_num").alias("recpt_num"), F.sum("amt").alias("coupon_amt")
-    )
+    return t["pos_recpt_detail"].where(within("recpt_date", w)).join(sums, "recpt_num").select("inv_num", "recpt_num", "amt")
 
 
 def product_sales(t: Frames, w: Window, classes: Sequence[ProductClass] = tuple(CLASSES)) -> DataFrame:
     """Amount, quantity and product lists per invoice and product class, without returned invoices.
 
-    All classes come from one pass over the invoice lines.
+    All classes come from one pass over the invoice lines. Invoices are written first and the amounts beside the lines
+    come from one aggregate: a task holds the sorted rows of every join by invoice in its stage at once.
     """
     inv = t["pos_inv_header"].where(within("inv_date", w) & F.col("inv_num").startswith("I") & ~F.col("salesman_cd").startswith("CA"))
     inv = keep_in(inv, pick(t["stores"], pos_shop_cd="store_cd"), "pos_shop_cd")
@@ -225,6 +226,7 @@ def product_sales(t: Frames, w: Window, classes: Sequence[ProductClass] = tuple(
     seller = F.when(F.col("salesman_flg") == "Y", F.col("salesman_cd")).otherwise(F.col("usr_id"))
     inv = inv.select("inv_num", *LINE, "inv_date", "mkt_cd", "online_inv_flg", F.col("pos_shop_cd").alias("store_cd"), F.coalesce(seller, F.lit(NO_TEXT)).alias("salesman"),
                      (F.col("salesman_cd").startswith("FA") | F.col("usr_id").startswith("FA")).alias("fa"))
+    inv = settle(inv, "product_invoices")
     cats = t["pos_prod_ref"].select("pos_prod_cd", "item_cat")
     rows = t["pos_inv_detail"].select("inv_num", "pos_prod_cd", "warehouse", "net_amt", "trade_in_amt", "qty").join(cats, "pos_prod_cd", "left")
     which = F.array_compact(F.array(*[F.when(c.test(), F.lit(c.name)) for c in classes]))
@@ -243,13 +245,15 @@ def product_sales(t: Frames, w: Window, classes: Sequence[ProductClass] = tuple(
     def listed(c: str) -> Column:
         return F.array_join(F.flatten(F.transform("items", lambda x: F.array_repeat(x[c], x["n"].cast("int")))), ", ")
 
-    out = inv.join(sums, "inv_num").withColumns({"products": listed("pos_prod_cd"), "warehouses": listed("warehouse"), "item_cats": listed("item_cat")})
-    subsidy = t["hs_subsidy"].groupBy("inv_num").agg(F.sum("net_subsidy_amt").alias("subsidy"))
-    out = out.join(coupon_discounts(t, w), "inv_num", "left").join(subsidy, "inv_num", "left")
+    lists = pick(sums, *by, "pos_amt", "trade_in_amt", "qty", products=listed("pos_prod_cd"), warehouses=listed("warehouse"), item_cats=listed("item_cat"))
+    out = inv.join(lists, "inv_num")
+    # All amounts of an invoice by one aggregate.
+    rebates = t["pos_inv_detail"].where(F.col("common_desc").like("%HANDSET%REBATE%"))
+    amounts = {"coupon_amt": (coupons(t, w), "amt"), "subsidy": (t["hs_subsidy"], "net_subsidy_amt"), "rebate": (rebates, "net_amt")}
+    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [pick(df, "inv_num", **{n: c}) for n, (df, c) in amounts.items()])
+    out = out.join(found.groupBy("inv_num").agg(*[F.sum(n).alias(n) for n in amounts]), "inv_num", "left")
     with_coupon = F.col("cls").isin([c.name for c in classes if c.coupons])
     with_subsidy = F.col("cls").isin([c.name for c in classes if c.subsidy])
-    rebates = t["pos_inv_detail"].where(F.col("common_desc").like("%HANDSET%REBATE%")).groupBy("inv_num").agg(F.sum("net_amt").alias("rebate"))
-    out = out.join(rebates, "inv_num", "left")
     names = pick(staff_names(t), salesman="usr_name", staff_name="full_name")
     zero = F.lit(0).cast(AMOUNT)
     rebate = F.when(F.col("cls").isin([c.name for c in classes if c.rebate]), F.coalesce("rebate", zero)).otherwise(zero)

@@ -88,3 +88,11 @@ def test_fee_rows_are_not_gathered_by_a_few_codes(spark, sf_dir, monkeypatch):
     text = plan(seen["fee_lines"])
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert not re.search(r"hashpartitioning\(vas_cd#\d+, fee_mkt#\d+, \d+\)", text)
+
+
+def test_products_are_joined_by_invoice_three_times(spark, sf_dir):
+    """Every join by invoice lies in one stage, and a task holds the sorted rows of all of them."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    text = plan(callables()["product_class_sales"](spark, sf_dir))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"SortMergeJoin \[inv_num#\d+\]", text)) == 3
