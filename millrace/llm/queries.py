@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, collisions, decontaminate, fingerprint, language, minhash_dups, packing, passages, periodic, perplexity, private_data, spelling, toxicity
+from millrace.llm import bpe, collisions, decontaminate, fingerprint, kneser_ney, language, minhash_dups, packing, passages, periodic, private_data, spelling, toxicity
 from millrace.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,7 +112,7 @@ def op8(t: Tables) -> DataFrame:
 @query("op9_kneser_ney")
 def op9(t: Tables) -> DataFrame:
     """Perplexity of every document under a model of the trusted ones, and whether it is kept."""
-    return perplexity.assess(t.documents, t.labels.where("quality = 1"))
+    return kneser_ney.assess(t.documents, t.labels.where("quality = 1"))
 
 
 @query("op10_prob_minhash")
