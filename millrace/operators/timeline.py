@@ -1,8 +1,8 @@
 """The first events of a key after a date, without pairing a key's dates with its events.
 
-Events and dates of a key are brought on one time line. How many events lie before each day in use is a sum of
-counts: of the bins before its own, carried along the bins of the key, and of the days before it in its bin. With
-that number an event knows its place, and a date the places that follow it, so both meet by equality.
+Events and dates of a key are brought on one time line. How many events lie before each day in use is a running sum of
+the counts of the key's days. With that number an event knows its place, and a date the places that follow it, so both
+meet by equality.
 """
 
 from __future__ import annotations
@@ -15,21 +15,21 @@ from pyspark.sql import functions as F
 
 
 def events_before(events: DataFrame, days: DataFrame, on: Sequence[str], day: str = "day") -> DataFrame:
-    """(on, day, before): events of the key on earlier days, for every day of the key in `events` or `days`.
+    """(on, day, before): events of the key on earlier days, for every day of the key in `events` or `days`."""
+    return _line(events, days, list(on), day).drop("_held", "_asked")
 
-    Windows run over the days of a key and month, and over the months of a key, so their size is bounded by the
-    calendar; events of one day are counted first.
+
+def _line(events: DataFrame, days: DataFrame, on: list[str], day: str) -> DataFrame:
+    """The same, with whether there are events on that day, and whether `days` asks for it.
+
+    Events of one day are counted first, so the window of a key has a row for each day in use at most: its size is bounded by
+    the calendar, however many events the key has.
     """
-    on = list(on)
-    counted = events.groupBy(*on, day).agg(F.count(F.lit(1)).alias("_n"))
-    asked = days.select(*on, day).distinct().withColumn("_n", F.lit(0).cast("bigint"))
-    line = counted.unionByName(asked).where(F.col(day).isNotNull()).groupBy(*on, day).agg(F.sum("_n").alias("_n"))
-    line = line.withColumn("_bin", F.trunc(F.col(day), "MM"))
-    earlier = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    bins = line.groupBy(*on, "_bin").agg(F.sum("_n").alias("_n"))
-    bins = bins.select(*on, "_bin", earlier(W.partitionBy(*on).orderBy("_bin")).alias("_carried"))
-    inner = line.withColumn("_inner", earlier(W.partitionBy(*on, "_bin").orderBy(day)))
-    return inner.join(bins, [*on, "_bin"]).select(*on, day, (F.col("_carried") + F.col("_inner")).alias("before"))
+    counted = events.groupBy(*on, day).agg(F.count(F.lit(1)).alias("_n")).withColumn("_asked", F.lit(False))
+    asked = days.select(*on, day).distinct().withColumns({"_n": F.lit(0).cast("bigint"), "_asked": F.lit(True)})
+    line = counted.unionByName(asked).where(F.col(day).isNotNull()).groupBy(*on, day).agg(F.sum("_n").alias("_n"), F.max("_asked").alias("_asked"))
+    earlier = W.partitionBy(*on).orderBy(day).rowsBetween(W.unboundedPreceding, -1)
+    return line.select(*on, day, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("before"), (F.col("_n") > 0).alias("_held"), "_asked")
 
 
 def first_events(
@@ -44,9 +44,13 @@ def first_events(
     on = [on] if isinstance(on, str) else list(on)
     marked = events.where(F.col(at).isNotNull()).withColumn("_day", F.col(at))
     asked = probes.where(F.col(since).isNotNull()).withColumn("_since", F.col(since))
-    before = events_before(marked.withColumnRenamed("_day", "day"), asked.select(*on, F.col("_since").alias("day")), on)
-    placed = marked.join(before.withColumnRenamed("day", "_day"), [*on, "_day"]).withColumnRenamed("before", "_place").drop("_day")
-    starts = asked.join(before.withColumnRenamed("day", "_since"), [*on, "_since"]).drop("_since")
-    wanted = starts.withColumn(name, F.explode(F.sequence(F.lit(1), F.lit(n)))).withColumn("_place", F.col("before") + F.col(name) - 1).drop("before")
-    out = wanted.join(placed, [*on, "_place"]).drop("_place")
+    line = _line(marked.withColumnRenamed("_day", "day"), asked.select(*on, F.col("_since").alias("day")), on, "day")
+    held, wanted = (line.where(kind).select(*on, "day", "before") for kind in ("_held", "_asked"))
+    placed = marked.join(held.withColumnRenamed("day", "_day"), [*on, "_day"]).withColumnRenamed("before", "_place").drop("_day")
+    starts = asked.join(wanted.withColumnRenamed("day", "_since"), [*on, "_since"]).drop("_since")
+    # Places are taken n at a time, so that the n places of a probe lie in two such parts at most.
+    part = lambda place: F.floor(place / n).cast("bigint")
+    wanted = starts.withColumn("_part", F.explode(F.sequence(part(F.col("before")), part(F.col("before") + n - 1))))
+    out = wanted.join(placed.withColumn("_part", part(F.col("_place"))), [*on, "_part"])
+    out = out.withColumn(name, (F.col("_place") - F.col("before") + 1).cast("int")).where(F.col(name).between(1, n)).drop("_place", "_part", "before")
     return out.where(F.col(at) <= F.col(until)) if until else out

@@ -71,21 +71,27 @@ def matched(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
     by_inv = pick(
         valid, "ld_cd", "ld_start_date", "ld_expired_date", pos_inv_num="inv_num", ld_inv_num="inv_num", ld_mkt_cd="mkt_cd"
     )
-    exact = rows.join(by_inv, "pos_inv_num").select(*CASE, *CONTRACT)
+    own = settle(rows.join(by_inv, "pos_inv_num", "left").select(*CASE, *CONTRACT), "commission_own")
+    exact = own.where("ld_inv_num is not null")
+    # Only cases that no invoice has taken look for another contract.
+    taken = exact.select(F.col("case_id").alias("taken"))
+    left = own.where("ld_inv_num is null").select(*CASE)
+    left = settle(left.join(taken, F.col("case_id").eqNullSafe(F.col("taken")), "left_anti"), "commission_left")
     by_code = pick(
         valid, *LINE, "ld_cd", "ld_start_date", "ld_expired_date", pos_ld_cd="ld_cd", ld_inv_num="inv_num", ld_mkt_cd="mkt_cd"
     )
-    later = first_events(rows, by_code, [*LINE, "pos_ld_cd"], "pos_inv_date", "ld_start_date", 1).where(F.col("ld_start_date") <= F.lit(w.eve))
+    later = first_events(left, by_code, [*LINE, "pos_ld_cd"], "pos_inv_date", "ld_start_date", 1).where(F.col("ld_start_date") <= F.lit(w.eve))
     early = keep_first(later.withColumn("_at", F.col("ld_start_date")), CASE, "_at", CONTRACT)
     early = early.withColumn("json_rmk", concat_text("json_rmk", F.lit(',"TAG1A04"="MAP_LATEST_LD"')))
-    assumed = rows.withColumns(
+    assumed = left.withColumns(
         {
             "ld_inv_num": F.lit(NO_TEXT), "ld_cd": F.col("pos_ld_cd"), "ld_mkt_cd": F.col("pos_mkt_cd"),
             "ld_start_date": F.col("pos_inv_date"), "ld_expired_date": F.lit(OPEN_DATE),
             "json_rmk": concat_text("json_rmk", F.lit(',"TAG1A04"="UNMAP_LD"')),
         }
     )
-    return waterfall([("INVOICE", exact), ("EARLIEST", early), ("NONE", assumed)], ["case_id"], "ld_match", stage=lambda df: settle(df, "commission_matches"))
+    rest = waterfall([("EARLIEST", early), ("NONE", assumed)], ["case_id"], "ld_match", stage=lambda df: settle(df, "commission_matches"))
+    return stack(exact.withColumn("ld_match", F.lit("INVOICE")), rest)
 
 
 def profiled(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
@@ -167,21 +173,31 @@ def base(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
     return out.where(~new_line)
 
 
-def bill_rebates(t: Frames, w: CommissionWindow, rows: DataFrame, inv: str, label: str, ranks: list[int], windowed: bool) -> DataFrame:
-    """Rebates in the ledger for the month of the fourth bill under a contract."""
+def first_bills(t: Frames, w: CommissionWindow, asked: DataFrame) -> DataFrame:
+    """The first four bills under the contract of each (label, case_id, term_inv), with their rank, written as a stage."""
     terms = pick(
         t["subr_ld_hist"].where(F.col("start_date") <= F.lit(w.comm_month)), "start_date", "end_date",
-        **{inv: "inv_num"}, b_subr="subr_num", b_cust="cust_num", term_start="ld_start_date", term_end="ld_expired_date",
+        term_inv="inv_num", b_subr="subr_num", b_cust="cust_num", term_start="ld_start_date", term_end="ld_expired_date",
     )
     last = F.date_sub(F.add_months(F.lit(w.comm_month), 1), 1)
     bills = pick(t["inv_header"].where(F.col("inv_date") <= last), b_subr="subr_num", b_cust="cust_num", bill_inv="inv_num", bill_date="inv_date")
-    spans = rows.select("case_id", inv).join(terms, inv).where("start_date is not null and end_date is not null and term_start is not null and term_end is not null")
+    spans = asked.join(terms, "term_inv").where("start_date is not null and end_date is not null and term_start is not null and term_end is not null")
     spans = spans.withColumns({"since": F.greatest("start_date", "term_start"), "until": F.least("end_date", "term_end")})
-    billed = first_events(spans.drop("start_date", "end_date", "term_start", "term_end"), bills, ["b_subr", "b_cust"], "since", "bill_date", 4, "until")
-    first = settle(ranked(billed.drop("rnk"), "case_id", ["bill_date"], 4), "commission_bills")
+    spans = settle(spans.select("label", "case_id", "b_subr", "b_cust", "since", "until"), "commission_terms")
+    billed = first_events(spans, bills, ["b_subr", "b_cust"], "since", "bill_date", 4, "until")
+    return settle(ranked(billed.drop("rnk", "since", "until"), ["label", "case_id"], ["bill_date"], 4), "commission_bills")
+
+
+def bill_rebates(
+    t: Frames, w: CommissionWindow, rows: DataFrame, inv: str, label: str, ranks: list[int], windowed: bool, first: DataFrame | None = None
+) -> DataFrame:
+    """Rebates in the ledger for the month of the fourth bill under a contract. `first` may hold the `first_bills` of several labels."""
+    if first is None:
+        first = first_bills(t, w, pick(rows, "case_id", label=F.lit(label), term_inv=inv))
+    first = first.where(F.col("label") == label).drop("label")
     at = pick_rank(first, "case_id", "rnk", ranks, ["bill_inv", "bill_date", "b_subr", "b_cust"])
     shown = F.concat(F.lit("["), "bill_inv", F.lit("]-"), F.date_format("bill_date", "yyyyMMdd"))
-    lists = list_agg(first.withColumn("bill", shown), "case_id", "bill", ["rnk", "bill_inv"], ";", name="bill_inv_list")
+    lists = list_agg(first.withColumn("bill", shown), "case_id", "bill", ["rnk", "bill_inv"], ";", name="bill_inv_list", repeats=False)
 
     past = pick(t["sal_led_history"], b_subr="subr_num", b_cust="cust_num", mth="trx_hist_month", kind="transaction_type", amt="transaction_amount", day="trx_hist_month")
     now = pick(t["sal_led"], b_subr="subr_num", b_cust="cust_num", mth=month_start("trx_date"), kind="sal_trx_type_cd", amt="sal_led_amt", day="trx_date")
@@ -203,15 +219,16 @@ def market_rebates(t: Frames, w: CommissionWindow, rows: DataFrame, inv: str, mk
     """Credits that come with a market code: those posted within a day of the invoice, and bonuses."""
     asked = pick(rows, "case_id", *LINE, inv_num=inv, mkt_cd=mkt, inv_day=day)
     offers = pick(snapshot(t["srvcb"], F.lit(w.end)), "mkt_cd", "credit_back_amt", credit_cd="credit_back_cd")
-    posted = pick(t["pos_crbk_detail"], *LINE, "credit_cd", crbk_date="crbk_date", crbk_inv="inv_num")
+    posted = pick(keep_in(t["pos_crbk_detail"], offers, "credit_cd"), *LINE, "credit_cd", crbk_date="crbk_date", crbk_inv="inv_num")
     hit = join_within(
         asked.join(offers, "mkt_cd"), posted, [*LINE, "credit_cd"], "inv_day", "crbk_date", 1,
         {"hits": ("count", "crbk_date")}, residual=("inv_num", "crbk_inv"),
     )
     credit = hit.groupBy("case_id", "credit_cd").agg(F.max("credit_back_amt").alias("amt"))
     bonus_ref = pick(snapshot(t["fes_hs_bonus_hist"], F.lit(w.end)), "mkt_cd", "credit_back_amt", pos_prod_cd="prod_cd", credit_cd="credit_back_cd")
-    sold = t["pos_inv_detail"].groupBy("inv_num", "pos_prod_cd").agg(F.sum("qty").alias("qty"))
-    bonus = asked.select("case_id", "inv_num", "mkt_cd").join(sold, "inv_num").join(bonus_ref, ["mkt_cd", "pos_prod_cd"])
+    # Only lines of products with a bonus, and cases of codes with one, need to meet; their quantities are summed at the end.
+    sold = keep_in(t["pos_inv_detail"], bonus_ref, "pos_prod_cd").select("inv_num", "pos_prod_cd", "qty")
+    bonus = asked.select("case_id", "inv_num", "mkt_cd").join(bonus_ref, "mkt_cd").join(sold, ["inv_num", "pos_prod_cd"])
     bonus = bonus.groupBy("case_id", "credit_cd").agg(F.sum(F.col("credit_back_amt") * F.col("qty")).alias("amt"))
     both = stack(credit.withColumn("amt", F.col("amt").cast("decimal(18,2)")), bonus.withColumn("amt", F.col("amt").cast("decimal(18,2)")))
     part = F.concat("credit_cd", F.lit("="), F.col("amt").cast("string"))
@@ -239,13 +256,20 @@ def result(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
     """All figures per case and the contract value."""
     zero = F.lit(0).cast("decimal(18,2)")
     comm = F.lit(w.comm_month)
+    replaced = rows.where(~blank("old_ld_inv_num"))
+    first = first_bills(
+        t, w, stack(
+            pick(rows, "case_id", label=F.lit("INV_REBTE"), term_inv="ld_inv_num"),
+            pick(replaced, "case_id", label=F.lit("OLD_INV_REBTE"), term_inv="old_ld_inv_num"),
+        ),
+    )
     new = _rebate(
-        rows, bill_rebates(t, w, rows, "ld_inv_num", "INV_REBTE", [4, 3], True),
+        rows, bill_rebates(t, w, rows, "ld_inv_num", "INV_REBTE", [4, 3], True, first),
         market_rebates(t, w, rows, "pos_inv_num", "pos_mkt_cd", "pos_inv_date", "MKT_REBTE"), "",
     )
-    with_old = rows.where(~blank("old_ld_inv_num")).join(pick(t["pos_inv_header"], old_ld_inv_num="inv_num", old_inv_date="inv_date"), "old_ld_inv_num")
+    with_old = replaced.join(pick(t["pos_inv_header"], old_ld_inv_num="inv_num", old_inv_date="inv_date"), "old_ld_inv_num")
     old = _rebate(
-        rows, bill_rebates(t, w, rows.where(~blank("old_ld_inv_num")), "old_ld_inv_num", "OLD_INV_REBTE", [4], False),
+        rows, bill_rebates(t, w, replaced, "old_ld_inv_num", "OLD_INV_REBTE", [4], False, first),
         market_rebates(t, w, with_old, "old_ld_inv_num", "old_ld_mkt_cd", "old_inv_date", "OLD_MKT_REBTE"), "old_",
     )
     subsidy = t["hs_subsidy"].groupBy("inv_num").agg(F.sum("net_subsidy_amt").alias("amt"))
@@ -258,9 +282,10 @@ def result(t: Frames, w: CommissionWindow, rows: DataFrame) -> DataFrame:
     cat = of_inv.join(dated, "ld_mkt_cd").where("at between cat_from and cat_to").groupBy("case_id").agg(F.max("cat_by_date").alias("cat_by_date"))
     by_code = pick(ref, pos_mkt_cd="mkt_cd", cat_by_code="bm_cat").groupBy("pos_mkt_cd").agg(F.max("cat_by_code").alias("cat_by_code"))
 
+    # Joins of one key follow each other, so that the rows move once for each key.
     out = rows.join(new, "case_id", "left").join(old, "case_id", "left")
-    out = out.join(pick(subsidy, ld_inv_num="inv_num", hs_subsidy_amt="amt"), "ld_inv_num", "left")
     out = out.join(pick(subsidy, old_ld_inv_num="inv_num", old_hs_subsidy_amt="amt"), "old_ld_inv_num", "left")
+    out = out.join(pick(subsidy, ld_inv_num="inv_num", hs_subsidy_amt="amt"), "ld_inv_num", "left")
     out = out.join(staff, "ld_inv_num", "left").join(moved, "ld_inv_num", "left")
     out = out.withColumn("salesman_cd", F.coalesce("new_salesman", "own_salesman")).drop("new_salesman", "own_salesman")
     out = out.join(team, "salesman_cd", "left").join(cat, "case_id", "left").join(by_code, "pos_mkt_cd", "left")
