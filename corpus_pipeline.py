@@ -34,9 +34,12 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, lang, source, n_tokens, ids, decoded_sha256 (of the text that the ids decode to)."""
+    """doc_id, lang, source, n_tokens, ids, decoded_sha256 (of the text that the ids decode to).
+
+    The ids are written before they are decoded: in one stage, a task would hold a Python worker for each of the two.
+    """
     path = default_tokenizer()
-    encoded = bpe.encode(docs, path).drop("text")
+    encoded = Stages(spark, "encode").keep(bpe.encode(docs, path).drop("text"), "ids")
     decoded = bpe.decode(encoded, path)
     return decoded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 

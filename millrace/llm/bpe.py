@@ -32,6 +32,7 @@ CUT_BITS = 10  # one cut in 1,024 bytes on average
 SHORTEST, LONGEST = 256, 16_384
 UNIT_BYTES = 48  # longer units are encoded one by one
 CHUNK_MEMORY = 48 << 20
+SLICE_IDS = 1 << 18  # decoded at a time
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
@@ -340,11 +341,16 @@ def decode(encoded: DataFrame, tokenizer: str, ids: str = "ids", into: str = "de
     def text(values: pa.Array) -> pa.Array:
         own = encoder(content)
         edges, flat, valid = values.offsets.to_numpy(), values.values.to_numpy(), values.is_valid().to_pylist()
-        texts = [own.decode(flat[a:b].astype(np.int64)).decode("utf-8", "replace") if v else None for a, b, v in zip(edges[:-1], edges[1:], valid)]
-        out = pa.array(texts, pa.string())
-        del texts
+        out, at = [], 0
+        while at < len(valid):  # a slice's Python strings at a time
+            upto = max(at + 1, int(np.searchsorted(edges, int(edges[at]) + SLICE_IDS, "right")) - 1)
+            rows = zip(edges[at:upto], edges[at + 1 : upto + 1], valid[at:upto])
+            out.append(pa.array([own.decode(flat[a:b].astype(np.int64)).decode("utf-8", "replace") if v else None for a, b, v in rows], pa.string()))
+            at = upto
+        whole = pa.concat_arrays(out) if out else pa.array([], pa.string())
+        del out
         tx.release()
-        return out
+        return whole
 
     return encoded.withColumn(into, arrow_udf(text, "string")(F.col(ids)))
 

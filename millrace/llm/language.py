@@ -27,6 +27,7 @@ PER_LANGUAGE = 400  # training texts of a language: the bounded sample that the
 CLUSTERS = 3
 ROUNDS = 8
 SLACK = 0.4
+SLICE = tx.SLICE_BYTES // 8  # n-gram codes and their sort take some 150 bytes a letter
 SHORT = 32  # texts with fewer letters say little: never rejected by distance
 LENGTH_EDGES = np.array([8, 16, 32, 64, 128, 256, 1024])
 UNKNOWN = "und"
@@ -124,6 +125,35 @@ def cluster(vectors: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
     return centres
 
 
+def training_vectors(batches: list[pa.RecordBatch], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Dense vectors of the texts with a letter, sorted by their first 64 dimensions, and the letters of each.
+
+    The order comes from the sparse rows, which are then put at their places: there is one dense copy at any time.
+    """
+    parts, sizes, n = [], [np.zeros(0, np.int64)], 0
+    for part in tx.slices(batches, budget=SLICE):
+        rows, slots, counts, letters = ngram_vectors(part.column("text"), len(idf))
+        value = weighted(rows, slots, counts, part.num_rows, idf).astype(np.float32)
+        some = letters > 0
+        place, own = np.cumsum(some) - 1 + n, some[rows]
+        parts.append((place[rows[own]].astype(np.int32), slots[own].astype(np.int32), value[own]))
+        sizes.append(letters[some])
+        n += len(sizes[-1])
+    lengths = np.concatenate(sizes)
+    head = np.zeros((n, min(64, len(idf))), np.float32)
+    for rows, slots, value in parts:
+        first = slots < head.shape[1]
+        head[rows[first], slots[first]] = value[first]
+    order = np.lexsort(head.T[::-1]) if n else np.zeros(0, np.int64)
+    to = np.empty(n, np.int64)
+    to[order] = np.arange(n)
+    vectors = np.zeros((n, len(idf)), np.float32)
+    while parts:
+        rows, slots, value = parts.pop()
+        vectors[to[rows], slots] = value
+    return vectors, lengths[order]
+
+
 def training_rows(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFrame:
     """(lang, text): at most `per_language` documents of each language, those with the smallest hash of their id.
 
@@ -146,10 +176,11 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, clusters: int = CLUST
 
     def counts_of(table: pa.Table) -> pa.Table:
         total, n = np.zeros(dimensions, np.int64), 0
-        for part in tx.slices(table.to_batches()):
+        for part in tx.slices(table.to_batches(), budget=SLICE):
             _, slots, _, letters = ngram_vectors(part.column("text"), dimensions)
             total += np.bincount(slots, minlength=dimensions)
             n += int((letters > 0).sum())
+        tx.release()
         return pa.table({"lang": table.column("lang").slice(0, 1).cast(pa.string()), "n": [n], "df": [total.tolist()]})
 
     kept = Stages(docs.sparkSession, "language").keep(sample, "sample")
@@ -159,16 +190,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, clusters: int = CLUST
     idf = np.log((1.0 + sum(r.n for r in seen)) / (1.0 + frequency)) + 1.0
 
     def centres_of(table: pa.Table) -> pa.Table:
-        blocks, sizes = [], []
-        for part in tx.slices(table.to_batches()):
-            rows, slots, counts, letters = ngram_vectors(part.column("text"), dimensions)
-            dense = np.zeros((part.num_rows, dimensions), np.float32)
-            dense[rows, slots] = weighted(rows, slots, counts, part.num_rows, idf)
-            blocks.append(dense[letters > 0])
-            sizes.append(letters[letters > 0])
-        vectors, lengths = np.concatenate(blocks), np.concatenate(sizes)
-        order = np.lexsort(vectors[:, :64].T[::-1]) if len(vectors) else []
-        vectors, lengths = vectors[order], lengths[order]
+        vectors, lengths = training_vectors(table.to_batches(), idf)
         if not len(vectors):
             return pa.table({"lang": pa.array([], pa.string()), "number": pa.array([], pa.int32()), "centre": pa.array([], pa.binary()), "low": pa.array([], pa.list_(pa.float64()))})
         centres = cluster(vectors, clusters)
@@ -176,6 +198,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, clusters: int = CLUST
         kind = np.searchsorted(LENGTH_EDGES, lengths, "right")
         low = [float(cosine[kind == c].min()) if (kind == c).any() else 2.0 for c in range(len(LENGTH_EDGES) + 1)]
         n = len(centres)
+        del vectors
+        tx.release()
         return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * n, pa.string()), "number": pa.array(range(n), pa.int32()), "centre": pa.array([c.astype(np.float32).tobytes() for c in centres], pa.binary()), "low": pa.array([low] * n, pa.list_(pa.float64()))})
 
     found = kept.groupBy("lang").applyInArrow(centres_of, "lang string, number int, centre binary, low array<double>").collect()
@@ -204,7 +228,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         known = pa.array([*model.languages, UNKNOWN], pa.string())
-        for part in tx.slices(batches, budget=tx.SLICE_BYTES // 4):  # n-gram codes and their sort take some 150 bytes a letter
+        for part in tx.slices(batches, budget=SLICE):
             best, cosine, far = model.classify(part.column("text"))
             picked = known.take(pa.array(np.where(best < 0, len(known) - 1, best)))
             yield pa.RecordBatch.from_arrays([*part.columns, picked, pa.array(cosine), pa.array(far)], [*part.schema.names, "lang_pred", "lang_score", "lang_rejected"])

@@ -24,6 +24,7 @@ _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 def release() -> None:
     """Give memory that is free in this worker back to the system: workers are kept, and the next task may be another operator's."""
+    _powers[:] = [np.ones(1, U), np.ones(1, U)]
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
@@ -53,7 +54,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """BASE**i and its inverse modulo 2**64 for i < n; grown on demand and kept by the worker."""
+    """BASE**i and its inverse modulo 2**64 for i < n; grown on demand and kept until `release`."""
     if len(_powers[0]) < n:
         size = max(n, 1 << 16)
         for k, base in enumerate((BASE, pow(BASE, -1, 1 << 64))):
