@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from millrace.functions.exprs import as_col
@@ -92,23 +93,43 @@ def match_ranges(left: DataFrame, ranges: DataFrame, value: str, lo: str, hi: st
     return held.join(ranges, (held["_lo"] == ranges[lo]) & (held["_hi"] == ranges[hi])).drop("_lo", "_hi")
 
 
+def halves(lo: Column, hi: Column) -> Column:
+    """The places from `lo` to `hi` as (level, cell, edge): the end of one cell and the beginning of the next.
+
+    The two are the halves of the smallest cell that holds both places. Of an even cell the places from the edge on are
+    meant, of an odd one those up to the edge. A single place is one entry.
+    """
+    level = (F.length(F.bin(lo.bitwiseXOR(hi))) - 1).cast("int")
+    half = lambda edge: F.struct(level.alias("level"), F.call_function("shiftright", edge, level).alias("cell"), edge.alias("edge"))
+    return F.array_distinct(F.array(half(lo), half(hi)))
+
+
 def best_open(
     probes: DataFrame, intervals: DataFrame, on: str | Sequence[str], at: Column | str, start: str, end: str, order: Sequence[str], cols: Sequence[str]
 ) -> DataFrame:
     """`probes` with `cols` of the interval of its key that is open on its day and greatest by `order`; null without one.
 
-    Ties are settled by the greatest values of `cols`, in their order; nulls come last. The intervals of a key are first
-    reduced to the best of each cell, and the distinct days of a key look up their cells, so rows of a key never
-    meet as pairs, however many intervals are open at once. Cells are not broadcast: they are many times the size seen.
+    Ties are settled by the greatest values of `cols`, in their order; nulls come last, as they do in a struct. An interval
+    is two halves at most, and the halves of a key are first reduced to the best of each cell and edge. A day then takes a
+    running maximum along each cell that holds it, of the levels its key has halves at only, so rows of a key never meet
+    as pairs, however many intervals are open at once. What is gathered by key grows with its distinct days, not its rows.
     """
     on, cols = _names(on), list(cols)
-    rank = [*order, *[c for c in cols if c not in order]]
-    packed = F.struct(*[F.struct(F.col(c).isNotNull().alias("is"), F.col(c).alias("v")).alias(c) for c in rank])
-    span = intervals.where(F.col(start) <= F.col(end)).select(*on, day_place(F.col(start)).alias("_from"), day_place(F.col(end)).alias("_to"), packed.alias("_best"))
-    top = _spread(span, cells(F.col("_from"), F.col("_to"), DAY_LEVELS)).groupBy(*on, "_level", "_cell").agg(F.max("_best").alias("_best"))
+    packed = F.struct(*order, *[c for c in cols if c not in order])
+    span = intervals.where(F.col(start) <= F.col(end)).dropna(subset=on).select(*on, day_place(F.col(start)).alias("_from"), day_place(F.col(end)).alias("_to"), packed.alias("_best"))
+    edged = span.withColumn("_c", F.explode(halves(F.col("_from"), F.col("_to")))).select(*on, *[F.col(f"_c.{c}").alias(f"_{c}") for c in ("level", "cell", "edge")], "_best")
+    top = edged.groupBy(*on, "_level", "_cell", "_edge").agg(F.max("_best").alias("_best"))
     asked = probes.withColumn("_place", day_place(as_col(at)))
-    days = asked.select(*on, "_place").where("_place is not null").distinct()
-    found = _spread(days, cells_of_place(F.col("_place"), DAY_LEVELS)).hint("merge").join(top, [*on, "_level", "_cell"])
-    best = found.groupBy(*on, "_place").agg(F.max("_best").alias("_best")).select(*on, "_place", *[F.col(f"_best.{c}.v").alias(c) for c in cols])
+    days = asked.select(*on, "_place").dropna().distinct()
+    bit = lambda level, cell: (2 * level + F.pmod(cell, F.lit(2))).cast("int")
+    used = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit(F.col("_level"), F.col("_cell")))).over(W.partitionBy(*on))
+    both = top.unionByName(days, allowMissingColumns=True).withColumn("_used", used)
+    over = lambda k: F.call_function("shiftright", F.col("_place"), k)
+    held = F.filter(F.sequence(F.lit(0), F.lit(DAY_LEVELS)), lambda k: F.call_function("shiftright", F.col("_used"), bit(k, over(k))).bitwiseAND(1) == 1)
+    where = F.when(F.col("_place").isNull(), F.array(F.struct(F.col("_level").alias("level"), F.col("_cell").alias("cell")))).otherwise(F.transform(held, lambda k: F.struct(k.alias("level"), over(k).alias("cell"))))
+    rows = both.withColumn("_c", F.explode(where)).withColumns({"_at": F.coalesce("_edge", "_place"), "_level": F.col("_c.level"), "_cell": F.col("_c.cell")})
+    # Equal places lie in the same frame, so an edge counts on its own day.
+    along = W.partitionBy(*on, "_level", "_cell").orderBy(F.when(F.pmod("_cell", F.lit(2)) == 1, -F.col("_at")).otherwise(F.col("_at")))
+    found = rows.withColumn("_best", F.max("_best").over(along)).where("_place is not null and _best is not null")
+    best = found.groupBy(*on, "_place").agg(F.max("_best").alias("_best")).select(*on, "_place", *[F.col(f"_best.{c}").alias(c) for c in cols])
     return asked.join(best, [*on, "_place"], "left").drop("_place")
-

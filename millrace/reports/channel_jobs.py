@@ -97,9 +97,8 @@ GROUPS = {"E1": "01. Unlimited", "E2": "02. High", "E3": "03. Mid", "PACK": "03.
 def _typed(t: Tables) -> DataFrame:
     w = Warehouse(t)
     rows = settle(channel.transactions(w, SPAN), "channel_rows")
-    lists = channel.addon_lists(w, rows, SPAN)
-    full = channel.detail(w, rows, SPAN).join(lists, ["cust_num", "subr_num", "store_cd", "order_num"], "left")
-    return channel.typed(w, settle(full, "channel_detail"), GROUPS, years=SPAN.years)
+    full = channel.with_lists(channel.detail(w, rows, SPAN), channel.addon_lists(w, rows, SPAN))
+    return channel.typed(w, full, GROUPS, years=SPAN.years)
 
 
 @report("channel_typing", with_tables(*_DETAIL_TABLES, "data_entitle_hist", "rate_plan_ref") + "," + _TRX_SQL + "," + _DETAIL_SQL + """

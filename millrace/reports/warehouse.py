@@ -69,9 +69,14 @@ def pos_return_header(t: Tables) -> DataFrame:
     return lines(t).where("l_returnflag = 'R' and l_quantity = 50").select(_inv("l_orderkey").alias("inv_num"), F.col("l_shipdate").alias("trx_date"))
 
 
+def _history(t: Tables) -> DataFrame:
+    """The history that takes a window and a join to make, written once for all tables made of it."""
+    return t.stage("priority_history", lambda: settle(priority_history(t), "priority_history"))
+
+
 def subr_info_hist(t: Tables) -> DataFrame:
     digit = F.substring("plan", 1, 1)
-    return priority_history(t).select(
+    return _history(t).select(
         *_line(), F.when(digit == "5", "PE").otherwise("OK").alias("subr_stat_cd"), F.concat(F.lit("RP"), digit).alias("rate_plan_cd"), F.lit(1).alias("bill_cycle"),
         F.lit(OPEN_DATE).alias("subr_sw_on_date"), F.lit(OPEN_DATE).alias("subr_sw_off_date"), "start_date", "end_date",
     )
@@ -212,7 +217,7 @@ def _recpt_payment(t: Tables) -> DataFrame:
 
 
 def _entitle_hist(t: Tables) -> DataFrame:
-    h = priority_history(t).where("plan <> '3-MEDIUM'")
+    h = _history(t).where("plan <> '3-MEDIUM'")
     return h.select(*_line(), F.concat(F.lit("E"), F.substring("plan", 1, 1)).alias("free_data_entitle"), "start_date", "end_date")
 
 
@@ -263,7 +268,7 @@ MADE.update(
 )
 
 
-SHUFFLED = {"subr_info_hist", "data_entitle_hist", "hs_subsidy"}
+SHUFFLED = {"hs_subsidy"}
 
 
 class Warehouse:

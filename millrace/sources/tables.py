@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -28,6 +30,10 @@ class Tables:
         self._made[name] = df
         return df
 
+    def stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        """A derived table that is made when first asked for."""
+        return self._made[name] if name in self._made else self.put(name, make())
+
     def register(self, *names: str) -> None:
         for name in names:
             self[name].createOrReplaceTempView(name)

@@ -1,6 +1,7 @@
 """Joins by dyadic cells, time lines, global positions and pattern indexes, against brute force."""
 
 import random
+import re
 from datetime import date, timedelta
 
 import pytest
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import best_open, drop_like, events_before, first_events, join_overlap, join_range, with_position
-from millrace.operators.intervals import CALENDAR_LEVELS, cells, cells_of_place, day_place
+from millrace.operators.intervals import CALENDAR_LEVELS, cells, cells_of_place, day_place, halves
 from millrace.params import OPEN_DATE
 
 D0 = date(2015, 1, 1)
@@ -180,6 +181,23 @@ def test_best_open_equals_brute_force(spark):
     assert {r.i: (r.v, r.c) for r in got.collect()} == want
 
 
+def test_halves_make_up_the_interval(spark):
+    """An interval is two entries at most, and a place of it lies in exactly one of them."""
+    pairs = [(lo, hi) for lo in range(0, 33) for hi in range(lo, 33)]
+    df = spark.createDataFrame(pairs, "lo long, hi long").select("lo", "hi", halves(F.col("lo"), F.col("hi")).alias("h"))
+    for lo, hi, found in df.collect():
+        places = [p for level, cell, edge in found for p in range(cell << level, (cell + 1) << level) if (p <= edge if cell % 2 else p >= edge)]
+        assert sorted(places) == list(range(lo, hi + 1)) and len(found) <= 2
+
+
+def test_best_open_sends_a_day_once(spark):
+    """Days are copied to their cells where they lie by key, not before: no shuffle or join is by cell alone."""
+    asked = spark.createDataFrame([("a", D0, 1)], "k string, at date, i int")
+    spans = spark.createDataFrame([("a", D0, OPEN_DATE, 1)], "k string, s date, e date, v int")
+    text = plan_of(best_open(asked, spans, "k", "at", "s", "e", ["v"], ["v"]))
+    assert "_cell" in text and not re.search(r"hashpartitioning\(k#\d+, _level#\d+, _cell#\d+, \d", text)
+
+
 PATTERNS = ["red %", "% ring", "%old%", "h_t b%", "a\\%b", "100\\%", "%\\_%", "_", "___", "%____", "", "\\\\x", "%aa%aa%", "a%", "%b", "%é_", "exact", "%a\nb%"]
 
 

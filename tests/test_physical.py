@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import best_open, join_asof, keep_first, nth_row, ranked, share, waterfall
-from millrace.plans import revenue
+from millrace.plans import channel, revenue
+from millrace.reports import channel_jobs, warehouse
 from millrace.reports.registry import callables
+from millrace.sources.tables import Tables
 
 
 def plan(df):
@@ -96,3 +98,35 @@ def test_products_are_joined_by_invoice_three_times(spark, sf_dir):
     text = plan(callables()["product_class_sales"](spark, sf_dir))
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert len(re.findall(r"SortMergeJoin \[inv_num#\d+\]", text)) == 3
+
+
+def test_customer_history_is_written_once(spark, sf_dir, monkeypatch):
+    """The history takes five shuffles to make; all tables made of it, in all warehouses of a query, read one copy."""
+    written = []
+    monkeypatch.setattr(warehouse, "settle", lambda df, name: written.append(name) or df)
+    t = Tables(spark, sf_dir)
+    for name in ("subr_info_hist", "data_entitle_hist", "subr_info_hist"):
+        warehouse.Warehouse(t)[name]
+    assert len(written) == 1
+
+
+def test_orders_of_lines_with_invoices_are_not_looked_up(spark, sf_dir, monkeypatch):
+    """The waterfall gives such lines to their invoices; their orders stay out of the sorts and look-ups."""
+    seen, write = {}, channel.settle
+    monkeypatch.setattr(channel, "settle", lambda df, name: seen.setdefault(name, write(df, name)))
+    callables()["channel_transactions"](spark, sf_dir)
+    main = seen["channel_invoices"].where("ld_revenue in ('P', 'V') and order_num like 'I%'")
+    assert main.count() and seen["channel_orders"].count()
+    assert not seen["channel_orders"].join(main, ["cust_num", "subr_num"], "left_semi").count()
+
+
+def test_transactions_move_by_line_once(spark, sf_dir, monkeypatch):
+    """Calls, redemptions, contracts, new lines and renewals are joined by line alone, and typing moves no row by one more key than the order number."""
+    seen, write = {}, channel_jobs.settle
+    monkeypatch.setattr(channel_jobs, "settle", lambda df, name: seen.setdefault(name, (plan(df), write(df, name)))[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    text = plan(callables()["channel_attribution"](spark, sf_dir))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by = lambda text, *keys: len(re.findall(r"Exchange hashpartitioning\(" + ", ".join(rf"{k}#\d+" for k in keys) + r", \d", text))
+    assert not by(text, "cust_num", "subr_num", "orig_ld_revenue")
+    assert not by(seen["channel_typed"][0], "cust_num", "subr_num", "store_cd", "order_num")

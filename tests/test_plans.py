@@ -199,3 +199,25 @@ def test_addon_lists_take_one_shuffle_by_transaction(spark, sf_dir):
 
     text = channel_addons(Tables(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in text.splitlines() if "Exchange hashpartitioning" in x and "kind#" in x.split("hashpartitioning", 1)[1].split(")")[0]]
+
+
+def test_a_blank_order_number_has_no_lists(spark):
+    """A null matches nothing, as in a join; equal order numbers of one line share their lists, store by store."""
+    t = {
+        "entitle_ref": spark.createDataFrame([("V1", "PACK"), ("V2", "PACK")], "bill_serv_cd string, free_data_entitle string"),
+        "rate_plan_ref": spark.createDataFrame([("RP1", "Y")], "rate_plan_cd string, high_tier string"),
+        "om_pending": spark.createDataFrame([("C", "S", D(2020, 1, 2), "V2,V9,", " "), ("C", "S", D(2020, 1, 2), "V2", "V1")], "cust_num string, subr_num string, create_date date, add_vas string, end_vas string"),
+        "bill_servs": spark.createDataFrame([("C", "S", OPEN_DATE, "V1"), ("C", "S", D(2020, 1, 2), "V2"), ("C", "S", OPEN_DATE, "V9")], "cust_num string, subr_num string, bill_end_date date, bill_serv_cd string"),
+    }
+    t |= {"om_complete": t["om_pending"].limit(0), "bill_servs_pend": t["bill_servs"].limit(1)}
+    rows = [("C", "S", "A", "I1", D(2020, 1, 1), "RP1"), ("C", "S", "A", "I1", D(2020, 1, 2), "RP2"), ("C", "S", "B", "I1", D(2020, 1, 9), "RP1"), ("C", "S", "A", None, D(2020, 1, 1), "RP1"), ("X", "S", "A", "I1", D(2020, 1, 1), "RP1")]
+    rows = spark.createDataFrame(rows, "cust_num string, subr_num string, store_cd string, order_num string, inv_date date, rate_plan_cd string")
+    lists = channel.addon_lists(t, rows, Window(D(2020, 1, 1), D(2020, 1, 31)))
+    assert cells(lists) == sorted(
+        [
+            ("C", "S", "A", "I1", "V2", "V1", "V1,V2", "Y"), ("C", "S", "A", "I1", "V2", "V1", "V1,V2", "N"), ("C", "S", "B", "I1", " ", " ", "V1", "Y"),
+            ("C", "S", "A", None, " ", " ", " ", "N"), ("X", "S", "A", "I1", " ", " ", " ", "N"),
+        ], key=str,
+    )
+    full = channel.with_lists(rows.where("order_num = 'I1' and inv_date <> '2020-01-02'"), lists.where("bolt_on_flg = 'Y'"))
+    assert cells(full, "cust_num", "store_cd", "add_vas_list", "active_vas_list") == [("C", "A", "V2", "V1,V2"), ("C", "B", " ", "V1"), ("X", "A", None, None)]
